@@ -1,0 +1,87 @@
+"""The model DAG as plain function composition:
+raw -> staging -> (metrics, marts) -> alerts -> digest.
+
+``build_marts`` shares one staging result between the marts.  On a cluster it
+is written once to the shared checkpoint folder (lineage cut, survives lost
+executors); ``materialize="persist"`` keeps it in memory/disk instead.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.storagelevel import StorageLevel
+
+from ledgerlens.config import DEFAULT, Params
+from ledgerlens.operators import alerts as A
+from ledgerlens.operators import marts as M
+from ledgerlens.operators.staging import stage_sales
+from ledgerlens.session import shared_path
+from ledgerlens.sources import fixture
+
+
+@dataclass
+class Marts:
+    staging: DataFrame
+    dead_stock: DataFrame
+    low_margin: DataFrame
+    credit_risk: DataFrame
+
+
+def staging_from_fixture(spark: SparkSession, sf_dir: str, p: Params = DEFAULT,
+                         with_loaded_at: bool = False) -> DataFrame:
+    return stage_sales(fixture.raw_sales(spark, sf_dir), p, with_loaded_at=with_loaded_at)
+
+
+def share(spark: SparkSession, df: DataFrame, materialize: str | None) -> DataFrame:
+    """Materialize a DataFrame that several plans read.
+
+    ``"table"``: write parquet under ``spark.checkpoint.dir`` and read it back
+    (reliable, lineage cut).  ``"persist"``: MEMORY_AND_DISK cache (lost blocks
+    are recomputed from lineage).  ``None``: leave it lazy."""
+    if materialize == "table":
+        path = shared_path(spark, "staging")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    if materialize == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
+
+
+def build_marts(spark: SparkSession, raw: DataFrame, p: Params = DEFAULT,
+                materialize: str | None = "persist", with_created_at: bool = True) -> Marts:
+    stg = share(spark, stage_sales(raw, p, with_loaded_at=False), materialize)
+    return Marts(
+        staging=stg,
+        dead_stock=M.dead_stock(stg, p, with_created_at),
+        low_margin=M.low_margin(stg, p, with_created_at),
+        credit_risk=M.credit_risk(stg, p, with_created_at),
+    )
+
+
+def alerts_from_marts(spark: SparkSession, m: Marts, p: Params = DEFAULT,
+                      with_timestamp: bool = True) -> DataFrame:
+    credit = A.safe_alerts(lambda: A.credit_risk_alerts(m.credit_risk, p, with_timestamp), spark, with_timestamp)
+    dead = A.safe_alerts(lambda: A.dead_stock_alerts(m.dead_stock, p, with_timestamp), spark, with_timestamp)
+    low = A.safe_alerts(lambda: A.low_margin_alerts(m.low_margin, p, with_timestamp), spark, with_timestamp)
+    return A.all_alerts(credit, dead, low)
+
+
+def alerts_from_tables(spark: SparkSession, p: Params = DEFAULT, prefix: str = "mart_",
+                       with_timestamp: bool = True) -> DataFrame:
+    """Alerts read from saved mart tables; a missing table gives no alerts of its type."""
+    credit = A.safe_alerts(lambda: A.credit_risk_alerts(spark.table(prefix + "credit_risk"), p, with_timestamp),
+                           spark, with_timestamp)
+    dead = A.safe_alerts(lambda: A.dead_stock_alerts(spark.table(prefix + "dead_stock"), p, with_timestamp),
+                         spark, with_timestamp)
+    low = A.safe_alerts(lambda: A.low_margin_alerts(spark.table(prefix + "low_margin_sales"), p, with_timestamp),
+                        spark, with_timestamp)
+    return A.all_alerts(credit, dead, low)
+
+
+def run(spark: SparkSession, raw: DataFrame, p: Params = DEFAULT, materialize: str | None = "persist") -> DataFrame:
+    """Raw sales -> one-row digest table."""
+    m = build_marts(spark, raw, p, materialize)
+    balanced = A.balanced_alerts(alerts_from_marts(spark, m, p), p)
+    return A.daily_digest(spark, balanced, p)
