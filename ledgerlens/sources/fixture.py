@@ -29,13 +29,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer splits than the cluster has cores
+    (a single-row-group file reads as one task, and everything up to the first
+    shuffle would run in it).  Large inputs already have many splits and are
+    left alone, so this never adds a shuffle at scale."""
+    sc = df.sparkSession.sparkContext
+    want = sc.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= want:
+        return df.repartition(want, *keys)
+    return df
+
+
 def product_key(p_name, p_partkey):
     return F.concat(p_name, F.lit(" #"), p_partkey.cast("string"))
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw sale line per lineitem row, columns as a sales export has them."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"),
+                "l_orderkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
