@@ -45,14 +45,25 @@ def product_key(p_name, p_partkey):
     return F.concat(p_name, F.lit(" #"), p_partkey.cast("string"))
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw sale line per lineitem row, columns as a sales export has them."""
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"),
-                "l_orderkey")
+LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+
+
+def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    return o, c, p
+
+
+def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw sale line per lineitem row, columns as a sales export has them."""
+    li = spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), "l_orderkey")
+    return raw_sales_from(li, *dimensions(spark, sf_dir))
+
 
+def raw_sales_from(li: DataFrame, o: DataFrame, c: DataFrame, p: DataFrame, extra=()) -> DataFrame:
+    """The raw-sales projection over order lines (batch or streaming) joined to
+    orders, customers and parts (static tables)."""
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
            .join(c, o.o_custkey == c.c_custkey)
            .join(p, li.l_partkey == p.p_partkey))
@@ -77,6 +88,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.lit(None).cast("string")).alias("payment_status"),
         F.when(F.col("o_orderkey") % BAD_DUE_MOD == 0, F.lit("not a date"))
          .otherwise(F.date_add(d, DUE_DAYS).cast("string")).alias("payment_due_date"),
+        *extra,
     )
 
 
