@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # bytes with no character in windows-1252 (decoding them fails, so latin-1 is next)
-CP1252_UNDEFINED = "\u0081\u008d\u008f\u0090\u009d"
+CP1252_UNDEFINED = ("81", "8D", "8F", "90", "9D")
 # texts a CSV reader of the reference's stack reads as "no value" (fixed values,
 # the pandas default NA strings)
 NULL_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -25,9 +25,10 @@ def probe_encoding(spark: SparkSession, path: str) -> str:
     ok = lines.agg(F.min(F.is_valid_utf8("value")).alias("ok")).first()["ok"]
     if ok is None or ok:
         return "UTF-8"
-    # read bytes one-to-one as latin-1 characters and look for undefined bytes
-    raw = spark.read.option("encoding", "ISO-8859-1").text(path)
-    bad = raw.agg(F.max(F.col("value").rlike(f"[{CP1252_UNDEFINED}]")).alias("bad")).first()["bad"]
+    # the text source keeps the raw bytes: look for an undefined byte at an
+    # even offset of the line's hex form
+    pattern = "^(?:[0-9A-F]{2})*?(?:" + "|".join(CP1252_UNDEFINED) + ")"
+    bad = lines.agg(F.max(F.hex(F.col("value").cast("binary")).rlike(pattern)).alias("bad")).first()["bad"]
     return "ISO-8859-1" if bad else "windows-1252"
 
 
