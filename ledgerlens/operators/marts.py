@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
 from ledgerlens.config import DEFAULT, Params
 from ledgerlens.functions.columns import MARGIN_TYPE, days_between, exact_ratio, severity_rank
 from ledgerlens.operators.metrics import SUM_MONEY, customer_lifetime_value, exact_avg, product_avg_margin
+from ledgerlens.operators.staging import customer_name_of, product_name_of
 
 DEAD_STOCK_COLUMNS = (
     "product_id", "product_name", "last_sale_date", "days_since_last_sale",
@@ -48,13 +49,13 @@ def dead_stock(stg: DataFrame, p: Params = DEFAULT, with_created_at: bool = True
     Built straight from staging: none of the enriched columns is used, and the
     aggregate's partial sums make one hot product cost one row per task."""
     agg = stg.groupBy("product_id").agg(
-        F.max("product_name").alias("product_name"),
         F.max("transaction_date").alias("last_sale_date"),
         F.sum("quantity").cast(SUM_MONEY).alias("total_quantity_ever_sold"),
         exact_avg("margin_percentage").alias("avg_margin"),
     )
     days = days_between(F.lit(p.as_of), F.col("last_sale_date"))
-    df = agg.withColumn("days_since_last_sale", days).where(F.col("days_since_last_sale") >= p.dead_stock_days)
+    df = (agg.withColumn("days_since_last_sale", days).where(F.col("days_since_last_sale") >= p.dead_stock_days)
+             .withColumn("product_name", product_name_of(F.col("product_id"))))
     d = F.col("days_since_last_sale")
     df = df.withColumns({
         "estimated_value_locked": F.round(
@@ -111,42 +112,48 @@ def overdue_lines(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return stg.where((F.col("payment_status") != "PAID") & (F.col("days_overdue") >= p.credit_risk_days))
 
 
-def _ordered_ids(invoices: DataFrame) -> DataFrame:
-    """customer_id -> ids of its overdue lines, ', '-joined in (date, id) order,
-    an id repeated once per line.  Built in two rounds so that no single task
-    merges more than one customer's per-day pieces: per (customer, day) the ids
-    are joined first, then the day pieces in date order."""
-    day = invoices.where(F.col("transaction_id").isNotNull()).groupBy("customer_id", "transaction_date").agg(
-        F.expr("listagg(piece, ', ') WITHIN GROUP (ORDER BY transaction_id)").alias("day_ids"))
-    return day.groupBy("customer_id").agg(
-        F.expr("listagg(day_ids, ', ') WITHIN GROUP (ORDER BY transaction_date)").alias("overdue_invoice_ids"))
-
-
 def credit_risk(stg: DataFrame, p: Params = DEFAULT, with_created_at: bool = True,
                 ltv: DataFrame | None = None) -> DataFrame:
-    """Customers with unpaid lines at least ``credit_risk_days`` overdue."""
+    """Customers with unpaid lines at least ``credit_risk_days`` overdue.
+
+    One aggregation chain, invoice -> customer-day -> customer, so that the
+    ordered id list is built in pieces: per day the ids are joined in id order,
+    per customer the day pieces in date order.  No task ever merges more than
+    one customer's day pieces, and every level is a partial + final aggregate.
+    An invoice counts once even if its lines carry two dates: the window that
+    marks its first date is partitioned by (customer, invoice), so a partition
+    holds one invoice's dates, never a whole customer."""
     od = overdue_lines(stg, p)
-    # one row per (customer, day, invoice): multi-line invoices collapse here
+    tid = F.col("transaction_id")
     inv = od.groupBy("customer_id", "transaction_date", "transaction_id").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.max("customer_name").alias("customer_name"),
         F.sum("total_amount").alias("amount"),
         F.max("days_overdue").alias("max_days"),
         F.sum("days_overdue").alias("sum_days"),
         F.count("days_overdue").alias("n_days"),
-    ).withColumn("piece", F.array_join(F.array_repeat(F.col("transaction_id"), F.col("n_lines").cast("int")), ", "))
-    per_customer = inv.groupBy("customer_id").agg(
-        F.max("customer_name").alias("customer_name"),
-        F.count_distinct("transaction_id").alias("overdue_invoice_count"),
+    )
+    first_date = F.min("transaction_date").over(Window.partitionBy("customer_id", "transaction_id"))
+    inv = inv.withColumns({
+        # the id once per line (multi-line invoices repeat in the list)
+        "piece": F.when(tid.isNotNull(), F.array_join(F.array_repeat(tid, F.col("n_lines").cast("int")), ", ")),
+        "first_of_id": tid.isNotNull() & (F.col("transaction_date") == first_date),
+    })
+    day = inv.groupBy("customer_id", "transaction_date").agg(
+        F.expr("listagg(piece, ', ') WITHIN GROUP (ORDER BY transaction_id)").alias("day_ids"),
+        F.count_if("first_of_id").alias("ids"),
+        F.sum("amount").alias("amount"), F.max("max_days").alias("max_days"),
+        F.sum("sum_days").alias("sum_days"), F.sum("n_days").alias("n_days"))
+    per_customer = day.groupBy("customer_id").agg(
+        F.sum("ids").cast("bigint").alias("overdue_invoice_count"),
         F.sum("amount").cast(SUM_MONEY).alias("total_overdue_amount"),
         F.max("max_days").alias("max_days_overdue"),
         F.sum("sum_days").alias("sum_days"),
         F.sum("n_days").alias("n_days"),
         F.min("transaction_date").alias("oldest_unpaid_date"),
-    )
+        F.expr("listagg(day_ids, ', ') WITHIN GROUP (ORDER BY transaction_date)").alias("overdue_invoice_ids"),
+    ).withColumn("customer_name", customer_name_of(F.col("customer_id")))
     lt = ltv if ltv is not None else customer_lifetime_value(stg)
-    df = (per_customer.join(_ordered_ids(inv), "customer_id", "left")
-                      .join(lt, "customer_id", "left"))
+    df = per_customer.join(lt, "customer_id", "left")
     mx = F.col("max_days_overdue")
     amt = F.col("total_overdue_amount")
     score = F.lit(C.PAYMENT_SCORE_DEFAULT)

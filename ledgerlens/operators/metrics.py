@@ -1,7 +1,7 @@
 """Customer and product metrics, and the enriched sale lines.
 
 Metrics group by the id alone: the display name is a function of the id, so
-it rides along as ``max``.  The aggregate output is then hash-partitioned on
+it is derived from the key after the aggregate.  The aggregate output is then hash-partitioned on
 the join key, which the enriched join can reuse.
 """
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.config import DEFAULT, Params
 from ledgerlens.functions.columns import MARGIN_TYPE, days_between
+from ledgerlens.operators.staging import customer_name_of, product_name_of
 
 SUM_MONEY = "decimal(38,4)"
 
@@ -24,7 +25,6 @@ def exact_avg(c: str | Column) -> Column:
 
 def customer_metrics(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return (stg.groupBy("customer_id").agg(
-        F.max("customer_name").alias("customer_name"),
         F.count_distinct("transaction_id").alias("total_transactions"),
         F.sum("total_amount").cast(SUM_MONEY).alias("lifetime_value"),
         exact_avg("margin_percentage").alias("avg_customer_margin"),
@@ -32,7 +32,8 @@ def customer_metrics(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
         F.sum(F.when(F.col("payment_status") != "PAID", F.col("total_amount"))
                .otherwise(F.lit(0))).cast(SUM_MONEY).alias("total_outstanding"),
         F.count_if(F.col("days_overdue") > 0).alias("overdue_invoice_count"),
-    ).withColumn("days_since_last_purchase", days_between(F.lit(p.as_of), F.col("last_purchase_date")))
+    ).withColumns({"customer_name": customer_name_of(F.col("customer_id")),
+                   "days_since_last_purchase": days_between(F.lit(p.as_of), F.col("last_purchase_date"))})
      .select("customer_id", "customer_name", "total_transactions", "lifetime_value",
              "avg_customer_margin", "last_purchase_date", "days_since_last_purchase",
              "total_outstanding", "overdue_invoice_count"))
@@ -41,14 +42,14 @@ def customer_metrics(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
 def product_metrics(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     recent = F.col("transaction_date") >= F.date_sub(F.lit(p.as_of), p.velocity_days)
     return (stg.groupBy("product_id").agg(
-        F.max("product_name").alias("product_name"),
         F.count_distinct("customer_id").alias("unique_customers"),
         F.sum("quantity").cast(SUM_MONEY).alias("total_quantity_sold"),
         exact_avg("margin_percentage").alias("avg_product_margin"),
         F.max("transaction_date").alias("last_sold_date"),
         F.sum(F.when(recent, F.col("quantity")).otherwise(F.lit(0))).cast(SUM_MONEY)
          .alias("quantity_sold_last_30d"),
-    ).withColumn("days_since_last_sold", days_between(F.lit(p.as_of), F.col("last_sold_date")))
+    ).withColumns({"product_name": product_name_of(F.col("product_id")),
+                   "days_since_last_sold": days_between(F.lit(p.as_of), F.col("last_sold_date"))})
      .select("product_id", "product_name", "unique_customers", "total_quantity_sold",
              "avg_product_margin", "last_sold_date", "days_since_last_sold", "quantity_sold_last_30d"))
 

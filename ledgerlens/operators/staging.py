@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.config import DEFAULT, Params
@@ -18,6 +18,17 @@ STAGING_COLUMNS = (
 )
 
 
+def customer_name_of(customer_id) -> Column:
+    """Display name from the customer id (the raw name): trimmed upper case.
+    Aggregates group by the id and derive the name afterwards, instead of
+    carrying a string max through the shuffle."""
+    return ws_trim(F.upper(customer_id))
+
+
+def product_name_of(product_id) -> Column:
+    return ws_trim(product_id)
+
+
 def _with_missing(raw: DataFrame) -> DataFrame:
     """Exports from some systems lack cost, invoice, status or due date:
     add them as typed nulls so the projection below always resolves."""
@@ -52,8 +63,8 @@ def stage_sales(raw: DataFrame, p: Params = DEFAULT, with_loaded_at: bool = True
         F.date_format(d, "MMMM").alias("transaction_month_name"),
         F.quarter(d).cast("bigint").alias("transaction_quarter"),
         F.col("customer_name").cast("string").alias("customer_id"),
-        ws_trim(F.upper(F.col("customer_name"))).alias("customer_name"),
-        ws_trim(F.col("product_name")).alias("product_name"),
+        customer_name_of(F.col("customer_name")).alias("customer_name"),
+        product_name_of(F.col("product_name")).alias("product_name"),
         F.col("product_name").cast("string").alias("product_id"),
         qty.alias("quantity"),
         price.alias("unit_price"),

@@ -14,6 +14,7 @@ from ledgerlens.operators import mapping as MP
 from ledgerlens.operators import marts as M
 from ledgerlens.operators import rules as R
 from ledgerlens.operators.metrics import SUM_MONEY
+from ledgerlens.operators.staging import customer_name_of, product_name_of
 from ledgerlens.plans import oracle as O
 from ledgerlens.plans.catalog import _balanced, _stg
 from ledgerlens.session import shared_path
@@ -76,10 +77,10 @@ def required_fields(s, sf):
 
 def _product_days(s, sf):
     stg = _stg(s, sf)
-    pdays = stg.groupBy("product_id").agg(F.max("product_name").alias("product_name"),
-                                          F.max("transaction_date").alias("last_sale_date"),
+    pdays = stg.groupBy("product_id").agg(F.max("transaction_date").alias("last_sale_date"),
                                           F.sum("quantity").cast(SUM_MONEY).alias("total_quantity_ever_sold"))
-    pdays = pdays.withColumn("days_since_last_sale", days_between(F.lit(P.as_of), F.col("last_sale_date")))
+    pdays = pdays.withColumns({"product_name": product_name_of(F.col("product_id")),
+                               "days_since_last_sale": days_between(F.lit(P.as_of), F.col("last_sale_date"))})
     snap = R.latest_snapshot(fixture.inventory_snapshot(s, sf, P)).select("product_id", "quantity_on_hand")
     return pdays.join(snap, "product_id", "left")
 
@@ -88,10 +89,10 @@ def _customer_overdue(s, sf):
     stg = _stg(s, sf)
     od = stg.where(R.rule_filter(R.rule("credit_risk")))
     return od.groupBy("customer_id").agg(
-        F.max("customer_name").alias("customer_name"),
         F.max("days_overdue").alias("days_overdue"),
         F.sum("total_amount").cast(SUM_MONEY).alias("total_overdue_amount"),
-        F.count_distinct("transaction_id").alias("invoices"))
+        F.count_distinct("transaction_id").alias("invoices")
+    ).withColumn("customer_name", customer_name_of(F.col("customer_id")))
 
 
 def rule_alerts(s, sf):
