@@ -43,9 +43,13 @@ def clean_dates(df: DataFrame, col: str = "transaction_date", p: Params = DEFAUL
 
 def to_number(c: Column) -> Column:
     """Rupee signs, digit-group commas and outer blanks stripped; anything
-    that is not a plain or exponent number becomes null (so does NaN)."""
-    t = ws_trim(F.regexp_replace(c.cast("string"), "[₹,]", ""))
-    return F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double"))
+    that is not a plain or exponent number (``NUMBER_PATTERN``) becomes null,
+    NaN included.  Instead of a regex per value: the text may hold only
+    digits, sign, point and exponent letters, and ``try_cast`` rejects any
+    arrangement of those that is not a number (so '12d' or 'NaN' never pass)."""
+    t = ws_trim(F.translate(c.cast("string"), "₹,", ""))
+    plain = F.length(F.translate(t, "0123456789.+-eE", "")) == 0
+    return F.when(plain & (F.length(t) > 0), t.try_cast("double"))
 
 
 def clean_numeric(df: DataFrame, cols=C.NUMERIC_COLUMNS) -> DataFrame:
@@ -53,19 +57,24 @@ def clean_numeric(df: DataFrame, cols=C.NUMERIC_COLUMNS) -> DataFrame:
     return df.withColumns({c: to_number(F.col(c)) for c in present}) if present else df
 
 
-def first_rows(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
+def first_rows(df: DataFrame, key: str, order_cols: list[str], candidates: Column | None = None) -> DataFrame:
     """Marks the first row (in ``order_cols`` order) of every ``key`` value,
-    nulls forming one group.  The first row per key comes from a min over a
-    struct -- a partial + final aggregate, so a key holding a third of the rows
-    costs one row per task -- and is joined back on (key, order columns), which
-    spreads a hot key over the order columns' hash."""
-    firsts = (df.groupBy(key).agg(F.min(F.struct(*order_cols)).alias("_k"))
-                .select(F.col(key).alias("_fk"), *[F.col(f"_k.{c}").alias(f"_f_{c}") for c in order_cols],
-                        F.lit(True).alias("_is_first")))
+    nulls forming one group; only rows meeting ``candidates`` compete (the
+    others get ``_is_first`` null).  The first row per key comes from a min
+    over a struct -- a partial + final aggregate, so a key holding a third of
+    the rows costs one row per task -- and is joined back on (key, order
+    columns), which spreads a hot key over the order columns' hash."""
+    pool = df if candidates is None else df.where(candidates)
+    firsts = (pool.groupBy(key).agg(F.min(F.struct(*order_cols)).alias("_k"))
+                  .select(F.col(key).alias("_fk"), *[F.col(f"_k.{c}").alias(f"_f_{c}") for c in order_cols],
+                          F.lit(True).alias("_first")))
     cond = [df[key].eqNullSafe(firsts["_fk"])] + [df[c] == firsts[f"_f_{c}"] for c in order_cols]
+    flag = F.coalesce(F.col("_first"), F.lit(False))
+    if candidates is not None:
+        flag = F.when(candidates, flag)
     return (df.join(firsts, cond, "left")
-              .drop("_fk", *[f"_f_{c}" for c in order_cols])
-              .withColumn("_is_first", F.coalesce("_is_first", F.lit(False))))
+              .withColumn("_is_first", flag)
+              .drop("_fk", "_first", *[f"_f_{c}" for c in order_cols]))
 
 
 def quality_checks(df: DataFrame, required=C.CLEANER_REQUIRED) -> list[tuple[str, str, Column]]:
@@ -83,13 +92,17 @@ def quality_checks(df: DataFrame, required=C.CLEANER_REQUIRED) -> list[tuple[str
     return checks
 
 
-def tag_quality(df: DataFrame, order_cols: list[str], required=C.CLEANER_REQUIRED) -> DataFrame:
-    """Adds ``_dq_check``: the first check the row fails, null for a clean row."""
+def tag_quality(df: DataFrame, order_cols: list[str], required=C.CLEANER_REQUIRED,
+                live: Column | None = None) -> DataFrame:
+    """Adds ``_dq_check``: the first check the row fails, null for a clean row.
+    Only ``live`` rows are checked (rows already removed get null)."""
     if "transaction_id" in df.columns:
-        df = first_rows(df, "transaction_id", order_cols)
+        df = first_rows(df, "transaction_id", order_cols, live)
     tag = F.lit(None).cast("string")
     for name, _, cond in reversed(quality_checks(df, required)):
         tag = F.when(cond, F.lit(name)).otherwise(tag)
+    if live is not None:
+        tag = F.when(live, tag)
     return df.withColumn("_dq_check", tag)
 
 
@@ -130,12 +143,7 @@ def clean_export(df: DataFrame, system: str | None = None, p: Params = DEFAULT,
     mapped = clean_numeric(mapped)
     order = ["_file_path", "_block_start", "_row_in_split"]
     # duplicates are judged among the rows that survived the date step
-    kept = mapped.where(~F.col("_future"))
-    gone = mapped.where(F.col("_future"))
-    tagged_kept = tag_quality(kept, order)
-    gone = gone.withColumns({"_is_first": F.lit(True), "_dq_check": F.lit(None).cast("string")}) \
-        if "transaction_id" in mapped.columns else gone.withColumn("_dq_check", F.lit(None).cast("string"))
-    tagged = tagged_kept.unionByName(gone.select(*tagged_kept.columns))
+    tagged = tag_quality(mapped, order, live=~F.col("_future"))
     missing = [f for f in C.CLEANER_REQUIRED if f not in mapped.columns]
     return Cleaned(system, tagged, matches, unmatched, missing)
 
