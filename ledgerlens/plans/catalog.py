@@ -39,7 +39,37 @@ def _balanced(spark, sf):
     return A.balanced_alerts(_alerts(spark, sf), P)
 
 
+def _inventory(spark, sf):
+    return fixture.inventory_snapshot(spark, sf, P)
+
+
+def _alerts_missing_mart(spark, sf):
+    """Marts saved as tables, the low-margin table left out: its alerts are
+    empty and the other two types still come through."""
+    from ledgerlens.plans.pipeline import alerts_from_tables
+    from ledgerlens.session import shared_path
+    from ledgerlens.sources.tables import load_table
+    stg = _stg(spark, sf)
+    prefix = "ll_mart_"
+    loc = shared_path(spark, "marts")
+    load_table(M.credit_risk(stg, P), prefix + "credit_risk", path=f"{loc}/credit_risk")
+    load_table(M.dead_stock(stg, P), prefix + "dead_stock", path=f"{loc}/dead_stock")
+    spark.sql(f"DROP TABLE IF EXISTS {prefix}low_margin_sales")
+    return alerts_from_tables(spark, P, prefix=prefix, with_timestamp=False)
+
+
+def _digest_empty(spark, sf):
+    """A digest configured to list no alert (``alerts_per_type=0``) over the
+    whole tables: the no-alert text."""
+    from dataclasses import replace
+    p = replace(P, alerts_per_type=0)
+    return A.daily_digest(spark, A.balanced_alerts(_alerts(spark, sf), p), p)
+
+
 CORE: dict[str, Query] = {
+    "inventory_snapshot": _inventory,
+    "alerts_missing_mart": _alerts_missing_mart,
+    "daily_digest_empty": _digest_empty,
     "raw_sales": lambda s, sf: fixture.raw_sales(s, sf),
     "staging": _stg,
     "customer_metrics": lambda s, sf: X.customer_metrics(_stg(s, sf), P),

@@ -251,11 +251,34 @@ DIGEST_LINES = f"""SELECT alert_type, {_SECTION} AS section_order, type_rank AS
 FROM balanced WHERE type_rank <= {P.digest_lines_per_type}"""
 
 
+_TITLES = " UNION ALL ".join(f"SELECT '{t}' AS alert_type, {_sql_str(C.SECTION_TITLES[t])} AS title"
+                             for t in C.ALERT_TYPE_ORDER)
+_WHEN = f"strftime(TIMESTAMP '{P.digest_ts().isoformat(sep=' ')}', '%d %b %Y, %I:%M %p')"
+_HEADER = (f"{_sql_str(C.DIGEST_HEADER.format(business=P.business_name))} || chr(10) || '📅 ' || {_WHEN} || chr(10) "
+           f"|| chr(10) || {_sql_str(C.DIGEST_ACTION_LINE)} || chr(10)")
+_FOOTER = " || chr(10) || ".join(_sql_str(x) for x in C.DIGEST_FOOTER)
+_NO_ALERTS = _sql_str(C.NO_ALERTS_TEXT.format(business=P.business_name))
+DIGEST = f"""SELECT {_sql_str(P.business_name)} AS business,
+  CASE WHEN count(*) = 0 THEN {_NO_ALERTS}
+       ELSE {_HEADER} || chr(10) || string_agg(block, chr(10) ORDER BY section_order) || chr(10) || {_FOOTER} END AS digest
+FROM (SELECT l.section_order, t.title || chr(10) || string_agg(l.line, chr(10) ORDER BY l.line_number) || chr(10) AS block
+      FROM lines l JOIN ({_TITLES}) t ON l.alert_type = t.alert_type
+      GROUP BY l.alert_type, l.section_order, t.title) s"""
+
+
 def queries() -> dict[str, str]:
     """Oracle SQL per query key."""
     b = BASE
     cols_stg = "*"
+    inv = f"""SELECT p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_id,
+  p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_name,
+  {AS_OF} AS snapshot_date, CAST(p_partkey % 40 AS DECIMAL(18,4)) AS quantity_on_hand,
+  CAST(10 AS DECIMAL(18,4)) AS reorder_level,
+  CAST({AS_OF} - CAST(p_partkey % 365 - 3 AS INTEGER) AS DATE) AS last_sale_date,
+  split_part(p_type, ' ', 1) AS product_category
+FROM part"""
     return {
+        "inventory_snapshot": inv,
         "raw_sales": RAW,
         "staging": with_(b, f"SELECT {cols_stg} FROM stg"),
         "customer_metrics": with_(b, CUSTOMER_METRICS),
@@ -271,4 +294,8 @@ def queries() -> dict[str, str]:
         "balanced_alerts": with_(ALERTS, "SELECT * FROM balanced"),
         "alert_counts": with_(ALERTS, "SELECT alert_type, count(*) AS alert_count FROM balanced GROUP BY alert_type"),
         "digest_lines": with_(ALERTS, DIGEST_LINES),
+        "daily_digest": with_(ALERTS + [("lines", DIGEST_LINES)], DIGEST),
+        "daily_digest_empty": f"SELECT {_sql_str(P.business_name)} AS business, {_NO_ALERTS} AS digest",
+        "alerts_missing_mart": with_(MARTS + [("a_dead", A_DEAD), ("a_credit", A_CREDIT)],
+                                     "SELECT * FROM a_credit UNION ALL SELECT * FROM a_dead"),
     }
