@@ -118,7 +118,10 @@ class Cleaned:
     def rows(self) -> DataFrame:
         """Clean rows, without bookkeeping columns."""
         keep = [c for c in self.tagged.columns if not c.startswith("_") or c == "_source_file"]
-        out = self.tagged.where(~F.col("_future") & F.col("_dq_check").isNull()).select(*keep)
+        # the (always true) test on the file-order id keeps the typing
+        # projection's fence in place, so the filter reads computed columns
+        clean = ~F.col("_future") & F.col("_dq_check").isNull() & (F.col("_row_in_split") >= 0)
+        out = self.tagged.where(clean).select(*keep)
         return out.withColumnRenamed("_source_file", "source_file")
 
 
@@ -132,15 +135,20 @@ def clean_export(df: DataFrame, system: str | None = None, p: Params = DEFAULT,
     targets, matches, unmatched = MP.plan_columns(data_cols, system, collapse=collapse,
                                                   exclude_exact=exclude_exact)
     mapped = MP.apply_columns(df, targets)
+    # one typing projection: dates, numbers, the future flag and the file-order
+    # id.  The id is non-deterministic, which makes this projection a fence the
+    # optimizer does not push filters through, so the conversions are computed
+    # once here instead of again inside every later filter (see ``rows``).
+    typed = {}
     if "transaction_date" in mapped.columns:
         d = parse_date(F.col("transaction_date"))
-        mapped = mapped.withColumns({
-            "_future": F.coalesce(d > F.lit(p.as_of), F.lit(False)),
-            "transaction_date": F.date_format(d, "yyyy-MM-dd"),
-        })
+        typed["_future"] = F.coalesce(d > F.lit(p.as_of), F.lit(False))
+        typed["transaction_date"] = F.date_format(d, "yyyy-MM-dd")
     else:
-        mapped = mapped.withColumn("_future", F.lit(False))
-    mapped = clean_numeric(mapped)
+        typed["_future"] = F.lit(False)
+    typed.update({c: to_number(F.col(c)) for c in C.NUMERIC_COLUMNS if c in mapped.columns})
+    typed["_row_in_split"] = F.monotonically_increasing_id()
+    mapped = mapped.withColumns(typed)
     order = ["_file_path", "_block_start", "_row_in_split"]
     # duplicates are judged among the rows that survived the date step
     tagged = tag_quality(mapped, order, live=~F.col("_future"))

@@ -345,4 +345,7 @@ ORACLE = {
     "dq_filter": with_(_BASE + [("tagged", _TAGGED)], "SELECT invoice_number, product_id, dq_check FROM tagged"),
     "clean_sales": with_(_BASE + [("tagged", _TAGGED)], f"SELECT {_CLEAN_COLS} FROM tagged WHERE dq_check IS NULL"),
     "dq_report": _report_sql(),
+    "load_replace_append": with_(_BASE + [("tagged", _TAGGED)],
+                                 f"SELECT {_CLEAN_COLS}, true AS load_ok FROM tagged WHERE dq_check IS NULL "
+                                 f"UNION ALL SELECT {_CLEAN_COLS}, true FROM tagged WHERE dq_check IS NULL"),
 }

@@ -492,3 +492,48 @@ FROM balanced WHERE type_rank <= {C.DIGEST_MAX_PER_GROUP} QUALIFY message_rank <
   CASE WHEN unit_price > 0 THEN {O.div9(_IMP_MARGIN, 'unit_price')} ELSE CAST(0 AS DECIMAL(28,9)) END AS margin_percentage
 FROM stg WHERE cost_price IS NULL"""),
 }
+
+
+def _template_sql(template: str, values: dict[str, str]) -> str:
+    import string as _s
+    parts = []
+    for lit, field, _, _ in _s.Formatter().parse(template):
+        if lit:
+            parts.append(O._sql_str(lit))
+        if field is not None:
+            parts.append(f"coalesce(CAST({values[field]} AS VARCHAR), '')")
+    return " || ".join(parts)
+
+
+def _messages_sql(r: C.Rule, values: dict[str, str], sev_sql: str) -> tuple[str, str]:
+    msg = "CASE " + " ".join(f"WHEN {sev_sql} = '{lv.name.upper()}' THEN {_template_sql(lv.message, values)}"
+                             for lv in r.levels) + " END"
+    act = "CASE " + " ".join(f"WHEN {sev_sql} = '{lv.name.upper()}' THEN {O._sql_str(lv.action)}"
+                             for lv in r.levels) + " END"
+    return msg, act
+
+
+_DEAD_VALUES = {"product_name": f"trim(product_id, {_WS})", "days": "days_since_last_sale",
+                "qty": "CAST(quantity_on_hand AS BIGINT)",
+                "value": indian_sql("round(total_quantity_ever_sold * 0.1 * 4000, 0)")}
+_LOW_VALUES = {"customer_name": "customer_name", "product_name": "product_name",
+               "margin": "replace(format('{:,.1f}', CAST(margin_percentage * 100 AS DOUBLE)), ',', '')"}
+_CRED_VALUES = {"customer_name": f"trim(upper(customer_id), {_WS})", "amount": indian_sql("total_overdue_amount"),
+                "invoices": "invoices", "days": "days_overdue"}
+_dm, _da = _messages_sql(R.rule("dead_stock"), _DEAD_VALUES, "sev")
+_lm, _la = _messages_sql(R.rule("low_margin"), _LOW_VALUES, "sev")
+_cm, _ca = _messages_sql(R.rule("credit_risk"), _CRED_VALUES, "sev")
+ORACLE["rule_messages"] = O.with_(B + [("pdays", PDAYS), ("codue", CODUE)], f"""
+SELECT 'dead_stock' AS rule, product_id AS entity, sev AS severity, {_dm} AS message, {_da} AS action
+FROM (SELECT *, {_DEAD_SEV} AS sev FROM pdays WHERE {_DEAD_COND}) d WHERE sev IS NOT NULL
+UNION ALL
+SELECT 'low_margin', concat_ws('|', transaction_id, product_id), sev, {_lm}, {_la}
+FROM (SELECT *, {_LOW_SEV} AS sev FROM stg WHERE {_LOW_COND}) l WHERE sev IS NOT NULL
+UNION ALL
+SELECT 'credit_risk', customer_id, sev, {_cm}, {_ca}
+FROM (SELECT *, {_CRED_SEV} AS sev FROM codue) c WHERE sev IS NOT NULL""")
+
+ORACLE["inventory_mapping"] = f"""SELECT 'gofrugal' AS system, p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_name,
+  CAST(p_partkey % 40 AS DOUBLE) AS quantity_on_hand FROM part
+UNION ALL
+SELECT 'tally', p_name || ' #' || CAST(p_partkey AS VARCHAR), CAST(p_partkey % 40 AS DOUBLE) FROM part"""
