@@ -23,7 +23,6 @@ from ledgerlens.sources import files
 # accepted date layouts, tried in order (day-first for the slashed forms)
 DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "dd-MM-yyyy", "yyyy/MM/dd", "dd.MM.yyyy")
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-NAN_PATTERN = r"^[+-]?(?i:nan)$"
 
 
 def parse_date(c: Column) -> Column:

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import functools
 import string
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,9 +20,8 @@ from pyspark.sql import functions as F
 from ledgerlens import config as C
 from ledgerlens.config import DEFAULT, Params
 from ledgerlens.functions.columns import (
-    MARGIN_TYPE, days_between, exact_ratio, fmt_fixed, indian_grouping, severity_rank, ws_trim,
+    MARGIN_TYPE, days_between, exact_ratio, indian_grouping, severity_rank, ws_trim,
 )
-from ledgerlens.operators.metrics import SUM_MONEY
 
 # ---------------------------------------------------------------------------
 # D1 / D2: data-quality rules, one tagging pass each
@@ -357,11 +355,3 @@ def impute_cost(sales: DataFrame, enabled: bool = True) -> DataFrame:
         "margin_percentage": F.when(F.col("unit_price") > 0, exact_ratio(margin, F.col("unit_price")))
                               .otherwise(F.lit(0).cast(MARGIN_TYPE)),
     })
-
-
-def fmt_margin(m: Column) -> Column:
-    return fmt_fixed((m * 100).cast("double"), 1)
-
-
-def to_decimal(v) -> Column:
-    return F.lit(Decimal(str(v)))

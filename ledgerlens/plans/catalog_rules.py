@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
 from ledgerlens.config import DEFAULT
 from ledgerlens.functions.columns import days_between, fmt_fixed, indian_grouping
-from ledgerlens.operators import alerts as A
 from ledgerlens.operators import datatests as T
 from ledgerlens.operators import mapping as MP
 from ledgerlens.operators import marts as M
