@@ -153,7 +153,9 @@ def daily_digest(spark: SparkSession, balanced: DataFrame, p: Params = DEFAULT)
         .select("section_order", F.concat_ws("\n", "title", "body", F.lit("")).alias("block")))
     body = sections.agg(
         F.expr("listagg(block, '\n') WITHIN GROUP (ORDER BY section_order)").alias("sections"))
-    when_txt = F.date_format(F.lit(p.digest_ts()).cast("timestamp"), "dd MMM yyyy, hh:mm a")
+    # a timestamp without time zone: the text does not depend on the session zone
+    when_txt = F.date_format(F.to_timestamp_ntz(F.lit(p.digest_ts().strftime("%Y-%m-%d %H:%M:%S"))),
+                             "dd MMM yyyy, hh:mm a")
     header = F.concat_ws("\n", F.lit(C.DIGEST_HEADER.format(business=p.business_name)),
                          F.concat(F.lit("📅 "), when_txt), F.lit(""), F.lit(C.DIGEST_ACTION_LINE), F.lit(""))
     footer = F.lit("\n".join(C.DIGEST_FOOTER))

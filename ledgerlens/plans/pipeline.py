@@ -80,6 +80,23 @@ def alerts_from_tables(spark: SparkSession, p: Params = DEFAULT, prefix: str = "
     return A.all_alerts(credit, dead, low)
 
 
+def clean_csv(spark: SparkSession, input_path: str, output_path: str, system: str | None = None,
+              p: Params = DEFAULT, encoding: str | None = None, collapse: bool = True):
+    """Raw export files -> cleaned CSV files + quality report (the cleaning entry point).
+
+    Encoding probed unless given, source system detected unless given, columns
+    mapped, typed and checked; ``loaded_at`` and ``source_file`` added; the
+    clean rows are written as a CSV directory.  Raises when nothing is left.
+    Returns (system, report DataFrame, cleaned DataFrame read back)."""
+    from ledgerlens.operators import cleaning as CL
+    from ledgerlens.sources import files
+    cleaned = CL.clean_export(files.read_csv(spark, input_path, encoding, with_lineage=True), system, p,
+                              collapse=collapse)
+    rows = CL.require_rows(cleaned.rows)
+    files.write_csv(rows, output_path)
+    return cleaned.system, CL.quality_report(cleaned), files.read_csv(spark, output_path, "UTF-8")
+
+
 def run(spark: SparkSession, raw: DataFrame, p: Params = DEFAULT, materialize: str | None = "persist") -> DataFrame:
     """Raw sales -> one-row digest table."""
     m = build_marts(spark, raw, p, materialize)

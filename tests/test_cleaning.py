@@ -98,3 +98,23 @@ def test_dedupe_keeps_first_copy_and_report(spark):
 def test_missing_fields(spark):
     got = [r.field for r in MP.missing_fields(spark, ["transaction_date", "quantity"]).orderBy("ord").collect()]
     assert got == ["transaction_id", "customer_name", "product_name", "unit_price", "total_amount"]
+
+
+def test_clean_csv_end_to_end(spark):
+    from ledgerlens.plans.pipeline import clean_csv
+    text = ("VoucherNumber,VoucherDate,PartyName,StockItemName,Quantity,Rate,Amount,TaxAmount\n"
+            "V1,2024-03-01, Acme ,Pump,2,\"₹1,000.00\",2000,360\n"
+            "V2,2024-03-02,Beta,Motor,abc,500,500,90\n")
+    src = write_text(text, "utf-8")
+    out = tempfile.mkdtemp(prefix="ll-out-") + "/clean"
+    system, report, back = clean_csv(spark, src, out, p=P)
+    assert system == "tally"
+    rows = back.collect()
+    assert len(rows) == 1 and rows[0].transaction_id == "V1" and float(rows[0].unit_price) == 1000.0
+    assert rows[0].source_file == "export.csv" and rows[0].loaded_at is not None
+    rep = {r.check: r.rows for r in report.collect()}
+    assert rep["null_quantity"] == 1 and rep["final_rows"] == 1
+    bad = write_text("VoucherNumber,VoucherDate,PartyName,StockItemName,Quantity,Rate,Amount\nV1,,A,P,0,1,1\n", "utf-8")
+    import pytest
+    with pytest.raises(ValueError):
+        clean_csv(spark, bad, tempfile.mkdtemp(prefix="ll-out-") + "/x", p=P)
