@@ -178,15 +178,11 @@ def quality_report(c: Cleaned) -> DataFrame:
         names.append(("cost_above_price", "warned"))
     names += [("rows_removed", "counted"), ("final_rows", "counted")]
     one = one.withColumn("rows_removed", F.col("input_rows") - F.col("final_rows"))
-    stack = "stack({n}, {args}) AS (check, action, rows)".format(
-        n=len(names), args=", ".join(f"'{n}', '{a}', CAST(`{n}` AS BIGINT)" for n, a in names))
+    entries = [f"'{n}', '{a}', CAST(`{n}` AS BIGINT)" for n, a in names]
+    # required fields absent after mapping: reported in the same row set, no count
+    entries += [f"'missing_field:{m}', 'warned', CAST(NULL AS BIGINT)" for m in c.missing]
+    stack = f"stack({len(entries)}, {', '.join(entries)}) AS (check, action, rows)"
     rep = one.selectExpr("input_rows AS _input", stack)
-    if c.missing:
-        # required fields absent after mapping: reported with no row count
-        tags = F.explode(F.array(*[F.lit(f"missing_field:{m}") for m in c.missing])).alias("check")
-        rep = rep.unionByName(one.select(F.col("input_rows").alias("_input"), tags)
-                                 .select("_input", "check", F.lit("warned").alias("action"),
-                                         F.lit(None).cast("bigint").alias("rows")))
     pct = F.when(F.col("_input") > 0, F.round(F.col("rows") * 100.0 / F.col("_input"), 1))
     return rep.select("check", "action", "rows", pct.alias("pct_of_input"))
 

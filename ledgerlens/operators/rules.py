@@ -233,8 +233,8 @@ def turnover(sales: DataFrame, p: Params = DEFAULT, industry: str = "general_dis
     turnover target (category target, else the industry's).  The mean of the
     consecutive gaps telescopes to (last - first) / (lines - 1), so this is a
     plain aggregate, not a per-product sort."""
-    per = sales.groupBy("product_id").agg(
-        F.max("product_category").alias("product_category"),
+    # the category is a function of the product: a grouping key, not a string max
+    per = sales.groupBy("product_id", "product_category").agg(
         F.count(F.lit(1)).alias("sale_lines"),
         F.min("transaction_date").alias("first_sale"),
         F.max("transaction_date").alias("last_sale"))
