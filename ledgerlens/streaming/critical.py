@@ -72,5 +72,18 @@ def run_available_now(spark: SparkSession, sf_dir: str, p: Params = DEFAULT,
     return out_path
 
 
+def start(spark: SparkSession, sf_dir: str, out_path: str, checkpoint: str, p: Params = DEFAULT,
+          every: str = "1 minute"):
+    """Keep running: a micro-batch every ``every`` over newly arrived line
+    files.  Returns the StreamingQuery (stop it with ``.stop()``)."""
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    return (critical_alerts(line_stream(spark, sf_dir), spark, sf_dir, p)
+            .writeStream.foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint)
+            .trigger(processingTime=every).start())
+
+
 def read_alerts(spark: SparkSession, out_path: str) -> DataFrame:
     return spark.read.parquet(out_path).drop("batch_id")
