@@ -8,6 +8,7 @@ the top-k fetch of ``alerts``.
 
 from __future__ import annotations
 
+import datetime as _dt
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
@@ -82,8 +83,13 @@ def low_margin(stg: DataFrame, p: Params = DEFAULT, with_created_at: bool = True
     lines; AQE broadcasts it only if its measured size is under the threshold."""
     thr = F.lit(p.low_margin_threshold)
     m = F.col("margin_percentage")
-    recent = stg.where((m < thr) & F.col("cost_price").isNotNull()
-                       & (F.col("transaction_date") >= F.date_sub(F.lit(p.as_of), p.low_margin_lookback_days)))
+    cutoff = p.as_of - _dt.timedelta(days=p.low_margin_lookback_days)
+    # the same window on (year, month): redundant as a filter, but when staging
+    # is stored partitioned by them it prunes every older partition at scan time
+    month_key = F.col("transaction_year") * 100 + F.col("transaction_month")
+    recent = stg.where((month_key >= cutoff.year * 100 + cutoff.month)
+                       & (m < thr) & F.col("cost_price").isNotNull()
+                       & (F.col("transaction_date") >= F.lit(cutoff)))
     pavg = product_avg if product_avg is not None else product_avg_margin(stg)
     df = recent.join(pavg, "product_id", "left")
     earned = F.col("unit_margin") * F.col("quantity")

@@ -34,16 +34,24 @@ def staging_from_fixture(spark: SparkSession, sf_dir: str, p: Params = DEFAULT,
     return stage_sales(fixture.raw_sales(spark, sf_dir), p, with_loaded_at=with_loaded_at)
 
 
-def share(spark: SparkSession, df: DataFrame, materialize: str | None) -> DataFrame:
+STAGING_PARTITIONS = ("transaction_year", "transaction_month")
+
+
+def share(spark: SparkSession, df: DataFrame, materialize: str | None,
+          partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Materialize a DataFrame that several plans read.
 
     ``"table"``: write parquet under ``spark.checkpoint.dir`` and read it back
-    (reliable, lineage cut).  ``"persist"``: MEMORY_AND_DISK cache (lost blocks
-    are recomputed from lineage).  ``None``: leave it lazy."""
+    (reliable, lineage cut); ``partition_by`` lays it out by those columns so
+    date-windowed readers prune partitions.  ``"persist"``: MEMORY_AND_DISK
+    cache (lost blocks are recomputed from lineage).  ``None``: leave it lazy."""
     if materialize == "table":
         path = shared_path(spark, "staging")
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        return spark.read.parquet(path).select(*df.columns)
     if materialize == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df
@@ -51,7 +59,7 @@ def share(spark: SparkSession, df: DataFrame, materialize: str | None) -> DataFr
 
 def build_marts(spark: SparkSession, raw: DataFrame, p: Params = DEFAULT,
                 materialize: str | None = "persist", with_created_at: bool = True) -> Marts:
-    stg = share(spark, stage_sales(raw, p, with_loaded_at=False), materialize)
+    stg = share(spark, stage_sales(raw, p, with_loaded_at=False), materialize, STAGING_PARTITIONS)
     return Marts(
         staging=stg,
         dead_stock=M.dead_stock(stg, p, with_created_at),

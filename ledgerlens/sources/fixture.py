@@ -30,13 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer splits than the cluster has cores
-    (a single-row-group file reads as one task, and everything up to the first
-    shuffle would run in it).  Large inputs already have many splits and are
-    left alone, so this never adds a shuffle at scale."""
-    sc = df.sparkSession.sparkContext
-    want = sc.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= want:
+    """Hash-spread a scan of fewer files than the cluster has cores (a
+    single-row-group file reads as one task, and everything up to the first
+    shuffle would run in it).  Large inputs have many files and are left
+    alone, so this never adds a shuffle at scale.  Only file metadata is read."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) * 2 <= want:
         return df.repartition(want, *keys)
     return df
 
