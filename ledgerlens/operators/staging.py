@@ -46,8 +46,13 @@ def stage_sales(raw: DataFrame, p: Params = DEFAULT, with_loaded_at: bool = True
     The row filter reads the raw columns, as the warehouse model does; the
     date parse is strict (an unparseable date fails the job under ANSI)."""
     raw = _with_missing(raw)
-    kept = raw.where(F.col("transaction_date").isNotNull()
-                     & (F.col("quantity") > 0) & (F.col("total_amount") > 0))
+    types = dict(raw.dtypes)
+
+    def num(c: str) -> Column:
+        # text columns (a CSV read as strings) are compared as numbers
+        return F.col(c).cast(MONEY) if types.get(c) == "string" else F.col(c)
+
+    kept = raw.where(F.col("transaction_date").isNotNull() & (num("quantity") > 0) & (num("total_amount") > 0))
     d = F.to_date(F.col("transaction_date"), "yyyy-MM-dd")
     qty = F.col("quantity").cast(MONEY)
     price = F.col("unit_price").cast(MONEY)
