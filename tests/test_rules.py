@@ -60,3 +60,49 @@ def test_turnover_is_mean_gap(spark):
 def test_config_ladders_match_marts():
     dead = R.rule("dead_stock")
     assert [lv.threshold for lv in dead.levels] == [C.DEAD_CRITICAL_DAYS, C.DEAD_HIGH_DAYS, 90]
+
+
+def test_margin_bands_category_and_default(spark):
+    rows = [("Motor", D("0.11")), ("Motor", D("0.07")), ("Motor", D("0.05")), ("Other", D("0.15")),
+            ("Other", D("0.12")), ("Other", D("0.01"))]
+    df = spark.createDataFrame(rows, "product_category string, margin_percentage decimal(28,9)")
+    got = [r.margin_band for r in R.margin_bands(df, spark).collect()]
+    # Motor: target 0.10, minimum 0.06; others: 0.15 / 0.10; below 0.05 critical
+    assert got == ["healthy", "acceptable", "below_minimum", "healthy", "acceptable", "critical"]
+
+
+def test_credit_terms_fallback_due_date(spark):
+    rows = [("1", "P", "C", dt.date(2024, 5, 1), None, "UNPAID"),
+            ("2", "P", "C", dt.date(2024, 6, 20), dt.date(2024, 6, 25), "UNPAID"),
+            ("3", "P", "C", dt.date(2024, 1, 1), None, "PAID")]
+    df = spark.createDataFrame(rows, "transaction_id string, product_id string, customer_id string, "
+                                     "transaction_date date, payment_due_date date, payment_status string")
+    out = {r.transaction_id: r for r in R.credit_terms(df, P).collect()}
+    assert out["1"].effective_due_date == dt.date(2024, 5, 31) and out["1"].days_past_due == 30
+    assert out["1"].overdue and not out["1"].critical and out["1"].beyond_max_period
+    assert out["2"].days_past_due == 5 and not out["2"].overdue
+    assert out["3"].days_past_due is None and not out["3"].overdue
+
+
+def test_credit_score_bounds(spark, sf):
+    from ledgerlens.plans.catalog import queries
+    rows = queries()["credit_score"](spark, sf).collect()
+    assert rows and all(0.0 <= r.credit_score <= 100.0 for r in rows)
+    assert all(0.0 <= r.payment_history <= 1.0 and 0.0 <= r.customer_tenure <= 1.0 for r in rows)
+
+
+def test_digest_caps(spark, sf):
+    from ledgerlens.plans.catalog import queries
+    rows = queries()["digest_capped"](spark, sf).collect()
+    assert len(rows) <= C.DIGEST_MAX_PER_MESSAGE
+    assert all(r.type_rank <= C.DIGEST_MAX_PER_GROUP for r in rows)
+    assert sorted(r.message_rank for r in rows) == list(range(1, len(rows) + 1))
+
+
+def test_inventory_headers_map(spark):
+    from ledgerlens.operators import mapping as MP
+    t, _, unmatched = MP.plan_columns(["StockItemName", "ClosingBalance"], "tally", entity="inventory")
+    assert t == {"StockItemName": ["product_name"], "ClosingBalance": ["quantity_on_hand"]} and not unmatched
+    heads = MP.header_frame(spark, {"inv": ["ItemCode", "ItemName", "StockQty", "LastSaleDate"]})
+    best = MP.detect_source(heads, MP.mapping_frame(spark, "inventory")).collect()[0]
+    assert best.system == "gofrugal" and best.matches == 4 and best.confidence == 1.0
