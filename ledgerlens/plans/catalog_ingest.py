@@ -41,8 +41,13 @@ def csv_scan_latin1(spark, sf):
 
 
 def detect_source(spark, sf):
-    heads = {s: [c for c in _read(spark, sf, s).columns if not c.startswith("_")] for s in MP.SYSTEMS}
-    return MP.detect_source(MP.header_frame(spark, heads), MP.mapping_frame(spark)).withColumnRenamed("file", "export")
+    """Every part file of the three exports, detected in one job from the
+    header lines Spark reads out of the files; reported per export folder
+    (all files of one export share a header)."""
+    paths = [exports.export_path(spark, sf, s) for s in MP.SYSTEMS]
+    heads = MP.headers_from_files(spark, paths).withColumn(
+        "file", F.regexp_extract("file", r"export-([a-z]+)-", 1))
+    return MP.detect_source(heads, MP.mapping_frame(spark)).withColumnRenamed("file", "export")
 
 
 def column_rename(spark, sf):

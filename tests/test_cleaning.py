@@ -118,3 +118,18 @@ def test_clean_csv_end_to_end(spark):
     import pytest
     with pytest.raises(ValueError):
         clean_csv(spark, bad, tempfile.mkdtemp(prefix="ll-out-") + "/x", p=P)
+
+
+def test_detect_many_files_in_one_job(spark):
+    d = tempfile.mkdtemp(prefix="ll-landing-")
+    files_ = {"tally.csv": "VoucherNumber,VoucherDate,PartyName,StockItemName,Quantity,Rate,Amount,TaxAmount\nV1,2024-01-01,A,P,1,2,2,0\n",
+              "kaggle.csv": '"ORDERNUMBER","ORDERDATE","CUSTOMERNAME","PRODUCTCODE","PRODUCTLINE","QUANTITYORDERED","PRICEEACH","SALES","STATUS"\n1,2024-01-01,A,P,L,1,2,2,Shipped\n',
+              "other.csv": "foo,bar\n1,2\n"}
+    for name, text in files_.items():
+        with open(os.path.join(d, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    heads = MP.headers_from_files(spark, [d]).withColumn("file", F.regexp_extract("file", r"([a-z]+)\.csv$", 1))
+    out = {r.file: r for r in MP.detect_source(heads, MP.mapping_frame(spark)).collect()}
+    assert out["tally"].system == "tally" and out["tally"].matches == 8
+    assert out["kaggle"].system == "kaggle" and out["kaggle"].matches == 14      # repeats counted
+    assert out["other"].system == "gofrugal" and out["other"].low_confidence
