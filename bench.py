@@ -19,7 +19,28 @@ from ledgerlens.plans import catalog  # noqa: E402
 from ledgerlens.session import get_session  # noqa: E402
 
 HEADLINE = ("staging", "sales_enriched", "mart_dead_stock", "mart_low_margin", "mart_credit_risk",
-            "balanced_alerts", "daily_digest", "dq_report", "clean_sales")
+            "balanced_alerts", "daily_digest", "dq_report", "clean_sales", "daily_job")
+
+
+def daily_job(spark, sf_dir):
+    """The whole daily run as production would do it: staging persisted once
+    and shared by the three marts, marts saved as tables under the shared
+    folder, alerts and the digest read from the saved marts."""
+    from ledgerlens.config import DEFAULT
+    from ledgerlens.operators import alerts as A
+    from ledgerlens.plans import pipeline
+    from ledgerlens.session import shared_path
+    from ledgerlens.sources import fixture, tables
+    m = pipeline.build_marts(spark, fixture.raw_sales(spark, sf_dir), DEFAULT, materialize="persist")
+    loc = shared_path(spark, "bench-marts")
+    try:
+        for name, mart in (("credit_risk", m.credit_risk), ("dead_stock", m.dead_stock),
+                           ("low_margin_sales", m.low_margin)):
+            assert tables.load_table(mart, f"bench_mart_{name}", path=f"{loc}/{name}")
+        alerts = pipeline.alerts_from_tables(spark, DEFAULT, prefix="bench_mart_")
+        A.daily_digest(spark, A.balanced_alerts(alerts, DEFAULT)).write.format("noop").mode("overwrite").save()
+    finally:
+        m.staging.unpersist()
 
 
 def main() -> None:
@@ -31,12 +52,15 @@ def main() -> None:
     qs = catalog.queries()
     out = {}
     for k in keys:
-        if k not in qs:
+        if k not in qs and k != "daily_job":
             continue
         times = []
         for i in range(runs + 1):
             t0 = time.perf_counter()
-            qs[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            if k == "daily_job":
+                daily_job(spark, sf_dir)
+            else:
+                qs[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
             if i:
                 times.append(time.perf_counter() - t0)
         out[k] = round(statistics.median(times), 3)

@@ -44,7 +44,8 @@ def share(spark: SparkSession, df: DataFrame, materialize: str | None,
     ``"table"``: write parquet under ``spark.checkpoint.dir`` and read it back
     (reliable, lineage cut); ``partition_by`` lays it out by those columns so
     date-windowed readers prune partitions.  ``"persist"``: MEMORY_AND_DISK
-    cache (lost blocks are recomputed from lineage).  ``None``: leave it lazy."""
+    columnar cache, deserialized as Dataset.cache keeps it (lost blocks are
+    recomputed from lineage).  ``None``: leave it lazy."""
     if materialize == "table":
         path = shared_path(spark, "staging")
         w = df.write.mode("overwrite")
@@ -53,7 +54,7 @@ def share(spark: SparkSession, df: DataFrame, materialize: str | None,
         w.parquet(path)
         return spark.read.parquet(path).select(*df.columns)
     if materialize == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        return df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     return df
 
 
