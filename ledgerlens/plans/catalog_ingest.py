@@ -61,12 +61,8 @@ def fuzzy_column_match(spark, sf):
     renamed headers and the match table is computed from what Spark reads."""
     renamed = {"BillNo": "Bill No", "CustomerName": "customer name", "ItemName": "Item_Name",
                "Qty": "Quantity", "DueDate": "Due Dt"}
-    key = ("fuzzy", id(spark), sf)
-    path = exports._CACHE.get(key)
-    if path is None:
-        src = exports.sales_export(spark, sf, "gofrugal")
-        path = files.write_csv(src.withColumnsRenamed(renamed), shared_path(spark, "export-fuzzy"))
-        exports._CACHE[key] = path
+    path = exports.written_once(spark, ("fuzzy", sf), lambda p: files.write_csv(
+        exports.sales_export(spark, sf, "gofrugal").withColumnsRenamed(renamed), p))
     cols = [c for c in files.read_csv(spark, path).columns if not c.startswith("_")]
     _, rows, _ = MP.plan_columns(cols, "gofrugal")
     return spark.createDataFrame(

@@ -13,6 +13,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens import config as C
 from ledgerlens.session import shared_path
 from ledgerlens.sources import files
 from ledgerlens.sources.fixture import product_key, spread, table
@@ -85,7 +86,6 @@ def sales_export(spark: SparkSession, sf_dir: str, system: str = "gofrugal", cur
         "payment_status": status,
         "payment_due_date": due,
     }
-    from ledgerlens import config as C
     mapping = C.ERP_MAPPINGS[system]["sales_transactions"]
     cols, seen = [], set()
     for uni, src in mapping.items():
@@ -93,18 +93,28 @@ def sales_export(spark: SparkSession, sf_dir: str, system: str = "gofrugal", cur
             continue
         seen.add(src)
         cols.append(fields[uni].alias(src))
-    # written in line order: the files then carry a known "first" row per id
+    # written in line order, so the files carry a known "first" row per id (a
+    # range-partitioned sort: this generates test input, it is not a pipeline step)
     order = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")]
     return j.select(*cols, *order).orderBy(*order).drop("l_orderkey", "l_linenumber", "l_partkey",
                                                         "l_quantity", "l_extendedprice")
 
 
+def written_once(spark: SparkSession, key: tuple, write) -> str:
+    """Path of a file set written once per session and key; ``write(path)`` writes it."""
+    full = (id(spark),) + key
+    if full not in _CACHE:
+        path = shared_path(spark, "-".join(str(k) for k in ("export",) + key[:1]))
+        write(path)
+        _CACHE[full] = path
+    return _CACHE[full]
+
+
 def export_path(spark: SparkSession, sf_dir: str, system: str = "gofrugal", encoding: str = "UTF-8") -> str:
     """Write the export once per (session, tables, system, encoding); reuse the path."""
-    key = (id(spark), sf_dir, system, encoding)
-    if key not in _CACHE:
-        path = shared_path(spark, f"export-{system}-{encoding.lower()}")
-        cur = "₹" if encoding.upper().replace("-", "") in ("UTF8",) else ""
+    cur = "₹" if encoding.upper().replace("-", "") == "UTF8" else ""
+
+    def write(path: str) -> None:
         files.write_csv(sales_export(spark, sf_dir, system, cur), path, encoding=encoding)
-        _CACHE[key] = path
-    return _CACHE[key]
+
+    return written_once(spark, (f"{system}-{encoding.lower()}", sf_dir), write)
