@@ -38,8 +38,8 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
-    return (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-              .join(p, li.l_partkey == p.p_partkey))
+    oc = o.join(c, o.o_custkey == c.c_custkey)       # orders first: see fixture.raw_sales_from
+    return li.join(oc, li.l_orderkey == oc.o_orderkey).join(p, li.l_partkey == p.p_partkey)
 
 
 def sales_export(spark: SparkSession, sf_dir: str, system: str = "gofrugal", currency: str = "₹") -> DataFrame:
