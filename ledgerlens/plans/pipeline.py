@@ -48,6 +48,10 @@ def share(spark: SparkSession, df: DataFrame, materialize: str | None,
     recomputed from lineage).  ``None``: leave it lazy."""
     if materialize == "table":
         path = shared_path(spark, "staging")
+        if partition_by:
+            # one shuffle so each partition value lands in a few files, not one
+            # per task; AQE sizes the tasks and splits a hot value
+            df = df.hint("rebalance", *partition_by)
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
