@@ -11,6 +11,8 @@ def load_table(df: DataFrame, name: str, if_exists: str = "replace",
     ``path`` places the table's files (a shared folder on a cluster).
     Returns False instead of raising, as a loader step reports its status."""
     try:
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)   # few files per partition value
         w = df.write.mode("overwrite" if if_exists == "replace" else "append")
         if path:
             w = w.option("path", path)
