@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config as C
 from ledgerlens.session import shared_path
-from ledgerlens.sources import files
+from ledgerlens.sources import files, fixture
 from ledgerlens.sources.fixture import product_key, spread, table
 
 # Fixed values of the export dirt (all keyed on order / customer / part keys)
@@ -38,7 +38,13 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
-    oc = o.join(c, o.o_custkey == c.c_custkey)       # orders first: see fixture.raw_sales_from
+    limit = fixture.broadcast_limit(spark)
+    small = limit > 0 and max(fixture.table_bytes(spark, sf_dir, "orders"),
+                              fixture.table_bytes(spark, sf_dir, "customer")) <= limit
+    if small:           # each dimension broadcast into the lines (see fixture.raw_sales_from)
+        return (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+                  .join(p, li.l_partkey == p.p_partkey))
+    oc = o.join(c, o.o_custkey == c.c_custkey)
     return li.join(oc, li.l_orderkey == oc.o_orderkey).join(p, li.l_partkey == p.p_partkey)
 
 

@@ -54,22 +54,55 @@ def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return o, c, p
 
 
+_BYTES: dict[tuple, int] = {}
+
+
+def table_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Bytes of a table's files, from the file listing (the binaryFile source
+    reads no content when only ``length`` is selected).  Memoized per session."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _BYTES:
+        files = spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _BYTES[key] = int(files.agg(F.sum("length")).first()[0] or 0)
+    return _BYTES[key]
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The planner's broadcast threshold in bytes (-1: broadcasts disabled)."""
+    v = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for u in sorted(units, key=len, reverse=True):
+        if v.endswith(u):
+            return int(float(v[: -len(u)]) * units[u])
+    return int(v)
+
+
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw sale line per lineitem row, columns as a sales export has them."""
     li = spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), "l_orderkey")
-    return raw_sales_from(li, *dimensions(spark, sf_dir))
+    limit = broadcast_limit(spark)
+    small = limit > 0 and max(table_bytes(spark, sf_dir, "orders"), table_bytes(spark, sf_dir, "customer")) <= limit
+    return raw_sales_from(li, *dimensions(spark, sf_dir), orders_first=not small)
 
 
-def raw_sales_from(li: DataFrame, o: DataFrame, c: DataFrame, p: DataFrame, extra=()) -> DataFrame:
+def raw_sales_from(li: DataFrame, o: DataFrame, c: DataFrame, p: DataFrame, extra=(),
+                   orders_first: bool = True) -> DataFrame:
     """The raw-sales projection over order lines (batch or streaming) joined to
     orders, customers and parts (static tables).
 
-    Customers are joined to orders before the lines: when nothing is small
-    enough to broadcast, that shuffles the order rows (about a quarter of the
-    lines) by customer instead of the joined line rows, saving one full
-    line-level shuffle."""
-    oc = o.join(c, o.o_custkey == c.c_custkey)
-    j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    ``orders_first``: customers are joined to orders before the lines.  When
+    neither table can be broadcast, that shuffles the order rows (about a
+    quarter of the lines) by customer instead of the joined line rows, saving a
+    line-level shuffle.  When both are under the broadcast threshold (checked
+    on their file sizes by the caller), joining them one by one to the lines
+    lets the planner broadcast each; a joined pair would not be, as Spark
+    estimates a join's size as the product of its inputs."""
+    if orders_first:
+        oc = o.join(c, o.o_custkey == c.c_custkey)
+        j = li.join(oc, li.l_orderkey == oc.o_orderkey)
+    else:
+        j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+    j = j.join(p, li.l_partkey == p.p_partkey)
     d = F.col("o_orderdate").cast("date")
     cents = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("bigint")
     cent = F.lit(Decimal("0.01"))
