@@ -16,6 +16,7 @@ KEYS = ("staging", "sales_enriched", "customer_metrics", "product_metrics", "mar
 PATTERNS = {
     "shuffle exchanges": r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition|Exchange RoundRobin",
     "AQE shuffle reads": r"AQEShuffleRead",
+    "reused exchanges (shared by branches)": r"ReusedExchange",
     "broadcast exchanges": r"BroadcastExchange",
     "broadcast hash joins": r"BroadcastHashJoin",
     "sort-merge joins": r"SortMergeJoin",
