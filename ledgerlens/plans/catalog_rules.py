@@ -46,6 +46,14 @@ def dq_rules_sales(s, sf):
     return R.rule_counts(_raw_typed(s, sf), R.sales_rule_checks(P), "sales_transactions")
 
 
+def dq_rules_applied(s, sf):
+    """Sales rows after the declared rules: an error drops the row, warnings
+    stay as a '; '-joined tag."""
+    kept = R.apply_rules(_raw_typed(s, sf), R.sales_rule_checks(P))
+    return kept.select("invoice_number", "product_name", "quantity", "unit_price", "cost_price", "total_amount",
+                       F.array_join("failed_rules", "; ").alias("warnings"))
+
+
 def dq_rules_inventory(s, sf):
     return R.rule_counts(fixture.inventory_snapshot(s, sf, P), R.inventory_rule_checks(), "inventory")
 
@@ -246,6 +254,7 @@ QUERIES = {
     "test_unique": test_unique,
     "dq_rules_sales": dq_rules_sales,
     "dq_rules_inventory": dq_rules_inventory,
+    "dq_rules_applied": dq_rules_applied,
     "allowed_values": allowed_values,
     "primary_key_check": primary_key_check,
     "required_fields": required_fields,
@@ -531,6 +540,12 @@ UNION ALL
 SELECT 'credit_risk', customer_id, sev, {_cm}, {_ca}
 FROM (SELECT *, {_CRED_SEV} AS sev FROM codue) c WHERE sev IS NOT NULL""")
 
+_WARN_LIST = ", ".join(f"CASE WHEN {c} THEN {O._sql_str(n)} END" for n, sev, c in _SALES_RULES)
+_ERRORS = " OR ".join(f"({c})" for n, sev, c in _SALES_RULES if sev == "error")
+ORACLE["dq_rules_applied"] = O.with_(B + [("rawt", RAWT)], f"""SELECT invoice_number, product_name, quantity, unit_price,
+  cost_price, total_amount, array_to_string(list_filter([{_WARN_LIST}], lambda x: x IS NOT NULL), '; ') AS warnings
+FROM rawt WHERE NOT ({_ERRORS})""")
+
 ORACLE["inventory_mapping"] = f"""SELECT 'gofrugal' AS system, p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_name,
   CAST(p_partkey % 40 AS DOUBLE) AS quantity_on_hand FROM part
 UNION ALL
