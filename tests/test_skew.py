@@ -57,7 +57,10 @@ def test_keep_first_with_a_large_null_id_group(spark):
         rows.append(f"{bill},2024-03-01,C{i},P,1,10,10")
     with open(os.path.join(d, "export.csv"), "w") as f:
         f.write("\n".join(rows) + "\n")
-    c = CL.clean_export(files.read_csv(spark, d, "UTF-8"), "gofrugal", collapse=False)
+    import datetime as dt
+    from ledgerlens.config import Params
+    c = CL.clean_export(files.read_csv(spark, d, "UTF-8"), "gofrugal", Params(as_of=dt.date(2024, 6, 30)),
+                        collapse=False)
     firsts = c.tagged.where("_is_first").select("transaction_id", "customer_name").toPandas()
     # brute force: file order is line order in a single file
     src = pd.DataFrame([r.split(",") for r in rows[1:]], columns=rows[0].split(","))
