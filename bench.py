@@ -28,16 +28,16 @@ def daily_job(spark, sf_dir):
     folder, alerts and the digest read from the saved marts."""
     from ledgerlens.config import DEFAULT
     from ledgerlens.operators import alerts as A
-    from ledgerlens.plans import pipeline
+    from ledgerlens.plans import jobs
     from ledgerlens.session import shared_path
     from ledgerlens.sources import fixture, tables
-    m = pipeline.build_marts(spark, fixture.raw_sales(spark, sf_dir), DEFAULT, materialize="persist")
+    m = jobs.build_marts(spark, fixture.raw_sales(spark, sf_dir), DEFAULT, materialize="persist")
     loc = shared_path(spark, "bench-marts")
     try:
         for name, mart in (("credit_risk", m.credit_risk), ("dead_stock", m.dead_stock),
                            ("low_margin_sales", m.low_margin)):
             assert tables.load_table(mart, f"bench_mart_{name}", path=f"{loc}/{name}")
-        alerts = pipeline.alerts_from_tables(spark, DEFAULT, prefix="bench_mart_")
+        alerts = jobs.alerts_from_tables(spark, DEFAULT, prefix="bench_mart_")
         A.daily_digest(spark, A.balanced_alerts(alerts, DEFAULT)).write.format("noop").mode("overwrite").save()
     finally:
         m.staging.unpersist()

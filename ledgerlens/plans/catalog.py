@@ -15,7 +15,7 @@ from ledgerlens.config import DEFAULT
 from ledgerlens.operators import alerts as A
 from ledgerlens.operators import marts as M
 from ledgerlens.operators import metrics as X
-from ledgerlens.plans.pipeline import staging_from_fixture
+from ledgerlens.plans.jobs import staging_from_fixture
 from ledgerlens.sources import fixture
 
 P = DEFAULT
@@ -46,7 +46,7 @@ def _inventory(spark, sf):
 def _alerts_missing_mart(spark, sf):
     """Marts saved as tables, the low-margin table left out: its alerts are
     empty and the other two types still come through."""
-    from ledgerlens.plans.pipeline import alerts_from_tables
+    from ledgerlens.plans.jobs import alerts_from_tables
     from ledgerlens.session import shared_path
     from ledgerlens.sources.tables import load_table
     stg = _stg(spark, sf)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.config import Params
 from ledgerlens.operators import alerts as A
-from ledgerlens.plans import pipeline
+from ledgerlens.plans import jobs
 
 P = Params(as_of=dt.date(2024, 6, 30), business_name="ABC")
 SCHEMA = A.ALERT_SCHEMA
@@ -49,13 +49,13 @@ def test_no_alerts_text(spark):
 
 
 def test_missing_mart_table_gives_no_alerts(spark):
-    out = pipeline.alerts_from_tables(spark, P, prefix="no_such_mart_", with_timestamp=False)
+    out = jobs.alerts_from_tables(spark, P, prefix="no_such_mart_", with_timestamp=False)
     assert out.count() == 0
 
 
-def test_pipeline_over_fixture_at_most_five_per_type(spark, sf):
+def test_daily_run_over_fixture_at_most_five_per_type(spark, sf):
     from ledgerlens.sources import fixture
-    digest = pipeline.run(spark, fixture.raw_sales(spark, sf), Params(), materialize="persist")
+    digest = jobs.run(spark, fixture.raw_sales(spark, sf), Params(), materialize="persist")
     assert digest.count() == 1
     from ledgerlens.plans.catalog import queries
     bal = queries()["balanced_alerts"](spark, sf)

@@ -101,7 +101,7 @@ def test_missing_fields(spark):
 
 
 def test_clean_csv_end_to_end(spark):
-    from ledgerlens.plans.pipeline import clean_csv
+    from ledgerlens.plans.jobs import clean_csv
     text = ("VoucherNumber,VoucherDate,PartyName,StockItemName,Quantity,Rate,Amount,TaxAmount\n"
             "V1,2024-03-01, Acme ,Pump,2,\"₹1,000.00\",2000,360\n"
             "V2,2024-03-02,Beta,Motor,abc,500,500,90\n")

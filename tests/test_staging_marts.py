@@ -147,11 +147,11 @@ def test_text_columns_stage_like_numbers(spark):
 
 def test_materialized_marts_equal_lazy(spark, sf):
     from ledgerlens.config import DEFAULT
-    from ledgerlens.plans import pipeline
+    from ledgerlens.plans import jobs
     from ledgerlens.sources import fixture
     raw = fixture.raw_sales(spark, sf)
-    lazy = pipeline.build_marts(spark, raw, DEFAULT, materialize=None, with_created_at=False)
-    table = pipeline.build_marts(spark, raw, DEFAULT, materialize="table", with_created_at=False)
+    lazy = jobs.build_marts(spark, raw, DEFAULT, materialize=None, with_created_at=False)
+    table = jobs.build_marts(spark, raw, DEFAULT, materialize="table", with_created_at=False)
     for name in ("dead_stock", "low_margin", "credit_risk"):
         a, b = getattr(lazy, name), getattr(table, name)
         assert a.count() == b.count()
