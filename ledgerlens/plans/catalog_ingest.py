@@ -123,9 +123,8 @@ def lineage_columns(spark, sf):
     return c.rows.select("invoice_number", "source_file", "loaded_at")
 
 
-def load_replace_append(spark, sf):
+def load_replace_append(spark, sf, name: str = "ll_sales_raw"):
     """Load the clean rows as a table (replace), append them again, read back."""
-    name = "ll_sales_raw"
     rows = clean_sales(spark, sf)
     loc = shared_path(spark, "tables")
     ok1 = tables.load_table(rows, name, "replace", path=f"{loc}/{name}")
@@ -134,8 +133,8 @@ def load_replace_append(spark, sf):
 
 
 def table_preview(spark, sf):
-    load_replace_append(spark, sf)
-    return tables.preview(spark, "ll_sales_raw", 5)
+    load_replace_append(spark, sf, "ll_sales_preview")
+    return tables.preview(spark, "ll_sales_preview", 5)
 
 
 QUERIES = {
