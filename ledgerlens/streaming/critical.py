@@ -27,13 +27,15 @@ ALERT_COLUMNS = ("transaction_id", "transaction_date", "customer_id", "customer_
 DEDUP_KEYS = ("transaction_id", "product_id", "quantity", "unit_price", "cost_price", "event_time")
 
 
-def line_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 64) -> DataFrame:
-    """Order lines as a file stream over the lineitem parquet files."""
+def line_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 64,
+                lines_dir: str | None = None) -> DataFrame:
+    """Order lines as a file stream over the lineitem parquet files (in
+    ``lines_dir``, default the tables' folder)."""
     schema = fixture.table(spark, sf_dir, "lineitem").schema
     return (spark.readStream.schema(schema)
                  .option("pathGlobFilter", "lineitem*.parquet")
                  .option("maxFilesPerTrigger", max_files_per_trigger)
-                 .parquet(sf_dir).select(*fixture.LINE_COLUMNS))
+                 .parquet(lines_dir or sf_dir).select(*fixture.LINE_COLUMNS))
 
 
 def critical_alerts(lines: DataFrame, spark: SparkSession, sf_dir: str, p: Params = DEFAULT,
@@ -56,7 +58,8 @@ def critical_alerts(lines: DataFrame, spark: SparkSession, sf_dir: str, p: Param
 
 
 def run_available_now(spark: SparkSession, sf_dir: str, p: Params = DEFAULT,
-                      out_path: str | None = None, checkpoint: str | None = None) -> str:
+                      out_path: str | None = None, checkpoint: str | None = None,
+                      lines_dir: str | None = None, max_files_per_trigger: int = 64) -> str:
     """Process every line file present now, then stop.  Returns the output folder."""
     out_path = out_path or shared_path(spark, "critical-alerts")
     checkpoint = checkpoint or shared_path(spark, "critical-alerts-ckpt")
@@ -64,7 +67,8 @@ def run_available_now(spark: SparkSession, sf_dir: str, p: Params = DEFAULT,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
-    q = (critical_alerts(line_stream(spark, sf_dir), spark, sf_dir, p)
+    lines = line_stream(spark, sf_dir, max_files_per_trigger, lines_dir)
+    q = (critical_alerts(lines, spark, sf_dir, p)
          .writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
