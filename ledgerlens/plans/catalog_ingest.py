@@ -137,7 +137,17 @@ def table_preview(spark, sf):
     return tables.preview(spark, "ll_sales_preview", 5)
 
 
+def staging_tally(spark, sf):
+    """A Tally-layout export cleaned and staged: no invoice number, cost,
+    status or due date in that layout, so staging takes the id as invoice
+    and typed nulls for the rest (the bill's first line survives the dedupe)."""
+    from ledgerlens.operators.staging import stage_sales
+    clean = CL.clean_export(_read(spark, sf, "tally"), "tally", P).rows.drop("source_file")
+    return stage_sales(clean, P, with_loaded_at=False)
+
+
 QUERIES = {
+    "staging_tally": staging_tally,
     "csv_scan": csv_scan,
     "csv_scan_encoding": csv_scan_encoding,
     "csv_scan_latin1": csv_scan_latin1,
@@ -220,9 +230,9 @@ def _num(x: str) -> str:
     return f"CASE WHEN regexp_full_match({t}, '[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?') THEN TRY_CAST({t} AS DOUBLE) END"
 
 
-def _mapped(collapse: bool = True) -> str:
+def _mapped(collapse: bool = True, system: str = "gofrugal") -> str:
     """Export columns under the universal names (collapse: BillNo -> invoice_number only)."""
-    m = GOFRUGAL
+    m = C.ERP_MAPPINGS[system]["sales_transactions"]
     by_src: dict[str, list[str]] = {}
     for uni, src in m.items():
         if collapse:
@@ -239,7 +249,7 @@ def _mapped(collapse: bool = True) -> str:
             else:
                 expr = f'"{src}"'
             sel.append(f"{expr} AS {u}")
-    fut = f"coalesce({_parse_date(chr(34) + 'BillDate' + chr(34))} > {AS_OF}, false)"
+    fut = f"coalesce({_parse_date(chr(34) + m['transaction_date'] + chr(34))} > {AS_OF}, false)"
     return f"SELECT {', '.join(sel)}, {fut} AS _future, _k1, _k2, _k3, _k4, _k5 FROM export"
 
 
@@ -327,6 +337,18 @@ def _export_cols(system: str = "gofrugal") -> str:
 
 
 _KEEP_ALL = _mapped(collapse=False)
+
+def _tally_staging_sql() -> str:
+    from ledgerlens.plans import oracle as O
+    tagged = (f"SELECT *, {_tag(list(C.CLEANER_REQUIRED), True)} AS dq_check FROM ("
+              "SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY _k1, _k2, _k3, _k4, _k5) = 1 AS _is_first "
+              "FROM mapped WHERE NOT _future) t")
+    raw = ("SELECT transaction_id AS invoice_number, transaction_date, customer_name, product_name, quantity, "
+           "unit_price, CAST(NULL AS DECIMAL(18,4)) AS cost_price, total_amount, CAST(NULL AS VARCHAR) AS payment_status, "
+           "CAST(NULL AS VARCHAR) AS payment_due_date FROM tagged WHERE dq_check IS NULL")
+    return with_([("export", export_sql("tally")), ("mapped", _mapped(True, "tally")), ("tagged", tagged),
+                  ("raw", raw), ("stg", O.STG)], "SELECT * FROM stg")
+
 ORACLE = {
     "csv_scan": with_([("export", export_sql())], f"SELECT {_export_cols()} FROM export"),
     "csv_scan_encoding": with_([("export", export_sql(currency=""))], f"SELECT {_export_cols()} FROM export"),
@@ -345,6 +367,7 @@ ORACLE = {
     "dq_filter": with_(_BASE + [("tagged", _TAGGED)], "SELECT invoice_number, product_id, dq_check FROM tagged"),
     "clean_sales": with_(_BASE + [("tagged", _TAGGED)], f"SELECT {_CLEAN_COLS} FROM tagged WHERE dq_check IS NULL"),
     "dq_report": _report_sql(),
+    "staging_tally": _tally_staging_sql(),
     "load_replace_append": with_(_BASE + [("tagged", _TAGGED)],
                                  f"SELECT {_CLEAN_COLS}, true AS load_ok FROM tagged WHERE dq_check IS NULL "
                                  f"UNION ALL SELECT {_CLEAN_COLS}, true FROM tagged WHERE dq_check IS NULL"),
