@@ -137,6 +137,16 @@ def table_preview(spark, sf):
     return tables.preview(spark, "ll_sales_preview", 5)
 
 
+def staging_kaggle(spark, sf):
+    """A Kaggle-layout export: under last-wins collapse it loses the id, date,
+    price and total, so it is mapped with every name a column feeds
+    (``collapse=False``): PRICEEACH is both price and cost, ORDERDATE both sale
+    and due date."""
+    from ledgerlens.operators.staging import stage_sales
+    clean = CL.clean_export(_read(spark, sf, "kaggle"), "kaggle", P, collapse=False).rows.drop("source_file")
+    return stage_sales(clean, P, with_loaded_at=False)
+
+
 def staging_tally(spark, sf):
     """A Tally-layout export cleaned and staged: no invoice number, cost,
     status or due date in that layout, so staging takes the id as invoice
@@ -148,6 +158,7 @@ def staging_tally(spark, sf):
 
 QUERIES = {
     "staging_tally": staging_tally,
+    "staging_kaggle": staging_kaggle,
     "csv_scan": csv_scan,
     "csv_scan_encoding": csv_scan_encoding,
     "csv_scan_latin1": csv_scan_latin1,
@@ -338,17 +349,28 @@ def _export_cols(system: str = "gofrugal") -> str:
 
 _KEEP_ALL = _mapped(collapse=False)
 
-def _tally_staging_sql() -> str:
+def _export_staging_sql(system: str, collapse: bool) -> str:
+    """Export of ``system`` -> mapped -> keep-first and quality checks -> staging."""
     from ledgerlens.plans import oracle as O
-    tagged = (f"SELECT *, {_tag(list(C.CLEANER_REQUIRED), True)} AS dq_check FROM ("
-              "SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY _k1, _k2, _k3, _k4, _k5) = 1 AS _is_first "
-              "FROM mapped WHERE NOT _future) t")
-    raw = ("SELECT transaction_id AS invoice_number, transaction_date, customer_name, product_name, quantity, "
-           "unit_price, CAST(NULL AS DECIMAL(18,4)) AS cost_price, total_amount, CAST(NULL AS VARCHAR) AS payment_status, "
-           "CAST(NULL AS VARCHAR) AS payment_due_date FROM tagged WHERE dq_check IS NULL")
-    return with_([("export", export_sql("tally")), ("mapped", _mapped(True, "tally")), ("tagged", tagged),
+    m = C.ERP_MAPPINGS[system]["sales_transactions"]
+    names = set(m) if not collapse else {u for u in {src: u for u, src in m.items()}.values()}
+    has_id = "transaction_id" in names
+    req = [f for f in C.CLEANER_REQUIRED if f in names]
+    first = ("row_number() OVER (PARTITION BY transaction_id ORDER BY _k1, _k2, _k3, _k4, _k5) = 1" if has_id
+             else "true")
+    tagged = (f"SELECT *, {_tag(req, has_id)} AS dq_check FROM ("
+              f"SELECT *, {first} AS _is_first FROM mapped WHERE NOT _future) t")
+
+    def col(name: str, typ: str) -> str:
+        return name if name in names else f"CAST(NULL AS {typ})"
+    inv = "invoice_number" if "invoice_number" in names else "transaction_id"
+    raw = (f"SELECT {inv} AS invoice_number, transaction_date, customer_name, product_name, quantity, unit_price, "
+           f"{col('cost_price', 'DOUBLE')} AS cost_price, total_amount, {col('payment_status', 'VARCHAR')} AS payment_status, "
+           f"{col('payment_due_date', 'VARCHAR')} AS payment_due_date FROM tagged WHERE dq_check IS NULL")
+    return with_([("export", export_sql(system)), ("mapped", _mapped(collapse, system)), ("tagged", tagged),
                   ("raw", raw), ("stg", O.STG)], "SELECT * FROM stg")
 
+
 ORACLE = {
     "csv_scan": with_([("export", export_sql())], f"SELECT {_export_cols()} FROM export"),
     "csv_scan_encoding": with_([("export", export_sql(currency=""))], f"SELECT {_export_cols()} FROM export"),
@@ -367,7 +389,8 @@ ORACLE = {
     "dq_filter": with_(_BASE + [("tagged", _TAGGED)], "SELECT invoice_number, product_id, dq_check FROM tagged"),
     "clean_sales": with_(_BASE + [("tagged", _TAGGED)], f"SELECT {_CLEAN_COLS} FROM tagged WHERE dq_check IS NULL"),
     "dq_report": _report_sql(),
-    "staging_tally": _tally_staging_sql(),
+    "staging_tally": _export_staging_sql("tally", True),
+    "staging_kaggle": _export_staging_sql("kaggle", False),
     "load_replace_append": with_(_BASE + [("tagged", _TAGGED)],
                                  f"SELECT {_CLEAN_COLS}, true AS load_ok FROM tagged WHERE dq_check IS NULL "
                                  f"UNION ALL SELECT {_CLEAN_COLS}, true FROM tagged WHERE dq_check IS NULL"),
