@@ -20,7 +20,8 @@ SUM_MONEY = "decimal(38,4)"
 def exact_avg(c: str | Column) -> Column:
     """Mean of a decimal column, exact sum / count rounded half-up to 9 digits."""
     col = F.col(c) if isinstance(c, str) else c
-    return (F.sum(col) / F.count(col)).cast(MARGIN_TYPE)
+    # an all-null group has no mean (and would divide by zero under ANSI)
+    return F.when(F.count(col) > 0, F.sum(col) / F.count(col)).cast(MARGIN_TYPE)
 
 
 def customer_metrics(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
