@@ -133,3 +133,11 @@ def test_detect_many_files_in_one_job(spark):
     assert out["tally"].system == "tally" and out["tally"].matches == 8
     assert out["kaggle"].system == "kaggle" and out["kaggle"].matches == 14      # repeats counted
     assert out["other"].system == "gofrugal" and out["other"].low_confidence
+
+
+def test_fuzzy_scores_of_known_hazards():
+    cases = [("GSTAmount", "Amount", 80), ("TaxAmount", "Amount", 80), ("CustomerCode", "CustomerName", 75),
+             ("PRODUCTCODE", "PRODUCTLINE", 73), ("Qty", "Quantity", 55), ("ItemCode", "ItemName", 62),
+             ("Bill No", "BillNo", 92), ("customer name", "CustomerName", 96)]
+    for a, b, want in cases:
+        assert MP.token_sort_ratio(a, b) == want, (a, b)
