@@ -34,7 +34,8 @@ _CACHE: dict[tuple, str] = {}
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"), "l_orderkey")
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"),
+        fixture.table_files(spark, sf_dir, "lineitem")[0], "l_orderkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")

@@ -29,13 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan of fewer files than the cluster has cores (a
+def spread(df: DataFrame, n_files: int, *keys: str) -> DataFrame:
+    """Hash-spread a scan of fewer files than half the cluster's cores (a
     single-row-group file reads as one task, and everything up to the first
     shuffle would run in it).  Large inputs have many files and are left
-    alone, so this never adds a shuffle at scale.  Only file metadata is read."""
+    alone, so this never adds a shuffle at scale."""
     want = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) * 2 <= want:
+    if n_files * 2 <= want:
         return df.repartition(want, *keys)
     return df
 
@@ -54,17 +54,23 @@ def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return o, c, p
 
 
-_BYTES: dict[tuple, int] = {}
+_LISTING: dict[tuple, tuple[int, int]] = {}
 
 
-def table_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Bytes of a table's files, from the file listing (the binaryFile source
-    reads no content when only ``length`` is selected).  Memoized per session."""
+def table_files(spark: SparkSession, sf_dir: str, name: str) -> tuple[int, int]:
+    """(files, bytes) of a table, from one aggregate over the file listing (the
+    binaryFile source reads no content when only ``length`` is used); only two
+    numbers reach the driver, never the list.  Memoized per session."""
     key = (id(spark), sf_dir.rstrip("/"), name)
-    if key not in _BYTES:
-        files = spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _BYTES[key] = int(files.agg(F.sum("length")).first()[0] or 0)
-    return _BYTES[key]
+    if key not in _LISTING:
+        listing = spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        row = listing.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b")).first()
+        _LISTING[key] = (int(row["n"] or 0), int(row["b"] or 0))
+    return _LISTING[key]
+
+
+def table_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
+    return table_files(spark, sf_dir, name)[1]
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -79,7 +85,8 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw sale line per lineitem row, columns as a sales export has them."""
-    li = spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), "l_orderkey")
+    li = spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), table_files(spark, sf_dir, "lineitem")[0],
+                "l_orderkey")
     limit = broadcast_limit(spark)
     small = limit > 0 and max(table_bytes(spark, sf_dir, "orders"), table_bytes(spark, sf_dir, "customer")) <= limit
     return raw_sales_from(li, *dimensions(spark, sf_dir), orders_first=not small)
