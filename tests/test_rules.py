@@ -106,3 +106,16 @@ def test_inventory_headers_map(spark):
     heads = MP.header_frame(spark, {"inv": ["ItemCode", "ItemName", "StockQty", "LastSaleDate"]})
     best = MP.detect_source(heads, MP.mapping_frame(spark, "inventory")).collect()[0]
     assert best.system == "gofrugal" and best.matches == 4 and best.confidence == 1.0
+
+
+def test_indian_grouping_spark_and_duckdb_agree(spark):
+    import duckdb
+    from ledgerlens.plans.catalog_rules import indian_sql
+    vals = ["0", "7", "999", "1000", "99999", "100000", "1234567", "12345678", "123456789012", "-5", "-1000",
+            "-250000.5", "1234.4999", "0.5"]
+    df = spark.createDataFrame([(D(v),) for v in vals], "x decimal(18,4)")
+    got = [r.y for r in df.select(indian_grouping(F.col("x")).alias("y")).collect()]
+    con = duckdb.connect()
+    want = [con.sql(f"SELECT {indian_sql(f'CAST({v} AS DECIMAL(18,4))')}").fetchall()[0][0] for v in vals]
+    assert got == want
+    assert got[5] == "1,00,000" and got[8] == "1,23,45,67,89,012"
