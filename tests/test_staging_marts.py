@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from ledgerlens.config import Params
 from ledgerlens.operators import marts as M
 from ledgerlens.operators import metrics as X
@@ -156,3 +158,18 @@ def test_materialized_marts_equal_lazy(spark, sf):
         a, b = getattr(lazy, name), getattr(table, name)
         assert a.count() == b.count()
         assert a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+def test_exact_ratio_ties_agree_with_duckdb_helper(spark):
+    import duckdb
+    from ledgerlens.functions.columns import exact_ratio
+    from ledgerlens.plans.oracle import div9
+    pairs = [("1", "1024"), ("-1", "1024"), ("1", "3"), ("2", "3"), ("-2", "3"), ("1234.5678", "0.0001"),
+             ("0.0001", "8"), ("-0.0005", "2048"), ("99999.9999", "7")]
+    df = spark.createDataFrame([(D(a), D(b)) for a, b in pairs], "a decimal(18,4), b decimal(18,4)")
+    got = [r.q for r in df.select(exact_ratio(F.col("a"), F.col("b")).alias("q")).collect()]
+    con = duckdb.connect()
+    want = [con.sql(f"SELECT {div9(f'CAST({a} AS DECIMAL(18,4))', f'CAST({b} AS DECIMAL(18,4))')}").fetchall()[0][0]
+            for a, b in pairs]
+    assert got == want
+    assert got[0] == D("0.000976563") and got[1] == D("-0.000976563")     # ties round away from zero
