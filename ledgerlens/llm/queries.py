@@ -5,13 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import topk, urlfilter
+from ledgerlens.llm import fingerprints, mixing, topk, urlfilter
 from ledgerlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
@@ -34,7 +44,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_url_filter, op10_topk_search)}
+    return {f.__name__: f for f in (op3_fingerprints, op5_mixing, op6_url_filter, op10_topk_search)}
 
 
 def oracle_sql() -> dict[str, str]:
