@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import fingerprints, mixing, topk, urlfilter
+from ledgerlens.llm import fingerprints, mixing, secrets, topk, urlfilter
 from ledgerlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -44,7 +48,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_fingerprints, op5_mixing, op6_url_filter, op10_topk_search)}
+    return {f.__name__: f for f in (op3_fingerprints, op5_mixing, op6_url_filter, op7_secrets, op10_topk_search)}
 
 
 def oracle_sql() -> dict[str, str]:
