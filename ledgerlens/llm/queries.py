@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import fingerprints, mixing, secrets, topk, urlfilter
+from ledgerlens.llm import fingerprints, mixing, packing, secrets, topk, urlfilter
 from ledgerlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_fingerprints, op5_mixing, op6_url_filter, op7_secrets, op10_topk_search)}
+    return {f.__name__: f for f in (op2_packing, op3_fingerprints, op5_mixing, op6_url_filter, op7_secrets, op10_topk_search)}
 
 
 def oracle_sql() -> dict[str, str]:
