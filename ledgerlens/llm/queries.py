@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import fingerprints, mixing, packing, secrets, topk, urlfilter
-from ledgerlens.llm.common import table
+from ledgerlens.llm import fingerprints, langid, mixing, packing, secrets, topk, urlfilter
+from ledgerlens.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,14 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, remainder("doc_id", 5) != 0)
+    found = langid.identify(docs, model, ["doc_id"], spans=False)
+    return found.select("doc.doc_id", "lang_pred", "score").withColumn("held_out", remainder("doc_id", 5) == 0).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -52,7 +60,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_packing, op3_fingerprints, op5_mixing, op6_url_filter, op7_secrets, op10_topk_search)}
+    return {f.__name__: f for f in (op2_packing, op3_fingerprints, op5_mixing, op6_url_filter, op7_secrets, op8_language, op10_topk_search)}
 
 
 def oracle_sql() -> dict[str, str]:
