@@ -114,10 +114,10 @@ def with_next(df: DataFrame, id_col: str, carry: list[str], every: int = 64, mos
     home = F.struct(F.col("_range").alias("r"), F.lit(False).alias("guest"))
     visit = F.struct(F.when(F.col("_range") + 1 < len(borders), F.col("_range") + 1).otherwise(0).alias("r"), F.lit(True).alias("guest"))
     df = df.withColumn("_at", F.explode(F.when(is_border, F.array(home, visit)).otherwise(F.array(home))))
-    w = Window.partitionBy("_at.r").orderBy("_at.guest", F.desc(id_col), *(F.desc(c) for c in carry))
-    for c in carry:
-        df = df.withColumn(f"next_{c}", F.lead(c).over(w))
-    return df.filter("NOT _at.guest").drop("_at", "_range")
+    df = df.withColumn("_r", F.col("_at.r")).withColumn("_guest", F.col("_at.guest")).drop("_at", "_range")
+    w = Window.partitionBy("_r").orderBy("_guest", F.desc(id_col), *(F.desc(c) for c in carry))
+    df = df.withColumns({f"next_{c}": F.lead(c).over(w) for c in carry})
+    return df.filter("NOT _guest").drop("_r", "_guest")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
