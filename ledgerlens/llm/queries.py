@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import fingerprints, langid, mixing, packing, secrets, topk, urlfilter
+from ledgerlens.llm import fingerprints, langid, mixing, packing, secrets, topk, toxicity, urlfilter
 from ledgerlens.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
+    found = toxicity.score(docs, model, ["doc_id"])
+    return found.select("doc.doc_id", "score", "worst").select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "worst")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -60,7 +68,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_packing, op3_fingerprints, op5_mixing, op6_url_filter, op7_secrets, op8_language, op10_topk_search)}
+    return {f.__name__: f for f in (op1_toxicity, op2_packing, op3_fingerprints, op5_mixing, op6_url_filter, op7_secrets, op8_language, op10_topk_search)}
 
 
 def oracle_sql() -> dict[str, str]:
