@@ -26,18 +26,13 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def chunks(texts: list[str | None], limit: int = CHUNK) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """(row of each part, code points of the parts each followed by a line break,
-    start of each part).  Rows come in order.  A text beyond the limit is cut
-    after white space into several parts (at the limit if it has none there)."""
+def _parts(texts: list[str | None], limit: int) -> Iterator[tuple[list[int], list[str]]]:
+    """Rows and texts in order, in groups of about ``limit`` characters.  A text
+    beyond the limit is cut after white space into several parts (at the limit if
+    it has none there)."""
     rows: list[int] = []
     parts: list[str] = []
     size = 0
-
-    def out():
-        starts = np.cumsum([0, *(len(p) + 1 for p in parts[:-1])]) if parts else np.zeros(0, dtype=np.int64)
-        return rows, codes("\n".join(parts) + "\n"), starts
-
     for row, text in enumerate(texts):
         text = text or ""
         at = 0
@@ -48,7 +43,7 @@ def chunks(texts: list[str | None], limit: int = CHUNK) -> Iterator[tuple[list[i
                 gap = _SPACE.search(text[at: end][::-1])
                 end = end - gap.start() if gap and gap.start() < limit else end
             if size and size + end - at > limit:
-                yield out()
+                yield rows, parts
                 rows, parts, size = [], [], 0
             rows.append(row)
             parts.append(text[at: end])
@@ -57,7 +52,25 @@ def chunks(texts: list[str | None], limit: int = CHUNK) -> Iterator[tuple[list[i
             if at >= len(text):
                 break
     if rows:
-        yield out()
+        yield rows, parts
+
+
+def _starts(parts: list) -> np.ndarray:
+    return np.cumsum([0, *(len(p) + 1 for p in parts[:-1])])
+
+
+def chunks(texts: list[str | None], limit: int = CHUNK) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """(row of each part, code points of the parts each followed by a line break,
+    start of each part)."""
+    for rows, parts in _parts(texts, limit):
+        yield rows, codes("\n".join(parts) + "\n"), _starts(parts)
+
+
+def byte_chunks(texts: list[str | None], limit: int = CHUNK) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """The same in UTF-8 bytes."""
+    for rows, parts in _parts(texts, limit):
+        raw = [p.encode("utf-8", "surrogatepass") for p in parts]
+        yield rows, np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8), _starts(raw)
 
 
 def map_texts(docs: DataFrame, text_col: str, keep: list[str], fn: Callable[[list[str | None]], list[pa.Array]], fields: StructType) -> DataFrame:

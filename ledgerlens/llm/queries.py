@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import fingerprints, langid, mixing, packing, secrets, topk, toxicity, urlfilter
+from ledgerlens.llm import fingerprints, langid, mixing, neardup, packing, secrets, topk, toxicity, urlfilter
 from ledgerlens.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(table(spark, sf_dir, "documents"), width=2).drop("node")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate")
@@ -68,7 +72,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity, op2_packing, op3_fingerprints, op5_mixing, op6_url_filter, op7_secrets, op8_language, op10_topk_search)}
+    return {f.__name__: f for f in (op1_toxicity, op2_packing, op3_fingerprints, op4_near_duplicates, op5_mixing, op6_url_filter, op7_secrets, op8_language, op10_topk_search)}
 
 
 def oracle_sql() -> dict[str, str]:
