@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import fingerprints, langid, mixing, neardup, packing, secrets, topk, toxicity, urlfilter
+from ledgerlens.llm import fingerprints, langid, mixing, neardup, packing, pii, secrets, topk, toxicity, urlfilter
 from ledgerlens.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -72,7 +76,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity, op2_packing, op3_fingerprints, op4_near_duplicates, op5_mixing, op6_url_filter, op7_secrets, op8_language, op10_topk_search)}
+    return {f.__name__: f for f in (op1_toxicity, op2_packing, op3_fingerprints, op4_near_duplicates, op5_mixing, op6_url_filter, op7_secrets, op8_language, op9_personal_data, op10_topk_search)}
 
 
 def oracle_sql() -> dict[str, str]:
