@@ -94,7 +94,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         for run in DOTTED.finditer(text):
             if run[0].count(".") >= 3:
                 for m in IP.finditer(text, run.start(), run.end()):
-                    if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                    if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
                         out.append((m.start(), 1, m.end()))
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")

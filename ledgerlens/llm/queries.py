@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerlens.llm import fingerprints, langid, mixing, neardup, packing, pii, secrets, topk, toxicity, urlfilter
 from ledgerlens.llm.common import remainder, table
 
@@ -75,8 +76,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+OPERATORS = (op1_toxicity, op2_packing, op3_fingerprints, op4_near_duplicates, op5_mixing, op6_url_filter, op7_secrets, op8_language, op9_personal_data, op10_topk_search)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity, op2_packing, op3_fingerprints, op4_near_duplicates, op5_mixing, op6_url_filter, op7_secrets, op8_language, op9_personal_data, op10_topk_search)}
+    return {f.__name__: f for f in (*OPERATORS, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -361,14 +361,15 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     known = (labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
              .agg(F.max((F.col(label_col) > 0).cast("int")).alias("_toxic")))
     rows = docs.filter(learn).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    # Counts over all labelled documents, without their texts.
-    sizes = {r["_toxic"]: r["count"] for r in rows.select("_id").join(known, "_id").groupBy("_toxic").count().collect()}
+    # Counts and choice over all labelled documents, without their texts.
+    marked = rows.select("_id").join(known, "_id").distinct()
+    sizes = {r["_toxic"]: r["count"] for r in marked.groupBy("_toxic").count().collect()}
     if len(sizes) < 2:
         return Model(slopes=np.array([0.0, 0.0, 20.0 if sizes.get(1) else -20.0]))
     draw = F.pmod(F.xxhash64("_id", F.lit("toxic")), F.lit(1_000_000))
     rate = F.when(F.col("_toxic") == 1, per_label * 1_000_000 // sizes[1]).otherwise(per_label * 1_000_000 // sizes[0])
-    chosen = known.filter(draw < rate)
-    sample = rows.join(chosen, "_id").orderBy("_id", "_text").collect()
+    chosen = marked.filter(draw < rate)  # about 2 * per_label ids, so the texts need not be shuffled
+    sample = rows.join(F.broadcast(chosen), "_id").orderBy("_id", "_text").collect()
     return fit([r["_text"] or "" for r in sample], np.array([r["_toxic"] for r in sample]), sizes[1] / (sizes[0] + sizes[1]))
 
 
