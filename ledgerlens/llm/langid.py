@@ -177,7 +177,7 @@ def _counted(docs: DataFrame, lang: str, text: str) -> DataFrame:
                     mine[2 * BUCKETS:] += np.bincount(w.script, weights=w.end - w.at, minlength=len(NAMES)).astype(np.int64)
         for name, mine in total.items():
             f = np.flatnonzero(mine)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(f)), pa.array(f), pa.array(mine[f])], names=["lang", "feature", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(f), pa.string()), pa.array(f, pa.int64()), pa.array(mine[f], pa.int64())], names=["lang", "feature", "n"])
 
     rows = docs.select(F.col(lang), F.col(text)).mapInArrow(count, "lang string, feature long, n long")
     return rows.groupBy("lang", "feature").agg(F.sum("n").alias("n"))

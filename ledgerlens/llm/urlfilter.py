@@ -88,15 +88,16 @@ def model(counts: DataFrame, order: int) -> DataFrame:
 
 
 def threshold(scored: DataFrame) -> float:
-    """Lower edge of the score bin that separates calibration urls best."""
+    """The score that separates calibration urls best, midway between the occupied
+    bins on its two sides."""
     b = F.floor(F.greatest(F.least(F.col("score"), F.lit(REACH)), F.lit(-REACH)) * BIN)
     bins = scored.groupBy(b.alias("b")).agg(F.count_if(F.col("label") == "allow").alias("a"), F.count_if(F.col("label") == "block").alias("r"))
     up, whole = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()  # at most 2 * REACH * BIN + 1 rows
-    below = bins.select("b", F.coalesce(F.sum("a").over(up), F.lit(0)).alias("a_lost"), F.coalesce(F.sum("r").over(up), F.lit(0)).alias("r_cut"),
+    below = bins.select("b", F.coalesce(F.lag("b").over(Window.orderBy("b")) + 1, "b").alias("last"), F.coalesce(F.sum("a").over(up), F.lit(0)).alias("a_lost"), F.coalesce(F.sum("r").over(up), F.lit(0)).alias("r_cut"),
                         F.sum("a").over(whole).alias("a"), F.sum("r").over(whole).alias("r"))
-    best = (below.filter("a > 0 AND r > 0").select("b", (F.col("r_cut") / F.col("r") - F.col("a_lost") / F.col("a")).alias("gain"))
+    best = (below.filter("a > 0 AND r > 0").select("b", "last", (F.col("r_cut") / F.col("r") - F.col("a_lost") / F.col("a")).alias("gain"))
             .orderBy(F.desc("gain"), F.abs("b"), "b").first())
-    return best["b"] / BIN if best else 0.0
+    return (best["b"] + best["last"]) / 2 / BIN if best else 0.0
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, order: int = ORDER, folds: int = 5) -> DataFrame:
