@@ -17,7 +17,7 @@ def stream_critical_alerts(spark, sf):
 QUERIES = {"stream_critical_alerts": stream_critical_alerts}
 
 ORACLE = {
-    "stream_critical_alerts": O.with_(O.BASE, """SELECT DISTINCT transaction_id, transaction_date, customer_id,
+    "stream_critical_alerts": O.with_(O.BASE, """SELECT transaction_id, transaction_date, customer_id,
   customer_name, product_id, quantity, unit_price, cost_price, margin_percentage,
   'CRITICAL' AS alert_severity, 'URGENT: Review pricing. Currently making loss!' AS recommended_action
 FROM stg WHERE margin_percentage < 0 AND cost_price IS NOT NULL"""),

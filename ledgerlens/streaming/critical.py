@@ -1,17 +1,24 @@
 """Real-time critical alerts (declared in the configuration, switched off there).
 
-New sale lines arrive as files; each micro-batch is joined to the static
-order, customer and part tables, staged with the same projection as the batch
-pipeline, and the lines selling below cost (low-margin CRITICAL, which needs
-no other row) are emitted.  Replayed lines are dropped with
-``dropDuplicatesWithinWatermark`` -- the only state the query keeps, bounded
-by the watermark.  The sink is ``foreachBatch`` writing each batch to its own
-folder in overwrite mode, so a batch re-run after a failure replaces its own
-output (idempotent) and the checkpoint in the shared folder resumes the rest.
+New sale lines arrive as files.  Each micro-batch joins its lines, and those that
+earlier batches left waiting, to the order, customer and part tables as they are
+at that moment, stages them with the same projection as the batch pipeline, and
+writes the lines selling below cost (low-margin CRITICAL, which needs no other
+row).  Lines whose order, customer or part is not there yet wait in a pending
+folder for the next batch; none is dropped for its age or its sale date.
+
+A line is identified by its order, line number and values.  The checkpoint reads
+every file once; a line sent again in another file is dropped if it arrives within
+``horizon`` of its first arrival (the only state kept; arrival time is the
+processing time, so nothing is ever late for the watermark).
+
+A batch writes its alerts and its pending lines to folders of its own in
+overwrite mode, so a batch run again after a failure replaces its own output.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,37 +31,82 @@ from ledgerlens.sources import fixture
 ALERT_COLUMNS = ("transaction_id", "transaction_date", "customer_id", "customer_name", "product_id",
                  "quantity", "unit_price", "cost_price", "margin_percentage", "alert_severity",
                  "recommended_action")
-DEDUP_KEYS = ("transaction_id", "product_id", "quantity", "unit_price", "cost_price", "event_time")
+# what makes two lines the same line: the source numbers lines by hand, so a
+# number alone may stand on several lines of one order
+LINE_KEY = LINE_COLUMNS = (*fixture.LINE_COLUMNS, "l_linenumber")
 
 
 def line_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 64,
-                lines_dir: str | None = None) -> DataFrame:
+                lines_dir: str | None = None, horizon: str = "7 days") -> DataFrame:
     """Order lines as a file stream over the lineitem parquet files (in
-    ``lines_dir``, default the tables' folder)."""
+    ``lines_dir``, default the tables' folder), each line once."""
     schema = fixture.table(spark, sf_dir, "lineitem").schema
-    return (spark.readStream.schema(schema)
-                 .option("pathGlobFilter", "lineitem*.parquet")
-                 .option("maxFilesPerTrigger", max_files_per_trigger)
-                 .parquet(lines_dir or sf_dir).select(*fixture.LINE_COLUMNS))
+    lines = (spark.readStream.schema(schema)
+                  .option("pathGlobFilter", "lineitem*.parquet")
+                  .option("maxFilesPerTrigger", max_files_per_trigger)
+                  .parquet(lines_dir or sf_dir).select(*LINE_COLUMNS))
+    return (lines.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", horizon)
+                 .dropDuplicatesWithinWatermark(list(LINE_KEY)).drop("arrived"))
 
 
-def critical_alerts(lines: DataFrame, spark: SparkSession, sf_dir: str, p: Params = DEFAULT,
-                    watermark: str = "30 days") -> DataFrame:
-    """Streaming (or batch) lines -> critical low-margin alert rows."""
+def critical_alerts(lines: DataFrame, spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+    """Lines of a batch -> critical low-margin alert rows."""
     raw = fixture.raw_sales_from(lines, *fixture.dimensions(spark, sf_dir))
     stg = stage_sales(raw, p, with_loaded_at=False)
     crit = stg.where((F.col("margin_percentage") < 0) & F.col("cost_price").isNotNull())
-    out = crit.select(
+    return crit.select(
         *[c for c in ALERT_COLUMNS if c not in ("alert_severity", "recommended_action")],
         F.lit("CRITICAL").alias("alert_severity"),
-        F.lit(C.MARGIN_ACTION_CRITICAL).alias("recommended_action"),
-        # event time for the watermark: timestamp, not timestamp_ntz
-        F.col("transaction_date").cast("timestamp").alias("event_time"))
-    if lines.isStreaming:
-        out = out.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(list(DEDUP_KEYS))
-    else:
-        out = out.dropDuplicates(list(DEDUP_KEYS))
-    return out.drop("event_time")
+        F.lit(C.MARGIN_ACTION_CRITICAL).alias("recommended_action"))
+
+
+def waiting_lines(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose order, customer or part is missing from the tables."""
+    o, c, p = fixture.dimensions(spark, sf_dir)
+    known = o.join(c.select("c_custkey"), o.o_custkey == c.c_custkey).select("o_orderkey")
+    here = lines.join(known, lines.l_orderkey == known.o_orderkey, "left_semi") \
+                .join(p.select("p_partkey"), lines.l_partkey == F.col("p_partkey"), "left_semi")
+    return lines.join(here.select(*[F.col(k).alias(f"_{k}") for k in LINE_KEY]),
+                      [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in LINE_KEY], "left_anti")
+
+
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _claim(spark: SparkSession, out_path: str, checkpoint: str) -> None:
+    """Batch numbers belong to one checkpoint: refuse a folder of another one."""
+    owner = _read_if_there(spark, f"{out_path}/_owner")
+    if owner is None:
+        if _read_if_there(spark, out_path) is not None:
+            raise ValueError(f"{out_path} holds alerts of an unknown checkpoint")
+        spark.createDataFrame([(checkpoint,)], "checkpoint string").coalesce(1).write.parquet(f"{out_path}/_owner")
+    elif owner.first()["checkpoint"] != checkpoint:
+        raise ValueError(f"{out_path} holds alerts of checkpoint {owner.first()['checkpoint']}")
+
+
+def _writer(spark: SparkSession, sf_dir: str, out_path: str, checkpoint: str, p: Params,
+            max_files_per_trigger: int = 64, lines_dir: str | None = None, horizon: str = "7 days"):
+    _claim(spark, out_path, checkpoint)
+    pending = f"{checkpoint.rstrip('/')}-pending"
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        left = _read_if_there(spark, f"{pending}/batch_id={batch_id - 1}") if batch_id else None
+        lines = batch if left is None else batch.unionByName(left)
+        lines = lines.persist()
+        try:
+            waiting_lines(lines, spark, sf_dir).write.mode("overwrite").parquet(f"{pending}/batch_id={batch_id}")
+            critical_alerts(lines, spark, sf_dir, p).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        finally:
+            lines.unpersist()
+
+    return (line_stream(spark, sf_dir, max_files_per_trigger, lines_dir, horizon)
+            .writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint))
 
 
 def run_available_now(spark: SparkSession, sf_dir: str, p: Params = DEFAULT,
@@ -63,30 +115,17 @@ def run_available_now(spark: SparkSession, sf_dir: str, p: Params = DEFAULT,
     """Process every line file present now, then stop.  Returns the output folder."""
     out_path = out_path or shared_path(spark, "critical-alerts")
     checkpoint = checkpoint or shared_path(spark, "critical-alerts-ckpt")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
-    lines = line_stream(spark, sf_dir, max_files_per_trigger, lines_dir)
-    q = (critical_alerts(lines, spark, sf_dir, p)
-         .writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint)
+    q = (_writer(spark, sf_dir, out_path, checkpoint, p, max_files_per_trigger, lines_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return out_path
 
 
 def start(spark: SparkSession, sf_dir: str, out_path: str, checkpoint: str, p: Params = DEFAULT,
-          every: str = "1 minute"):
+          every: str = "1 minute", lines_dir: str | None = None):
     """Keep running: a micro-batch every ``every`` over newly arrived line
     files.  Returns the StreamingQuery (stop it with ``.stop()``)."""
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
-    return (critical_alerts(line_stream(spark, sf_dir), spark, sf_dir, p)
-            .writeStream.foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint)
-            .trigger(processingTime=every).start())
+    return _writer(spark, sf_dir, out_path, checkpoint, p, lines_dir=lines_dir).trigger(processingTime=every).start()
 
 
 def read_alerts(spark: SparkSession, out_path: str) -> DataFrame:

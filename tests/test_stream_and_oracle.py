@@ -1,5 +1,8 @@
+import shutil
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from ledgerlens.streaming import critical
@@ -11,7 +14,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def test_stream_equals_batch(spark, sf):
     streamed = critical.read_alerts(spark, critical.run_available_now(spark, sf))
-    lines = fixture.table(spark, sf, "lineitem").select(*fixture.LINE_COLUMNS)
+    lines = fixture.table(spark, sf, "lineitem").select(*critical.LINE_COLUMNS)
     batch = critical.critical_alerts(lines, spark, sf)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
@@ -68,18 +71,86 @@ def test_continuous_stream_resumes_from_checkpoint(spark, sf):
     assert critical.read_alerts(spark, out).count() == first > 0
 
 
-def test_replayed_line_file_gives_no_duplicate_alerts(spark, sf):
-    import os
-    import shutil
-    import tempfile
-    lines = tempfile.mkdtemp(prefix="ll-lines-")
-    shutil.copy(os.path.join(sf, "lineitem.parquet"), os.path.join(lines, "lineitem_1.parquet"))
-    shutil.copy(os.path.join(sf, "lineitem.parquet"), os.path.join(lines, "lineitem_2.parquet"))
-    out = critical.run_available_now(spark, sf, lines_dir=lines, max_files_per_trigger=1)
-    got = critical.read_alerts(spark, out)
-    # one file per trigger: the copy arrived in its own micro-batch, which emitted nothing
-    batches = sorted(d for d in os.listdir(out) if d.startswith("batch_id="))
-    assert len(batches) == 2
-    assert spark.read.parquet(out).select("batch_id").distinct().collect()[0].batch_id == int(batches[0].split("=")[1])
-    batch = critical.critical_alerts(fixture.table(spark, sf, "lineitem").select(*fixture.LINE_COLUMNS), spark, sf)
-    assert got.count() == batch.count()          # the second copy was dropped within the watermark
+@pytest.fixture()
+def pieces(spark, sf, tmp_path):
+    """The lines in eight files, one micro-batch each."""
+    lines = fixture.table(spark, sf, "lineitem")
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    for n in range(8):
+        part = tmp_path / f"part{n}"
+        lines.where(f"pmod(hash(l_orderkey, l_linenumber), 8) = {n}").coalesce(1).write.parquet(str(part))
+        (file,) = part.glob("*.parquet")
+        shutil.copy(file, folder / f"lineitem_{n}.parquet")
+    return folder
+
+
+def _batch(spark, sf):
+    return critical.critical_alerts(fixture.table(spark, sf, "lineitem").select(*critical.LINE_COLUMNS), spark, sf)
+
+
+def _same(got, want):
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_eight_files_one_per_batch_equal_the_batch(spark, sf, pieces):
+    out = critical.run_available_now(spark, sf, lines_dir=str(pieces), max_files_per_trigger=1)
+    assert spark.read.parquet(out).select("batch_id").distinct().count() == 8
+    _same(critical.read_alerts(spark, out), _batch(spark, sf))
+
+
+def test_a_file_sent_again_in_a_later_batch_gives_no_alert(spark, sf, pieces, tmp_path):
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    late = {n: (pieces / f"lineitem_{n}.parquet").read_bytes() for n in range(8)}
+    for n in range(1, 8):
+        (pieces / f"lineitem_{n}.parquet").unlink()
+    for n in range(8):  # from the fourth batch on, the first file comes again under a new name
+        (pieces / f"lineitem_{n}.parquet").write_bytes(late[n])
+        if n >= 3:
+            (pieces / f"lineitem_again{n}.parquet").write_bytes(late[0])
+        critical.run_available_now(spark, sf, out_path=out, checkpoint=ckpt, lines_dir=str(pieces))
+    _same(critical.read_alerts(spark, out), _batch(spark, sf))
+
+
+def test_two_equal_lines_of_an_invoice_give_two_alerts(spark, sf, tmp_path):
+    one = fixture.table(spark, sf, "lineitem").join(_batch(spark, sf).selectExpr("CAST(transaction_id AS BIGINT) AS l_orderkey").distinct(),
+                                                    "l_orderkey", "left_semi").limit(40)
+    twice = one.unionByName(one.withColumn("l_linenumber", F.expr("CAST(l_linenumber + 100 AS INT)"))).select(
+        *[F.col(f.name).cast(f.dataType) for f in fixture.table(spark, sf, "lineitem").schema])
+    twice.coalesce(1).write.parquet(str(tmp_path / "t"))
+    (file,) = (tmp_path / "t").glob("*.parquet")
+    (tmp_path / "lines").mkdir()
+    shutil.copy(file, tmp_path / "lines" / "lineitem_0.parquet")
+    got = critical.read_alerts(spark, critical.run_available_now(spark, sf, lines_dir=str(tmp_path / "lines")))
+    assert got.groupBy(*got.columns).count().where("count % 2 = 1").isEmpty() and got.count() > 0
+
+
+def test_lines_wait_for_their_order(spark, sf, pieces, tmp_path):
+    tables = tmp_path / "tables"
+    tables.mkdir()
+    for t in ("lineitem", "customer", "part", "orders"):
+        shutil.copy(f"{sf}/{t}.parquet", tables / f"{t}.parquet")
+    whole = (tables / "orders.parquet").read_bytes()
+    few = tmp_path / "few"
+    fixture.table(spark, sf, "orders").where("o_orderkey % 3 = 0").coalesce(1).write.parquet(str(few))
+    (file,) = few.glob("*.parquet")
+    shutil.copy(file, tables / "orders.parquet")
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    last = pieces / "lineitem_7.parquet"
+    held = last.read_bytes()
+    last.unlink()
+    critical.run_available_now(spark, str(tables), out_path=out, checkpoint=ckpt, lines_dir=str(pieces), max_files_per_trigger=2)
+    spark.catalog.clearCache()
+    before = critical.read_alerts(spark, out).count()
+    (tables / "orders.parquet").write_bytes(whole)
+    last.write_bytes(held)
+    critical.run_available_now(spark, str(tables), out_path=out, checkpoint=ckpt, lines_dir=str(pieces))
+    assert before < _batch(spark, sf).count()
+    _same(critical.read_alerts(spark, out), _batch(spark, sf))
+
+
+def test_a_folder_of_another_checkpoint_is_refused(spark, sf, tmp_path):
+    out = critical.run_available_now(spark, sf, out_path=str(tmp_path / "out"), checkpoint=str(tmp_path / "a"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        critical.run_available_now(spark, sf, out_path=out, checkpoint=str(tmp_path / "b"))
