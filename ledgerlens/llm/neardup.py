@@ -18,8 +18,8 @@ tree only, and not in a crowd, is dropped: similar documents meet in about 0.8
 Candidates are confirmed on the full sets (the texts of candidate nodes only are
 read again), and components come from alternating star contraction.  In a crowd a
 document may be like few others and not be next to them in any tree, so the nodes
-that stayed outside their neighbourhood's largest component meet all of it once
-more (``untried``) and are confirmed in the same way.
+that stayed outside their neighbourhood's largest component meet all of it on the
+full sets (``stray_links``).
 
 Defined results: a null text or one without words has an empty set, is linked
 with nothing and is its own component.  With fewer words than a shingle has, the
@@ -44,7 +44,7 @@ from ledgerlens.llm.common import written
 
 WIDTH, PERCENT = 5, 80
 HASHES, TREES, DEPTH, LEAST, NEAR = 128, 32, 8, 4, 8
-CLOSE, BLOCK, FIRST = 15, 2048, 16
+CLOSE, BLOCK = 15, 500_000
 MOST_HELD = 50_000  # rows of a crowd kept waiting for its end
 NO_ID = -(1 << 63)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -125,7 +125,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 def features(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """(doc_id, n_shingles, node, sig), one row per document; node and sig null for an empty set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chars.sliced(batches):
             n, node, sig = [], [], []
             for s in shingle_sets(batch.column(1).to_pylist(), width):
                 n.append(len(s))
@@ -265,7 +265,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """(node, shingles) of the wanted (node, doc_id): their texts are read again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chars.sliced(batches):
             found = [s for s in shingle_sets(batch.column(1).to_pylist(), width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([node_of(s) for s in found], pa.binary()),
                                               pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "own", "shingles"])
@@ -301,41 +301,58 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def untried(nodes: DataFrame, around: DataFrame, roots: DataFrame, percent: int, most: int | None) -> DataFrame:
-    """(a, b): pairs across components, inside a neighbourhood, that may be links.
+def overlaps(one: np.ndarray, shingle: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How many of ``one``'s shingles each of n sets holds; the sets come as all
+    their (shingle, owner) sorted by shingle."""
+    low, high = np.searchsorted(shingle, one, side="left"), np.searchsorted(shingle, one, side="right")
+    count = high - low
+    at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+    return np.bincount(owner[at], minlength=n)
+
+
+def stray_links(sets: DataFrame, around: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the links that join components inside a neighbourhood, one at least
+    for each stray and component it is linked to.
 
     ``around`` has the neighbourhoods (node, near): what confirmed links and close
-    misses connect.  All of one's
-    nodes outside its largest component (the strays) meet all of its nodes, in
-    blocks of BLOCK nodes, by their signatures: a pair within four standard errors
-    of the threshold is given, for each stray at most the ``most`` likest per block
-    if set (a first pass that spares the second most of the work)."""
+    misses connect.  All of one's nodes outside its largest component (the strays)
+    meet all of its nodes on the full sets.  Both sides come in blocks of about
+    BLOCK shingles, every pair of blocks is a group of its own, and only links
+    leave it."""
     own = around.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    parts = own.groupBy("near", "root").agg(F.count("*").alias("size"))
-    whole = parts.groupBy("near").agg(F.sum("size").alias("all"), F.max(F.struct("size", "root")).alias("top"), F.count("*").alias("parts"))
-    whole = whole.filter((F.col("parts") > 1) & (F.col("all") > NEAR + 1)).select("near", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"), "top.root")
-    whole = written(whole.withColumnRenamed("root", "largest"), "neighbourhoods")
-    members = written(own.join(whole, "near").join(nodes.select("node", "sig"), "node"), "members")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = members.select("near", block.alias("block"), "node", "root", "sig")
-    strays = members.filter("root <> largest").select("near", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node", "root", "sig")
-    least = percent / 100 - 4 * 0.4 / HASHES ** 0.5
+    own = own.join(sets.withColumn("n", F.octet_length("shingles") / 8), "node")
+    parts = own.groupBy("near", "root").agg(F.count("*").alias("size"), F.sum("n").alias("n"))
+    whole = parts.groupBy("near").agg(F.sum("size").alias("size"), F.sum("n").alias("n"), F.max(F.struct("size", "root", "n")).alias("top"), F.count("*").alias("parts"))
+    whole = whole.filter((F.col("parts") > 1) & (F.col("size") > NEAR + 1))
+    whole = written(whole.select("near", F.col("top.root").alias("largest"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+                                 F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("lots")), "neighbourhoods")
+    members = written(own.drop("n").join(whole, "near"), "members")
+    block, lot = (F.pmod(F.xxhash64("node"), F.col(c)).cast("int") for c in ("blocks", "lots"))
+
+    def each(c: str):
+        return F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+
+    rows = members.select("near", block.alias("block"), each("lots").alias("lot"), "node", "root", "shingles")
+    strays = members.filter("root <> largest").select("near", each("blocks").alias("block"), lot.alias("lot"), "node", "root", "shingles")
 
     def meet(s: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[bytes, bytes]] = []
         if len(s) and len(m):
-            sig = np.frombuffer(b"".join(m["sig"]), dtype=np.uint16).reshape(len(m), HASHES)
+            held = [np.frombuffer(x, dtype=np.uint64) for x in m["shingles"]]
+            sizes = np.array([len(x) for x in held])
+            shingle, owner = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
+            order = np.argsort(shingle, kind="stable")
+            shingle, owner = shingle[order], owner[order]
             root, node = m["root"].to_numpy(), m["node"].to_numpy()
-            for n, r, one in zip(s["node"], s["root"], s["sig"]):
-                alike = (sig == np.frombuffer(one, dtype=np.uint16)).sum(axis=1)
-                hits = np.flatnonzero((alike >= least * HASHES) & (root != r))
-                if most is not None and len(hits) > most:
-                    hits = hits[np.argsort(-alike[hits], kind="stable")[:most]]
-                found += [(n, x) if n < x else (x, n) for x in node[hits]]
+            for n, r, x in zip(s["node"], s["root"], s["shingles"]):
+                x = np.frombuffer(x, dtype=np.uint64)
+                common = overlaps(x, shingle, owner, len(held))
+                hits = np.flatnonzero((100 * common >= percent * (len(x) + sizes - common)) & (root != r))
+                found += [(n, y) if n < y else (y, n) for y in {root[h]: node[h] for h in hits}.values()]
         return pd.DataFrame(found, columns=["a", "b"])
 
-    met = strays.groupBy("near", "block").cogroup(rows.groupBy("near", "block")).applyInPandas(meet, "a binary, b binary")
-    return met.distinct()
+    keys = ["near", "block", "lot"]
+    return strays.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(meet, "a binary, b binary").distinct()
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -352,11 +369,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     links = close.filter("link")
     roots = written(components(links), "roots")
     around = written(components(close).withColumnRenamed("root", "near"), "around")
-    for most in (FIRST, None):
-        pairs = written(untried(nodes, around, roots, percent, most), "untried")
-        if pairs.isEmpty():
-            break
-        roots = written(merged(roots, confirm(pairs, sets, percent).filter("link")), "roots")
+    roots = written(merged(roots, stray_links(sets, around, roots, percent)), "roots")
     grouped = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = written(grouped.join(ids, "root").select("node", "component_id"), "components")
