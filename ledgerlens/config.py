@@ -18,6 +18,9 @@ class Params:
     """Run parameters.  ``as_of`` replaces the wall-clock "today"."""
 
     as_of: _dt.date = _dt.date(2001, 8, 2)
+    # 03/04/2024 is the third of April: the exports come from shops that write
+    # the day first.  A text that has no such reading is tried month first.
+    day_first: bool = True
     dead_stock_days: int = 90
     low_margin_threshold: Decimal = Decimal("0.10")
     credit_risk_days: int = 15

@@ -20,20 +20,30 @@ from ledgerlens.functions.columns import ws_trim
 from ledgerlens.operators import mapping as MP
 from ledgerlens.sources import files
 
-# accepted date layouts, tried in order (day-first for the slashed forms)
-DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "dd-MM-yyyy", "yyyy/MM/dd", "dd.MM.yyyy")
-NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# accepted date layouts, tried in order; the two groups of numbers swap places
+# with ``Params.day_first``
+ISO_DATES = ("yyyy-M-d", "yyyy/M/d")
+DAY_FIRST = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy")
+MONTH_FIRST = ("M/d/yyyy", "M-d-yyyy", "M.d.yyyy")
+NAMED_MONTHS = ("d-MMM-yyyy", "d MMM yyyy", "MMM d yyyy", "d-MMMM-yyyy", "d MMMM yyyy", "MMMM d yyyy")
+TIME_OF_DAY = r"(?i)[T ]\s*\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[AP]M|[+-]\d{2}:?\d{2})?$"
 
 
-def parse_date(c: Column) -> Column:
-    return F.coalesce(*[F.try_to_date(c, f) for f in DATE_FORMATS])
+def parse_date(c: Column, day_first: bool = True) -> Column:
+    """The date of a text in any accepted layout, with or without a time of day
+    (which is cut off), else null."""
+    t = ws_trim(c)
+    t = F.when(t.contains(":"), F.regexp_replace(t, TIME_OF_DAY, "")).otherwise(t)
+    t = F.when(t.contains(", "), F.regexp_replace(t, ", ", " ")).otherwise(t)
+    numbers = (*DAY_FIRST, *MONTH_FIRST) if day_first else (*MONTH_FIRST, *DAY_FIRST)
+    return F.coalesce(*[F.try_to_date(t, f) for f in (*ISO_DATES, *numbers, *NAMED_MONTHS)])
 
 
 def clean_dates(df: DataFrame, col: str = "transaction_date", p: Params = DEFAULT,
                 drop_future: bool = True) -> DataFrame:
     """Lenient parse (unparseable -> null), rows dated after ``as_of`` removed
     (null dates pass), then written back as yyyy-MM-dd text."""
-    d = parse_date(F.col(col))
+    d = parse_date(F.col(col), p.day_first)
     out = df.withColumn(col, d)
     if drop_future:
         out = out.where(F.col(col).isNull() | (F.col(col) <= F.lit(p.as_of)))
@@ -42,7 +52,7 @@ def clean_dates(df: DataFrame, col: str = "transaction_date", p: Params = DEFAUL
 
 def to_number(c: Column) -> Column:
     """Rupee signs, digit-group commas and outer blanks stripped; anything
-    that is not a plain or exponent number (``NUMBER_PATTERN``) becomes null,
+    that is not a plain or exponent number becomes null,
     NaN included.  Instead of a regex per value: the text may hold only
     digits, sign, point and exponent letters, and ``try_cast`` rejects any
     arrangement of those that is not a number (so '12d' or 'NaN' never pass)."""
@@ -140,11 +150,12 @@ def clean_export(df: DataFrame, system: str | None = None, p: Params = DEFAULT,
     # once here instead of again inside every later filter (see ``rows``).
     typed = {}
     if "transaction_date" in mapped.columns:
-        d = parse_date(F.col("transaction_date"))
+        d = parse_date(F.col("transaction_date"), p.day_first)
+        typed["_unparsed"] = F.col("transaction_date").isNotNull() & d.isNull()
         typed["_future"] = F.coalesce(d > F.lit(p.as_of), F.lit(False))
         typed["transaction_date"] = F.date_format(d, "yyyy-MM-dd")
     else:
-        typed["_future"] = F.lit(False)
+        typed["_unparsed"] = typed["_future"] = F.lit(False)
     typed.update({c: to_number(F.col(c)) for c in C.NUMERIC_COLUMNS if c in mapped.columns})
     typed["_row_in_split"] = F.monotonically_increasing_id()
     mapped = mapped.withColumns(typed)
@@ -170,10 +181,14 @@ def quality_report(c: Cleaned) -> DataFrame:
     if {"cost_price", "unit_price"} <= set(t.columns):
         aggs.append(F.count_if(clean & F.col("cost_price").isNotNull()
                                & (F.col("cost_price") > F.col("unit_price"))).alias("cost_above_price"))
+    if "_unparsed" in t.columns:
+        aggs.append(F.count_if(live & F.col("_unparsed")).alias("unparsed_date"))
     aggs.append(F.count_if(clean).alias("final_rows"))
     one = t.agg(*aggs)
     names = [("future_date", "removed_before_validation"), ("input_rows", "counted")]
     names += [(n, a) for n, a, _ in checks]
+    if "unparsed_date" in one.columns:
+        names.append(("unparsed_date", "warned"))
     if "cost_above_price" in one.columns:
         names.append(("cost_above_price", "warned"))
     names += [("rows_removed", "counted"), ("final_rows", "counted")]

@@ -8,6 +8,8 @@ out so results are repeatable.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +17,7 @@ from ledgerlens.config import DEFAULT
 from ledgerlens.operators import alerts as A
 from ledgerlens.operators import marts as M
 from ledgerlens.operators import metrics as X
-from ledgerlens.plans.jobs import staging_from_fixture
+from ledgerlens.plans.jobs import shared_staging, staging_from_fixture
 from ledgerlens.sources import fixture
 
 P = DEFAULT
@@ -23,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _stg(spark, sf):
-    return staging_from_fixture(spark, sf, P)
+    return shared_staging(spark, sf, P)
 
 
 def _alerts(spark, sf):
@@ -59,11 +61,14 @@ def _alerts_missing_mart(spark, sf):
 
 
 def _digest_empty(spark, sf):
-    """A digest configured to list no alert (``alerts_per_type=0``) over the
-    whole tables: the no-alert text."""
-    from dataclasses import replace
-    p = replace(P, alerts_per_type=0)
-    return A.daily_digest(spark, A.balanced_alerts(_alerts(spark, sf), p), p)
+    """The digest of marts in which nothing reaches a threshold: the whole plan
+    runs over the tables and gives the no-alert text."""
+    p = replace(P, dead_stock_days=10 ** 6, credit_risk_days=10 ** 6, low_margin_threshold=Decimal(-10 ** 6))
+    stg = _stg(spark, sf)
+    none = A.all_alerts(A.credit_risk_alerts(M.credit_risk(stg, p, False), p, False),
+                        A.dead_stock_alerts(M.dead_stock(stg, p, False), p, False),
+                        A.low_margin_alerts(M.low_margin(stg, p, False), p, False))
+    return A.daily_digest(spark, A.balanced_alerts(none, p), p)
 
 
 CORE: dict[str, Query] = {
@@ -71,7 +76,7 @@ CORE: dict[str, Query] = {
     "alerts_missing_mart": _alerts_missing_mart,
     "daily_digest_empty": _digest_empty,
     "raw_sales": lambda s, sf: fixture.raw_sales(s, sf),
-    "staging": _stg,
+    "staging": lambda s, sf: staging_from_fixture(s, sf, P),
     "customer_metrics": lambda s, sf: X.customer_metrics(_stg(s, sf), P),
     "product_metrics": lambda s, sf: X.product_metrics(_stg(s, sf), P),
     "sales_enriched": lambda s, sf: X.enrich_sales(_stg(s, sf), P),

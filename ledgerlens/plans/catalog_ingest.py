@@ -56,31 +56,27 @@ def column_rename(spark, sf):
     return _data(MP.apply_columns(df, targets))
 
 
-def fuzzy_column_match(spark, sf):
-    """Headers spelled differently from the mapping: the export is written with
-    renamed headers and the match table is computed from what Spark reads."""
-    renamed = {"BillNo": "Bill No", "CustomerName": "customer name", "ItemName": "Item_Name",
-               "Qty": "Quantity", "DueDate": "Due Dt"}
-    path = exports.written_once(spark, ("fuzzy", sf), lambda p: files.write_csv(
-        exports.sales_export(spark, sf, "gofrugal").withColumnsRenamed(renamed), p))
-    cols = [c for c in files.read_csv(spark, path).columns if not c.startswith("_")]
-    _, rows, _ = MP.plan_columns(cols, "gofrugal")
-    return spark.createDataFrame(
-        [(r["universal"], r["expected"], r["matched"], r["score"]) for r in rows],
-        "universal string, expected string, matched string, score int")
+RENAMED = {"BillNo": "Bill No", "CustomerName": "customer name", "ItemName": "Item_Name", "Qty": "QTY"}
+
+
+def clean_sales_renamed(spark, sf):
+    """The export with headers spelled differently, matched fuzzily and cleaned."""
+    path = exports.written_once(spark, ("renamed", sf), lambda p: files.write_csv(
+        exports.sales_export(spark, sf, "gofrugal").withColumnsRenamed(RENAMED), p))
+    return CL.clean_export(files.read_csv(spark, path), "gofrugal", P).rows.drop("source_file")
 
 
 def missing_fields(spark, sf):
-    frames = []
-    for s in MP.SYSTEMS:
-        df = _read(spark, sf, s)
-        targets, _, _ = MP.plan_columns([c for c in df.columns if not c.startswith("_")], s)
-        present = {n for names in targets.values() for n in names}
-        frames.append(MP.missing_fields(spark, present).withColumn("system", F.lit(s)))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    """Required fields that no header of an export feeds, from the header lines
+    Spark reads out of all three exports' files (under last-wins collapse, so a
+    column feeds the last of its names)."""
+    paths = [exports.export_path(spark, sf, s) for s in MP.SYSTEMS]
+    heads = MP.headers_from_files(spark, paths).select(
+        F.regexp_extract("file", r"export-([a-z]+)-", 1).alias("system"), F.col("column").alias("source")).distinct()
+    last = MP.mapping_frame(spark).groupBy("system", "source").agg(F.max_by("universal", "entry_order").alias("field"))
+    fed = heads.join(last, ["system", "source"]).select("system", "field")
+    need = heads.select("system").distinct().select("system", F.posexplode(F.array(*map(F.lit, C.CLEANER_REQUIRED))).alias("ord", "field"))
+    return need.join(fed, ["system", "field"], "left_anti").select("ord", "field", "system")
 
 
 def _cleaned(spark, sf, collapse=True):
@@ -164,7 +160,7 @@ QUERIES = {
     "csv_scan_latin1": csv_scan_latin1,
     "detect_source": detect_source,
     "column_rename": column_rename,
-    "fuzzy_column_match": fuzzy_column_match,
+    "clean_sales_renamed": clean_sales_renamed,
     "missing_fields": missing_fields,
     "clean_numeric": clean_numeric,
     "clean_dates": clean_dates,
@@ -194,14 +190,19 @@ def _fields(currency: str = "₹") -> dict[str, str]:
 EXPORT_FIELDS = {
     "transaction_id": "CAST(o_orderkey AS VARCHAR)",
     "transaction_date": f"""CASE WHEN o_orderkey % 211 = 0 THEN NULL
+        WHEN o_orderkey % 223 = 0 THEN 'not a date'
         WHEN o_orderkey % 11 = 0 THEN strftime(CAST({_D} AS DATE), '%d/%m/%Y')
+        WHEN o_orderkey % 17 = 0 THEN CAST(CAST({_D} AS DATE) AS VARCHAR) || ' 10:30:00'
+        WHEN o_orderkey % 23 = 0 AND day(CAST({_D} AS DATE)) > 12 THEN strftime(CAST({_D} AS DATE), '%m/%d/%Y')
+        WHEN o_orderkey % 29 = 0 THEN strftime(CAST({_D} AS DATE), '%d-%b-%Y')
         ELSE CAST(CAST({_D} AS DATE) AS VARCHAR) END""",
     "customer_id": "'C' || CAST(c_custkey AS VARCHAR)",
     "customer_name": """CASE WHEN c_custkey % 97 = 0 THEN NULL
         WHEN c_custkey % 13 = 0 THEN chr(9) || c_name || chr(160)
         WHEN c_custkey % 19 = 0 THEN c_name || ' Café Müller' ELSE c_name END""",
     "product_id": "'P' || CAST(p_partkey AS VARCHAR)",
-    "product_name": "p_name || ' #' || CAST(p_partkey AS VARCHAR)",
+    "product_name": """p_name || ' #' || CAST(p_partkey AS VARCHAR)
+        || CASE WHEN p_partkey % 31 = 0 THEN ' 2" steel, long' ELSE '' END""",
     "quantity": "CASE WHEN o_orderkey % 89 = 0 THEN '0' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END",
     "unit_price": f"""CASE WHEN o_orderkey % 83 = 0 THEN 'abc'
         WHEN o_orderkey % 7 = 0 THEN '₹' || format('{{:,.2f}}', CAST({_PRICE} AS DOUBLE))
@@ -228,7 +229,7 @@ def export_sql(system: str = "gofrugal", currency: str = "₹") -> str:
             "JOIN part ON l_partkey = p_partkey")
 
 
-_DATE_FMTS = ("%Y-%m-%d", "%d/%m/%Y", "%d-%m-%Y", "%Y/%m/%d", "%d.%m.%Y")
+_DATE_FMTS = ("%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%d/%m/%Y", "%m/%d/%Y", "%d-%b-%Y")
 _WSCH = "'" + C.UNICODE_WHITESPACE + "'"
 
 
@@ -261,7 +262,9 @@ def _mapped(collapse: bool = True, system: str = "gofrugal") -> str:
                 expr = f'"{src}"'
             sel.append(f"{expr} AS {u}")
     fut = f"coalesce({_parse_date(chr(34) + m['transaction_date'] + chr(34))} > {AS_OF}, false)"
-    return f"SELECT {', '.join(sel)}, {fut} AS _future, _k1, _k2, _k3, _k4, _k5 FROM export"
+    text = chr(34) + m['transaction_date'] + chr(34)
+    bad = f"({text} IS NOT NULL AND {_parse_date(text)} IS NULL)"
+    return f"SELECT {', '.join(sel)}, {fut} AS _future, {bad} AS _unparsed, _k1, _k2, _k3, _k4, _k5 FROM export"
 
 
 _REQ_COLLAPSE = [f for f in C.CLEANER_REQUIRED if f != "transaction_id"]
@@ -287,7 +290,7 @@ def _report_sql() -> str:
            ("input_rows", "counted", "count_if(NOT _future)")]
     agg += [(c, "removed", f"count_if(NOT _future AND dq_check = '{c}')") for c in checks]
     clean = "NOT _future AND dq_check IS NULL"
-    agg += [("cost_above_price", "warned",
+    agg += [("unparsed_date", "warned", "count_if(NOT _future AND _unparsed)"), ("cost_above_price", "warned",
              f"count_if({clean} AND cost_price IS NOT NULL AND cost_price > unit_price)"),
             ("rows_removed", "counted", f"count_if(NOT _future) - count_if({clean})"),
             ("final_rows", "counted", f"count_if({clean})")]
@@ -388,6 +391,7 @@ ORACLE = {
                           "FROM mapped WHERE NOT _future) t WHERE rn = 1"),
     "dq_filter": with_(_BASE + [("tagged", _TAGGED)], "SELECT invoice_number, product_id, dq_check FROM tagged"),
     "clean_sales": with_(_BASE + [("tagged", _TAGGED)], f"SELECT {_CLEAN_COLS} FROM tagged WHERE dq_check IS NULL"),
+    "clean_sales_renamed": with_(_BASE + [("tagged", _TAGGED)], f"SELECT {_CLEAN_COLS} FROM tagged WHERE dq_check IS NULL"),
     "dq_report": _report_sql(),
     "staging_tally": _export_staging_sql("tally", True),
     "staging_kaggle": _export_staging_sql("kaggle", False),

@@ -15,7 +15,7 @@ from ledgerlens.operators.metrics import SUM_MONEY
 from ledgerlens.operators.staging import customer_name_of, product_name_of
 from ledgerlens.plans import oracle as O
 from ledgerlens.plans.catalog import _balanced, _stg
-from ledgerlens.session import shared_path
+from ledgerlens.session import session_key, shared_path
 from ledgerlens.sources import files, fixture
 
 P = DEFAULT
@@ -224,7 +224,7 @@ _INV_CACHE: dict = {}
 def inventory_mapping(s, sf):
     """Inventory exports in two layouts, written from the snapshot, read back,
     detected (inventory mappings) and renamed to the universal names."""
-    key = (id(s), sf)
+    key = session_key(s, sf)
     if key not in _INV_CACHE:
         inv = fixture.inventory_snapshot(s, sf, P)
         paths = {}

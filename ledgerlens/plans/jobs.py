@@ -17,7 +17,7 @@ from ledgerlens.config import DEFAULT, Params
 from ledgerlens.operators import alerts as A
 from ledgerlens.operators import marts as M
 from ledgerlens.operators.staging import stage_sales
-from ledgerlens.session import shared_path
+from ledgerlens.session import session_key, shared_path
 from ledgerlens.sources import fixture
 
 
@@ -56,14 +56,26 @@ def share(spark: SparkSession, df: DataFrame, materialize: str | None,
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        return spark.read.parquet(path).select(*df.columns)
+        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
     if materialize == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     return df
 
 
+_STAGED: dict[tuple, DataFrame] = {}
+
+
+def shared_staging(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+    """Staging of the test tables, written once per application, table folder and
+    parameters, partitioned by month; every query after the first reads it."""
+    key = session_key(spark, sf_dir.rstrip("/"), p)
+    if key not in _STAGED:
+        _STAGED[key] = share(spark, staging_from_fixture(spark, sf_dir, p), "table", STAGING_PARTITIONS)
+    return _STAGED[key]
+
+
 def build_marts(spark: SparkSession, raw: DataFrame, p: Params = DEFAULT,
-                materialize: str | None = "persist", with_created_at: bool = True) -> Marts:
+                materialize: str | None = "table", with_created_at: bool = True) -> Marts:
     stg = share(spark, stage_sales(raw, p, with_loaded_at=False), materialize, STAGING_PARTITIONS)
     return Marts(
         staging=stg,
@@ -110,7 +122,7 @@ def clean_csv(spark: SparkSession, input_path: str, output_path: str, system: st
     return cleaned.system, CL.quality_report(cleaned), files.read_csv(spark, output_path, "UTF-8")
 
 
-def run(spark: SparkSession, raw: DataFrame, p: Params = DEFAULT, materialize: str | None = "persist") -> DataFrame:
+def run(spark: SparkSession, raw: DataFrame, p: Params = DEFAULT, materialize: str | None = "table") -> DataFrame:
     """Raw sales -> one-row digest table."""
     m = build_marts(spark, raw, p, materialize)
     balanced = A.balanced_alerts(alerts_from_marts(spark, m, p), p)

@@ -17,6 +17,7 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.sql.legacy.javaCharsets": "true",  # windows-1252 exports
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -45,10 +46,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets this to a shared filesystem; we only set
-    our own when it is unset (local runs and tests)."""
+    On a cluster the operator sets this to a shared filesystem; an own folder is
+    made only on a local master (tests), as executors of a cluster do not share
+    the driver's disk."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         d = os.environ.get("LEDGERLENS_CHECKPOINT_DIR") or f"/tmp/ledgerlens-ckpt-{uuid.uuid4().hex[:8]}"
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -60,3 +65,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def session_key(spark: SparkSession, *parts) -> tuple:
+    """Key of something written once per application (an object's id could be
+    taken again by a later session)."""
+    return (spark.sparkContext.applicationId, *parts)

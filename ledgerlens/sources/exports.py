@@ -14,13 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
-from ledgerlens.session import shared_path
+from ledgerlens.session import session_key, shared_path
 from ledgerlens.sources import files, fixture
-from ledgerlens.sources.fixture import product_key, spread, table
+from ledgerlens.sources.fixture import product_key, table
 
 # Fixed values of the export dirt (all keyed on order / customer / part keys)
 DAY_FIRST_MOD = 11      # date written dd/MM/yyyy
 NO_DATE_MOD = 211       # date left empty
+BAD_DATE_MOD = 223      # date text that is not a date
+TIMED_MOD = 17          # date written with a time of day
+MONTH_FIRST_MOD = 23    # date written MM/dd/yyyy (where it cannot be read day first)
+NAMED_MOD = 29          # date written dd-MMM-yyyy
+QUOTED_MOD = 31         # product name with a quote and a comma (part key)
 RUPEE_MOD = 7           # price written with rupee sign and digit groups
 BAD_PRICE_MOD = 83      # price text that is not a number
 ZERO_QTY_MOD = 89       # quantity written as 0
@@ -33,18 +38,9 @@ _CACHE: dict[tuple, str] = {}
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"),
-        fixture.table_files(spark, sf_dir, "lineitem")[0], "l_orderkey")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
-    limit = fixture.broadcast_limit(spark)
-    small = limit > 0 and max(fixture.table_bytes(spark, sf_dir, "orders"),
-                              fixture.table_bytes(spark, sf_dir, "customer")) <= limit
-    if small:           # each dimension broadcast into the lines (see fixture.raw_sales_from)
-        return (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-                  .join(p, li.l_partkey == p.p_partkey))
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    o, c, p = fixture.dimensions(spark, sf_dir)
     oc = o.join(c, o.o_custkey == c.c_custkey)
     return li.join(oc, li.l_orderkey == oc.o_orderkey).join(p, li.l_partkey == p.p_partkey)
 
@@ -58,7 +54,11 @@ def sales_export(spark: SparkSession, sf_dir: str, system: str = "gofrugal", cur
     d = F.col("o_orderdate").cast("date")
     d = F.when(ok % FUTURE_MOD == 0, F.date_add(d, 400)).otherwise(d)
     date_txt = (F.when(ok % NO_DATE_MOD == 0, F.lit(None).cast("string"))
+                 .when(ok % BAD_DATE_MOD == 0, F.lit("not a date"))
                  .when(ok % DAY_FIRST_MOD == 0, F.date_format(d, "dd/MM/yyyy"))
+                 .when(ok % TIMED_MOD == 0, F.concat(d.cast("string"), F.lit(" 10:30:00")))
+                 .when((ok % MONTH_FIRST_MOD == 0) & (F.dayofmonth(d) > 12), F.date_format(d, "MM/dd/yyyy"))
+                 .when(ok % NAMED_MOD == 0, F.date_format(d, "dd-MMM-yyyy"))
                  .otherwise(d.cast("string")))
     cents = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("bigint")
     price = (cents * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
@@ -84,7 +84,9 @@ def sales_export(spark: SparkSession, sf_dir: str, system: str = "gofrugal", cur
         "customer_id": F.concat(F.lit("C"), ck.cast("string")),
         "customer_name": name,
         "product_id": F.concat(F.lit("P"), F.col("p_partkey").cast("string")),
-        "product_name": product_key(F.col("p_name"), F.col("p_partkey")),
+        "product_name": F.when(F.col("p_partkey") % QUOTED_MOD == 0,
+                               F.concat(product_key(F.col("p_name"), F.col("p_partkey")), F.lit(' 2" steel, long')))
+                         .otherwise(product_key(F.col("p_name"), F.col("p_partkey"))),
         "quantity": qty_txt,
         "unit_price": price_txt,
         "cost_price": cost,
@@ -109,7 +111,7 @@ def sales_export(spark: SparkSession, sf_dir: str, system: str = "gofrugal", cur
 
 def written_once(spark: SparkSession, key: tuple, write) -> str:
     """Path of a file set written once per session and key; ``write(path)`` writes it."""
-    full = (id(spark),) + key
+    full = session_key(spark, *key)
     if full not in _CACHE:
         path = shared_path(spark, "-".join(str(k) for k in ("export",) + key[:1]))
         write(path)

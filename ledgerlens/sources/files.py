@@ -33,14 +33,16 @@ def probe_encoding(spark: SparkSession, path: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, encoding: str | None = None,
-             with_lineage: bool = False) -> DataFrame:
+             with_lineage: bool = False, multiline: bool = False) -> DataFrame:
     """Header row, every column as string (no inference pass), common
-    'no value' texts as null.  ``encoding=None`` probes the files first."""
+    'no value' texts as null; a quote inside a quoted value is doubled.
+    ``encoding=None`` probes the files first.  ``multiline`` allows line breaks
+    inside quoted values; a file is then read by one task, so it is off unless
+    asked for."""
     enc = encoding or probe_encoding(spark, path)
-    if enc.lower() in ("windows-1252", "cp1252"):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     df = (spark.read.option("header", True).option("inferSchema", False)
-               .option("encoding", enc).option("multiLine", False)
+               .option("encoding", enc).option("multiLine", multiline)
+               .option("quote", '"').option("escape", '"')
                .option("mode", "PERMISSIVE").csv(path))
     df = df.select(*[F.when(F.col(f"`{c}`").isin(*NULL_TEXTS), F.lit(None)).otherwise(F.col(f"`{c}`"))
                      .alias(c) for c in df.columns],
@@ -54,18 +56,9 @@ def read_csv(spark: SparkSession, path: str, encoding: str | None = None,
     return df.withColumn("loaded_at", F.current_timestamp())
 
 
-def file_order_columns():
-    return [F.col("_file_path"), F.col("_block_start"), F.col("_row_in_split")]
-
-
-def drop_file_columns(df: DataFrame) -> DataFrame:
-    return df.drop("_file_path", "_block_start", "_row_in_split")
-
-
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", mode: str = "overwrite") -> str:
     """Directory of CSV part files with a header row, no index column."""
-    if encoding.lower() in ("windows-1252", "cp1252"):
-        df.sparkSession.conf.set("spark.sql.legacy.javaCharsets", "true")
     (df.write.mode(mode).option("header", True).option("encoding", encoding)
+       .option("quote", '"').option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path

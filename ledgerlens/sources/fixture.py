@@ -29,17 +29,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, n_files: int, *keys: str) -> DataFrame:
-    """Hash-spread a scan of fewer files than half the cluster's cores (a
-    single-row-group file reads as one task, and everything up to the first
-    shuffle would run in it).  Large inputs have many files and are left
-    alone, so this never adds a shuffle at scale."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if n_files * 2 <= want:
-        return df.repartition(want, *keys)
-    return df
-
-
 def product_key(p_name, p_partkey):
     return F.concat(p_name, F.lit(" #"), p_partkey.cast("string"))
 
@@ -54,62 +43,20 @@ def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return o, c, p
 
 
-_LISTING: dict[tuple, tuple[int, int]] = {}
-
-
-def table_files(spark: SparkSession, sf_dir: str, name: str) -> tuple[int, int]:
-    """(files, bytes) of a table, from one aggregate over the file listing (the
-    binaryFile source reads no content when only ``length`` is used); only two
-    numbers reach the driver, never the list.  Memoized per session."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    if key not in _LISTING:
-        listing = spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        row = listing.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b")).first()
-        _LISTING[key] = (int(row["n"] or 0), int(row["b"] or 0))
-    return _LISTING[key]
-
-
-def table_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
-    return table_files(spark, sf_dir, name)[1]
-
+def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw sale line per lineitem row, columns as a sales export has them."""
+    return raw_sales_from(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), *dimensions(spark, sf_dir))
 
-def broadcast_limit(spark: SparkSession) -> int:
-    """The planner's broadcast threshold in bytes (-1: broadcasts disabled)."""
-    v = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for u in sorted(units, key=len, reverse=True):
-        if v.endswith(u):
-            return int(float(v[: -len(u)]) * units[u])
-    return int(v)
 
+def raw_sales_from(li: DataFrame, o: DataFrame, c: DataFrame, p: DataFrame, extra=()) -> DataFrame:
+    """The raw-sales projection over order lines joined to orders, customers and
+    parts.
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw sale line per lineitem row, columns as a sales export has them."""
-    li = spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), table_files(spark, sf_dir, "lineitem")[0],
-                "l_orderkey")
-    limit = broadcast_limit(spark)
-    small = limit > 0 and max(table_bytes(spark, sf_dir, "orders"), table_bytes(spark, sf_dir, "customer")) <= limit
-    return raw_sales_from(li, *dimensions(spark, sf_dir), orders_first=not small)
-
-
-def raw_sales_from(li: DataFrame, o: DataFrame, c: DataFrame, p: DataFrame, extra=(),
-                   orders_first: bool = True) -> DataFrame:
-    """The raw-sales projection over order lines (batch or streaming) joined to
-    orders, customers and parts (static tables).
-
-    ``orders_first``: customers are joined to orders before the lines.  When
-    neither table can be broadcast, that shuffles the order rows (about a
-    quarter of the lines) by customer instead of the joined line rows, saving a
-    line-level shuffle.  When both are under the broadcast threshold (checked
-    on their file sizes by the caller), joining them one by one to the lines
-    lets the planner broadcast each; a joined pair would not be, as Spark
-    estimates a join's size as the product of its inputs."""
-    if orders_first:
-        oc = o.join(c, o.o_custkey == c.c_custkey)
-        j = li.join(oc, li.l_orderkey == oc.o_orderkey)
-    else:
-        j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-    j = j.join(p, li.l_partkey == p.p_partkey)
+    Customers are joined to orders before the lines: where nothing is small
+    enough to broadcast, that shuffles the order rows (about a quarter of the
+    lines) by customer instead of the joined line rows."""
+    oc = o.join(c, o.o_custkey == c.c_custkey)
+    j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     d = F.col("o_orderdate").cast("date")
     cents = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("bigint")
     cent = F.lit(Decimal("0.01"))

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.config import Params
@@ -141,3 +142,32 @@ def test_fuzzy_scores_of_known_hazards():
              ("Bill No", "BillNo", 92), ("customer name", "CustomerName", 96)]
     for a, b, want in cases:
         assert MP.token_sort_ratio(a, b) == want, (a, b)
+
+
+@pytest.mark.parametrize("text, day_first, want", [
+    ("2024-01-15", True, "2024-01-15"), ("2024-01-15 10:30:00", True, "2024-01-15"), ("2024-01-15T10:30:00", True, "2024-01-15"),
+    ("2/24/2003 0:00", True, "2003-02-24"), ("02/24/2003", True, "2003-02-24"), ("15-Jan-2024", True, "2024-01-15"),
+    ("Jan 15, 2024", True, "2024-01-15"), ("15 January 2024", True, "2024-01-15"), ("03/04/2024", True, "2024-04-03"),
+    ("03/04/2024", False, "2024-03-04"), ("24/02/2003", False, "2003-02-24"), ("1.2.2024 11:59 PM", True, "2024-02-01"),
+    ("not a date", True, None), ("2024-13-45", True, None), ("", True, None)])
+def test_date_layouts(spark, text, day_first, want):
+    got = spark.createDataFrame([(text,)], "d string").select(CL.parse_date(F.col("d"), day_first).cast("string")).first()[0]
+    assert got == want
+
+
+def test_doubled_quotes_commas_and_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('BillNo,ItemName,Qty\n1,"Pipe 2"" steel, long",3\n2,"two\nlines",4\n')
+    rows = files.read_csv(spark, str(tmp_path), multiline=True).select("BillNo", "ItemName", "Qty").collect()
+    assert [tuple(r) for r in rows] == [("1", 'Pipe 2" steel, long', "3"), ("2", "two\nlines", "4")]
+    back = files.read_csv(spark, files.write_csv(spark.createDataFrame(rows[:1]), str(tmp_path / "out")))
+    assert back.select("ItemName").first()[0] == 'Pipe 2" steel, long'
+
+
+def test_every_key_scans_a_file(spark, sf):
+    import re
+
+    import __spark_entry__ as E
+    from ledgerlens.plans import catalog
+    for key in catalog.queries():
+        plan = E.queries()[key](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"Relation \[|Relation\[|FileScan|LogicalRelation|Relation ", plan), key
