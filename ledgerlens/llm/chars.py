@@ -10,9 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-CHUNK = 2_000_000  # characters turned into arrays at a time: bounds a task's memory
+CHUNK = 500_000  # characters turned into arrays at a time, and
+ROWS = 2_000  # texts turned into Python strings at a time: bounds a task's memory
 POINTS = 0x110000
 _SPACE = re.compile(r"\s")
 
@@ -73,15 +74,24 @@ def byte_chunks(texts: list[str | None], limit: int = CHUNK) -> Iterator[tuple[l
         yield rows, np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8), _starts(raw)
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ROWS rows."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def map_texts(docs: DataFrame, text_col: str, keep: list[str], fn: Callable[[list[str | None]], list[pa.Array]], fields: StructType) -> DataFrame:
     """``keep`` columns as the struct ``doc``, followed by ``fn``'s columns for
     each row's whole text.  The struct keeps names of extra columns apart."""
     doc = docs.select(*(F.col(f"`{c}`") for c in keep)).schema
-    slim = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    inside = text_col in keep and isinstance(docs.schema[text_col].dataType, StringType)  # then it is sent once
+    text = [] if inside else [F.col(text_col).cast("string").alias("text")]
+    slim = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("doc"), *text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = fn(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), *made], names=["doc", *fields.names])
+        for batch in sliced(batches):
+            texts = batch.column("doc").field(keep.index(text_col)) if inside else batch.column("text")
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), *fn(texts.to_pylist())], names=["doc", *fields.names])
 
     return slim.mapInArrow(run, StructType([StructField("doc", doc), *fields.fields]))

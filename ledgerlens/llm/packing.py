@@ -36,7 +36,7 @@ from ledgerlens.llm.common import written
 WIDTH, END = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
 BUCKETS = 256
-MOST_WORDS = 300_000  # entries of a worker's cache of word -> ids
+MOST_WORDS = 200_000  # entries of a worker's cache of word -> ids
 # Texts of these characters only: lower-casing and Unicode normalisation are the
 # same in Python as in the tokenizer.  Other texts go through the tokenizer whole.
 PLAIN = r"[\t\n\r\x20-\x7e¡-¬®-ÿŒœŸ–—‘-„…€]*"
