@@ -59,7 +59,8 @@ def test_spelled_out_and_punctuated_words_are_one():
 
 def test_held_out_documents_are_told_apart(spark):
     sf = "/root/testdata/sf0.01"
-    got = queries.op1_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").toPandas()
+    more = spark.read.parquet(f"{sf}/labels.parquet").join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    got = queries.op1_toxicity(spark, sf).join(more, "doc_id").toPandas()
     assert (got.held_out == [zlib.crc32(str(i).encode()) % 4 == 2 for i in got.doc_id]).all()
     assert got.score.between(0, 1).all() and ((got.score >= 0.3).astype(int) == got.predicted).all()
     toxic, clean = got[got.toxic == 1], got[got.toxic == 0]
