@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerlens.llm import fingerprints, langid, mixing, neardup, packing, pii, secrets, topk, toxicity, urlfilter
+from ledgerlens.llm import fingerprints, langid, mixing, neardup, oracle, packing, pii, secrets, topk, toxicity, urlfilter
 from ledgerlens.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +31,7 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.link(table(spark, sf_dir, "documents"), width=2).drop("node")
+    return neardup.link(table(spark, sf_dir, "documents"), width=2).drop("node", "root")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,24 +63,12 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
-ORACLE_10 = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
-)
-SELECT query_id, rank::INTEGER AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
-"""
-
-
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-OPERATORS = (op1_toxicity, op2_packing, op3_fingerprints, op4_near_duplicates, op5_mixing, op6_url_filter, op7_secrets, op8_language, op9_personal_data, op10_topk_search)
+OPERATORS = (op1_toxicity, op2_packing, op3_fingerprints, op4_near_duplicates, op5_mixing, op6_url_filter, op7_secrets, op8_language,
+             op9_personal_data, op10_topk_search)
 
 
 def queries() -> dict[str, Query]:
@@ -88,4 +76,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_topk_search": ORACLE_10}
+    return {"op4_near_duplicates": oracle.NEAR_DUPLICATES, "op7_secrets": oracle.SECRETS, "op10_topk_search": oracle.TOP_K}
