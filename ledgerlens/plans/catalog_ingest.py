@@ -11,6 +11,7 @@ from ledgerlens import config as C
 from ledgerlens.config import DEFAULT
 from ledgerlens.operators import cleaning as CL
 from ledgerlens.operators import mapping as MP
+from ledgerlens.plans import jobs
 from ledgerlens.plans.oracle import AS_OF, with_
 from ledgerlens.session import shared_path
 from ledgerlens.sources import exports, files, tables
@@ -79,6 +80,20 @@ def missing_fields(spark, sf):
     return need.join(fed, ["system", "field"], "left_anti").select("ord", "field", "system")
 
 
+MIXED = (("gofrugal", "UTF-8", "₹"), ("tally", "windows-1252", ""), ("kaggle", "UTF-8", "₹"))
+MIXED_COLUMNS = ("system", "transaction_id", "customer_name", "product_name", "quantity", "total_amount")
+
+
+def clean_mixed_folder(spark, sf):
+    """One landing folder with the exports of three systems in two encodings."""
+    def write(path: str) -> None:
+        for system, encoding, currency in MIXED:
+            files.write_csv(exports.sales_export(spark, sf, system, currency), f"{path}/{system}", encoding=encoding)
+
+    path = exports.written_once(spark, ("mixed", sf), write)
+    return jobs.clean_folder(spark, path, P, collapse=False)[1].select(*MIXED_COLUMNS)
+
+
 def _cleaned(spark, sf, collapse=True):
     return CL.clean_export(_read(spark, sf), "gofrugal", P, collapse=collapse)
 
@@ -116,7 +131,8 @@ def dq_report(spark, sf):
 
 def lineage_columns(spark, sf):
     c = CL.clean_export(files.read_csv(spark, exports.export_path(spark, sf), with_lineage=True), "gofrugal", P)
-    return c.rows.select("invoice_number", "source_file", "loaded_at")
+    return c.rows.select("invoice_number", F.col("source_file").endswith(".csv").alias("from_csv"),
+                         F.col("loaded_at").isNotNull().alias("stamped"))
 
 
 def load_replace_append(spark, sf, name: str = "ll_sales_raw"):
@@ -129,8 +145,12 @@ def load_replace_append(spark, sf, name: str = "ll_sales_raw"):
 
 
 def table_preview(spark, sf):
+    """Five rows of a loaded table, whichever they are: how many there are, and
+    how many of them the table holds."""
     load_replace_append(spark, sf, "ll_sales_preview")
-    return tables.preview(spark, "ll_sales_preview", 5)
+    some = tables.preview(spark, "ll_sales_preview", 5)
+    shown = some.agg(F.count("*").alias("rows_shown"))
+    return shown.withColumn("all_held", F.lit(some.exceptAll(spark.table("ll_sales_preview")).isEmpty()))
 
 
 def staging_kaggle(spark, sf):
@@ -161,6 +181,7 @@ QUERIES = {
     "detect_source": detect_source,
     "column_rename": column_rename,
     "clean_sales_renamed": clean_sales_renamed,
+    "clean_mixed_folder": clean_mixed_folder,
     "missing_fields": missing_fields,
     "clean_numeric": clean_numeric,
     "clean_dates": clean_dates,
@@ -374,7 +395,20 @@ def _export_staging_sql(system: str, collapse: bool) -> str:
                   ("raw", raw), ("stg", O.STG)], "SELECT * FROM stg")
 
 
+def _mixed_sql() -> str:
+    parts = []
+    for system, _, currency in MIXED:
+        req = [f for f in C.CLEANER_REQUIRED if f in C.ERP_MAPPINGS[system]["sales_transactions"]]
+        tagged = (f"SELECT *, {_tag(req, True)} AS dq_check FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id "
+                  "ORDER BY _k1, _k2, _k3, _k4, _k5) = 1 AS _is_first FROM mapped WHERE NOT _future) t")
+        one = with_([("export", export_sql(system, currency)), ("mapped", _mapped(False, system)), ("tagged", tagged)],
+                    f"SELECT '{system}' AS {', '.join(MIXED_COLUMNS)} FROM tagged WHERE dq_check IS NULL")
+        parts.append(f"SELECT * FROM ({one}) AS {system}")
+    return " UNION ALL ".join(parts)
+
+
 ORACLE = {
+    "clean_mixed_folder": _mixed_sql(),
     "csv_scan": with_([("export", export_sql())], f"SELECT {_export_cols()} FROM export"),
     "csv_scan_encoding": with_([("export", export_sql(currency=""))], f"SELECT {_export_cols()} FROM export"),
     "csv_scan_latin1": with_([("export", export_sql(currency=""))], f"SELECT {_export_cols()} FROM export"),
@@ -395,6 +429,9 @@ ORACLE = {
     "dq_report": _report_sql(),
     "staging_tally": _export_staging_sql("tally", True),
     "staging_kaggle": _export_staging_sql("kaggle", False),
+    "lineage_columns": with_(_BASE + [("tagged", _TAGGED)], "SELECT invoice_number, true AS from_csv, true AS stamped FROM tagged WHERE dq_check IS NULL"),
+    "table_preview": with_(_BASE + [("tagged", _TAGGED)],
+                           "SELECT least(5, 2 * count(*))::BIGINT AS rows_shown, true AS all_held FROM tagged WHERE dq_check IS NULL"),
     "load_replace_append": with_(_BASE + [("tagged", _TAGGED)],
                                  f"SELECT {_CLEAN_COLS}, true AS load_ok FROM tagged WHERE dq_check IS NULL "
                                  f"UNION ALL SELECT {_CLEAN_COLS}, true FROM tagged WHERE dq_check IS NULL"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ledgerlens.config import DEFAULT, Params
@@ -122,6 +123,26 @@ def clean_csv(spark: SparkSession, input_path: str, output_path: str, system: st
     return cleaned.system, CL.quality_report(cleaned), files.read_csv(spark, output_path, "UTF-8")
 
 
+def clean_folder(spark: SparkSession, input_path, p: Params = DEFAULT, collapse: bool = True) -> tuple[DataFrame, DataFrame]:
+    """A landing folder with files of several systems, headers and encodings ->
+    (report, clean rows).  Every kind of file is read, detected, mapped and checked
+    on its own (duplicates are judged among the files of one kind), then the rows
+    are put together by name with their ``system``."""
+    from ledgerlens.operators import cleaning as CL
+    from ledgerlens.sources import files
+    rows, reports = [], []
+    for n, (_, df) in enumerate(files.read_folder(spark, input_path)):
+        cleaned = CL.clean_export(df, None, p, collapse=collapse)
+        rows.append(cleaned.rows.withColumn("system", F.lit(cleaned.system)))
+        reports.append(CL.quality_report(cleaned).withColumns({"system": F.lit(cleaned.system), "kind": F.lit(n)}))
+    if not rows:
+        raise ValueError(f"no file with a header under {input_path}")
+    report, clean = reports[0], rows[0]
+    for r, c in zip(reports[1:], rows[1:]):
+        report, clean = report.unionByName(r), clean.unionByName(c, allowMissingColumns=True)
+    return report, clean
+
+
 def run(spark: SparkSession, raw: DataFrame, p: Params = DEFAULT, materialize: str | None = "table") -> DataFrame:
     """Raw sales -> one-row digest table."""
     m = build_marts(spark, raw, p, materialize)

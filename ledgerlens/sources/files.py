@@ -2,8 +2,8 @@
 
 Spark never fails on bad UTF-8 (it substitutes U+FFFD), so the encoding
 fallback is decided by a distributed probe instead of by a decode error:
-one aggregate over the raw lines tells whether the bytes are valid UTF-8,
-and, if not, whether they hold a byte windows-1252 leaves undefined.
+one aggregate over the raw lines tells for every file whether its bytes are
+valid UTF-8, and, if not, whether they hold a byte windows-1252 leaves undefined.
 """
 
 from __future__ import annotations
@@ -19,20 +19,43 @@ NULL_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-na
               "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def probe_encoding(spark: SparkSession, path: str) -> str:
-    """'UTF-8', 'windows-1252' or 'ISO-8859-1' for the files under ``path``."""
-    lines = spark.read.text(path)
-    ok = lines.agg(F.min(F.is_valid_utf8("value")).alias("ok")).first()["ok"]
-    if ok is None or ok:
-        return "UTF-8"
-    # the text source keeps the raw bytes: look for an undefined byte at an
-    # even offset of the line's hex form
+def scan_files(spark: SparkSession, path) -> DataFrame:
+    """(file, encoding, header): what one pass over the text
+    tells about every file under ``path``: its encoding ('UTF-8', 'windows-1252'
+    or 'ISO-8859-1') and its first line."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"), "value", F.is_valid_utf8("value").alias("ok"))
+    # the text source keeps the raw bytes: look for an undefined byte at an even
+    # offset of the hex form of the lines that are not UTF-8
     pattern = "^(?:[0-9A-F]{2})*?(?:" + "|".join(CP1252_UNDEFINED) + ")"
-    bad = lines.agg(F.max(F.hex(F.col("value").cast("binary")).rlike(pattern)).alias("bad")).first()["bad"]
-    return "ISO-8859-1" if bad else "windows-1252"
+    bad = ~F.col("ok") & F.hex(F.col("value").cast("binary")).rlike(pattern)
+    per = lines.groupBy("file").agg(
+        F.min("ok").alias("ok"), F.max(F.when(~F.col("ok"), bad)).alias("bad"),
+        F.min_by(F.when(F.col("block") == 0, F.col("value")), F.when(F.col("block") == 0, F.col("pos"))).alias("header"))
+    encoding = F.when(F.col("ok"), "UTF-8").when(F.col("bad"), "ISO-8859-1").otherwise("windows-1252")
+    return per.select("file", encoding.alias("encoding"), "header")
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str | None = None,
+def probe_encoding(spark: SparkSession, path) -> str:
+    """The one encoding that reads all files under ``path``."""
+    found = {r[0] for r in scan_files(spark, path).select("encoding").distinct().collect()}
+    return next((e for e in ("ISO-8859-1", "windows-1252") if e in found), "UTF-8")
+
+
+def read_folder(spark: SparkSession, path, with_lineage: bool = False, multiline: bool = False) -> list[tuple[str, DataFrame]]:
+    """(header, rows) for every kind of file under ``path``: files of one encoding
+    and one header line are read together, each kind with its own columns.  The
+    file names (metadata) and the headers reach the driver."""
+    kinds: dict[tuple[str, str], list[str]] = {}
+    for r in scan_files(spark, path).collect():
+        if r["header"] is not None:
+            kinds.setdefault((r["encoding"], r["header"]), []).append(r["file"])
+    return [(header, read_csv(spark, sorted(names), encoding, with_lineage, multiline))
+            for (encoding, header), names in sorted(kinds.items())]
+
+
+def read_csv(spark: SparkSession, path, encoding: str | None = None,
              with_lineage: bool = False, multiline: bool = False) -> DataFrame:
     """Header row, every column as string (no inference pass), common
     'no value' texts as null; a quote inside a quoted value is doubled.

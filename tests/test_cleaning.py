@@ -171,3 +171,14 @@ def test_every_key_scans_a_file(spark, sf):
     for key in catalog.queries():
         plan = E.queries()[key](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
         assert re.search(r"Relation \[|Relation\[|FileScan|LogicalRelation|Relation ", plan), key
+
+
+def test_a_folder_of_mixed_files_reads_each_by_its_own_header_and_encoding(spark, tmp_path):
+    from ledgerlens.plans import jobs
+    head = "BillNo,BillDate,CustomerCode,CustomerName,ItemCode,ItemName,{},Amount\n"
+    (tmp_path / "a.csv").write_bytes((head.format("Qty,Rate") + "1,2024-01-02,C1,Café,P1,Pipe,3,10,30\n").encode("utf-8"))
+    (tmp_path / "b.csv").write_bytes((head.format("Rate,Qty") + "2,2024-01-03,C2,Müller,P2,Pipe,10,4,40\n").encode("cp1252"))
+    (tmp_path / "c.csv").write_text("")
+    _, rows = jobs.clean_folder(spark, str(tmp_path), Params(as_of=dt.date(2024, 6, 30)))
+    got = {r["customer_name"]: (r["quantity"], r["unit_price"], r["system"]) for r in rows.collect()}
+    assert got == {"Café": (3.0, 10.0, "gofrugal"), "Müller": (4.0, 10.0, "gofrugal")}
