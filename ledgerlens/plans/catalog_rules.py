@@ -282,13 +282,13 @@ QUERIES = {
 AS_OF = O.AS_OF
 INV = f"""SELECT p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_id,
   p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_name,
-  {AS_OF} AS snapshot_date, CAST(p_partkey % 40 AS DECIMAL(18,4)) AS quantity_on_hand,
+  {AS_OF} AS snapshot_date, CAST(CASE WHEN p_partkey % 97 = 0 THEN -3 ELSE p_partkey % 40 END AS DECIMAL(18,4)) AS quantity_on_hand,
   CAST(10 AS DECIMAL(18,4)) AS reorder_level,
   CAST({AS_OF} - CAST(p_partkey % 365 - 3 AS INTEGER) AS DATE) AS last_sale_date,
-  split_part(p_type, ' ', 1) AS product_category
+  CASE p_partkey % 6 WHEN 0 THEN 'Monoblock Pump' WHEN 1 THEN 'Submersible Pump' WHEN 2 THEN 'Motor' WHEN 3 THEN 'Accessories' ELSE split_part(p_type, ' ', 1) END AS product_category
 FROM part"""
 PROD = """SELECT p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_id,
-  p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_name, split_part(p_type, ' ', 1) AS product_category,
+  p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_name, CASE p_partkey % 6 WHEN 0 THEN 'Monoblock Pump' WHEN 1 THEN 'Submersible Pump' WHEN 2 THEN 'Motor' WHEN 3 THEN 'Accessories' ELSE split_part(p_type, ' ', 1) END AS product_category,
   p_brand AS brand, CAST(p_retailprice AS DECIMAL(18,4)) AS standard_cost FROM part"""
 CUST = """SELECT c_name AS customer_id, c_name AS customer_name, c_mktsegment AS customer_type,
   CAST(CAST(FLOOR(c_acctbal * 100) AS BIGINT) * 0.01 AS DECIMAL(18,4)) AS credit_limit, n_name AS territory
@@ -309,7 +309,7 @@ def _nn(table: str, model: str, cols, present) -> str:
     return " UNION ALL ".join(parts)
 
 
-RAW_COLS = {"invoice_number", "transaction_date", "customer_name", "product_name", "quantity", "unit_price",
+RAW_COLS = {"invoice_number", "transaction_id", "transaction_date", "customer_name", "product_name", "quantity", "unit_price",
             "cost_price", "total_amount", "payment_status", "payment_due_date"}
 STG_COLS = {"transaction_id", "transaction_date", "customer_id", "customer_name", "product_id", "product_name",
             "quantity", "unit_price", "cost_price", "total_amount"}
@@ -547,6 +547,6 @@ ORACLE["dq_rules_applied"] = O.with_(B + [("rawt", RAWT)], f"""SELECT invoice_nu
 FROM rawt WHERE NOT ({_ERRORS})""")
 
 ORACLE["inventory_mapping"] = f"""SELECT 'gofrugal' AS system, p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_name,
-  CAST(p_partkey % 40 AS DOUBLE) AS quantity_on_hand FROM part
+  CAST(CASE WHEN p_partkey % 97 = 0 THEN -3 ELSE p_partkey % 40 END AS DOUBLE) AS quantity_on_hand FROM part
 UNION ALL
-SELECT 'tally', p_name || ' #' || CAST(p_partkey AS VARCHAR), CAST(p_partkey % 40 AS DOUBLE) FROM part"""
+SELECT 'tally', p_name || ' #' || CAST(p_partkey AS VARCHAR), CAST(CASE WHEN p_partkey % 97 = 0 THEN -3 ELSE p_partkey % 40 END AS DOUBLE) FROM part"""

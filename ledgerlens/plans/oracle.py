@@ -49,21 +49,25 @@ def with_(ctes: list[tuple[str, str]], body: str) -> str:
 
 
 # -- raw sales over the test tables (the fixture text; runs in both engines) --
-RAW = """SELECT CAST(o_orderkey AS STRING) AS invoice_number,
-  CAST(CAST(o_orderdate AS DATE) AS STRING) AS transaction_date,
+_RAW_DATE = "(CASE WHEN o_orderkey % 307 = 0 THEN CAST(CAST(o_orderdate AS DATE) + INTERVAL 400 DAY AS DATE) ELSE CAST(o_orderdate AS DATE) END)"
+RAW = f"""SELECT CAST(o_orderkey AS STRING) AS invoice_number,
+  CASE WHEN o_orderkey % 211 <> 0 THEN CAST(o_orderkey AS STRING) END AS transaction_id,
+  CASE WHEN o_orderkey % 1009 <> 0 THEN CAST({_RAW_DATE} AS STRING) END AS transaction_date,
   c_name AS customer_name,
   concat(p_name, ' #', CAST(p_partkey AS STRING)) AS product_name,
-  CAST(l_quantity AS DECIMAL(18,4)) AS quantity,
-  CAST(CAST(FLOOR(l_extendedprice * 100 / l_quantity) AS BIGINT) * 0.01 AS DECIMAL(18,4)) AS unit_price,
+  CASE WHEN o_orderkey % 499 = 0 THEN CAST(0 AS DECIMAL(18,4)) ELSE CAST(l_quantity AS DECIMAL(18,4)) END AS quantity,
+  CASE WHEN o_orderkey % 701 = 0 THEN CAST(0 AS DECIMAL(18,4))
+       ELSE CAST(CAST(FLOOR(l_extendedprice * 100 / l_quantity) AS BIGINT) * 0.01 AS DECIMAL(18,4)) END AS unit_price,
   CASE WHEN p_size = 50 THEN NULL ELSE CAST(p_retailprice AS DECIMAL(18,4)) END AS cost_price,
-  CASE WHEN o_orderkey % 53 = 0 THEN CAST(l_extendedprice AS DECIMAL(18,4))
+  CASE WHEN o_orderkey % 601 = 0 THEN CAST(0 AS DECIMAL(18,4))
+       WHEN o_orderkey % 53 = 0 THEN CAST(l_extendedprice AS DECIMAL(18,4))
        ELSE CAST(CAST(l_quantity AS BIGINT) * CAST(FLOOR(l_extendedprice * 100 / l_quantity) AS BIGINT) * 0.01 AS DECIMAL(18,4)) END AS total_amount,
   CASE WHEN o_orderstatus = 'F' THEN 'Paid'
-       WHEN CAST(o_orderdate AS DATE) < DATE '2001-03-20' AND o_orderkey % 97 <> 0 THEN ' paid '
+       WHEN {_RAW_DATE} < DATE '2001-03-20' AND o_orderkey % 97 <> 0 THEN ' paid '
        WHEN o_orderstatus = 'P' THEN 'Partial'
        ELSE NULL END AS payment_status,
   CASE WHEN o_orderkey % 101 = 0 THEN 'not a date'
-       ELSE CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 30 DAY AS DATE) AS STRING) END AS payment_due_date
+       ELSE CAST(CAST({_RAW_DATE} + INTERVAL 30 DAY AS DATE) AS STRING) END AS payment_due_date
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
   JOIN part ON l_partkey = p_partkey"""
@@ -272,10 +276,10 @@ def queries() -> dict[str, str]:
     cols_stg = "*"
     inv = f"""SELECT p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_id,
   p_name || ' #' || CAST(p_partkey AS VARCHAR) AS product_name,
-  {AS_OF} AS snapshot_date, CAST(p_partkey % 40 AS DECIMAL(18,4)) AS quantity_on_hand,
+  {AS_OF} AS snapshot_date, CAST(CASE WHEN p_partkey % 97 = 0 THEN -3 ELSE p_partkey % 40 END AS DECIMAL(18,4)) AS quantity_on_hand,
   CAST(10 AS DECIMAL(18,4)) AS reorder_level,
   CAST({AS_OF} - CAST(p_partkey % 365 - 3 AS INTEGER) AS DATE) AS last_sale_date,
-  split_part(p_type, ' ', 1) AS product_category
+  CASE p_partkey % 6 WHEN 0 THEN 'Monoblock Pump' WHEN 1 THEN 'Submersible Pump' WHEN 2 THEN 'Motor' WHEN 3 THEN 'Accessories' ELSE split_part(p_type, ' ', 1) END AS product_category
 FROM part"""
     return {
         "inventory_snapshot": inv,

@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.config import DEFAULT, Params
+from ledgerlens.config import CATEGORY_MARGINS, DEFAULT, Params
 
 # Fixed values of the fixture (FIXTURES.md section 2)
 PAID_CUTOFF = _dt.date(2001, 3, 20)
@@ -22,6 +22,14 @@ BAD_DUE_MOD = 101      # due date text that is not a date
 DUE_DAYS = 30
 NO_COST_SIZE = 50      # parts of this size export no cost
 STOCK_MOD = 40
+NO_ID_MOD = 211        # raw transaction id left empty (order key; other ids repeat per line)
+NO_DATE_MOD = 1009     # no sale date
+FUTURE_MOD = 307       # dated after as_of
+NO_QUANTITY_MOD = 499  # quantity 0
+NO_TOTAL_MOD = 601     # total 0
+NO_PRICE_MOD = 701     # price 0
+NEGATIVE_STOCK_MOD = 97
+CATEGORY_MOD = 6       # part key modulo it below 4: a configured category, else the part type's first word
 REORDER_LEVEL = 10
 
 
@@ -57,20 +65,24 @@ def raw_sales_from(li: DataFrame, o: DataFrame, c: DataFrame, p: DataFrame, extr
     lines) by customer instead of the joined line rows."""
     oc = o.join(c, o.o_custkey == c.c_custkey)
     j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    ok = F.col("o_orderkey")
     d = F.col("o_orderdate").cast("date")
+    d = F.when(ok % FUTURE_MOD == 0, F.date_add(d, 400)).otherwise(d)
     cents = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("bigint")
     cent = F.lit(Decimal("0.01"))
     line_total = (F.col("l_quantity").cast("bigint") * cents * cent).cast("decimal(18,4)")
     return j.select(
         F.col("o_orderkey").cast("string").alias("invoice_number"),
-        d.cast("string").alias("transaction_date"),
+        F.when(ok % NO_ID_MOD != 0, ok.cast("string")).alias("transaction_id"),
+        F.when(ok % NO_DATE_MOD != 0, d.cast("string")).alias("transaction_date"),
         F.col("c_name").alias("customer_name"),
         product_key(F.col("p_name"), F.col("p_partkey")).alias("product_name"),
-        F.col("l_quantity").cast("decimal(18,4)").alias("quantity"),
-        (cents * cent).cast("decimal(18,4)").alias("unit_price"),
+        F.when(ok % NO_QUANTITY_MOD == 0, F.lit(0)).otherwise(F.col("l_quantity")).cast("decimal(18,4)").alias("quantity"),
+        F.when(ok % NO_PRICE_MOD == 0, F.lit(0)).otherwise(cents * cent).cast("decimal(18,4)").alias("unit_price"),
         F.when(F.col("p_size") == NO_COST_SIZE, F.lit(None).cast("decimal(18,4)"))
          .otherwise(F.col("p_retailprice").cast("decimal(18,4)")).alias("cost_price"),
-        F.when(F.col("o_orderkey") % MISMATCH_MOD == 0, F.col("l_extendedprice").cast("decimal(18,4)"))
+        F.when(ok % NO_TOTAL_MOD == 0, F.lit(0).cast("decimal(18,4)"))
+         .when(ok % MISMATCH_MOD == 0, F.col("l_extendedprice").cast("decimal(18,4)"))
          .otherwise(line_total).alias("total_amount"),
         F.when(F.col("o_orderstatus") == "F", F.lit("Paid"))
          .when((d < F.lit(PAID_CUTOFF)) & (F.col("o_orderkey") % UNPAID_MOD != 0), F.lit(" paid "))
@@ -82,6 +94,14 @@ def raw_sales_from(li: DataFrame, o: DataFrame, c: DataFrame, p: DataFrame, extr
     )
 
 
+def category():
+    names = list(CATEGORY_MARGINS)
+    of = F.split(F.col("p_type"), " ").getItem(0)
+    for i, name in enumerate(names):
+        of = F.when(F.col("p_partkey") % CATEGORY_MOD == i, F.lit(name)).otherwise(of)
+    return of
+
+
 def inventory_snapshot(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     """One inventory row per part at ``as_of``."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
@@ -90,11 +110,12 @@ def inventory_snapshot(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) ->
         key.alias("product_id"),
         key.alias("product_name"),
         F.lit(p.as_of).alias("snapshot_date"),
-        (F.col("p_partkey") % STOCK_MOD).cast("decimal(18,4)").alias("quantity_on_hand"),
+        F.when(F.col("p_partkey") % NEGATIVE_STOCK_MOD == 0, F.lit(-3)).otherwise(F.col("p_partkey") % STOCK_MOD)
+         .cast("decimal(18,4)").alias("quantity_on_hand"),
         F.lit(Decimal(REORDER_LEVEL)).cast("decimal(18,4)").alias("reorder_level"),
         # a last-sale stamp spread over the year before the snapshot; a few land after it
         F.date_sub(F.lit(p.as_of), (F.col("p_partkey") % 365 - 3).cast("int")).alias("last_sale_date"),
-        F.split(F.col("p_type"), " ").getItem(0).alias("product_category"),
+        category().alias("product_category"),
     )
 
 
@@ -117,7 +138,7 @@ def product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(
         key.alias("product_id"),
         key.alias("product_name"),
-        F.split(F.col("p_type"), " ").getItem(0).alias("product_category"),
+        category().alias("product_category"),
         F.col("p_brand").alias("brand"),
         F.col("p_retailprice").cast("decimal(18,4)").alias("standard_cost"),
     )
