@@ -13,7 +13,7 @@ they are tested against brute-force versions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import langid, mixing, neardup, packing, secrets
@@ -32,16 +32,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the smallest id.  Of
-    rows repeated under one id (and in one group) any one stays."""
-    kept = written(neardup.link(docs).filter("kept").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n")), "kept")
-    once = docs.join(kept.filter("_n = 1"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    if kept.filter("_n > 1").isEmpty():
-        return once
-    again = docs.join(kept.filter("_n > 1"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """One document of each group of near duplicates stays: the one with the
+    smallest id (of rows repeated under that id in that group, any one).
+
+    Ids that have one row are decided by id alone, and the documents are joined to
+    those that go, the smaller side.  Rows repeated under an id are told apart by
+    their sets."""
+    judged = written(neardup.link(docs).withColumnRenamed("doc_id", "_id"), "judged")
+    per = judged.groupBy("_id").agg(F.count("*").alias("n"), F.bool_or("kept").alias("stays"))
+    leaving = written(per.filter("n > 1 OR NOT stays").select("_id", F.col("n").alias("_n")), "leaving")
+    alone = docs.join(leaving, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    many = leaving.filter("_n > 1")
+    if many.isEmpty():
+        return alone
+    again = docs.join(many, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     rows = written(again.select(F.struct(*docs.columns).alias("doc"), "text", F.monotonically_increasing_id().alias("row")), "repeated")
-    firsts = neardup.link(rows, id_col="row").filter("kept").select(F.col("doc_id").alias("row"))
-    return once.unionByName(rows.join(firsts, "row", "left_semi").select("doc.*"))
+    nodes = neardup.features(rows, "row", "text", neardup.WIDTH).select(F.col("doc_id").alias("_row"), F.col("node").alias("_node"))
+    own = judged.filter("node IS NOT NULL").select("_id", "node", "root", "kept").distinct()
+    found = (rows.join(nodes, F.col("row") == F.col("_row"))
+             .join(own, F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("node")), "left"))
+    first = F.row_number().over(Window.partitionBy("_id", "root").orderBy("row"))
+    found = found.withColumn("first", first).filter("_node IS NULL OR (kept AND first = 1)")
+    return alone.unionByName(found.select("doc.*"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

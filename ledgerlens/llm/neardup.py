@@ -356,7 +356,8 @@ def stray_links(sets: DataFrame, around: DataFrame, roots: DataFrame, percent: i
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, node, component_id, kept), one row per document.
+    """(doc_id, n_shingles, node, root, component_id, kept), one row per document;
+    node stands for its set, root for its component.
 
     ``docs`` must be read from files: the candidates' texts are read again."""
     rows = written(features(docs, id_col, text_col, width), "features")
@@ -372,8 +373,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     roots = written(merged(roots, stray_links(sets, around, roots, percent)), "roots")
     grouped = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = written(grouped.join(ids, "root").select("node", "component_id"), "components")
+    named = written(grouped.join(ids, "root").select("node", "root", "component_id"), "components")
     out = rows.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.withColumn("component_id", component).select(
-        "doc_id", "n_shingles", "node", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        "doc_id", "n_shingles", "node", "root", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

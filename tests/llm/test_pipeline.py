@@ -105,7 +105,11 @@ def test_edge_rows_pass_every_stage(spark, edge, empty, tmp_path):
         assert (docs.count() > 0) == (name == "edge")
 
 
-def test_repeated_ids_keep_one_row_of_each_group(spark, edge, tmp_path):
-    left = P.near_duplicates(spark, edge, "").select("doc_id", "text").collect()
-    texts = Counter((r["doc_id"], (r["text"] or "").strip()) for r in left)
-    assert texts[(3, edge.filter("doc_id = 3").first()["text"])] == 1
+def test_repeated_ids_keep_one_row_of_each_group(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text, "a"), (2, text + " x", "a"), (3, "other words " * 9 + "here", "b"), (3, "other words " * 9 + "here", "c"), (3, text, "d"),
+            (4, "p q r s t u v", "e"), (4, "k l m n o p q", "e"), (5, "", "f"), (5, None, "g"), (None, "n1 n2 n3 n4 n5 n6", "h"), (None, text, "i")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "d"))
+    left = P.near_duplicates(spark, spark.read.parquet(str(tmp_path / "d")), "").collect()
+    got = sorted((str(r["doc_id"]), (r["text"] or "")[:5]) for r in left)
+    assert got == sorted([("1", "w0 w1"), ("3", "other"), ("4", "p q r"), ("4", "k l m"), ("5", ""), ("5", ""), ("None", "n1 n2")])
