@@ -9,6 +9,8 @@ repeatable for any ``as_of`` date.
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import os
 from dataclasses import dataclass, field
 from decimal import Decimal
 
@@ -113,66 +115,25 @@ UNICODE_WHITESPACE = "".join(chr(c) for c in (
 # order the systems are tried.  Fixed values.
 # ---------------------------------------------------------------------------
 
-ERP_MAPPINGS: dict[str, dict[str, dict[str, str]]] = {
-    "gofrugal": {
-        "sales_transactions": {
-            "transaction_id": "BillNo",
-            "invoice_number": "BillNo",
-            "transaction_date": "BillDate",
-            "customer_id": "CustomerCode",
-            "customer_name": "CustomerName",
-            "product_id": "ItemCode",
-            "product_name": "ItemName",
-            "quantity": "Qty",
-            "unit_price": "Rate",
-            "cost_price": "CostPrice",
-            "total_amount": "Amount",
-            "tax_amount": "GSTAmount",
-            "payment_status": "PaymentStatus",
-            "payment_due_date": "DueDate",
-        },
-        "inventory": {
-            "product_id": "ItemCode",
-            "product_name": "ItemName",
-            "quantity_on_hand": "StockQty",
-            "last_sale_date": "LastSaleDate",
-        },
-    },
-    "tally": {
-        "sales_transactions": {
-            "transaction_id": "VoucherNumber",
-            "transaction_date": "VoucherDate",
-            "customer_name": "PartyName",
-            "product_name": "StockItemName",
-            "quantity": "Quantity",
-            "unit_price": "Rate",
-            "total_amount": "Amount",
-            "tax_amount": "TaxAmount",
-        },
-        "inventory": {
-            "product_name": "StockItemName",
-            "quantity_on_hand": "ClosingBalance",
-        },
-    },
-    "kaggle": {
-        "sales_transactions": {
-            "transaction_id": "ORDERNUMBER",
-            "invoice_number": "ORDERNUMBER",
-            "transaction_date": "ORDERDATE",
-            "customer_id": "CUSTOMERNAME",
-            "customer_name": "CUSTOMERNAME",
-            "product_id": "PRODUCTCODE",
-            "product_name": "PRODUCTLINE",
-            "quantity": "QUANTITYORDERED",
-            "unit_price": "PRICEEACH",
-            "cost_price": "PRICEEACH",
-            "total_amount": "SALES",
-            "tax_amount": "SALES",
-            "payment_status": "STATUS",
-            "payment_due_date": "ORDERDATE",
-        },
-    },
-}
+# Source-system headers by universal field, in conf/erp_mappings.json.
+# Systems and entities keep the file's order (ties in detection go to the first).
+MAPPINGS_FILE = os.environ.get("LEDGERLENS_MAPPINGS") or os.path.join(os.path.dirname(__file__), "conf", "erp_mappings.json")
+
+
+def load_mappings(path: str = MAPPINGS_FILE) -> dict[str, dict[str, dict[str, str]]]:
+    """{system: {entity: {universal field: source header}}} from a file."""
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+ERP_MAPPINGS = load_mappings()
+
+
+def use_mappings(path: str) -> None:
+    """Take the mappings of another file from now on (more systems, other headers)."""
+    new = load_mappings(path)
+    ERP_MAPPINGS.clear()
+    ERP_MAPPINGS.update(new)
 
 # required fields checked by the cleaner (its own list of seven)
 CLEANER_REQUIRED = (

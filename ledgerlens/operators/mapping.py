@@ -8,7 +8,6 @@ data row goes through the driver.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -61,7 +60,7 @@ def detect_source(headers: DataFrame, mapping: DataFrame) -> DataFrame:
                    .groupBy("file", "system").agg(F.count(F.lit(1)).alias("matches")))
     entries = mapping.groupBy("system", "system_order").agg(F.count(F.lit(1)).alias("entries"))
     # every (file, system) pair: the systems are a fixed list, exploded per file
-    systems = F.explode(F.array(*[F.lit(x) for x in SYSTEMS])).alias("system")
+    systems = F.explode(F.array(*[F.lit(x) for x in C.ERP_MAPPINGS])).alias("system")
     scored = (headers.select("file").distinct().select("file", systems)
                      .join(F.broadcast(entries), "system")
                      .join(hits, ["file", "system"], "left")
@@ -77,9 +76,9 @@ def detect_source(headers: DataFrame, mapping: DataFrame) -> DataFrame:
 def detect_system(columns: Iterable[str]) -> tuple[str, float]:
     """The same rule for one header already on the driver (schema metadata)."""
     present = set(columns)
-    best, best_score = SYSTEMS[0], -1
-    for name in SYSTEMS:
-        m = C.ERP_MAPPINGS[name]["sales_transactions"]
+    best, best_score = next(iter(C.ERP_MAPPINGS)), -1
+    for name in C.ERP_MAPPINGS:
+        m = C.ERP_MAPPINGS[name].get("sales_transactions", {})
         score = sum(1 for src in m.values() if src in present)
         if score > best_score:
             best, best_score = name, score
@@ -88,12 +87,10 @@ def detect_system(columns: Iterable[str]) -> tuple[str, float]:
 
 # -- fuzzy header matching: token-sort ratio (indel similarity) ---------------
 
-_NON_WORD = re.compile(r"(?ui)\W")
-
-
 def _process(s: str) -> str:
-    s = "".join(ch for ch in s if ord(ch) < 128)
-    return _NON_WORD.sub(" ", s).lower().strip()
+    """ASCII letters, digits and underscores in lower case; other ASCII characters
+    count as blanks, the rest is left out; outer blanks are trimmed."""
+    return "".join(c if c.isalnum() or c == "_" else " " for c in s if c.isascii()).lower().strip()
 
 
 def _lcs(a: str, b: str) -> int:

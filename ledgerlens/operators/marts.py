@@ -118,6 +118,19 @@ def overdue_lines(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return stg.where((F.col("payment_status") != "PAID") & (F.col("days_overdue") >= p.credit_risk_days))
 
 
+def overdue_invoices(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """One row per customer, sale date and overdue invoice: the list behind a
+    customer's alert as a table of its own, which grows by rows where the mart's
+    id text is one value per customer."""
+    return overdue_lines(stg, p).groupBy("customer_id", "transaction_date", "transaction_id").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum("total_amount").cast(SUM_MONEY).alias("amount"),
+        F.max("days_overdue").alias("max_days"),
+        F.sum("days_overdue").alias("sum_days"),
+        F.count("days_overdue").alias("n_days"),
+    )
+
+
 def credit_risk(stg: DataFrame, p: Params = DEFAULT, with_created_at: bool = True,
                 ltv: DataFrame | None = None) -> DataFrame:
     """Customers with unpaid lines at least ``credit_risk_days`` overdue.
@@ -129,15 +142,8 @@ def credit_risk(stg: DataFrame, p: Params = DEFAULT, with_created_at: bool = Tru
     An invoice counts once even if its lines carry two dates: the window that
     marks its first date is partitioned by (customer, invoice), so a partition
     holds one invoice's dates, never a whole customer."""
-    od = overdue_lines(stg, p)
     tid = F.col("transaction_id")
-    inv = od.groupBy("customer_id", "transaction_date", "transaction_id").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum("total_amount").alias("amount"),
-        F.max("days_overdue").alias("max_days"),
-        F.sum("days_overdue").alias("sum_days"),
-        F.count("days_overdue").alias("n_days"),
-    )
+    inv = overdue_invoices(stg, p)
     first_date = F.min("transaction_date").over(Window.partitionBy("customer_id", "transaction_id"))
     inv = inv.withColumns({
         # the id once per line (multi-line invoices repeat in the list)

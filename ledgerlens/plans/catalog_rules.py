@@ -249,7 +249,20 @@ def inventory_mapping(s, sf):
     return T.union_all(out)
 
 
+def overdue_invoices(s, sf):
+    return M.overdue_invoices(_stg(s, sf), P)
+
+
+def slow_moving_products(s, sf):
+    """Products not sold for the slow-moving level of the benchmarks."""
+    days = _stg(s, sf).groupBy("product_id").agg(F.max("transaction_date").alias("last_sale_date"))
+    days = days.withColumn("days_since_last_sale", days_between(F.lit(P.as_of), F.col("last_sale_date")))
+    return days.where(F.col("days_since_last_sale") >= C.SLOW_MOVING_DAYS)
+
+
 QUERIES = {
+    "overdue_invoices": overdue_invoices,
+    "slow_moving_products": slow_moving_products,
     "test_not_null": test_not_null,
     "test_unique": test_unique,
     "dq_rules_sales": dq_rules_sales,
@@ -550,3 +563,11 @@ ORACLE["inventory_mapping"] = f"""SELECT 'gofrugal' AS system, p_name || ' #' ||
   CAST(CASE WHEN p_partkey % 97 = 0 THEN -3 ELSE p_partkey % 40 END AS DOUBLE) AS quantity_on_hand FROM part
 UNION ALL
 SELECT 'tally', p_name || ' #' || CAST(p_partkey AS VARCHAR), CAST(CASE WHEN p_partkey % 97 = 0 THEN -3 ELSE p_partkey % 40 END AS DOUBLE) FROM part"""
+
+ORACLE["overdue_invoices"] = O.with_(O.BASE, f"""SELECT customer_id, transaction_date, transaction_id, count(*) AS n_lines,
+  CAST(sum(total_amount) AS DECIMAL(38,4)) AS amount, max(days_overdue) AS max_days,
+  CAST(sum(days_overdue) AS BIGINT) AS sum_days, count(days_overdue) AS n_days
+FROM stg WHERE payment_status <> 'PAID' AND days_overdue >= {P.credit_risk_days} GROUP BY ALL""")
+ORACLE["slow_moving_products"] = O.with_(O.BASE, f"""SELECT * FROM (SELECT product_id, max(transaction_date) AS last_sale_date,
+  CAST(date_diff('day', max(transaction_date), {AS_OF}) AS BIGINT) AS days_since_last_sale FROM stg GROUP BY product_id)
+WHERE days_since_last_sale >= {C.SLOW_MOVING_DAYS}""")

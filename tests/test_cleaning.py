@@ -182,3 +182,22 @@ def test_a_folder_of_mixed_files_reads_each_by_its_own_header_and_encoding(spark
     _, rows = jobs.clean_folder(spark, str(tmp_path), Params(as_of=dt.date(2024, 6, 30)))
     got = {r["customer_name"]: (r["quantity"], r["unit_price"], r["system"]) for r in rows.collect()}
     assert got == {"Café": (3.0, 10.0, "gofrugal"), "Müller": (4.0, 10.0, "gofrugal")}
+
+
+def test_a_fourth_system_by_file_only(spark, tmp_path):
+    import json
+
+    from ledgerlens import config as C
+    new = json.loads(json.dumps(C.ERP_MAPPINGS))
+    new["kassa"] = {"sales_transactions": {"transaction_id": "BonNr", "transaction_date": "Datum", "customer_name": "Kunde",
+                                           "product_name": "Artikel", "quantity": "Menge", "unit_price": "Preis", "total_amount": "Summe"}}
+    (tmp_path / "m.json").write_text(json.dumps(new))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("BonNr,Datum,Kunde,Artikel,Menge,Preis,Summe\n1,2024-01-02,K,A,2,3,6\n")
+    try:
+        C.use_mappings(str(tmp_path / "m.json"))
+        from ledgerlens.plans import jobs
+        _, rows = jobs.clean_folder(spark, str(tmp_path / "in"), Params(as_of=dt.date(2024, 6, 30)))
+        assert [(r["system"], r["transaction_id"], r["total_amount"]) for r in rows.collect()] == [("kassa", "1", 6.0)]
+    finally:
+        C.use_mappings(C.MAPPINGS_FILE)
