@@ -54,8 +54,9 @@ def _alerts_missing_mart(spark, sf):
     stg = _stg(spark, sf)
     prefix = "ll_mart_"
     loc = shared_path(spark, "marts")
-    load_table(M.credit_risk(stg, P), prefix + "credit_risk", path=f"{loc}/credit_risk")
-    load_table(M.dead_stock(stg, P), prefix + "dead_stock", path=f"{loc}/dead_stock")
+    for name, mart in (("credit_risk", M.credit_risk(stg, P)), ("dead_stock", M.dead_stock(stg, P))):
+        if not load_table(mart, prefix + name, path=f"{loc}/{name}"):
+            raise RuntimeError(f"mart {name} was not saved")
     spark.sql(f"DROP TABLE IF EXISTS {prefix}low_margin_sales")
     return alerts_from_tables(spark, P, prefix=prefix, with_timestamp=False)
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
+LOG = logging.getLogger(__name__)
+
 
 def load_table(df: DataFrame, name: str, if_exists: str = "replace",
                partition_by: list[str] | None = None, path: str | None = None) -> bool:
@@ -21,6 +25,7 @@ def load_table(df: DataFrame, name: str, if_exists: str = "replace",
         w.saveAsTable(name)
         return True
     except Exception:  # noqa: BLE001 - a failed load is reported as False
+        LOG.exception("table %s could not be loaded", name)
         return False
 
 
@@ -30,9 +35,7 @@ def preview(spark: SparkSession, name: str, limit: int = 5) -> DataFrame:
         df = spark.table(name)
         df.schema
         return df.limit(limit)
-    except Exception:  # noqa: BLE001
+    except Exception:  # noqa: BLE001 - no preview is an empty one
+        LOG.warning("table %s could not be read", name, exc_info=True)
         return spark.createDataFrame([], "value string")
 
-
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
