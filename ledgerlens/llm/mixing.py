@@ -83,7 +83,8 @@ def tilts(pairs: DataFrame, goals: DataFrame, most: float = 3.0, steps: int = ST
         words = F.col("n") * F.col("size")
         p = pairs.filter("size > 0").withColumnRenamed("source", "s")
         moments = (p.join(state, F.col("s").eqNullSafe(F.col("source"))).groupBy("s")
-                   .agg(F.sum(words * rate).alias("g"), F.sum(F.when(exponent < top, words * rate * F.col("size")).otherwise(0.0)).alias("h")))
+                   .agg(F.round(F.sum(words * rate), 4).alias("g"),  # the same whatever order a sum was added in
+                        F.round(F.sum(F.when(exponent < top, words * rate * F.col("size")).otherwise(0.0)), 2).alias("h")))
         now = state.join(moments, F.col("s").eqNullSafe(F.col("source"))).drop("s")
         now = (now.withColumn("lo", F.when(F.col("g") <= F.col("target"), F.col("tilt")).otherwise(F.col("lo")))
                .withColumn("hi", F.when(F.col("g") >= F.col("target"), F.col("tilt")).otherwise(F.col("hi"))))
