@@ -36,7 +36,7 @@ from ledgerlens.llm.common import written
 WIDTH, END = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
 BUCKETS = 256
-MOST_WORDS = 200_000  # entries of a worker's cache of word -> ids
+MOST_WORDS = 300_000  # entries of a worker's cache of word -> ids
 # Texts of these characters only: lower-casing and Unicode normalisation are the
 # same in Python as in the tokenizer.  Other texts go through the tokenizer whole.
 PLAIN = r"[\t\n\r\x20-\x7e¡-¬®-ÿŒœŸ–—‘-„…€]*"
@@ -65,25 +65,40 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merge, self.letters = self.tokenizer.model.tokenize, byte_letters()
         self.plain, self.parts = re.compile(PLAIN).fullmatch, regex.compile(WORDS).findall
+        self.raw = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def part(self, part: str) -> bytes:
+        part = part if part.isascii() else part.translate(self.letters)
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.merge(part)])
+
     def word(self, word: str) -> bytes:
-        word = word if word.isascii() else word.translate(self.letters)
-        return b"".join(t.id.to_bytes(4, "little") for t in self.merge(word))
+        if word.isalpha():
+            return self.part(word)
+        # Most others are letters and one mark, which the tokenizer cuts in two.
+        parts = (word[:-1], word[-1]) if word[:-1].isalpha() and word[-1] in ".,;:!?|" else self.parts(word)
+        out, cache = [], self.cache
+        for p in parts:
+            ids = cache.get(p) or self.older.get(p)
+            if ids is None:
+                ids = self.part(p)
+            cache[p] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         if "<|" in text or not self.plain(text):
             return self.whole(text)
-        words, cache = text.lower().split(), self.cache
-        new = set(words).difference(cache)
-        if len(cache) + len(new) > MOST_WORDS:
-            cache.clear()
-            new = set(words)
-        for w in new:
-            cache[w] = self.word(w) if w.isalpha() else b"".join(map(self.word, self.parts(w)))
+        words, cache, older = text.lower().split(), self.cache, self.older
+        for w in set(words).difference(cache):
+            cache[w] = older[w] if w in older else self.word(w)
+        if 2 * len(cache) > MOST_WORDS:  # words in use move over from the older half, the rest goes with it
+            self.cache, self.older = {}, cache
         return b"".join(map(cache.__getitem__, words))
 
 
