@@ -11,15 +11,16 @@ LEAST columns of the order are in one region.  Candidates are sorted neighbours;
 the depth adapts to the region: two nodes up to NEAR places apart are a
 candidate if the region of their common prefix has at most NEAR + 1 nodes, i.e.
 crowded regions are resolved at a greater depth, and where even the deepest
-prefix is crowded every node is paired with the next one.  A pair met in one
-tree only, and not in a crowd, is dropped: similar documents meet in about 0.8
-** LEAST of the trees (less than one in a million meets in fewer than two).
+prefix is crowded every node is paired with the next one.  Every pair met in any
+tree is tested: similar documents meet in about 0.8 ** LEAST of the trees (about
+one pair in twenty million at 0.8 meets in none).
 
 Candidates are confirmed on the full sets (the texts of candidate nodes only are
 read again), and components come from alternating star contraction.  In a crowd a
-document may be like few others and not be next to them in any tree, so the nodes
+document may be like few others and not be next to them in any tree.  So the nodes
 that stayed outside their neighbourhood's largest component meet all of it on the
-full sets (``stray_links``).
+full sets (``stray_links``), and all nodes of crowded regions, whatever they are
+like, meet across neighbourhoods by an exact prefix filter (``crowd_pairs``).
 
 Defined results: a null text or one without words has an empty set, is linked
 with nothing and is its own component.  With fewer words than a shingle has, the
@@ -46,6 +47,7 @@ WIDTH, PERCENT = 5, 80
 HASHES, TREES, DEPTH, LEAST, NEAR = 128, 32, 8, 4, 8
 CLOSE, BLOCK = 15, 500_000
 MOST_HELD = 50_000  # rows of a crowd kept waiting for its end
+SLOT_BITS, SLOT_PARTS = 20, 16  # counters of shingles that tell rare from common
 NO_ID = -(1 << 63)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x5851F42D4C957F2D)  # odd, so its powers have inverses
@@ -161,16 +163,18 @@ def _adjacent(tree: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def neighbours(tree: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first row, second row, crowded) of the candidates of a sorted run."""
+    """(first row, second row) of the candidates of a sorted run, and the rows whose
+    region is crowded."""
     n = len(tree)
-    if n < 2:
-        return (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0, dtype=bool),)
     step = _adjacent(tree, keys)
     region = np.empty((DEPTH + 1, n), dtype=np.int64)  # size of a row's region by depth
+    crowd = np.zeros(n, dtype=bool)
     for depth in range(LEAST, DEPTH + 1):
         run = np.concatenate([[0], np.cumsum(step < depth)])
         region[depth] = np.bincount(run)[run]
-    firsts, seconds, crowds = [], [], []
+        if depth == LEAST:
+            crowd = region[depth] > NEAR + 1
+    firsts, seconds = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     common = step.copy()
     for gap in range(1, NEAR + 1):
         if gap > 1:
@@ -178,19 +182,15 @@ def neighbours(tree: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarr
         i = np.flatnonzero(common >= LEAST)
         if not len(i):
             break
-        small = region[common[i], i] <= NEAR + 1
-        crowded = ~small & (gap == 1)
-        keep = small | crowded
-        firsts.append(i[keep])
-        seconds.append(i[keep] + gap)
-        crowds.append(crowded[keep])
-    if not firsts:
-        return (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0, dtype=bool),)
-    return np.concatenate(firsts), np.concatenate(seconds), np.concatenate(crowds)
+        if gap > 1:
+            i = i[region[common[i], i] <= NEAR + 1]
+        firsts.append(i)
+        seconds.append(i + gap)
+    return np.concatenate(firsts), np.concatenate(seconds), np.flatnonzero(crowd)
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b), a < b: pairs of nodes to confirm."""
+    """(a, b): pairs of nodes to confirm, a < b, and the nodes of crowded regions, a = b."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None  # from the last region on, which may go on in the next batch
         for batch in _ended(batches):
@@ -208,17 +208,17 @@ def candidates(nodes: DataFrame) -> DataFrame:
                 held = table.slice(end).combine_chunks()
             if not end:
                 continue
-            i, j, crowded = neighbours(tree[:end], keys[:end])
+            i, j, crowd = neighbours(tree[:end], keys[:end])
             node = table.column("node").to_pylist()
             pairs = [(node[x], node[y]) if node[x] < node[y] else (node[y], node[x]) for x, y in zip(i.tolist(), j.tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary()),
-                                              pa.array(crowded)], names=["a", "b", "crowded"])
+            pairs += [(node[x], node[x]) for x in crowd.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())],
+                                             names=["a", "b"])
 
     rows = forest(nodes)
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = rows.repartitionByRange(n, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-    met = sorted_rows.mapInArrow(run, "a binary, b binary, crowded boolean")
-    return met.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("crowded").alias("crowded")).filter("n > 1 OR crowded").select("a", "b")
+    return sorted_rows.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def _ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -355,6 +355,72 @@ def stray_links(sets: DataFrame, around: DataFrame, roots: DataFrame, percent: i
     return strays.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(meet, "a binary, b binary").distinct()
 
 
+def slot_counts(sets: DataFrame) -> np.ndarray:
+    """How many sets hold a shingle, by its leading SLOT_BITS bits."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SLOT_BITS, dtype=np.int64)
+        for batch in batches:
+            held = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint64)
+            counts += np.bincount((held >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(counts))
+        if counts.any():
+            parts = np.split(counts, SLOT_PARTS)
+            yield pa.RecordBatch.from_arrays([pa.array(range(SLOT_PARTS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "counts"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        whole = np.sum([np.frombuffer(x, dtype=np.int64) for x in rows["counts"]], axis=0)
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "counts": [whole.tobytes()]})
+
+    made = sets.select("shingles").mapInArrow(run, "part int, counts binary").groupBy("part").applyInPandas(add, "part int, counts binary")
+    parts = [np.frombuffer(r["counts"], dtype=np.int64) for r in sorted(made.collect(), key=lambda r: r["part"])]
+    return np.concatenate(parts) if parts else np.zeros(1 << SLOT_BITS, dtype=np.int64)
+
+
+def rarest(x: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, shingle) of the prefix of a set in the order from rare to common, of
+    which sets as similar as ``percent`` share at least one; shingles of one set
+    only are left out."""
+    often = counts[(x >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+    order = np.lexsort((x, often))[: len(x) - -(-percent * len(x) // 100) + 1]
+    at = np.flatnonzero(often[order] > 1)
+    return at, x[order[at]]
+
+
+def crowd_pairs(sets: DataFrame, around: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: the pairs of the sets (of nodes of crowds) in different
+    components and not in one of the neighbourhoods ``around`` (all of those were
+    compared) that can reach ``percent`` by an exact prefix filter.
+
+    Each shingle's most common neighbourhood takes part on one side only, so a
+    shingle that just one neighbourhood has gives no work."""
+    counts = sets.sparkSession.sparkContext.broadcast(slot_counts(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                part = batch.slice(at, 500)
+                held = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in part.column("shingles")]
+                found = [rarest(x, counts.value, percent) for x in held]
+                times = [len(p) for p, _ in found]
+                owner = pa.array(np.repeat(np.arange(len(part)), times))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([t for _, t in found]).view(np.int64)), pa.array(np.concatenate([p for p, _ in found]).astype(np.int32)),
+                     pa.array(np.repeat([len(x) for x in held], times).astype(np.int32)), *(part.column(c).take(owner) for c in ("node", "root", "done"))],
+                    names=["token", "place", "n", "node", "root", "done"])
+
+    own = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(around, "node", "left")
+    own = own.select("node", "root", F.coalesce("near", "root").alias("done"), "shingles")
+    rows = written(own.mapInArrow(run, "token long, place int, n int, node binary, root binary, done binary"), "prefixes")
+    parts = rows.groupBy("token", "done").agg(F.count("*").alias("size"))
+    tops = parts.groupBy("token").agg(F.max(F.struct("size", "done")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+    left = rows.join(tops.select("token", F.col("top.done").alias("top")), "token").filter("done <> top").drop("top")
+    x, y = left.alias("x"), rows.alias("y")
+    # What two sets share is at most what lies before and after a common place.
+    most = F.least("x.place", "y.place") + 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) - 1
+    fits = (100 + percent) * most.cast("long") >= percent * (F.col("x.n") + F.col("y.n")).cast("long")
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.done") != F.col("y.done")) & (F.col("x.root") != F.col("y.root")) & fits)
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, node, root, component_id, kept), one row per document;
     node stands for its set, root for its component.
@@ -362,8 +428,9 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     ``docs`` must be read from files: the candidates' texts are read again."""
     rows = written(features(docs, id_col, text_col, width), "features")
     nodes = written(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("sig").alias("sig")), "nodes")
-    pairs = written(candidates(nodes), "candidates")
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    met = written(candidates(nodes), "candidates")
+    pairs = met.filter("a <> b")
+    asked = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).distinct()
     wanted = written(nodes.select("node", "doc_id").join(asked, "node", "left_semi"), "asked")
     sets = written(sets_of(docs, wanted, id_col, text_col, width), "sets")
     close = written(confirm(pairs, sets, percent), "links")
@@ -371,6 +438,10 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     roots = written(components(links), "roots")
     around = written(components(close).withColumnRenamed("root", "near"), "around")
     roots = written(merged(roots, stray_links(sets, around, roots, percent)), "roots")
+    crowd = sets.join(met.filter("a = b").select(F.col("a").alias("node")), "node", "left_semi")
+    compared = around.join(around.groupBy("near").count().filter(F.col("count") > NEAR + 1), "near", "left_semi")
+    more = written(crowd_pairs(crowd, compared, roots, percent), "crowd-pairs")
+    roots = written(merged(roots, confirm(more, sets, percent).filter("link").select("a", "b")), "roots")
     grouped = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = written(grouped.join(ids, "root").select("node", "root", "component_id"), "components")

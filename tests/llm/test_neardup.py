@@ -115,3 +115,29 @@ def test_components_of_chains_stars_and_rings(spark):
 def test_extra_columns_do_not_clash(spark, edge):
     named = edge.withColumns({c: F.lit("x") for c in ("a", "b", "sig", "root", "near", "id", "u", "v")})
     assert N.link(named.filter("doc_id < 4")).count() == edge.filter("doc_id < 4").count()
+
+
+@pytest.fixture(scope="module")
+def template(spark, tmp_path_factory):
+    """A template most documents share below the threshold, and planted pairs above it."""
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(80)]
+
+    def edited(words, n, tag):
+        own = list(words)
+        for k, i in enumerate(r.sample(range(0, 80, 2), n)):
+            own[i] = f"{tag}x{k}"
+        return own
+
+    # Five edits of their own: any two are at most 69 / 89 alike, an edited copy is at least 71 / 87 like its first.
+    texts = [edited(base, 5, f"a{i}") for i in range(1500)]
+    texts += [edited(t, 4, f"b{i}") for i, t in enumerate(texts[:600])]
+    rows = list(enumerate(" ".join(t) for t in texts))
+    path = str(tmp_path_factory.mktemp("template") / "d.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(path)
+    return spark.read.parquet(path), rows
+
+
+def test_pairs_inside_a_template_crowd_are_found(template):
+    df, rows = template
+    assert result(N.link(df, width=2)) == [(i, 79, i if i < 1500 else i - 1500) for i, _ in rows]
