@@ -162,9 +162,9 @@ def _adjacent(tree: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(tree[1:] == tree[:-1], same, 0)
 
 
-def neighbours(tree: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def neighbours(tree: np.ndarray, keys: np.ndarray, begun: bool = False, goes_on: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first row, second row) of the candidates of a sorted run, and the rows whose
-    region is crowded."""
+    region is crowded, or may be as it has ``begun`` before the run or ``goes_on``."""
     n = len(tree)
     step = _adjacent(tree, keys)
     region = np.empty((DEPTH + 1, n), dtype=np.int64)  # size of a row's region by depth
@@ -173,7 +173,7 @@ def neighbours(tree: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarr
         run = np.concatenate([[0], np.cumsum(step < depth)])
         region[depth] = np.bincount(run)[run]
         if depth == LEAST:
-            crowd = region[depth] > NEAR + 1
+            crowd = (region[depth] > NEAR + 1) | (begun & (run == 0)) | (goes_on & (run == run[-1]))
     firsts, seconds = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     common = step.copy()
     for gap in range(1, NEAR + 1):
@@ -190,25 +190,29 @@ def neighbours(tree: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b): pairs of nodes to confirm, a < b, and the nodes of crowded regions, a = b."""
+    """(a, b): pairs of nodes to confirm, a < b, and the nodes of crowded regions, a = b.
+
+    A region cut by the end of a partition or of a held run counts as crowded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None  # from the last region on, which may go on in the next batch
+        begun = True
         for batch in _ended(batches):
             table = held if batch is None else pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
             if table is None or not len(table):
                 continue
             tree = table.column("tree").to_numpy()
             keys = np.frombuffer(b"".join(table.column("key").to_pylist()), dtype=">u2").reshape(len(tree), DEPTH)
-            end = len(tree)
+            end, goes_on = len(tree), batch is None
             if batch is not None:
                 breaks = np.flatnonzero(_adjacent(tree, keys) < LEAST)
                 end = int(breaks[-1]) + 1 if len(breaks) else 0
                 if len(tree) - end > MOST_HELD:  # a crowd: go on without waiting for its end
-                    end = len(tree) - NEAR
+                    end, goes_on = len(tree) - NEAR, True
                 held = table.slice(end).combine_chunks()
             if not end:
                 continue
-            i, j, crowd = neighbours(tree[:end], keys[:end])
+            i, j, crowd = neighbours(tree[:end], keys[:end], begun, goes_on)
+            begun = goes_on
             node = table.column("node").to_pylist()
             pairs = [(node[x], node[y]) if node[x] < node[y] else (node[y], node[x]) for x, y in zip(i.tolist(), j.tolist())]
             pairs += [(node[x], node[x]) for x in crowd.tolist()]

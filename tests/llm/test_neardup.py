@@ -141,3 +141,12 @@ def template(spark, tmp_path_factory):
 def test_pairs_inside_a_template_crowd_are_found(template):
     df, rows = template
     assert result(N.link(df, width=2)) == [(i, 79, i if i < 1500 else i - 1500) for i, _ in rows]
+
+
+def test_regions_cut_by_a_border_count_as_crowds():
+    tree, keys = np.zeros(6, dtype=np.int32), np.zeros((6, N.DEPTH), dtype=np.int64)
+    keys[3:, 0] = 1
+    assert [x.tolist() for x in N.neighbours(tree, keys)][2] == []
+    assert N.neighbours(tree, keys, True, False)[2].tolist() == [0, 1, 2]
+    assert N.neighbours(tree, keys, False, True)[2].tolist() == [3, 4, 5]
+    assert N.neighbours(tree[:1], keys[:1], True, False)[2].tolist() == [0]
