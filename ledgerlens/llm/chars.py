@@ -16,6 +16,7 @@ CHUNK = 500_000  # characters turned into arrays at a time, and
 ROWS = 2_000  # texts turned into Python strings at a time: bounds a task's memory
 POINTS = 0x110000
 _SPACE = re.compile(r"\s")
+ASCII_SPACE = re.compile(r"[\x20\x09-\x0D]")
 
 
 def table(of: Callable[[int], int], kind: type) -> np.ndarray:
@@ -27,9 +28,9 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def _parts(texts: list[str | None], limit: int) -> Iterator[tuple[list[int], list[str]]]:
+def _parts(texts: list[str | None], limit: int, space: re.Pattern = _SPACE) -> Iterator[tuple[list[int], list[str]]]:
     """Rows and texts in order, in groups of about ``limit`` characters.  A text
-    beyond the limit is cut after white space into several parts (at the limit if
+    beyond the limit is cut after white space (``space``) into several parts (at the limit if
     it has none there)."""
     rows: list[int] = []
     parts: list[str] = []
@@ -41,7 +42,7 @@ def _parts(texts: list[str | None], limit: int) -> Iterator[tuple[list[int], lis
             end = len(text)
             if end - at > limit:
                 end = at + limit
-                gap = _SPACE.search(text[at: end][::-1])
+                gap = space.search(text[at: end][::-1])
                 end = end - gap.start() if gap and gap.start() < limit else end
             if size and size + end - at > limit:
                 yield rows, parts
@@ -67,9 +68,9 @@ def chunks(texts: list[str | None], limit: int = CHUNK) -> Iterator[tuple[list[i
         yield rows, codes("\n".join(parts) + "\n"), _starts(parts)
 
 
-def byte_chunks(texts: list[str | None], limit: int = CHUNK) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+def byte_chunks(texts: list[str | None], limit: int = CHUNK, space: re.Pattern = _SPACE) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
     """The same in UTF-8 bytes."""
-    for rows, parts in _parts(texts, limit):
+    for rows, parts in _parts(texts, limit, space):
         raw = [p.encode("utf-8", "surrogatepass") for p in parts]
         yield rows, np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8), _starts(raw)
 

@@ -71,24 +71,30 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start, 64-bit hash) of the words of UTF-8 bytes that end in white space;
-    A-Z count as a-z."""
-    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
+def _space(raw: np.ndarray) -> np.ndarray:
+    return (raw == 32) | ((raw >= 9) & (raw <= 13))
+
+
+def word_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, polynomial, length) of the words of UTF-8 bytes that end in white
+    space; A-Z count as a-z."""
+    space = _space(raw)
     low = np.where((raw >= 65) & (raw <= 90), raw | 32, raw).astype(np.uint64)
     edge = np.diff(~space, prepend=False, append=False).nonzero()[0]
     at, end = edge[::2], edge[1::2]
     up, down = _powers(len(raw))
     sums = np.concatenate([[np.uint64(0)], np.cumsum((low + np.uint64(1)) * up)])
-    return at, _mixed((sums[end] - sums[at]) * down[at] + (end - at).astype(np.uint64) * _MIX)
+    return at, (sums[end] - sums[at]) * down[at], (end - at).astype(np.uint64)
 
 
 def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of every text, in order."""
     row, held = 0, []  # words so far of the text at ``row``
+    cut = None  # (polynomial, length) of the word its last part ends in
 
     def done() -> np.ndarray:
-        w = np.concatenate(held) if held else np.zeros(0, dtype=np.uint64)
+        rest = [] if cut is None else [_mixed(cut[0] + cut[1] * _MIX)]
+        w = np.concatenate([*held, *rest]) if held or rest else np.zeros(0, dtype=np.uint64)
         if not len(w):
             return w
         size = min(width, len(w))
@@ -97,14 +103,26 @@ def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
             h = h * _MIX + w[k: len(w) - size + 1 + k]
         return np.unique(_mixed(h))
 
-    for rows, raw, starts in chars.byte_chunks(texts):
-        at, hashes = word_hashes(raw)
+    for rows, raw, starts in chars.byte_chunks(texts, space=chars.ASCII_SPACE):
+        at, sums, lengths = word_sums(raw)
         cuts = np.searchsorted(at, starts[1:])
-        for r, words in zip(rows, np.split(hashes, cuts)):
+        ends = [*(starts[1:] - 1), len(raw) - 1]
+        for i, (r, x, n) in enumerate(zip(rows, np.split(sums, cuts), np.split(lengths, cuts))):
             if r != row:
                 yield done()
-                row, held = r, []
-            held.append(words)
+                row, held, cut = r, [], None
+            if cut is not None:
+                if _space(raw[starts[i]: starts[i] + 1])[0]:
+                    held.append(_mixed(cut[0] + cut[1] * _MIX))
+                else:  # the word goes on
+                    x[:1] = cut[0] + x[:1] * np.uint64(pow(int(_BASE), int(cut[1][0]), 1 << 64))
+                    n[:1] += cut[1]
+                cut = None
+            more = i + 1 == len(rows) or rows[i + 1] == r  # the text may have another part
+            if more and len(x) and not _space(raw[ends[i] - 1: ends[i]])[0]:
+                cut = x[-1:], n[-1:]
+                x, n = x[:-1], n[:-1]
+            held.append(_mixed(x + n * _MIX))
     if texts:
         yield done()
 

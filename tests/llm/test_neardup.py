@@ -150,3 +150,17 @@ def test_regions_cut_by_a_border_count_as_crowds():
     assert N.neighbours(tree, keys, True, False)[2].tolist() == [0, 1, 2]
     assert N.neighbours(tree, keys, False, True)[2].tolist() == [3, 4, 5]
     assert N.neighbours(tree[:1], keys[:1], True, False)[2].tolist() == [0]
+
+
+def test_long_texts_are_cut_at_the_contracts_white_space_only():
+    r = random.Random(9)
+    long = ["".join(r.choices("abcXYZé", k=n)) for n in (1_200_000, 600_000, 499_999, 500_001)]
+    nbsp = "\u00a0".join(["ab"] * 400_000)
+    texts = [long[0], " ".join(long), None, nbsp + " end", "x " + long[3] + "\t" + nbsp + "\u3000y z"]
+    got = list(N.shingle_sets(texts, 1))
+    assert [len(s) for s in got] == [1, 4, 0, 2, 4]
+    assert np.isin(got[0], got[1]).all()
+    alone = [next(N.shingle_sets([w], 1))[0] for w in long]
+    assert len(set(alone)) == 4 and (np.sort(np.array(alone)) == got[1]).all()
+    assert next(N.shingle_sets(["A" * 700_000 + " b"], 1)).tolist() == next(N.shingle_sets(["b " + "a" * 700_000], 1)).tolist()
+    assert next(N.shingle_sets(["a" * 700_000], 1)).tolist() != next(N.shingle_sets(["a" * 700_001], 1)).tolist()
