@@ -13,10 +13,12 @@ inside base spans are clamped to their kind.  Loopy sum-product message passing
 runs on all documents of an Arrow batch at once; words whose marginal for a kind
 reaches SURE become added spans (adjacent ones of a kind are one span), so a
 number that is written differently the second time, or a handle, is found through
-its first occurrence.  Skip edges join an occurrence to the next one only, so the
-work is linear in the text.
+its first occurrence.  Skip edges join an occurrence to the next one and to the first
+one inside a base span, so evidence does not pass hop by hop and the work is
+linear in the text.
 
-All weights are learned from the corpus with the base spans as labels, on the
+All weights are learned from the corpus with the base spans as labels (a word
+outside them that is joined to one has no label and is not counted), on the
 driver, from at most about ``sample`` documents (a documented bound; drawn by a
 hash of the id at a rate from an exact count).
 
@@ -45,7 +47,7 @@ NONE = len(KINDS)
 LABELS = NONE + 1
 SAMPLE = 4000
 SURE = 0.9
-SWEEPS, DAMPING = 12, 0.3
+SWEEPS, SETTLED, DAMPING = 200, 1e-5, 0.3  # sweeps at most, unless no message changes by more
 FEATURES = 1 << 12
 STRONGEST = 5.0  # limit of a skip edge's log-odds
 
@@ -172,16 +174,22 @@ TYPES = ("text", "digits", "tail", "handle")
 
 
 def edges_of(nodes: list[Node]) -> list[tuple[int, int, int]]:
-    """(node, later node, edge type): skip edges by TYPES, then adjacency."""
-    out, last = [], {}
+    """(node, other node, edge type): skip edges by TYPES to the previous node with
+    the key and to its hub, the first one inside a base span; then adjacency."""
+    out, last, hub = [], {}, {}
+    keys = [keys_of(n) for n in nodes]
     for i, n in enumerate(nodes):
-        joined = set()
-        for kind, key in keys_of(n):
-            j = last.get((kind, key))
-            if j is not None and j not in joined:
-                joined.add(j)
-                out.append((j, i, TYPES.index(kind)))
-            last[(kind, key)] = i
+        if n.clamped:
+            for k in keys[i]:
+                hub.setdefault(k, i)
+    for i, n in enumerate(nodes):
+        joined = {i}
+        for k in keys[i]:
+            for j in (last.get(k), None if n.clamped else hub.get(k)):
+                if j is not None and j not in joined:
+                    joined.add(j)
+                    out.append((j, i, TYPES.index(k[0])))
+            last[k] = i
         if n.adjacent and i:
             out.append((i - 1, i, len(TYPES)))
     return out
@@ -213,7 +221,11 @@ class Field:
                 out = belief[source] - message[back]
                 new = _logsum(out[:, :, None] + pair, 1)
                 new -= _logsum(new, 1)[:, None]
-                message = DAMPING * message + (1 - DAMPING) * new
+                new = DAMPING * message + (1 - DAMPING) * new
+                moved = np.abs(new - message).max()
+                message = new
+                if moved < SETTLED:
+                    break
             unary = unary.copy()
             np.add.at(unary, target, message)
         return np.exp(unary - _logsum(unary, 1)[:, None]) if n else unary
@@ -232,13 +244,18 @@ def learn(texts: list[str]) -> Field | None:
     follow = np.ones((LABELS, LABELS))
     for text in texts:
         nodes = nodes_of(text, base_spans(text))
-        rows += [node_features(n) for n in nodes]
-        labels += [n.label for n in nodes]
+        seen = {k for n in nodes if n.clamped for k in keys_of(n)}
+        known = [n.clamped or seen.isdisjoint(keys_of(n)) for n in nodes]
+        rows += [node_features(n) for n, sure in zip(nodes, known) if sure]
+        labels += [n.label for n, sure in zip(nodes, known) if sure]
         for i, j, kind in edges_of(nodes):
+            if not (known[i] and known[j]):
+                continue
             if kind < len(TYPES):
                 equal = nodes[i].label == nodes[j].label
-                same[kind] += equal
-                apart[kind] += not equal
+                for of, _ in set(keys_of(nodes[i])) & set(keys_of(nodes[j])):  # every key they share tells of its type
+                    same[TYPES.index(of)] += equal
+                    apart[TYPES.index(of)] += not equal
             else:
                 follow[nodes[i].label, nodes[j].label] += 1
     if not rows:
@@ -288,7 +305,7 @@ def find(field: Field | None, texts: list[str | None]) -> list[list[tuple[int, i
     unary -= _logsum(unary, 1)[:, None]
     held = np.array([n.clamped for n in nodes])
     truth = np.array([n.label for n in nodes])
-    unary[held] = -50.0
+    unary[held] = -1e6  # whatever number of nodes a hub has
     unary[held, truth[held]] = 0.0
     p = field.marginals(unary, np.array(edges, dtype=np.int64).reshape(-1, 3))
     kind, sure = p[:, :NONE].argmax(axis=1), p[:, :NONE].max(axis=1) >= SURE

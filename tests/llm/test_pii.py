@@ -86,3 +86,27 @@ def test_a_repeated_number_is_found_through_its_first_writing():
     assert any(b for *_, b in found) and all(e > s for s, _, e, _ in found)
     plain_field = pii.find(None, texts)
     assert [[s[:3] for s in f] for f in plain_field] == [plain(t) for t in texts]
+
+
+def test_all_later_mentions_are_found_with_learned_weights():
+    r = random.Random(4)
+    texts = [f"call +1 (269) 555-{1000 + i} or 269-555-{1000 + i} now" for i in range(60)]
+    texts += [f"item {i} costs {i * 7} coins in 19{i % 90 + 10}, order {r.randint(10 ** 6, 10 ** 7)}" for i in range(60)]
+    texts += [f"dial +1 (415) 555-{2000 + i} at once, +1-415-555-{2000 + i} is open" for i in range(60)]
+    field = pii.learn(texts)
+    text = "reach +1-312-555-7777 today; " + "then 312-555-7777 it costs 12 coins; " * 39
+    added = [s for s in pii.find(field, [text])[0] if not s[3]]
+    assert [text[s:e] for s, k, e, _ in added if k == 3] == ["312-555-7777"] * 39
+    assert len(added) == 39
+    before = "ask 312-555-7777 or +1-312-555-7777"  # also in front of the base span
+    assert [before[s:e] for s, _, e, b in pii.find(field, [before])[0] if not b] == ["312-555-7777"]
+
+
+def test_messages_go_on_until_they_settle():
+    field = pii.Field(np.zeros((pii.FEATURES, pii.LABELS)), np.full(4, 5.0), np.zeros((pii.LABELS, pii.LABELS)))
+    unary = np.zeros((30, pii.LABELS))
+    unary[0] = -50.0
+    unary[0, 3] = 0.0
+    p = field.marginals(unary, np.array([(i, i + 1, 0) for i in range(29)]))
+    step = (np.exp(5) - 1) / (np.exp(5) + pii.LABELS - 1)
+    assert np.allclose(p[:, 3], 1 / pii.LABELS + (1 - 1 / pii.LABELS) * step ** np.arange(30), atol=1e-3)
