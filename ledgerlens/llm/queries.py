@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerlens.llm import fingerprints, langid, mixing, neardup, oracle, packing, pii, secrets, topk, toxicity, urlfilter
-from ledgerlens.llm.common import remainder, table
+from ledgerlens.llm import alignment, fingerprints, langid, merkle, mixing, multiindex, neardup, oracle, packing, pii, secrets, topk, toxicity, urlfilter
+from ledgerlens.llm.common import ascii_lower, remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,12 +63,32 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), ["doc_id"]).select("doc.doc_id", *alignment.COUNTS, "groups_sha256")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    before = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle.leaf(*before, F.col("text"))
+    tampered = F.when(remainder("doc_id", 3) == 0, merkle.leaf(*before, ascii_lower(F.col("text")))).otherwise(F.col("leaf"))
+    claims = docs.select("doc_id", "lang", leaf.alias("leaf"), "source", "n_chars", "text").select("doc_id", "lang", "leaf", tampered.alias("claimed"))
+    listed = merkle.manifest(claims, ["doc_id", "claimed"], "lang", "doc_id", "leaf")
+    found = listed.select("doc.doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                          merkle.folded(F.col("doc.claimed"), F.col("proof")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 OPERATORS = (op1_toxicity, op2_packing, op3_fingerprints, op4_near_duplicates, op5_mixing, op6_url_filter, op7_secrets, op8_language,
-             op9_personal_data, op10_topk_search)
+             op9_personal_data, op10_topk_search, op11_alignment, op12_merkle_manifest, op13_nearest_neighbours)
 
 
 def queries() -> dict[str, Query]:
