@@ -18,7 +18,9 @@ from ledgerlens import config as C
 from ledgerlens.config import DEFAULT, Params
 from ledgerlens.functions.columns import ws_trim
 from ledgerlens.operators import mapping as MP
+from ledgerlens.operators.ranking import numbered
 from ledgerlens.sources import files
+from ledgerlens.sources.tables import written
 
 # accepted date layouts, tried in order; the two groups of numbers swap places
 # with ``Params.day_first``
@@ -66,24 +68,32 @@ def clean_numeric(df: DataFrame, cols=C.NUMERIC_COLUMNS) -> DataFrame:
     return df.withColumns({c: to_number(F.col(c)) for c in present}) if present else df
 
 
-def first_rows(df: DataFrame, key: str, order_cols: list[str], candidates: Column | None = None) -> DataFrame:
-    """Marks the first row (in ``order_cols`` order) of every ``key`` value,
-    nulls forming one group; only rows meeting ``candidates`` compete (the
-    others get ``_is_first`` null).  The first row per key comes from a min
-    over a struct -- a partial + final aggregate, so a key holding a third of
-    the rows costs one row per task -- and is joined back on (key, order
-    columns), which spreads a hot key over the order columns' hash."""
+def in_file_order(df: DataFrame) -> DataFrame:
+    """The rows written once, with ``_order``: one long that ascends with (file,
+    place of the split in it, row in the split).  Splits are numbered over all
+    files (a table of a row per split), a row keeps its place in its split below
+    that number."""
+    rows = written(df, "typed")
+    splits = rows.groupBy("_file_path", "_block_start").agg(F.min("_row_in_split").alias("_first"))
+    splits = numbered(splits, [F.col("_file_path"), F.col("_block_start")], name="_split").select(
+        F.col("_file_path").alias("_f"), F.col("_block_start").alias("_b"), "_first", "_split")
+    here = (F.col("_file_path") == F.col("_f")) & (F.col("_block_start") == F.col("_b"))
+    return rows.join(written(splits, "splits"), here).withColumn(
+        "_order", F.shiftleft("_split", 33) + (F.col("_row_in_split") - F.col("_first"))).drop("_f", "_b", "_first", "_split")
+
+
+def first_rows(df: DataFrame, key: str, order: str, candidates: Column | None = None) -> DataFrame:
+    """Marks the first row (lowest ``order``, a long that no two rows share) of
+    every ``key`` value, nulls forming one group; only rows meeting ``candidates``
+    compete (the others get ``_is_first`` null).  The lowest number of a key is a
+    partial + final hash aggregate, so a key holding a third of the rows costs one
+    row per task; it is joined back on the number, which spreads a hot key."""
     pool = df if candidates is None else df.where(candidates)
-    firsts = (pool.groupBy(key).agg(F.min(F.struct(*order_cols)).alias("_k"))
-                  .select(F.col(key).alias("_fk"), *[F.col(f"_k.{c}").alias(f"_f_{c}") for c in order_cols],
-                          F.lit(True).alias("_first")))
-    cond = [df[key].eqNullSafe(firsts["_fk"])] + [df[c] == firsts[f"_f_{c}"] for c in order_cols]
-    flag = F.coalesce(F.col("_first"), F.lit(False))
+    firsts = pool.groupBy(key).agg(F.min(order).alias("_f")).select("_f")
+    flag = F.col("_f").isNotNull()
     if candidates is not None:
         flag = F.when(candidates, flag)
-    return (df.join(firsts, cond, "left")
-              .withColumn("_is_first", flag)
-              .drop("_fk", "_first", *[f"_f_{c}" for c in order_cols]))
+    return df.join(firsts, F.col(order) == F.col("_f"), "left").withColumn("_is_first", flag).drop("_f")
 
 
 def quality_checks(df: DataFrame, required=C.CLEANER_REQUIRED) -> list[tuple[str, str, Column]]:
@@ -101,12 +111,12 @@ def quality_checks(df: DataFrame, required=C.CLEANER_REQUIRED) -> list[tuple[str
     return checks
 
 
-def tag_quality(df: DataFrame, order_cols: list[str], required=C.CLEANER_REQUIRED,
+def tag_quality(df: DataFrame, order: str, required=C.CLEANER_REQUIRED,
                 live: Column | None = None) -> DataFrame:
     """Adds ``_dq_check``: the first check the row fails, null for a clean row.
     Only ``live`` rows are checked (rows already removed get null)."""
     if "transaction_id" in df.columns:
-        df = first_rows(df, "transaction_id", order_cols, live)
+        df = first_rows(df, "transaction_id", order, live)
     tag = F.lit(None).cast("string")
     for name, _, cond in reversed(quality_checks(df, required)):
         tag = F.when(cond, F.lit(name)).otherwise(tag)
@@ -115,6 +125,10 @@ def tag_quality(df: DataFrame, order_cols: list[str], required=C.CLEANER_REQUIRE
     return df.withColumn("_dq_check", tag)
 
 
+# columns that reading and checking add to those of the files
+BOOKKEEPING = (*files.BOOKKEEPING, "_order", "_unparsed", "_future", "_is_first", "_dq_check")
+
+
 @dataclass
 class Cleaned:
     system: str
@@ -126,7 +140,7 @@ class Cleaned:
     @property
     def rows(self) -> DataFrame:
         """Clean rows, without bookkeeping columns."""
-        keep = [c for c in self.tagged.columns if not c.startswith("_") or c == "_source_file"]
+        keep = [c for c in self.tagged.columns if c not in BOOKKEEPING or c == "_source_file"]
         # the (always true) test on the file-order id keeps the typing
         # projection's fence in place, so the filter reads computed columns
         clean = ~F.col("_future") & F.col("_dq_check").isNull() & (F.col("_row_in_split") >= 0)
@@ -138,7 +152,7 @@ def clean_export(df: DataFrame, system: str | None = None, p: Params = DEFAULT,
                  collapse: bool = True, exclude_exact: bool = False) -> Cleaned:
     """Mapped, typed and tagged export.  ``df`` comes from ``files.read_csv``
     (all text plus file-order columns)."""
-    data_cols = [c for c in df.columns if not c.startswith("_")]
+    data_cols = files.data_columns(df)
     if system is None:
         system, _ = MP.detect_system(data_cols)
     targets, matches, unmatched = MP.plan_columns(data_cols, system, collapse=collapse,
@@ -159,9 +173,10 @@ def clean_export(df: DataFrame, system: str | None = None, p: Params = DEFAULT,
     typed.update({c: to_number(F.col(c)) for c in C.NUMERIC_COLUMNS if c in mapped.columns})
     typed["_row_in_split"] = F.monotonically_increasing_id()
     mapped = mapped.withColumns(typed)
-    order = ["_file_path", "_block_start", "_row_in_split"]
+    if "transaction_id" in mapped.columns:  # the rows are read twice from here on
+        mapped = in_file_order(mapped)
     # duplicates are judged among the rows that survived the date step
-    tagged = tag_quality(mapped, order, live=~F.col("_future"))
+    tagged = tag_quality(mapped, "_order", live=~F.col("_future"))
     missing = [f for f in C.CLEANER_REQUIRED if f not in mapped.columns]
     return Cleaned(system, tagged, matches, unmatched, missing)
 

@@ -11,13 +11,14 @@ from __future__ import annotations
 import datetime as _dt
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
 from ledgerlens.config import DEFAULT, Params
 from ledgerlens.functions.columns import MARGIN_TYPE, days_between, exact_ratio, severity_rank
 from ledgerlens.operators.metrics import SUM_MONEY, customer_lifetime_value, exact_avg, product_avg_margin
+from ledgerlens.operators.ranking import numbered, weight_before
 from ledgerlens.operators.staging import customer_name_of, product_name_of
 
 DEAD_STOCK_COLUMNS = (
@@ -44,6 +45,27 @@ def _finish(df: DataFrame, cols, with_created_at: bool) -> DataFrame:
     return out.withColumn("created_at", F.current_timestamp()) if with_created_at else out
 
 
+def dead_severity(days: Column, p: Params = DEFAULT) -> Column:
+    return (F.when(days >= C.DEAD_CRITICAL_DAYS, "CRITICAL").when(days >= C.DEAD_HIGH_DAYS, "HIGH")
+             .when(days >= p.dead_stock_days, "MEDIUM").otherwise("LOW"))
+
+
+def dead_action(days: Column) -> Column:
+    return (F.when(days >= C.DEAD_CRITICAL_DAYS, C.DEAD_ACTION_CRITICAL).when(days >= C.DEAD_HIGH_DAYS, C.DEAD_ACTION_HIGH)
+             .when(days >= C.DEAD_ACTION_DAYS, C.DEAD_ACTION_MEDIUM).otherwise(C.DEAD_ACTION_NORMAL))
+
+
+def credit_severity(amount: Column, most_days: Column, p: Params = DEFAULT) -> Column:
+    return (F.when((amount > C.CREDIT_CRITICAL_AMOUNT) & (most_days > C.CREDIT_HIGH_DAYS), "CRITICAL")
+             .when(most_days > C.CREDIT_CRITICAL_DAYS, "CRITICAL").when(most_days > C.CREDIT_HIGH_DAYS, "HIGH")
+             .when(most_days > C.CREDIT_MEDIUM_DAYS, "MEDIUM").when(most_days > p.credit_risk_days, "LOW").otherwise("INFO"))
+
+
+def credit_action(most_days: Column) -> Column:
+    return (F.when(most_days > C.CREDIT_CRITICAL_DAYS, C.CREDIT_ACTION_CRITICAL).when(most_days > C.CREDIT_HIGH_DAYS, C.CREDIT_ACTION_HIGH)
+             .when(most_days > C.CREDIT_MEDIUM_DAYS, C.CREDIT_ACTION_MEDIUM).otherwise(C.CREDIT_ACTION_LOW))
+
+
 def dead_stock(stg: DataFrame, p: Params = DEFAULT, with_created_at: bool = True) -> DataFrame:
     """Products whose last sale is at least ``dead_stock_days`` before ``as_of``.
 
@@ -62,13 +84,8 @@ def dead_stock(stg: DataFrame, p: Params = DEFAULT, with_created_at: bool = True
         "estimated_value_locked": F.round(
             F.col("total_quantity_ever_sold") * F.lit(C.DEAD_VALUE_FACTOR) * F.lit(C.DEAD_VALUE_UNIT_PRICE), 2
         ).cast("decimal(38,2)"),
-        "alert_severity": F.when(d >= C.DEAD_CRITICAL_DAYS, "CRITICAL")
-                           .when(d >= C.DEAD_HIGH_DAYS, "HIGH")
-                           .when(d >= p.dead_stock_days, "MEDIUM").otherwise("LOW"),
-        "recommended_action": F.when(d >= C.DEAD_CRITICAL_DAYS, C.DEAD_ACTION_CRITICAL)
-                               .when(d >= C.DEAD_HIGH_DAYS, C.DEAD_ACTION_HIGH)
-                               .when(d >= C.DEAD_ACTION_DAYS, C.DEAD_ACTION_MEDIUM)
-                               .otherwise(C.DEAD_ACTION_NORMAL),
+        "alert_severity": dead_severity(d, p),
+        "recommended_action": dead_action(d),
         "analysis_date": F.lit(p.as_of),
     })
     return _finish(df, DEAD_STOCK_COLUMNS, with_created_at)
@@ -82,6 +99,7 @@ def low_margin(stg: DataFrame, p: Params = DEFAULT, with_created_at: bool = True
     a narrow per-product aggregate (partial + final) joined to the filtered
     lines; AQE broadcasts it only if its measured size is under the threshold."""
     thr = F.lit(p.low_margin_threshold)
+    gap_scale = 4 + max(2, -p.low_margin_threshold.as_tuple().exponent)
     m = F.col("margin_percentage")
     cutoff = p.as_of - _dt.timedelta(days=p.low_margin_lookback_days)
     # the same window on (year, month): redundant as a filter, but when staging
@@ -95,10 +113,10 @@ def low_margin(stg: DataFrame, p: Params = DEFAULT, with_created_at: bool = True
     earned = F.col("unit_margin") * F.col("quantity")
     df = df.withColumns({
         "total_margin_earned": earned.cast("decimal(38,8)"),
-        # (target unit margin - unit margin) * quantity, exact: operands narrowed
-        # so the product stays under the 38-digit cap without losing scale
-        "margin_gap_vs_target": ((thr * F.col("unit_price") - F.col("unit_margin")).cast("decimal(20,6)")
-                                 * F.col("quantity").cast("decimal(17,4)")).cast("decimal(38,10)"),
+        # (target unit margin - unit margin) * quantity, exact: operands narrowed so
+        # the product stays under the 38-digit cap, with every digit of the target
+        "margin_gap_vs_target": ((thr * F.col("unit_price") - F.col("unit_margin")).cast(f"decimal(20,{gap_scale})")
+                                 * F.col("quantity").cast("decimal(17,4)")).cast(f"decimal(38,{gap_scale + 4})"),
         "margin_vs_product_avg": (m - F.col("avg_product_margin")).cast(MARGIN_TYPE),
         "alert_severity": F.when(m < 0, "CRITICAL").when(m < F.lit(C.LOW_MARGIN_HIGH), "HIGH")
                            .when(m < thr, "MEDIUM").otherwise("LOW"),
@@ -178,20 +196,47 @@ def credit_risk(stg: DataFrame, p: Params = DEFAULT, with_created_at: bool = Tru
         "risk_percentage_of_ltv": F.round(
             exact_ratio(amt, F.when(clv != 0, clv)).cast("decimal(20,9)") * F.lit(Decimal(100)), 2)
             .cast("decimal(38,2)"),
-        "alert_severity": F.when((amt > C.CREDIT_CRITICAL_AMOUNT) & (mx > C.CREDIT_HIGH_DAYS), "CRITICAL")
-                           .when(mx > C.CREDIT_CRITICAL_DAYS, "CRITICAL")
-                           .when(mx > C.CREDIT_HIGH_DAYS, "HIGH")
-                           .when(mx > C.CREDIT_MEDIUM_DAYS, "MEDIUM")
-                           .when(mx > p.credit_risk_days, "LOW").otherwise("INFO"),
-        "recommended_action": F.when(mx > C.CREDIT_CRITICAL_DAYS, C.CREDIT_ACTION_CRITICAL)
-                               .when(mx > C.CREDIT_HIGH_DAYS, C.CREDIT_ACTION_HIGH)
-                               .when(mx > C.CREDIT_MEDIUM_DAYS, C.CREDIT_ACTION_MEDIUM)
-                               .otherwise(C.CREDIT_ACTION_LOW),
+        "alert_severity": credit_severity(amt, mx, p),
+        "recommended_action": credit_action(mx),
         "analysis_date": F.lit(p.as_of),
     })
     return _finish(df, CREDIT_RISK_COLUMNS, with_created_at)
 
 
-def presentation_order(mart: DataFrame, metric: str) -> DataFrame:
-    """The marts' display order: severity (by rank, not by text), then metric descending."""
-    return mart.orderBy(severity_rank("alert_severity"), F.col(metric).desc())
+DISPLAY_METRICS = {"dead_stock": ("days_since_last_sale", ("product_id",)),
+                   "low_margin": ("margin_gap_vs_target", LOW_MARGIN_COLUMNS),
+                   "credit_risk": ("total_overdue_amount", ("customer_id",))}
+
+
+def displayed(mart: DataFrame, name: str) -> DataFrame:
+    """The mart with ``display_rank``: its rows by severity (by rank, not by text),
+    then the mart's metric descending, then a unique key (the low-margin mart has
+    none but the whole row, so only equal rows can change places)."""
+    metric, key = DISPLAY_METRICS[name]
+    order = [severity_rank("alert_severity"), F.col(metric).desc_nulls_last(), *(F.col(k).asc_nulls_first() for k in key if k != metric)]
+    return numbered(mart, order, name="display_rank")
+
+
+INVOICE_CHUNK = 4000  # characters
+
+
+def overdue_invoice_chunks(stg: DataFrame, p: Params = DEFAULT, chars: int = INVOICE_CHUNK) -> DataFrame:
+    """(customer_id, chunk, ids): the id list of a customer's alert in numbered
+    chunks of at most about two times ``chars`` characters; joined by ', ' in order they are the
+    mart's text.  A chunk is where the running length of the list falls, so a
+    customer with any share of the lines is spread over tasks; an invoice with very
+    many lines is cut too."""
+    tid = F.col("transaction_id")
+    inv = overdue_invoices(stg, p).where(tid.isNotNull())
+    each = F.length(tid) + 2
+    most = F.greatest(F.lit(1), F.floor(F.lit(chars) / each))  # lines of one invoice in a piece
+    inv = inv.withColumn("most", most.cast("bigint")).withColumn(
+        "cut", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n_lines") - 1) / F.col("most")))))
+    lines = F.least(F.col("most"), F.col("n_lines") - F.col("cut") * F.col("most"))
+    pieces = inv.select("customer_id", "transaction_date", "transaction_id", "cut", lines.alias("n"), (lines * each).alias("chars"))
+    order = [F.col("transaction_date"), F.col("transaction_id"), F.col("cut")]
+    placed = weight_before(pieces, "chars", order, ("customer_id",), "before")
+    piece = F.array_join(F.array_repeat(tid, F.col("n").cast("int")), ", ")
+    placed = placed.withColumns({"chunk": F.floor(F.col("before") / chars), "piece": piece})
+    return placed.groupBy("customer_id", "chunk").agg(
+        F.expr("listagg(piece, ', ') WITHIN GROUP (ORDER BY before)").alias("ids"))

@@ -25,7 +25,7 @@ def _read(spark: SparkSession, sf: str, system: str = "gofrugal", encoding: str
 
 
 def _data(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in df.columns if not c.startswith("_")])
+    return df.select(*[c for c in df.columns if c not in CL.BOOKKEEPING])
 
 
 def csv_scan(spark, sf):
@@ -53,7 +53,7 @@ def detect_source(spark, sf):
 
 def column_rename(spark, sf):
     df = _read(spark, sf)
-    targets, _, _ = MP.plan_columns([c for c in df.columns if not c.startswith("_")], "gofrugal")
+    targets, _, _ = MP.plan_columns(files.data_columns(df), "gofrugal")
     return _data(MP.apply_columns(df, targets))
 
 

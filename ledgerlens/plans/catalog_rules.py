@@ -242,7 +242,7 @@ def inventory_mapping(s, sf):
     out = []
     for name, path in _INV_CACHE[key].items():
         df = files.read_csv(s, path, "UTF-8")
-        targets, _, _ = MP.plan_columns([c for c in df.columns if not c.startswith("_")], name, entity="inventory")
+        targets, _, _ = MP.plan_columns(files.data_columns(df), name, entity="inventory")
         mapped = MP.apply_columns(df, targets)
         out.append(mapped.select(F.lit(name).alias("system"), "product_name",
                                  F.col("quantity_on_hand").try_cast("double").alias("quantity_on_hand")))

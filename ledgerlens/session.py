@@ -17,7 +17,6 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
-    "spark.sql.legacy.javaCharsets": "true",  # windows-1252 exports
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

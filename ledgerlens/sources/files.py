@@ -4,21 +4,63 @@ Spark never fails on bad UTF-8 (it substitutes U+FFFD), so the encoding
 fallback is decided by a distributed probe instead of by a decode error:
 one aggregate over the raw lines tells for every file whether its bytes are
 valid UTF-8, and, if not, whether they hold a byte windows-1252 leaves undefined.
+
+Spark reads and writes windows-1252 only under a legacy session setting, so no
+plan here rests on it: such files are read as ISO-8859-1, in which every byte is a
+character, and the 27 characters that differ are translated (the inverse before
+writing).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # bytes with no character in windows-1252 (decoding them fails, so latin-1 is next)
 CP1252_UNDEFINED = ("81", "8D", "8F", "90", "9D")
+# bytes that are control characters in ISO-8859-1 and printed ones in windows-1252
+_C1 = [chr(b) for b in range(0x80, 0xA0) if f"{b:02X}" not in CP1252_UNDEFINED]
+_PRINTED = [c.encode("latin-1").decode("cp1252") for c in _C1]
 # texts a CSV reader of the reference's stack reads as "no value" (fixed values,
 # the pandas default NA strings)
 NULL_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
               "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
+# columns a read adds to those of the files
+BOOKKEEPING = ("_source_file", "_file_path", "_block_start", "_row_in_split")
+
+
+def spark_charset(encoding: str) -> str:
+    """The charset that Spark reads and writes files of ``encoding`` in."""
+    return "ISO-8859-1" if is_cp1252(encoding) else encoding
+
+
+def is_cp1252(encoding: str) -> bool:
+    return encoding.lower().replace("_", "-") in ("windows-1252", "cp1252")
+
+
+def from_latin1(c: Column) -> Column:
+    """windows-1252 text whose bytes were read as ISO-8859-1."""
+    return F.translate(c, "".join(_C1), "".join(_PRINTED))
+
+
+def to_latin1(c: Column) -> Column:
+    """Text that has the bytes of windows-1252 when written as ISO-8859-1.  Control
+    characters that windows-1252 has no byte for become question marks."""
+    return F.translate(c, "".join(_PRINTED + _C1), "".join(_C1) + "?" * len(_C1))
+
+
+def renamed_latin1(names: list[str]) -> list[str]:
+    table = str.maketrans("".join(_C1), "".join(_PRINTED))
+    return [n.translate(table) for n in names]
+
+
+def data_columns(df: DataFrame) -> list[str]:
+    """The columns the files themselves have."""
+    return [c for c in df.columns if c not in BOOKKEEPING]
+
+
 def scan_files(spark: SparkSession, path) -> DataFrame:
     """(file, encoding, header): what one pass over the text
     tells about every file under ``path``: its encoding ('UTF-8', 'windows-1252'
@@ -64,11 +106,12 @@ def read_csv(spark: SparkSession, path, encoding: str | None = None,
     asked for."""
     enc = encoding or probe_encoding(spark, path)
     df = (spark.read.option("header", True).option("inferSchema", False)
-               .option("encoding", enc).option("multiLine", multiline)
+               .option("encoding", spark_charset(enc)).option("multiLine", multiline)
                .option("quote", '"').option("escape", '"')
                .option("mode", "PERMISSIVE").csv(path))
-    df = df.select(*[F.when(F.col(f"`{c}`").isin(*NULL_TEXTS), F.lit(None)).otherwise(F.col(f"`{c}`"))
-                     .alias(c) for c in df.columns],
+    names = renamed_latin1(df.columns) if is_cp1252(enc) else df.columns
+    text = [from_latin1(F.col(f"`{c}`")) if is_cp1252(enc) else F.col(f"`{c}`") for c in df.columns]
+    df = df.select(*[F.when(t.isin(*NULL_TEXTS), F.lit(None)).otherwise(t).alias(n) for t, n in zip(text, names)],
                    F.col("_metadata.file_name").alias("_source_file"),
                    F.col("_metadata.file_path").alias("_file_path"),
                    F.col("_metadata.file_block_start").alias("_block_start"))
@@ -81,7 +124,10 @@ def read_csv(spark: SparkSession, path, encoding: str | None = None,
 
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", mode: str = "overwrite") -> str:
     """Directory of CSV part files with a header row, no index column."""
-    (df.write.mode(mode).option("header", True).option("encoding", encoding)
+    if is_cp1252(encoding):
+        back = str.maketrans("".join(_PRINTED), "".join(_C1))
+        df = df.select(*[to_latin1(F.col(f"`{c}`").cast("string")).alias(c.translate(back)) for c in df.columns])
+    (df.write.mode(mode).option("header", True).option("encoding", spark_charset(encoding))
        .option("quote", '"').option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path

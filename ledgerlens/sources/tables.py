@@ -6,9 +6,23 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.session import shared_path
+
 LOG = logging.getLogger(__name__)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared checkpoint folder and read back: computed
+    once, and not again when executors are lost."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def table_exists(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name)
+
+
 def load_table(df: DataFrame, name: str, if_exists: str = "replace",
                partition_by: list[str] | None = None, path: str | None = None) -> bool:
     """Write ``df`` as table ``name``; 'replace' overwrites, anything else appends.

@@ -75,6 +75,27 @@ def test_encoding_probe_and_read(spark):
     assert files.probe_encoding(spark, p_undef) == "ISO-8859-1"
 
 
+def test_windows_1252_in_any_session(spark, tmp_path):
+    """Every character of the encoding survives reading and writing, whatever the session's settings."""
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", "false") == "false"
+    every = "".join(bytes([b]).decode("cp1252") for b in range(0x80, 0x100) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
+    path = write_text(f"BillNo,Prix €\n1,{every}\n2,plain\n", "cp1252")
+    df = files.read_csv(spark, path)
+    assert files.data_columns(df) == ["BillNo", "Prix €"]
+    assert sorted(tuple(r) for r in df.select("BillNo", "Prix €").collect()) == [("1", every), ("2", "plain")]
+    out = str(tmp_path / "out")
+    files.write_csv(df.select("BillNo", "Prix €").coalesce(1), out, encoding="windows-1252")
+    (part,) = [f for f in os.listdir(out) if f.endswith(".csv")]
+    raw = open(f"{out}/{part}", "rb").read().decode("cp1252")
+    assert sorted(raw.splitlines()) == sorted(["BillNo,Prix €", f"1,{every}", "2,plain"])
+
+
+def test_a_header_that_begins_with_an_underscore_is_kept(spark):
+    df = files.read_csv(spark, write_text("_id,BillNo,BillDate,CustomerName,ItemName,Qty,Rate,Amount\nx,1,2024-03-01,A,P,1,10,10\n", "utf-8"))
+    row = CL.clean_export(df, "gofrugal", P).rows.collect()[0]
+    assert row["_id"] == "x" and row["source_file"] == "export.csv"
+
+
 def test_dedupe_keeps_first_copy_and_report(spark):
     text = ("BillNo,BillDate,CustomerName,ItemName,Qty,Rate,Amount\n"
             "1,2024-03-01,A,P,0,10,10\n"        # bad first copy: the whole bill goes (T8)

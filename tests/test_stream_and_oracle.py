@@ -81,7 +81,7 @@ def pieces(spark, sf, tmp_path):
         part = tmp_path / f"part{n}"
         lines.where(f"pmod(hash(l_orderkey, l_linenumber), 8) = {n}").coalesce(1).write.parquet(str(part))
         (file,) = part.glob("*.parquet")
-        shutil.copy(file, folder / f"lineitem_{n}.parquet")
+        shutil.copyfile(file, folder / f"lineitem_{n}.parquet")
     return folder
 
 
@@ -121,7 +121,7 @@ def test_two_equal_lines_of_an_invoice_give_two_alerts(spark, sf, tmp_path):
     twice.coalesce(1).write.parquet(str(tmp_path / "t"))
     (file,) = (tmp_path / "t").glob("*.parquet")
     (tmp_path / "lines").mkdir()
-    shutil.copy(file, tmp_path / "lines" / "lineitem_0.parquet")
+    shutil.copyfile(file, tmp_path / "lines" / "lineitem_0.parquet")
     got = critical.read_alerts(spark, critical.run_available_now(spark, sf, lines_dir=str(tmp_path / "lines")))
     assert got.groupBy(*got.columns).count().where("count % 2 = 1").isEmpty() and got.count() > 0
 
@@ -130,12 +130,12 @@ def test_lines_wait_for_their_order(spark, sf, pieces, tmp_path):
     tables = tmp_path / "tables"
     tables.mkdir()
     for t in ("lineitem", "customer", "part", "orders"):
-        shutil.copy(f"{sf}/{t}.parquet", tables / f"{t}.parquet")
+        shutil.copyfile(f"{sf}/{t}.parquet", tables / f"{t}.parquet")
     whole = (tables / "orders.parquet").read_bytes()
     few = tmp_path / "few"
     fixture.table(spark, sf, "orders").where("o_orderkey % 3 = 0").coalesce(1).write.parquet(str(few))
     (file,) = few.glob("*.parquet")
-    shutil.copy(file, tables / "orders.parquet")
+    shutil.copyfile(file, tables / "orders.parquet")
     out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
     last = pieces / "lineitem_7.parquet"
     held = last.read_bytes()
