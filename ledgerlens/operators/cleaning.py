@@ -9,9 +9,9 @@ tagged frame, so the report is a single aggregate.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
@@ -181,50 +181,66 @@ def clean_export(df: DataFrame, system: str | None = None, p: Params = DEFAULT,
     return Cleaned(system, tagged, matches, unmatched, missing)
 
 
-def quality_report(c: Cleaned) -> DataFrame:
-    """(check, action, rows, pct_of_input): one aggregate over the tagged rows.
-
-    ``input_rows`` counts rows after the future-date step, as the reference
-    does; future rows are their own line and not part of ``rows_removed``."""
-    t = c.tagged
-    checks = quality_checks(t)
+def _counts(c: Cleaned) -> list[Column]:
+    """The report's counts over the tagged rows; ``input_rows`` counts rows after the
+    future-date step, as the reference does."""
+    checks = quality_checks(c.tagged)
     live = ~F.col("_future")
-    aggs = [F.count_if(F.col("_future")).alias("future_date"),
-            F.count_if(live).alias("input_rows")]
-    aggs += [F.count_if(live & (F.col("_dq_check") == name)).alias(name) for name, _, _ in checks]
     clean = live & F.col("_dq_check").isNull()
-    if {"cost_price", "unit_price"} <= set(t.columns):
-        aggs.append(F.count_if(clean & F.col("cost_price").isNotNull()
-                               & (F.col("cost_price") > F.col("unit_price"))).alias("cost_above_price"))
-    if "_unparsed" in t.columns:
-        aggs.append(F.count_if(live & F.col("_unparsed")).alias("unparsed_date"))
-    aggs.append(F.count_if(clean).alias("final_rows"))
-    one = t.agg(*aggs)
-    names = [("future_date", "removed_before_validation"), ("input_rows", "counted")]
-    names += [(n, a) for n, a, _ in checks]
-    if "unparsed_date" in one.columns:
-        names.append(("unparsed_date", "warned"))
-    if "cost_above_price" in one.columns:
-        names.append(("cost_above_price", "warned"))
-    names += [("rows_removed", "counted"), ("final_rows", "counted")]
+    out = [F.count_if(F.col("_future")).alias("future_date"), F.count_if(live).alias("input_rows")]
+    out += [F.count_if(live & (F.col("_dq_check") == name)).alias(name) for name, _, _ in checks]
+    out.append(F.count_if(live & F.col("_unparsed")).alias("unparsed_date"))
+    if {"cost_price", "unit_price"} <= set(c.tagged.columns):
+        out.append(F.count_if(clean & F.col("cost_price").isNotNull()
+                              & (F.col("cost_price") > F.col("unit_price"))).alias("cost_above_price"))
+    return [*out, F.count_if(clean).alias("final_rows")]
+
+
+def _lines(c: Cleaned) -> list[tuple[str, str]]:
+    """(check, action) of the report's lines with a count, in their order."""
+    out = [("future_date", "removed_before_validation"), ("input_rows", "counted")]
+    out += [(n, a) for n, a, _ in quality_checks(c.tagged)] + [("unparsed_date", "warned")]
+    if {"cost_price", "unit_price"} <= set(c.tagged.columns):
+        out.append(("cost_above_price", "warned"))
+    return [*out, ("rows_removed", "counted"), ("final_rows", "counted")]
+
+
+def _report(one: DataFrame, c: Cleaned) -> DataFrame:
     one = one.withColumn("rows_removed", F.col("input_rows") - F.col("final_rows"))
-    entries = [f"'{n}', '{a}', CAST(`{n}` AS BIGINT)" for n, a in names]
+    entries = [f"'{n}', '{a}', CAST(`{n}` AS BIGINT)" for n, a in _lines(c)]
     # required fields absent after mapping: reported in the same row set, no count
     entries += [f"'missing_field:{m}', 'warned', CAST(NULL AS BIGINT)" for m in c.missing]
-    stack = f"stack({len(entries)}, {', '.join(entries)}) AS (check, action, rows)"
-    rep = one.selectExpr("input_rows AS _input", stack)
+    rep = one.selectExpr("input_rows AS _input", f"stack({len(entries)}, {', '.join(entries)}) AS (check, action, rows)")
     pct = F.when(F.col("_input") > 0, F.round(F.col("rows") * 100.0 / F.col("_input"), 1))
     return rep.select("check", "action", "rows", pct.alias("pct_of_input"))
 
 
+def quality_report(c: Cleaned) -> DataFrame:
+    """(check, action, rows, pct_of_input): one aggregate over the tagged rows.
+    Future rows are a line of their own and not part of ``rows_removed``."""
+    return _report(c.tagged.agg(*_counts(c)), c)
+
+
+def observed(c: Cleaned) -> tuple[Observation, Cleaned]:
+    """The counts of the report as metrics that the pass which writes the rows takes
+    (``.get`` of the observation, after it)."""
+    seen = Observation("quality")
+    return seen, replace(c, tagged=c.tagged.observe(seen, *_counts(c)))
+
+
+def report_from(spark: SparkSession, c: Cleaned, counts: dict[str, int]) -> DataFrame:
+    """The report of counts already observed."""
+    schema = ", ".join(f"`{n}` long" for n in counts)
+    return _report(spark.createDataFrame([tuple(counts.values())], schema), c)
+
+
 def read_and_clean(spark: SparkSession, path: str, system: str | None = None, p: Params = DEFAULT,
                    encoding: str | None = None, collapse: bool = True) -> Cleaned:
     """CSV files -> cleaned (entry point of the cleaning stage)."""
     return clean_export(files.read_csv(spark, path, encoding), system, p, collapse=collapse)
 
 
-def require_rows(df: DataFrame) -> DataFrame:
-    """Abort when cleaning left nothing (one small job, no full count)."""
-    if df.isEmpty():
+def require_rows(final_rows: int) -> None:
+    """Abort when cleaning left nothing (the count observed while the rows were written)."""
+    if not final_rows:
         raise ValueError("All rows were removed during cleaning. Check the data quality.")
-    return df

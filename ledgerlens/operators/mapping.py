@@ -33,22 +33,6 @@ def header_frame(spark: SparkSession, headers: Mapping[str, Iterable[str]]) -> D
     return spark.createDataFrame(rows, "file string, position int, column string")
 
 
-def headers_from_files(spark: SparkSession, paths: Iterable[str], sep: str = ",") -> DataFrame:
-    """(file, position, column) for every CSV file under ``paths``, read by
-    Spark from the files themselves: the first line of each file's first
-    split.  One job for any number of files; a landing folder with exports
-    from several systems is detected in one pass."""
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"), "value")
-    first = (lines.where(F.col("block") == 0).groupBy("file")
-                  .agg(F.min_by("value", "pos").alias("header")))
-    cols = F.posexplode(F.split(F.col("header"), sep)).alias("position", "raw")
-    return (first.select("file", cols)
-                 .select("file", "position", F.trim(F.regexp_replace("raw", '^"|"$', "")).alias("column")))
-
-
 def detect_source(headers: DataFrame, mapping: DataFrame) -> DataFrame:
     """Best-matching source system per file.
 

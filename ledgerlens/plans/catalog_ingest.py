@@ -14,7 +14,7 @@ from ledgerlens.operators import mapping as MP
 from ledgerlens.plans import jobs
 from ledgerlens.plans.oracle import AS_OF, with_
 from ledgerlens.session import shared_path
-from ledgerlens.sources import exports, files, tables
+from ledgerlens.sources import exports, files, landing, tables
 
 P = DEFAULT
 GOFRUGAL = C.ERP_MAPPINGS["gofrugal"]["sales_transactions"]
@@ -41,14 +41,29 @@ def csv_scan_latin1(spark, sf):
     return _data(files.read_csv(spark, exports.export_path(spark, sf, "gofrugal", "ISO-8859-1")))
 
 
-def detect_source(spark, sf):
-    """Every part file of the three exports, detected in one job from the
-    header lines Spark reads out of the files; reported per export folder
-    (all files of one export share a header)."""
+def _exports_manifest(spark, sf) -> DataFrame:
+    """The manifest of the three systems' exports, kept for the session."""
     paths = [exports.export_path(spark, sf, s) for s in MP.SYSTEMS]
-    heads = MP.headers_from_files(spark, paths).withColumn(
-        "file", F.regexp_extract("file", r"export-([a-z]+)-", 1))
-    return MP.detect_source(heads, MP.mapping_frame(spark)).withColumnRenamed("file", "export")
+    folder = paths[0].rsplit("/", 1)[0]
+    together = f"{folder}/{{{','.join(p.rsplit('/', 1)[1] for p in paths)}}}"
+    store = exports.written_once(spark, ("manifest", sf), lambda p: None)
+    return landing.manifest(spark, together, store).withColumn("export", F.regexp_extract("file", r"export-([a-z]+)-", 1))
+
+
+def detect_source(spark, sf):
+    """Every part file of the three exports, detected when the landing manifest was
+    extended by it; reported per export folder (all files of one export share a
+    header)."""
+    found = ("system", "matches", "entries", "confidence", "low_confidence")
+    return _exports_manifest(spark, sf).select("export", *found).distinct()
+
+
+def landing_manifest(spark, sf):
+    """What the manifest holds per export: layout, encoding, and all bytes accounted for."""
+    listed = _exports_manifest(spark, sf)
+    return listed.groupBy("export", "encoding", "system").agg(
+        F.countDistinct("layout").alias("layouts"), F.max(F.size("columns")).cast("bigint").alias("n_columns"),
+        F.bool_and(F.col("bytes") > 0).alias("sized"), F.bool_and(F.col("modified").isNotNull()).alias("dated"))
 
 
 def column_rename(spark, sf):
@@ -68,12 +83,10 @@ def clean_sales_renamed(spark, sf):
 
 
 def missing_fields(spark, sf):
-    """Required fields that no header of an export feeds, from the header lines
-    Spark reads out of all three exports' files (under last-wins collapse, so a
-    column feeds the last of its names)."""
-    paths = [exports.export_path(spark, sf, s) for s in MP.SYSTEMS]
-    heads = MP.headers_from_files(spark, paths).select(
-        F.regexp_extract("file", r"export-([a-z]+)-", 1).alias("system"), F.col("column").alias("source")).distinct()
+    """Required fields that no header of an export feeds, from the headers in the
+    landing manifest (under last-wins collapse, so a column feeds the last of its
+    names)."""
+    heads = _exports_manifest(spark, sf).select(F.col("export").alias("system"), F.explode("columns").alias("source")).distinct()
     last = MP.mapping_frame(spark).groupBy("system", "source").agg(F.max_by("universal", "entry_order").alias("field"))
     fed = heads.join(last, ["system", "source"]).select("system", "field")
     need = heads.select("system").distinct().select("system", F.posexplode(F.array(*map(F.lit, C.CLEANER_REQUIRED))).alias("ord", "field"))
@@ -179,6 +192,7 @@ QUERIES = {
     "csv_scan_encoding": csv_scan_encoding,
     "csv_scan_latin1": csv_scan_latin1,
     "detect_source": detect_source,
+    "landing_manifest": landing_manifest,
     "column_rename": column_rename,
     "clean_sales_renamed": clean_sales_renamed,
     "clean_mixed_folder": clean_mixed_folder,
@@ -417,6 +431,9 @@ ORACLE = {
                            "SELECT " + ", ".join(f'"{src}" AS {uni}' for src, uni in
                                                  {s: u for u, s in GOFRUGAL.items()}.items()) + " FROM export"),
     "missing_fields": _missing_sql(),
+    "landing_manifest": "SELECT * FROM (VALUES " + ", ".join(
+        f"('{s}', 'UTF-8', '{s}', 1::BIGINT, {len(set(C.ERP_MAPPINGS[s]['sales_transactions'].values()))}::BIGINT, true, true)" for s in MP.SYSTEMS)
+        + ") t(export, encoding, system, layouts, n_columns, sized, dated)",
     "clean_numeric": with_(_BASE, "SELECT invoice_number, quantity, unit_price, cost_price, total_amount, tax_amount FROM mapped"),
     "clean_dates": with_(_BASE, "SELECT invoice_number, customer_id, product_id, transaction_date FROM mapped WHERE NOT _future"),
     "dedupe_first": with_([("export", export_sql()), ("mapped", _KEEP_ALL)],

@@ -8,6 +8,7 @@ executors); ``materialize="persist"`` keeps it in memory/disk instead.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from ledgerlens.operators import alerts as A
 from ledgerlens.operators import marts as M
 from ledgerlens.operators.staging import stage_sales
 from ledgerlens.session import session_key, shared_path
-from ledgerlens.sources import fixture
+from ledgerlens.sources import fixture, tables
 
 
 @dataclass
@@ -112,27 +113,37 @@ def clean_csv(spark: SparkSession, input_path: str, output_path: str, system: st
 
     Encoding probed unless given, source system detected unless given, columns
     mapped, typed and checked; ``loaded_at`` and ``source_file`` added; the
-    clean rows are written as a CSV directory.  Raises when nothing is left.
+    clean rows are written as a CSV directory.  The report's counts are observed in
+    the pass that writes the rows, so cleaning is evaluated once.  The rows go to a
+    folder beside ``output_path`` first, which takes its place only if there are
+    any; else this raises and ``output_path`` is as it was.
     Returns (system, report DataFrame, cleaned DataFrame read back)."""
     from ledgerlens.operators import cleaning as CL
     from ledgerlens.sources import files
     cleaned = CL.clean_export(files.read_csv(spark, input_path, encoding, with_lineage=True), system, p,
                               collapse=collapse)
-    rows = CL.require_rows(cleaned.rows)
-    files.write_csv(rows, output_path)
-    return cleaned.system, CL.quality_report(cleaned), files.read_csv(spark, output_path, "UTF-8")
+    seen, observed = CL.observed(cleaned)
+    staged = f"{output_path.rstrip('/')}-staged-{uuid.uuid4().hex[:12]}"
+    files.write_csv(observed.rows, staged)
+    report = CL.report_from(spark, cleaned, seen.get)
+    CL.require_rows(seen.get["final_rows"])
+    tables.publish(spark, staged, output_path)
+    return cleaned.system, report, files.read_csv(spark, output_path, "UTF-8")
 
 
-def clean_folder(spark: SparkSession, input_path, p: Params = DEFAULT, collapse: bool = True) -> tuple[DataFrame, DataFrame]:
+def clean_folder(spark: SparkSession, input_path: str, p: Params = DEFAULT, collapse: bool = True,
+                 store: str | None = None) -> tuple[DataFrame, DataFrame]:
     """A landing folder with files of several systems, headers and encodings ->
-    (report, clean rows).  Every kind of file is read, detected, mapped and checked
-    on its own (duplicates are judged among the files of one kind), then the rows
-    are put together by name with their ``system``."""
+    (report, clean rows).  ``store``: where the folder's manifest is kept from run to
+    run (a new one without it).  Every layout is mapped and checked on its own
+    (duplicates are judged among its files), then the rows are put together by name
+    with their ``system``."""
     from ledgerlens.operators import cleaning as CL
-    from ledgerlens.sources import files
+    from ledgerlens.sources import landing
+    listed = landing.manifest(spark, input_path, store or shared_path(spark, "landing"))
     rows, reports = [], []
-    for n, (_, df) in enumerate(files.read_folder(spark, input_path)):
-        cleaned = CL.clean_export(df, None, p, collapse=collapse)
+    for n, (system, df) in enumerate(landing.layouts(spark, input_path, listed)):
+        cleaned = CL.clean_export(df, system, p, collapse=collapse)
         rows.append(cleaned.rows.withColumn("system", F.lit(cleaned.system)))
         reports.append(CL.quality_report(cleaned).withColumns({"system": F.lit(cleaned.system), "kind": F.lit(n)}))
     if not rows:

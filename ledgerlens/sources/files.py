@@ -61,42 +61,39 @@ def data_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in BOOKKEEPING]
 
 
-def scan_files(spark: SparkSession, path) -> DataFrame:
-    """(file, encoding, header): what one pass over the text
-    tells about every file under ``path``: its encoding ('UTF-8', 'windows-1252'
-    or 'ISO-8859-1') and its first line."""
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"), "value", F.is_valid_utf8("value").alias("ok"))
+def text_lines(reader, path) -> DataFrame:
+    """Lines of the files under ``path`` with what tells about their file; ``reader`` is
+    ``spark.read`` or ``spark.readStream``."""
+    return reader.option("recursiveFileLookup", True).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"),
+        F.col("_metadata.file_modification_time").alias("modified"), F.col("_metadata.file_block_start").alias("block"), "value")
+
+
+def file_facts(lines: DataFrame) -> DataFrame:
+    """(file, bytes, modified, encoding, header) of the files whose lines these are, in
+    one pass: encoding is 'UTF-8', 'windows-1252' or 'ISO-8859-1', header the first line."""
+    lines = lines.withColumns({"pos": F.monotonically_increasing_id(), "ok": F.is_valid_utf8("value")})
     # the text source keeps the raw bytes: look for an undefined byte at an even
     # offset of the hex form of the lines that are not UTF-8
     pattern = "^(?:[0-9A-F]{2})*?(?:" + "|".join(CP1252_UNDEFINED) + ")"
     bad = ~F.col("ok") & F.hex(F.col("value").cast("binary")).rlike(pattern)
+    first = F.col("block") == 0
     per = lines.groupBy("file").agg(
+        F.first("bytes").alias("bytes"), F.first("modified").alias("modified"),
         F.min("ok").alias("ok"), F.max(F.when(~F.col("ok"), bad)).alias("bad"),
-        F.min_by(F.when(F.col("block") == 0, F.col("value")), F.when(F.col("block") == 0, F.col("pos"))).alias("header"))
+        F.min_by(F.when(first, F.col("value").cast("binary")), F.when(first, F.col("pos"))).alias("raw"))
     encoding = F.when(F.col("ok"), "UTF-8").when(F.col("bad"), "ISO-8859-1").otherwise("windows-1252")
-    return per.select("file", encoding.alias("encoding"), "header")
+    latin = F.decode("raw", "ISO-8859-1")
+    header = (F.when(encoding == "UTF-8", F.decode("raw", "UTF-8")).when(encoding == "windows-1252", from_latin1(latin)).otherwise(latin))
+    return per.select("file", "bytes", "modified", encoding.alias("encoding"), header.alias("header"))
 
 
 def probe_encoding(spark: SparkSession, path) -> str:
     """The one encoding that reads all files under ``path``."""
-    found = {r[0] for r in scan_files(spark, path).select("encoding").distinct().collect()}
+    found = {r[0] for r in file_facts(text_lines(spark.read, path)).select("encoding").distinct().collect()}
     return next((e for e in ("ISO-8859-1", "windows-1252") if e in found), "UTF-8")
 
 
-def read_folder(spark: SparkSession, path, with_lineage: bool = False, multiline: bool = False) -> list[tuple[str, DataFrame]]:
-    """(header, rows) for every kind of file under ``path``: files of one encoding
-    and one header line are read together, each kind with its own columns.  The
-    file names (metadata) and the headers reach the driver."""
-    kinds: dict[tuple[str, str], list[str]] = {}
-    for r in scan_files(spark, path).collect():
-        if r["header"] is not None:
-            kinds.setdefault((r["encoding"], r["header"]), []).append(r["file"])
-    return [(header, read_csv(spark, sorted(names), encoding, with_lineage, multiline))
-            for (encoding, header), names in sorted(kinds.items())]
-
-
 def read_csv(spark: SparkSession, path, encoding: str | None = None,
              with_lineage: bool = False, multiline: bool = False) -> DataFrame:
     """Header row, every column as string (no inference pass), common

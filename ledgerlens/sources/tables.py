@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.session import shared_path
@@ -19,10 +20,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """A folder of Parquet files, or None if there is none (yet)."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """The folder ``staged`` takes the place of ``path`` (a rename in its file system)."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staged), target):
+        raise OSError(f"{staged} could not be renamed to {path}")
+
+
 def load_table(df: DataFrame, name: str, if_exists: str = "replace",
                partition_by: list[str] | None = None, path: str | None = None) -> bool:
     """Write ``df`` as table ``name``; 'replace' overwrites, anything else appends.

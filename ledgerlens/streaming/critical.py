@@ -18,7 +18,6 @@ overwrite mode, so a batch run again after a failure replaces its own output.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +26,7 @@ from ledgerlens.config import DEFAULT, Params
 from ledgerlens.operators.staging import stage_sales
 from ledgerlens.session import shared_path
 from ledgerlens.sources import fixture
+from ledgerlens.sources.tables import read_if_there
 
 ALERT_COLUMNS = ("transaction_id", "transaction_date", "customer_id", "customer_name", "product_id",
                  "quantity", "unit_price", "cost_price", "margin_percentage", "alert_severity",
@@ -70,20 +70,11 @@ def waiting_lines(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFra
                       [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in LINE_KEY], "left_anti")
 
 
-def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def _claim(spark: SparkSession, out_path: str, checkpoint: str) -> None:
     """Batch numbers belong to one checkpoint: refuse a folder of another one."""
-    owner = _read_if_there(spark, f"{out_path}/_owner")
+    owner = read_if_there(spark, f"{out_path}/_owner")
     if owner is None:
-        if _read_if_there(spark, out_path) is not None:
+        if read_if_there(spark, out_path) is not None:
             raise ValueError(f"{out_path} holds alerts of an unknown checkpoint")
         spark.createDataFrame([(checkpoint,)], "checkpoint string").coalesce(1).write.parquet(f"{out_path}/_owner")
     elif owner.first()["checkpoint"] != checkpoint:
@@ -96,7 +87,7 @@ def _writer(spark: SparkSession, sf_dir: str, out_path: str, checkpoint: str, p:
     pending = f"{checkpoint.rstrip('/')}-pending"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        left = _read_if_there(spark, f"{pending}/batch_id={batch_id - 1}") if batch_id else None
+        left = read_if_there(spark, f"{pending}/batch_id={batch_id - 1}") if batch_id else None
         lines = batch if left is None else batch.unionByName(left)
         lines = lines.persist()
         try:

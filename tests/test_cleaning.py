@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.config import Params
 from ledgerlens.operators import cleaning as CL
 from ledgerlens.operators import mapping as MP
-from ledgerlens.sources import files
+from ledgerlens.sources import files, landing
 
 P = Params(as_of=dt.date(2024, 6, 30))
 
@@ -142,19 +142,108 @@ def test_clean_csv_end_to_end(spark):
         clean_csv(spark, bad, tempfile.mkdtemp(prefix="ll-out-") + "/x", p=P)
 
 
-def test_detect_many_files_in_one_job(spark):
-    d = tempfile.mkdtemp(prefix="ll-landing-")
-    files_ = {"tally.csv": "VoucherNumber,VoucherDate,PartyName,StockItemName,Quantity,Rate,Amount,TaxAmount\nV1,2024-01-01,A,P,1,2,2,0\n",
-              "kaggle.csv": '"ORDERNUMBER","ORDERDATE","CUSTOMERNAME","PRODUCTCODE","PRODUCTLINE","QUANTITYORDERED","PRICEEACH","SALES","STATUS"\n1,2024-01-01,A,P,L,1,2,2,Shipped\n',
-              "other.csv": "foo,bar\n1,2\n"}
-    for name, text in files_.items():
-        with open(os.path.join(d, name), "w", encoding="utf-8") as f:
-            f.write(text)
-    heads = MP.headers_from_files(spark, [d]).withColumn("file", F.regexp_extract("file", r"([a-z]+)\.csv$", 1))
-    out = {r.file: r for r in MP.detect_source(heads, MP.mapping_frame(spark)).collect()}
-    assert out["tally"].system == "tally" and out["tally"].matches == 8
-    assert out["kaggle"].system == "kaggle" and out["kaggle"].matches == 14      # repeats counted
-    assert out["other"].system == "gofrugal" and out["other"].low_confidence
+def _manifest(spark, d, store):
+    return {os.path.basename(r.file): r for r in landing.manifest(spark, str(d), str(store)).collect()}
+
+
+def test_manifest_tells_system_encoding_and_names(spark, tmp_path):
+    d = tmp_path / "in"
+    (d / "deep").mkdir(parents=True)
+    (d / "tally.csv").write_text("VoucherNumber,VoucherDate,PartyName,StockItemName,Quantity,Rate,Amount,TaxAmount\nV1,2024-01-01,A,P,1,2,2,0\n")
+    (d / "deep" / "kaggle.csv").write_text('"ORDERNUMBER","ORDERDATE","CUSTOMERNAME","PRODUCTCODE","PRODUCTLINE","QUANTITYORDERED",'
+                                           '"PRICEEACH","SALES","STATUS"\n1,2024-01-01,A,P,L,1,2,2,Shipped\n')
+    (d / "other.csv").write_bytes('"foo, ""x""",Größe €\n1,2\n'.encode("cp1252"))
+    (d / "empty.csv").write_text("")
+    out = _manifest(spark, d, tmp_path / "store")
+    assert out["tally.csv"].system == "tally" and out["tally.csv"].matches == 8 and out["tally.csv"].encoding == "UTF-8"
+    assert out["kaggle.csv"].system == "kaggle" and out["kaggle.csv"].matches == 14      # repeats counted
+    other = out["other.csv"]
+    assert other.columns == ['foo, "x"', "Größe €"] and other.encoding == "windows-1252"
+    assert other.system == "gofrugal" and other.low_confidence and other.bytes == len((d / "other.csv").read_bytes())
+    assert set(out) == {"tally.csv", "kaggle.csv", "other.csv"}
+
+
+def test_a_second_run_of_the_manifest_reads_new_files_only(spark, tmp_path):
+    d, store = tmp_path / "in", tmp_path / "store"
+    d.mkdir()
+    for n in range(3):
+        (d / f"a{n}.csv").write_text(f"BillNo,Qty\n{n},1\n")
+    assert len(_manifest(spark, d, store)) == 3
+    first = sorted(p.name for p in (store / "manifest").glob("batch_id=*"))
+    assert len(_manifest(spark, d, store)) == 3                                             # nothing new: nothing written
+    assert sorted(p.name for p in (store / "manifest").glob("batch_id=*")) == first
+    (d / "b.csv").write_text("VoucherNumber,VoucherDate,PartyName,StockItemName,Quantity,Rate,Amount,TaxAmount\n")
+    out = _manifest(spark, d, store)
+    assert set(out) == {"a0.csv", "a1.csv", "a2.csv", "b.csv"} and out["b.csv"].system == "tally"
+    (new,) = [p for p in (store / "manifest").glob("batch_id=*") if p.name not in first]
+    assert [os.path.basename(r.file) for r in spark.read.parquet(str(new)).select("file").collect()] == ["b.csv"]
+
+
+def test_an_empty_landing_folder(spark, tmp_path):
+    from ledgerlens.plans import jobs
+    (tmp_path / "in").mkdir()
+    assert landing.manifest(spark, str(tmp_path / "in"), str(tmp_path / "store")).count() == 0
+    with pytest.raises(ValueError, match="no file"):
+        jobs.clean_folder(spark, str(tmp_path / "in"), P)
+
+
+def test_rows_of_a_layout_in_every_encoding(spark, tmp_path):
+    """One read of all files: cells decoded by their file's encoding, short rows filled with nulls."""
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "a.csv").write_bytes('k,v\n1,"Café €, ""x"""\n2,N/A\n3\n'.encode())
+    (d / "b.csv").write_bytes("k,v\n4,Café €\n".encode("cp1252"))
+    (d / "c.csv").write_bytes(b"k,v\n5,Caf\xe9 \x81\n")
+    (d / "d.csv").write_bytes(b"v,w,k\n6,7,k,v\nk,v,8\n")
+    listed = landing.manifest(spark, str(d), str(tmp_path / "store"))
+    rows = {tuple(files.data_columns(df)): sorted(map(tuple, df.select(*files.data_columns(df)).collect()), key=repr)
+            for _, df in landing.layouts(spark, str(d), listed)}
+    assert rows == {("k", "v"): [("1", 'Café €, "x"'), ("2", None), ("3", None), ("4", "Café €"), ("5", "Café \x81")],
+                    ("v", "w", "k"): [("6", "7", "k"), ("k", "v", "8")]}
+
+
+def test_nothing_left_leaves_the_output_as_it_was(spark, tmp_path):
+    from ledgerlens.plans.jobs import clean_csv
+    head = "VoucherNumber,VoucherDate,PartyName,StockItemName,Quantity,Rate,Amount\n"
+    out = str(tmp_path / "out")
+    good = write_text(head + "V1,2024-03-01,A,P,1,1,1\nV1,2024-03-01,A,P,1,1,1\n", "utf-8")
+    _, report, back = clean_csv(spark, good, out, p=P)
+    assert {r.check: r.rows for r in report.collect()}["duplicate"] == 1 and back.count() == 1
+    with pytest.raises(ValueError, match="All rows were removed"):
+        clean_csv(spark, write_text(head + "V2,,A,P,0,1,1\n", "utf-8"), out, p=P)
+    assert [r.transaction_id for r in files.read_csv(spark, out, "UTF-8").collect()] == ["V1"]
+
+
+def test_observed_report_equals_the_aggregated_one(spark):
+    text = ("BillNo,BillDate,CustomerName,ItemName,Qty,Rate,Amount\n1,2024-03-01,A,P,0,10,10\n1,2024-03-01,A,P,1,10,10\n"
+            ",2024-03-03,C,P,1,10,10\n3,2030-01-01,E,P,1,10,10\n4,x,,P,1,10,10\n")
+    c = CL.clean_export(files.read_csv(spark, write_text(text, "utf-8")), "gofrugal", P, collapse=False)
+    seen, watched = CL.observed(c)
+    watched.rows.write.format("noop").mode("overwrite").save()
+    assert CL.report_from(spark, c, seen.get).collect() == CL.quality_report(c).collect()
+
+
+def test_keep_first_over_many_splits_and_a_hot_key(spark, tmp_path):
+    """File order decides whatever split or task a row is read in; a third of the rows share one id."""
+    d = tmp_path / "in"
+    d.mkdir()
+    want = {}
+    for n in range(4):
+        lines = [f"{'H' if i % 3 == 0 else f'{n}-{i % 50}'},2024-03-01,{n}x{i},P,1,10,10" for i in range(400)]
+        (d / f"f{n}.csv").write_text("BillNo,BillDate,CustomerName,ItemName,Qty,Rate,Amount\n" + "\n".join(lines) + "\n")
+        for line in lines:
+            want.setdefault(line.split(",")[0], line.split(",")[2])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        c = CL.clean_export(files.read_csv(spark, str(d), "UTF-8"), "gofrugal", P, collapse=False)
+        got = {r.transaction_id: r.customer_name for r in c.rows.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == want
+    plan = c.tagged._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Scan csv" not in plan
 
 
 def test_fuzzy_scores_of_known_hazards():
