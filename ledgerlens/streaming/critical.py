@@ -5,7 +5,9 @@ earlier batches left waiting, to the order, customer and part tables as they are
 at that moment, stages them with the same projection as the batch pipeline, and
 writes the lines selling below cost (low-margin CRITICAL, which needs no other
 row).  Lines whose order, customer or part is not there yet wait in a pending
-folder for the next batch; none is dropped for its age or its sale date.
+folder for the next batch; none is dropped for its age or its sale date.  Lines
+without an order or part key, which nothing can ever match, go to a folder of
+rejected lines.
 
 A line is identified by its order, line number and values.  The checkpoint reads
 every file once; a line sent again in another file is dropped if it arrives within
@@ -27,6 +29,7 @@ from ledgerlens.operators.staging import stage_sales
 from ledgerlens.session import shared_path
 from ledgerlens.sources import fixture
 from ledgerlens.sources.tables import read_if_there
+from ledgerlens.streaming import entities
 
 ALERT_COLUMNS = ("transaction_id", "transaction_date", "customer_id", "customer_name", "product_id",
                  "quantity", "unit_price", "cost_price", "margin_percentage", "alert_severity",
@@ -49,11 +52,14 @@ def line_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 6
                  .dropDuplicatesWithinWatermark(list(LINE_KEY)).drop("arrived"))
 
 
+def staged_lines(lines: DataFrame, spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+    """Lines of a batch whose order, customer and part are there, staged as in the batch pipeline."""
+    return stage_sales(fixture.raw_sales_from(lines, *fixture.dimensions(spark, sf_dir)), p, with_loaded_at=False)
+
+
 def critical_alerts(lines: DataFrame, spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     """Lines of a batch -> critical low-margin alert rows."""
-    raw = fixture.raw_sales_from(lines, *fixture.dimensions(spark, sf_dir))
-    stg = stage_sales(raw, p, with_loaded_at=False)
-    crit = stg.where((F.col("margin_percentage") < 0) & F.col("cost_price").isNotNull())
+    crit = staged_lines(lines, spark, sf_dir, p).where((F.col("margin_percentage") < 0) & F.col("cost_price").isNotNull())
     return crit.select(
         *[c for c in ALERT_COLUMNS if c not in ("alert_severity", "recommended_action")],
         F.lit("CRITICAL").alias("alert_severity"),
@@ -82,17 +88,24 @@ def _claim(spark: SparkSession, out_path: str, checkpoint: str) -> None:
 
 
 def _writer(spark: SparkSession, sf_dir: str, out_path: str, checkpoint: str, p: Params,
-            max_files_per_trigger: int = 64, lines_dir: str | None = None, horizon: str = "7 days"):
+            max_files_per_trigger: int = 64, lines_dir: str | None = None, horizon: str = "7 days",
+            entities_path: str | None = None, today=None):
     _claim(spark, out_path, checkpoint)
-    pending = f"{checkpoint.rstrip('/')}-pending"
+    pending, rejected = f"{checkpoint.rstrip('/')}-pending", f"{checkpoint.rstrip('/')}-rejected"
+    no_key = F.col("l_orderkey").isNull() | F.col("l_partkey").isNull()  # no order or part will ever match
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         left = read_if_there(spark, f"{pending}/batch_id={batch_id - 1}") if batch_id else None
         lines = batch if left is None else batch.unionByName(left)
         lines = lines.persist()
         try:
-            waiting_lines(lines, spark, sf_dir).write.mode("overwrite").parquet(f"{pending}/batch_id={batch_id}")
+            batch.where(no_key).write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
+            waiting_lines(lines.where(~no_key), spark, sf_dir).write.mode("overwrite").parquet(f"{pending}/batch_id={batch_id}")
             critical_alerts(lines, spark, sf_dir, p).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            if entities_path:
+                staged = staged_lines(lines, spark, sf_dir, p).persist()
+                entities.update(spark, staged, batch_id, f"{checkpoint.rstrip('/')}-state", entities_path, p, today)
+                staged.unpersist()
         finally:
             lines.unpersist()
 
@@ -102,21 +115,24 @@ def _writer(spark: SparkSession, sf_dir: str, out_path: str, checkpoint: str, p:
 
 def run_available_now(spark: SparkSession, sf_dir: str, p: Params = DEFAULT,
                       out_path: str | None = None, checkpoint: str | None = None,
-                      lines_dir: str | None = None, max_files_per_trigger: int = 64) -> str:
-    """Process every line file present now, then stop.  Returns the output folder."""
+                      lines_dir: str | None = None, max_files_per_trigger: int = 64,
+                      entities_path: str | None = None, today=None) -> str:
+    """Process every line file present now, then stop.  Returns the output folder.
+    ``entities_path``: also raise the alerts of customers and products there
+    (``entities``); ``today`` gives the day of a batch (default ``as_of``)."""
     out_path = out_path or shared_path(spark, "critical-alerts")
     checkpoint = checkpoint or shared_path(spark, "critical-alerts-ckpt")
-    q = (_writer(spark, sf_dir, out_path, checkpoint, p, max_files_per_trigger, lines_dir)
+    q = (_writer(spark, sf_dir, out_path, checkpoint, p, max_files_per_trigger, lines_dir, entities_path=entities_path, today=today)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return out_path
 
 
 def start(spark: SparkSession, sf_dir: str, out_path: str, checkpoint: str, p: Params = DEFAULT,
-          every: str = "1 minute", lines_dir: str | None = None):
+          every: str = "1 minute", lines_dir: str | None = None, entities_path: str | None = None, today=None):
     """Keep running: a micro-batch every ``every`` over newly arrived line
     files.  Returns the StreamingQuery (stop it with ``.stop()``)."""
-    return _writer(spark, sf_dir, out_path, checkpoint, p, lines_dir=lines_dir).trigger(processingTime=every).start()
+    return _writer(spark, sf_dir, out_path, checkpoint, p, lines_dir=lines_dir, entities_path=entities_path, today=today).trigger(processingTime=every).start()
 
 
 def read_alerts(spark: SparkSession, out_path: str) -> DataFrame:

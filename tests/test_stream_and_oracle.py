@@ -1,11 +1,12 @@
 import shutil
+from decimal import Decimal
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from ledgerlens.streaming import critical
+from ledgerlens.streaming import critical, entities
 from ledgerlens.sources import fixture
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -28,7 +29,7 @@ def test_entry_runs(spark):
 
 FAST_KEYS = ["staging", "customer_metrics", "mart_dead_stock", "mart_low_margin", "mart_credit_risk",
              "balanced_alerts", "digest_lines", "clean_sales", "dq_report", "detect_source", "credit_score",
-             "indian_number_format", "seasonal_expectation", "stream_critical_alerts"]
+             "indian_number_format", "seasonal_expectation", "stream_critical_alerts", "stream_entity_alerts"]
 
 
 @pytest.mark.parametrize("key", FAST_KEYS)
@@ -150,6 +151,101 @@ def test_lines_wait_for_their_order(spark, sf, pieces, tmp_path):
     _same(critical.read_alerts(spark, out), _batch(spark, sf))
 
 
+def _critical_marts(spark, sf, p):
+    """The batch marts' CRITICAL rows in the stream's columns."""
+    from ledgerlens.operators import marts as M
+    from ledgerlens.plans.jobs import staging_from_fixture
+    stg = staging_from_fixture(spark, sf, p)
+    credit, dead = M.credit_risk(stg, p, False), M.dead_stock(stg, p, False)
+    rows = credit.where("alert_severity = 'CRITICAL'").select(
+        F.lit("CREDIT_RISK").alias("alert_type"), "customer_id", "customer_name", "total_overdue_amount", "max_days_overdue", "oldest_unpaid_date",
+        "recommended_action").collect()
+    rows += dead.where("alert_severity = 'CRITICAL'").select(
+        F.lit("DEAD_STOCK").alias("alert_type"), "product_id", "product_name", "total_quantity_ever_sold", "days_since_last_sale", "last_sale_date",
+        "recommended_action").collect()
+    return sorted(map(tuple, rows))
+
+
+def _standing(spark, out):
+    return sorted(map(tuple, entities.standing_alerts(spark, out).drop("as_of").collect()))
+
+
+@pytest.mark.parametrize("per_batch, compact", [(1, 3), (3, 16), (64, 16)])
+def test_entity_alerts_equal_the_marts_for_every_split(spark, sf, pieces, tmp_path, monkeypatch, per_batch, compact):
+    monkeypatch.setattr(entities, "COMPACT", compact)
+    out = str(tmp_path / "entities")
+    critical.run_available_now(spark, sf, lines_dir=str(pieces), max_files_per_trigger=per_batch, entities_path=out,
+                               out_path=str(tmp_path / "o"), checkpoint=str(tmp_path / "c"))
+    want = _critical_marts(spark, sf, critical.DEFAULT)
+    assert _standing(spark, out) == want and {r[0] for r in want} == {"CREDIT_RISK", "DEAD_STOCK"}
+    assert not (tmp_path / "c-state" / "DEAD_STOCK" / "snapshot").exists() or compact == 3
+
+
+def test_entity_alerts_after_a_restart_and_another_day(spark, sf, pieces, tmp_path, monkeypatch):
+    """Half of the lines, a restart, the others; then a day passes: keys without a new line are judged again."""
+    import datetime as dt
+    from dataclasses import replace
+    monkeypatch.setattr(entities, "COMPACT", 2)
+    out, o, ckpt = (str(tmp_path / x) for x in ("entities", "o", "c"))
+    p = critical.DEFAULT
+    early = p.as_of - dt.timedelta(days=400)
+    later = {n: (pieces / f"lineitem_{n}.parquet").read_bytes() for n in range(3, 8)}
+    for n in later:
+        (pieces / f"lineitem_{n}.parquet").unlink()
+    run = dict(lines_dir=str(pieces), max_files_per_trigger=1, entities_path=out, out_path=o, checkpoint=ckpt)
+    critical.run_available_now(spark, sf, p, today=lambda: early, **run)
+    before = _standing(spark, out)
+    for n in (3, 4, 5, 6):
+        (pieces / f"lineitem_{n}.parquet").write_bytes(later[n])
+    critical.run_available_now(spark, sf, p, today=lambda: early, **run)
+    (pieces / "lineitem_7.parquet").write_bytes(later[7])
+    critical.run_available_now(spark, sf, p, today=lambda: p.as_of, **run)
+    assert _standing(spark, out) == _critical_marts(spark, sf, p) != before
+    kinds = {r[0] for r in entities.read_events(spark, out).select("event").distinct().collect()}
+    assert {"raised", "changed"} <= kinds
+    # the last file's batch run again, with the same lines, replaces its own output
+    deltas = tmp_path / "c-state" / "DEAD_STOCK" / "delta"
+    batch = max(int(d.name) for d in deltas.iterdir() if not spark.read.schema("product_id string").parquet(str(d)).isEmpty())
+    staged = critical.staged_lines(spark.read.parquet(str(pieces / "lineitem_7.parquet")).select(*critical.LINE_COLUMNS), spark, sf, p)
+
+    def events():
+        return sorted(map(tuple, entities.read_events(spark, out).where(f"batch_id = {batch}").collect()))
+    first = events()
+    entities.update(spark, staged, batch, f"{ckpt}-state", out, p, today=lambda: early)
+    assert events() == first != []
+
+
+def test_a_new_sale_clears_a_dead_product(spark, tmp_path):
+    import datetime as dt
+    p = critical.DEFAULT
+    store, out = str(tmp_path / "s"), str(tmp_path / "e")
+    schema = ("transaction_date date, customer_id string, product_id string, quantity decimal(18,4), total_amount decimal(18,4), "
+              "payment_status string, payment_due_date date")
+
+    def lines(*rows):
+        return spark.createDataFrame([(d, c, i, Decimal(1), Decimal(amount), s, due) for d, c, i, amount, s, due in rows], schema)
+    old = p.as_of - dt.timedelta(days=500)
+    entities.update(spark, lines((old, "A", "P", 10, "UNPAID", old), (old, None, None, 5, "PAID", None)), 0, store, out, p)
+    got = {(r.alert_type, r.entity_id) for r in entities.standing_alerts(spark, out).collect()}
+    assert got == {("CREDIT_RISK", "A"), ("DEAD_STOCK", "P"), ("DEAD_STOCK", None)}
+    entities.update(spark, lines((p.as_of, "B", "P", 10, "PAID", None)), 1, store, out, p)
+    entities.update(spark, lines().limit(0), 2, store, out, p)
+    got = {(r.alert_type, r.entity_id) for r in entities.standing_alerts(spark, out).collect()}
+    assert got == {("CREDIT_RISK", "A"), ("DEAD_STOCK", None)}
+
+
+def test_lines_without_a_key_are_rejected_not_kept_waiting(spark, sf, tmp_path):
+    whole = fixture.table(spark, sf, "lineitem")
+    bad = whole.limit(5).withColumn("l_orderkey", F.lit(None).cast(whole.schema["l_orderkey"].dataType))
+    whole.limit(50).unionByName(bad).select(*[F.col(f.name).cast(f.dataType) for f in whole.schema]).coalesce(1).write.parquet(str(tmp_path / "t"))
+    (file,) = (tmp_path / "t").glob("*.parquet")
+    (tmp_path / "lines").mkdir()
+    shutil.copyfile(file, tmp_path / "lines" / "lineitem_0.parquet")
+    critical.run_available_now(spark, sf, lines_dir=str(tmp_path / "lines"), out_path=str(tmp_path / "o"), checkpoint=str(tmp_path / "c"))
+    assert spark.read.parquet(str(tmp_path / "c-rejected")).count() >= 1
+    assert spark.read.parquet(str(tmp_path / "c-pending")).where("l_orderkey IS NULL").isEmpty()
+
+
 def test_a_folder_of_another_checkpoint_is_refused(spark, sf, tmp_path):
     out = critical.run_available_now(spark, sf, out_path=str(tmp_path / "out"), checkpoint=str(tmp_path / "a"))
     with pytest.raises(ValueError, match="checkpoint"):
