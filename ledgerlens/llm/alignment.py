@@ -46,7 +46,7 @@ from ledgerlens.llm.common import written
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 CHARS = 3_000_000  # characters of a chunk (a longer text is a chunk of its own)
-MOST_WORDS, LONGEST_WORD = 200_000, 64  # entries of a worker's memory of stretches, and their length
+MOST_WORDS, LONGEST_WORD = 400_000, 64  # entries of a worker's memory of stretches, and their length
 PAIR_BITS = 24  # an id pair is one long: id of A, then PAIR_BITS for id of B
 MARK = "▁"  # how B writes a space
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
@@ -81,35 +81,72 @@ class Tokenizers:
         self.b_size = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
         v, w = len(self.a_bytes), len(self.b_bytes)
         self.said = np.array([f"{i}{end}".encode() for n, ends in ((v, ",|"), (w, ",;")) for end in ends for i in range(n)], dtype=object)
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def pair(self, parts: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Ids (little-endian 32 bit) of both for each part after a space; None if
-        either does not give back the bytes."""
+        self.a_flat, self.b_flat = (np.frombuffer(b"".join(x), dtype=np.uint8) for x in (self.a_bytes, self.b_bytes))
+        self.a_at, self.b_at = np.cumsum(self.a_size) - self.a_size, np.cumsum(self.b_size) - self.b_size
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
+
+    def one(self, part: str) -> tuple[bytes, bytes]:
+        """Ids (little-endian 32 bit) of both for a stretch after a space."""
+        x = self.a.encode_batch_fast([" " + part], add_special_tokens=False)[0].ids
+        return np.array(x, dtype="<u4").tobytes(), np.array(self.b.encode(part), dtype="<u4").tobytes()
+
+    def many(self, parts: list[str]) -> list[tuple[bytes, bytes]]:
+        """The same for many: encoded as one text, cut where the stretches end.  Where
+        a tokenizer does not give back the bytes there are no such ends, and each is
+        encoded alone."""
+        text = " ".join(parts)
+        ends = np.cumsum([1 + len(p.encode("utf-8", "surrogatepass")) for p in parts])
         out = []
-        for part, x, y in zip(parts, self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False), self.b.encode(parts, num_threads=1)):
-            raw, x = b" " + part.encode("utf-8", "surrogatepass"), x.ids
-            same = b"".join([self.a_bytes[i] for i in x]) == raw and b"".join([self.b_bytes[i] for i in y]) == raw
-            out.append((np.array(x, dtype="<u4").tobytes(), np.array(y, dtype="<u4").tobytes()) if same else None)
-        return out
-
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
+        for ids, size in ((self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.a_size), (self.b.encode(text), self.b_size)):
+            ids = np.array(ids, dtype="<u4")
+            got = np.cumsum(size[ids])
+            at = np.searchsorted(got, ends)
+            if not len(ids) or at[-1] >= len(got) or got[-1] != ends[-1] or (got[at] != ends).any():
+                return [self.one(p) for p in parts]
+            raw, cuts = ids.tobytes(), ((at + 1) * 4).tolist()
+            out.append([raw[i:j] for i, j in zip([0, *cuts], cuts)])
+        return list(zip(*out))
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         cut = [(_BETWEEN.split(t) if self.local else [t]) if t else [] for t in texts]
-        known = self.known
-        new = list(dict.fromkeys(p for parts in cut for p in parts if p not in known))
-        for at in range(0, len(new), 4096):
-            some = new[at: at + 4096]
-            known.update(zip(some, self.pair(some)))
-        out = []
-        for parts in cut:
-            found = [known[p] for p in parts]
-            out.append(None if not found or None in found else (b"".join([x for x, _ in found]), b"".join([y for _, y in found])))
-        for p in new:
-            if len(p) > LONGEST_WORD:
-                del known[p]
-        if len(known) > MOST_WORDS:
-            known.clear()
-        return out
+        known, older = self.known, self.older
+        new = set().union(*cut).difference(known)
+        for p in new.intersection(older):
+            known[p] = older[p]
+        rest = list(new.difference(older))
+        short = [p for p in rest if len(p) <= LONGEST_WORD]
+        for at in range(0, len(short), 8192):
+            known.update(zip(short[at: at + 8192], self.many(short[at: at + 8192])))
+        long = [p for p in rest if len(p) > LONGEST_WORD]
+        known.update((p, self.one(p)) for p in long)
+        found = [[known[p] for p in parts] for parts in cut]
+        for p in long:
+            del known[p]
+        if 2 * len(known) > MOST_WORDS:  # stretches in use move over from the older half, the rest goes with it
+            self.known, self.older = {}, known
+        return [(b"".join([x for x, _ in f]), b"".join([y for _, y in f])) for f in found]
+
+    def exact(self, texts: list[str | None], pairs: list[tuple[bytes, bytes]]) -> np.ndarray:
+        """Whether both tokenizers' tokens of each text give back its bytes."""
+        raw = [b" " + t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        size, want = np.array([len(r) for r in raw]), np.frombuffer(b"".join(raw), dtype=np.uint8)
+        ok = np.ones(len(texts), dtype=bool)
+        for side, (sizes, flat, starts) in enumerate(((self.a_size, self.a_flat, self.a_at), (self.b_size, self.b_flat, self.b_at))):
+            ids = np.frombuffer(b"".join([p[side] for p in pairs]), dtype="<u4")
+            n = sizes[ids]
+            own = np.add.reduceat(np.append(n, 0), np.cumsum([0, *(len(p[side]) // 4 for p in pairs[:-1])])) if pairs else n
+            own[[not p[side] for p in pairs]] = 0
+            got = flat[np.repeat(starts[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            ok &= own == size
+            if len(got) == len(want) and (own == size).all():
+                same = np.append(got == want, True)
+                ok &= np.logical_and.reduceat(same, np.cumsum(size) - size) | (size == 0)
+            else:
+                at, to = np.cumsum(own) - own, np.cumsum(size) - size
+                for i in np.flatnonzero(ok):
+                    ok[i] = np.array_equal(got[at[i]: at[i] + own[i]], want[to[i]: to[i] + size[i]])
+        return ok
 
 
 _LOADED: dict[tuple[str, str], Tokenizers] = {}
@@ -169,7 +206,7 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) ->
         at = _near_middle(a, b, lo, hi)
         lo, hi, at = lo[at >= 0], hi[at >= 0], at[at >= 0]
         cut[at] = True
-        lo, hi = np.concatenate([lo, at + 1]), np.concatenate([at + 1, hi])
+        lo, hi = np.stack([lo, at + 1], axis=1).ravel(), np.stack([at + 1, hi], axis=1).ravel()  # still in text order
 
 
 class Aligned:
@@ -177,7 +214,8 @@ class Aligned:
     tokens, or over all links, in text order."""
 
     def __init__(self, tokens: Tokenizers, texts: list[str | None]):
-        pairs = [p or (b"", b"") for p in tokens.encode(texts)]
+        pairs = tokens.encode(texts)
+        pairs = [p if ok else (b"", b"") for p, ok in zip(pairs, tokens.exact(texts, pairs).tolist())]
         self.tokens, self.docs = tokens, len(texts)
         self.n_a = np.array([len(x) // 4 for x, _ in pairs], dtype=np.int64)
         self.n_b = np.array([len(y) // 4 for _, y in pairs], dtype=np.int64)
@@ -191,7 +229,8 @@ class Aligned:
         self.b_cuts = np.searchsorted(b_end, a_end[self.a_cuts])
         self.n_groups = np.bincount(np.repeat(np.arange(self.docs), self.n_a)[self.a_cuts], minlength=self.docs)
         self.n_links = self.n_a + self.n_b - self.n_groups
-        ends = np.union1d(a_end, b_end)  # every stretch between ends is where one A token and one B token overlap
+        ends = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+        ends = ends[np.diff(ends, prepend=0) > 0]  # every stretch between ends is where one A token and one B token overlap
         self.links = (self.a[np.searchsorted(a_end, ends)] << PAIR_BITS) | self.b[np.searchsorted(b_end, ends)]
 
     def groups(self) -> list[bytes]:
