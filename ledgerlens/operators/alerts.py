@@ -112,6 +112,15 @@ def balanced_alerts(alerts: DataFrame, p: Params = DEFAULT) -> DataFrame:
                   .where(F.col("type_rank") <= p.alerts_per_type))
 
 
+def fetch_counts(alerts: DataFrame) -> DataFrame:
+    """(alert_type, rows_fetched): rows taken from each mart before balancing, with a
+    line for a mart that gave none."""
+    per = alerts.groupBy("alert_type").agg(F.count(F.lit(1)).alias("n"))
+    types = alerts.sparkSession.createDataFrame([(t,) for t in C.ALERT_TYPE_ORDER], "type string")
+    return types.join(per, F.col("type") == F.col("alert_type"), "left").select(
+        F.col("type").alias("alert_type"), F.coalesce("n", F.lit(0)).alias("rows_fetched"))
+
+
 def alert_counts(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("alert_type").agg(F.count(F.lit(1)).alias("alert_count"))
 

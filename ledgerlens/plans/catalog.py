@@ -112,7 +112,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _extensions():
     mods = []
-    for name in ("ledgerlens.plans.catalog_ingest", "ledgerlens.plans.catalog_rules",
+    for name in ("ledgerlens.plans.catalog_ingest", "ledgerlens.plans.catalog_rules", "ledgerlens.plans.catalog_tables",
                  "ledgerlens.plans.catalog_stream"):
         try:
             mods.append(__import__(name, fromlist=["QUERIES"]))

@@ -16,7 +16,7 @@ from ledgerlens.operators.staging import customer_name_of, product_name_of
 from ledgerlens.plans import oracle as O
 from ledgerlens.plans.catalog import _balanced, _stg
 from ledgerlens.session import session_key, shared_path
-from ledgerlens.sources import files, fixture
+from ledgerlens.sources import files, fixture, landing
 
 P = DEFAULT
 SALES_NOT_NULL = ("transaction_id", "transaction_date", "customer_name", "product_name",
@@ -64,6 +64,8 @@ def allowed_values(s, sf):
                          C.ALLOWED_VALUES[("sales_transactions", "payment_status")]),
         T.allowed_values(fixture.customer_master(s, sf), "customers", "customer_type",
                          C.ALLOWED_VALUES[("customers", "customer_type")]),
+        *(T.allowed_values(fixture.sales_attributes(s, sf), "sales_transactions", field, C.ALLOWED_VALUES[("sales_transactions", field)])
+          for field in ("customer_type", "payment_mode")),
     ])
 
 
@@ -239,12 +241,14 @@ def inventory_mapping(s, sf):
         for name, df in layouts.items():
             paths[name] = files.write_csv(df, shared_path(s, f"inventory-{name}"))
         _INV_CACHE[key] = paths
+    paths = list(_INV_CACHE[key].values())
+    together = f"{paths[0].rsplit('/', 1)[0]}/{{{','.join(p.rsplit('/', 1)[1] for p in paths)}}}"
+    listed = landing.manifest(s, together, shared_path(s, "inventory-manifest"), entity="inventory")
     out = []
-    for name, path in _INV_CACHE[key].items():
-        df = files.read_csv(s, path, "UTF-8")
-        targets, _, _ = MP.plan_columns(files.data_columns(df), name, entity="inventory")
+    for system, df in landing.layouts(s, together, listed):
+        targets, _, _ = MP.plan_columns(files.data_columns(df), system, entity="inventory")
         mapped = MP.apply_columns(df, targets)
-        out.append(mapped.select(F.lit(name).alias("system"), "product_name",
+        out.append(mapped.select(F.lit(system).alias("system"), "product_name",
                                  F.col("quantity_on_hand").try_cast("double").alias("quantity_on_hand")))
     return T.union_all(out)
 
@@ -364,6 +368,11 @@ def _rules_sql(entity: str, table: str, rules) -> str:
 _WS = O._sql_str(C.UNICODE_WHITESPACE)
 
 
+_SALES_ATTRIBUTES = """(SELECT CASE WHEN c_custkey % 3 = 0 THEN 'Wholesaler' ELSE c_mktsegment END AS customer_type,
+  CASE l_returnflag WHEN 'A' THEN 'Cash' WHEN 'N' THEN ' upi ' ELSE 'Barter' END AS payment_mode
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey) sa"""
+
+
 def _allowed(table: str, entity: str, field: str, allowed) -> str:
     vals = ", ".join(f"'{a.lower()}'" for a in allowed)
     return (f"SELECT '{entity}' AS entity, '{field}' AS field, CAST({field} AS VARCHAR) AS value, count(*) AS rows "
@@ -436,7 +445,9 @@ ORACLE = {
     "allowed_values": O.with_(B, _allowed("raw", "sales_transactions", "payment_status",
                                           C.ALLOWED_VALUES[("sales_transactions", "payment_status")])
                               + " UNION ALL " + _allowed("cust", "customers", "customer_type",
-                                                         C.ALLOWED_VALUES[("customers", "customer_type")])),
+                                                         C.ALLOWED_VALUES[("customers", "customer_type")])
+                              + "".join(" UNION ALL " + _allowed(_SALES_ATTRIBUTES, "sales_transactions", field, C.ALLOWED_VALUES[("sales_transactions", field)])
+                                        for field in ("customer_type", "payment_mode"))),
     "primary_key_check": O.with_(B, " UNION ALL ".join([
         _uniq("stg", "sales_transactions", ["transaction_id"], STG_COLS),
         _uniq("inv", "inventory", ["product_id", "snapshot_date"], INV_COLS),

@@ -42,12 +42,3 @@ ALERT = StructType([
     StructField("action", StringType(), True), StructField("timestamp", TimestampType(), True),
 ])
 
-
-def conform(df, schema: StructType):
-    """Project ``df`` onto ``schema``: cast present fields, add absent ones as typed nulls."""
-    from pyspark.sql import functions as F
-    cols = []
-    for f in schema.fields:
-        src = F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)
-        cols.append(src.cast(f.dataType).alias(f.name))
-    return df.select(*cols)

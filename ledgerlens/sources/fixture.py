@@ -94,6 +94,17 @@ def raw_sales_from(li: DataFrame, o: DataFrame, c: DataFrame, p: DataFrame, extr
     )
 
 
+def sales_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two optional text fields of a sale line whose values the schema lists."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    mode = F.when(F.col("l_returnflag") == "A", "Cash").when(F.col("l_returnflag") == "N", " upi ").otherwise("Barter")
+    kind = F.when(F.col("c_custkey") % 3 == 0, "Wholesaler").otherwise(F.col("c_mktsegment"))
+    joined = li.join(o.join(c, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(F.col("l_orderkey").cast("string").alias("transaction_id"), kind.alias("customer_type"), mode.alias("payment_mode"))
+
+
 def category():
     names = list(CATEGORY_MARGINS)
     of = F.split(F.col("p_type"), " ").getItem(0)
