@@ -131,7 +131,9 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = PENALTY) -
     costs the penalty whatever the next one is, so a label's best predecessor is
     itself or the best of all."""
     n, labels = scores.shape
-    out = np.zeros(n, dtype=np.uint8)
+    if labels > np.iinfo(np.uint16).max:
+        raise ValueError(f"{labels} languages are more than a label can name")
+    out = np.zeros(n, dtype=np.uint16)
     if not n or labels < 2:
         return out
     order = np.argsort(-lengths, kind="stable")
@@ -142,7 +144,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = PENALTY) -
     base = np.cumsum(active) - active
     value = np.zeros((len(order), labels), dtype=np.float32)
     stays = np.empty((n, labels), dtype=bool)
-    came = np.empty(n, dtype=np.uint8)
+    came = np.empty(n, dtype=np.uint16)
     for t in range(longest):
         a, b = int(active[t]), int(base[t])
         v = value[:a]
@@ -153,7 +155,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = PENALTY) -
         np.maximum(v, leave[:, None], out=v)
         v += scores[start[:a] + t]
         v -= v.max(axis=1, keepdims=True)
-    label = value.argmax(axis=1).astype(np.uint8)
+    label = value.argmax(axis=1).astype(np.uint16)
     for t in range(longest - 1, -1, -1):
         a, b = int(active[t]), int(base[t])
         now = label[:a]
@@ -221,7 +223,7 @@ def label_texts(model: Model, texts: list[str | None], spans: bool) -> list[pa.A
         np.add.at(letters, (row, label), end - at)
         known[row[fits]] = True
         if spans:
-            cut = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(label.astype(np.int16), prepend=-1) != 0))
+            cut = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(label.astype(np.int32), prepend=-1) != 0))
             last = np.append(cut[1:], len(row)) - 1
             for r, s, e, k in zip(row[cut].tolist(), at[cut].tolist(), end[last].tolist(), label[cut].tolist()):
                 found[r].append({"start": s, "end": e, "lang": model.languages[k]})

@@ -37,6 +37,7 @@ from ledgerlens.llm.common import WORD, written
 WEIGHTS = (5, 2, 1)
 BINS = 4096
 STEPS = 60
+FIXED = "decimal(32,6)"  # words of the Newton sums
 NEAR = 1e-9  # of the target
 
 
@@ -83,8 +84,8 @@ def tilts(pairs: DataFrame, goals: DataFrame, most: float = 3.0, steps: int = ST
         words = F.col("n") * F.col("size")
         p = pairs.filter("size > 0").withColumnRenamed("source", "s")
         moments = (p.join(state, F.col("s").eqNullSafe(F.col("source"))).groupBy("s")
-                   .agg(F.round(F.sum(words * rate), 4).alias("g"),  # the same whatever order a sum was added in
-                        F.round(F.sum(F.when(exponent < top, words * rate * F.col("size")).otherwise(0.0)), 2).alias("h")))
+                   .agg(F.sum((words * rate).cast(FIXED)).cast("double").alias("g"),  # fixed point: the same in whatever order it is added
+                        F.sum(F.when(exponent < top, words * rate * F.col("size")).otherwise(0.0).cast(FIXED)).cast("double").alias("h")))
         now = state.join(moments, F.col("s").eqNullSafe(F.col("source"))).drop("s")
         now = (now.withColumn("lo", F.when(F.col("g") <= F.col("target"), F.col("tilt")).otherwise(F.col("lo")))
                .withColumn("hi", F.when(F.col("g") >= F.col("target"), F.col("tilt")).otherwise(F.col("hi"))))
@@ -95,6 +96,8 @@ def tilts(pairs: DataFrame, goals: DataFrame, most: float = 3.0, steps: int = ST
         state = written(now.select("source", "target", "lo", "hi", step.alias("tilt"), done.alias("done")), "tilts")
         if state.filter("NOT done").isEmpty():
             break
+    else:
+        raise ArithmeticError(f"sources without a tilt after {steps} steps: the mix would miss its targets")
     return state.select("source", "tilt")
 
 

@@ -58,7 +58,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 DIGIT = re.compile(r"[0-9]")
-AROUND_AT = re.compile(r"[A-Za-z0-9._%+@-]*")
+CHARS = 1_000_000  # characters of the texts whose nodes a task holds at a time
+LONGEST = 50_000  # characters of a text to learn from
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOTTED = re.compile(r"[0-9.]+")
 WORD = re.compile(r"\S+")
@@ -74,16 +75,18 @@ def luhn(digits: str) -> bool:
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
-    """The pattern only spans characters of its own classes: search the runs of
-    those that hold an ``@``."""
+    """A match goes from the start of the run of local characters before an ``@`` (or
+    from the end of the match before): if it fails there, the domain fails, and so
+    does every later start.  One attempt per ``@`` keeps long runs linear."""
     at, end = text.find("@"), 0
     while at >= 0:
         start = at
         while start > end and text[start - 1] in LOCAL:
             start -= 1
-        end = AROUND_AT.match(text, at).end()
-        for m in EMAIL.finditer(text, start, end):
+        m = EMAIL.match(text, start) if start < at else None
+        if m:
             yield m.span()
+        end = m.end() if m else at + 1
         at = text.find("@", end)
 
 
@@ -205,8 +208,10 @@ class Field:
         """(edge types, labels, labels) log potentials."""
         return np.stack([*(w * np.eye(LABELS) for w in self.skip), self.follow])
 
-    def marginals(self, unary: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        """Loopy sum-product in logarithms: (nodes, labels) probabilities."""
+    def marginals(self, unary: np.ndarray, edges: np.ndarray, owner: np.ndarray | None = None) -> np.ndarray:
+        """Loopy sum-product in logarithms: (nodes, labels) probabilities.  ``owner``:
+        the document of every node; a document's messages stop when its own have
+        settled, whatever others are in the batch."""
         n = len(unary)
         if len(edges):
             a, b, kind = edges.T
@@ -215,6 +220,8 @@ class Field:
             pair = np.concatenate([pair, pair.transpose(0, 2, 1)])  # [message, source label, target label]
             back = np.concatenate([np.arange(len(a), 2 * len(a)), np.arange(len(a))])
             message = np.zeros((len(source), LABELS))
+            of = np.unique(owner[source], return_inverse=True)[1] if owner is not None else np.zeros(len(source), dtype=int)
+            going = np.ones(of.max() + 1, dtype=bool)
             for _ in range(SWEEPS):
                 belief = unary.copy()
                 np.add.at(belief, target, message)
@@ -222,9 +229,11 @@ class Field:
                 new = _logsum(out[:, :, None] + pair, 1)
                 new -= _logsum(new, 1)[:, None]
                 new = DAMPING * message + (1 - DAMPING) * new
-                moved = np.abs(new - message).max()
-                message = new
-                if moved < SETTLED:
+                moved = np.zeros(len(going))
+                np.maximum.at(moved, of, np.abs(new - message).max(axis=1))
+                message = np.where(going[of][:, None], new, message)
+                going &= moved >= SETTLED
+                if not going.any():
                     break
             unary = unary.copy()
             np.add.at(unary, target, message)
@@ -275,8 +284,9 @@ def learn(texts: list[str]) -> Field | None:
     return Field(w, np.clip(np.log(same / apart), 0, STRONGEST), np.log(share / base))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Field | None:
-    usable = docs.filter(F.col(text_col).rlike("[0-9@]"))
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, longest: int = LONGEST) -> Field | None:
+    """Weights learned from about ``sample`` texts of at most ``longest`` characters, drawn by hash."""
+    usable = docs.filter(F.col(text_col).rlike("[0-9@]") & (F.char_length(text_col) <= longest))
     total = docs.filter(F.col(text_col).isNotNull()).count()
     draw = F.pmod(F.xxhash64(id_col, F.lit("pii")), F.lit(1_000_000))
     rows = usable.filter(draw < sample * 1_000_000 // max(total, 1)).select(id_col, text_col)
@@ -307,7 +317,7 @@ def find(field: Field | None, texts: list[str | None]) -> list[list[tuple[int, i
     truth = np.array([n.label for n in nodes])
     unary[held] = -1e6  # whatever number of nodes a hub has
     unary[held, truth[held]] = 0.0
-    p = field.marginals(unary, np.array(edges, dtype=np.int64).reshape(-1, 3))
+    p = field.marginals(unary, np.array(edges, dtype=np.int64).reshape(-1, 3), np.array(owner))
     kind, sure = p[:, :NONE].argmax(axis=1), p[:, :NONE].max(axis=1) >= SURE
     open_row, open_kind = -1, -1  # of the added span that may go on
     for i, n in enumerate(nodes):
@@ -329,8 +339,18 @@ def with_spans(docs: DataFrame, field: Field | None, keep: list[str], text_col:
     shared = docs.sparkSession.sparkContext.broadcast(field)  # FEATURES x LABELS weights
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("base", pa.bool_())]))
 
+    def parts(texts: list[str | None]) -> Iterator[list[str | None]]:
+        first = size = 0
+        for i, t in enumerate(texts):
+            if i > first and size + len(t or "") > CHARS:
+                yield texts[first:i]
+                first, size = i, 0
+            size += len(t or "")
+        yield texts[first:]
+
     def run(texts: list[str | None]) -> list[pa.Array]:
-        rows = [[{"start": s, "end": e, "kind": KINDS[k], "base": b} for s, k, e, b in spans] for spans in find(shared.value, texts)]
+        rows = [[{"start": s, "end": e, "kind": KINDS[k], "base": b} for s, k, e, b in spans]
+                for part in parts(texts) for spans in find(shared.value, part)]
         return [pa.array(rows, kind)]
 
     span = StructType().add("start", IntegerType()).add("end", IntegerType()).add("kind", StringType()).add("base", BooleanType())

@@ -50,9 +50,9 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs, remainder("doc_id", 5) != 0)
-    found = langid.identify(docs, model, ["doc_id"], spans=False)
-    return found.select("doc.doc_id", "lang_pred", "score").withColumn("held_out", remainder("doc_id", 5) == 0).select(
-        "doc_id", "held_out", "lang_pred", "score")
+    found = langid.identify(docs, model, ["doc_id"])
+    return found.select("doc.doc_id", "lang_pred", "score", "spans").withColumn("held_out", remainder("doc_id", 5) == 0).select(
+        "doc_id", "held_out", "lang_pred", "score", "spans")
 
 
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

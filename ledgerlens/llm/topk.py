@@ -8,13 +8,15 @@ complemented slices plus a constant.  The k best rows are read off the sum from
 the most significant slice downward; rows left equal at the boundary are
 resolved by the smaller id.  The blocks' winners are merged by a window.
 
-Every query meets every row: query blocks are replicated to the row blocks (and
-the reverse), so a task holds one block of each and nothing else.
+Every query meets every row: the quantised rows are written once, row blocks are
+repeated per query block of thousands (whose queries a task works off one by one)
+and queries per row block, so a task holds one block of each and nothing else.
 
 Defined results: a vector that is null, or holds a null, NaN or infinite
 component, takes no part; so does a row without an id.  Vectors of different
-length are padded with zeros.  Rows repeated under one id count once (the
-smallest vector).  Fewer than k candidates give fewer rows; an empty table gives
+length are padded with zeros.  Rows repeated under one id are candidates of their
+own, for every other id; repeated under a query's id, they are one query, whose
+scores are those of all its rows.  Fewer than k candidates give fewer rows; an empty table gives
 no rows.  Equal scores rank the smaller id first.  Extra columns are ignored.
 """
 
@@ -27,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.common import written
+
 OUT = "query_id long, vec_id long, score long"
 
 
@@ -34,8 +38,7 @@ def quantise(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataF
     ok = F.col(vec_col).isNotNull() & F.col(id_col).isNotNull() & F.forall(
         vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     q = F.transform(vec_col, lambda x: F.floor(x.cast("double") * scale))
-    return (vectors.filter(ok).select(F.col(id_col).cast("long").alias("vec_id"), q.alias("q"))
-            .groupBy("vec_id").agg(F.min("q").alias("q")))
+    return vectors.filter(ok).select(F.col(id_col).cast("long").alias("vec_id"), q.alias("q"))
 
 
 def _matrix(col: pd.Series, width: int) -> np.ndarray:
@@ -129,24 +132,25 @@ def search_block(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray
 
 
 def top_k(vectors: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 1024,
-          every: int = 100, block_rows: int = 16384, block_queries: int = 128) -> DataFrame:
+          every: int = 100, block_rows: int = 16384, block_queries: int = 8192) -> DataFrame:
     """For every row whose id is divisible by ``every``: its k best other rows.
 
     Returns query_id, rank, vec_id, score."""
-    v = quantise(vectors, id_col, vec_col, scale)
+    v = quantise(vectors, id_col, vec_col, scale).withColumn("row", F.monotonically_increasing_id())
+    v = written(v, "quantised")  # a row keeps its number, by which it is dealt
     n, m, width = v.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0), F.max(F.size("q"))).first()
     row_blocks, query_blocks = max(1, math.ceil(n / block_rows)), max(1, math.ceil(m / block_queries))
     width = max(0, width or 0)
 
     def block(c: str, blocks: int):
-        return F.pmod(F.xxhash64(c), F.lit(blocks))
+        return F.pmod(F.xxhash64(c), F.lit(blocks))  # rows, not ids: an id may be repeated
 
     def each(blocks: int):
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>"))
 
-    rows = v.select("vec_id", "q", block("vec_id", row_blocks).alias("rb"), each(query_blocks).alias("qb"))
+    rows = v.select("vec_id", "q", block("row", row_blocks).alias("rb"), each(query_blocks).alias("qb"))
     queries = v.filter(F.col("vec_id") % every == 0).select(
-        F.col("vec_id").alias("query_id"), "q", block("vec_id", query_blocks).alias("qb"), each(row_blocks).alias("rb"))
+        F.col("vec_id").alias("query_id"), "q", block("row", query_blocks).alias("qb"), each(row_blocks).alias("rb"))
 
     def search(r: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
         found = [] if r.empty or s.empty else search_block(

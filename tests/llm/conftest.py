@@ -1,8 +1,8 @@
 import pytest
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, score double, size long, node string, spans string, "
-          "copies int, `key` string, word string, target double, draw double, kinds string, rate double, doc string, length int")
-EXTRA = (0.5, 7, "n", "s", 1, "k", "w", 1.0, 2.0, "x", 3.0, "d", 9)
+          "copies int, `key` string, word string, target double, draw double, kinds string, rate double, doc string, length int, _id long, _n int, _row long, uid long")
+EXTRA = (0.5, 7, "n", "s", 1, "k", "w", 1.0, 2.0, "x", 3.0, "d", 9, 1, 2, 3, 4)
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
 
 

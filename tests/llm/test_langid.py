@@ -69,3 +69,9 @@ def test_edge_rows(spark, edge, empty):
     none = langid.train(empty, F.lit(True))
     assert {r["lang_pred"] for r in langid.identify(edge, none, ["doc_id"]).collect()} == {"und"}
     assert langid.identify(empty, model, ["doc_id"]).collect() == []
+
+
+def test_more_than_256_labels():
+    scores = np.full((6, 300), -5.0, dtype=np.float32)
+    scores[:3, 280], scores[3:, 24] = 0.0, 0.0
+    assert langid.viterbi(scores, np.array([3, 3])).tolist() == [280] * 3 + [24] * 3

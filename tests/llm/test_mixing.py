@@ -97,3 +97,12 @@ def test_one_source_holds_a_third(spark, tmp_path):
         t = taken.setdefault(r["source"], [r["target"], 0])
         t[1] += r["copies"] * r["size"]
     assert all(abs(a - b) <= max(37, 0.02 * a) for a, b in taken.values())
+
+
+def test_steps_that_do_not_suffice_are_an_error(spark):
+    import pytest
+    pairs = spark.createDataFrame([("a", 5, 10), ("a", 900, 3)], "source string, size long, n long")
+    goals = spark.createDataFrame([("a", 2750, 3000.0)], "source string, source_size long, target double")
+    with pytest.raises(ArithmeticError):
+        M.tilts(pairs, goals, steps=1)
+    assert M.tilts(pairs, goals).count() == 1

@@ -1,23 +1,19 @@
 import math
 import random
 
+import duckdb
 import numpy as np
 
-from ledgerlens.llm import queries, topk
+from ledgerlens.llm import oracle, queries, topk
 
 
 def brute(rows, k=10, scale=1024, every=100):
-    v = {}
-    for i, x in rows:
-        if i is not None and x is not None and all(c is not None and math.isfinite(c) for c in x):
-            q = [math.floor(scale * float(c)) for c in x]
-            v[i] = min(v.get(i, q), q)
+    v = [(i, [math.floor(scale * float(c)) for c in x]) for i, x in rows
+         if i is not None and x is not None and all(c is not None and math.isfinite(c) for c in x)]
     out = set()
-    for i in v:
-        if i % every == 0:
-            score = {j: sum(a * b for a, b in zip(v[i], v[j])) for j in v if j != i}
-            for rank, j in enumerate(sorted(score, key=lambda j: (-score[j], j))[:k], 1):
-                out.add((i, rank, j, score[j]))
+    for q in {i for i, _ in v if i % every == 0}:
+        score = sorted((-sum(a * b for a, b in zip(x, y)), j) for i, x in v if i == q for j, y in v if j != q)
+        out |= {(q, rank, j, -s) for rank, (s, j) in enumerate(score[:k], 1)}
     return out
 
 
@@ -41,6 +37,19 @@ def test_edge_rows_ties_and_blocks(spark):
     assert [tuple(x) for x in topk.top_k(few).orderBy("rank").collect()] == [(0, 1, 1, 1048576), (0, 2, 2, 1048576)]
 
 
+def test_repeated_ids_equal_the_sql(spark, tmp_path):
+    """Different vectors under one id are candidates of their own; a query's own id never is."""
+    r = random.Random(8)
+    rows = [(i % 140, [float(r.randint(-9, 9)) / 8 for _ in range(4)]) for i in range(420)] + [(7, [1.0, 1.0, 1.0, 1.0])] * 200
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    df.coalesce(1).write.parquet(str(tmp_path / "e"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/e/*.parquet')")
+    want = sorted(con.sql(oracle.TOP_K).select("query_id, rank, vec_id, score").fetchall())
+    for block in (16, 16384):
+        assert sorted(map(tuple, topk.top_k(df, block_rows=block, block_queries=3).collect())) == want
+
+
 def test_block_search_with_negative_and_large_numbers():
     r = np.random.default_rng(1)
     x = r.integers(-90_000, 100_000, (300, 9))
