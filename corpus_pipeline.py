@@ -41,16 +41,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     judged = written(neardup.link(docs).withColumnRenamed("doc_id", "_id"), "judged")
     per = judged.groupBy("_id").agg(F.count("*").alias("n"), F.bool_or("kept").alias("stays"))
     leaving = written(per.filter("n > 1 OR NOT stays").select("_id", F.col("n").alias("_n")), "leaving")
-    alone = docs.join(leaving, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    slim = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))  # names of extra columns stay apart
+    own = F.col("doc.doc_id").eqNullSafe(F.col("_id"))
+    alone = slim.join(leaving, own, "left_anti").select("doc.*")
     many = leaving.filter("_n > 1")
     if many.isEmpty():
         return alone
-    again = docs.join(many, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    rows = written(again.select(F.struct(*docs.columns).alias("doc"), "text", F.monotonically_increasing_id().alias("row")), "repeated")
+    again = slim.join(many, own, "left_semi")
+    rows = written(again.select("doc", F.col("doc.text").alias("text"), F.monotonically_increasing_id().alias("row")), "repeated")
     nodes = neardup.features(rows, "row", "text", neardup.WIDTH).select(F.col("doc_id").alias("_row"), F.col("node").alias("_node"))
-    own = judged.filter("node IS NOT NULL").select("_id", "node", "root", "kept").distinct()
+    sets = judged.filter("node IS NOT NULL").select("_id", "node", "root", "kept").distinct()
     found = (rows.join(nodes, F.col("row") == F.col("_row"))
-             .join(own, F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("node")), "left"))
+             .join(sets, F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("node")), "left"))
     first = F.row_number().over(Window.partitionBy("_id", "root").orderBy("row"))
     found = found.withColumn("first", first).filter("_node IS NULL OR (kept AND first = 1)")
     return alone.unionByName(found.select("doc.*"))
