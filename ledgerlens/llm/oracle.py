@@ -56,3 +56,54 @@ WITH v AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """
+
+
+MERKLE_LEVELS = 8  # of either tree: 8 ** 8 leaves a language
+
+
+def _merkle() -> str:
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    # crc32 of the decimal id, bit by bit: each byte is followed by seven steps without one
+    steps = ("list_concat([4294967295], flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1), "
+             "lambda i: [ascii((doc_id::VARCHAR)[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0])))")
+    step = "CASE WHEN xor(c, x) % 2 = 1 THEN xor(xor(c, x) >> 1, 3988292384) ELSE xor(c, x) >> 1 END"
+    crc = f"xor(list_reduce({steps}, lambda c, x: {step}), 4294967295)"
+    parts = [f"""d AS MATERIALIZED (SELECT *, row_number() OVER () AS uid, {leaf('text')} AS leaf,
+  CASE WHEN doc_id IS NOT NULL AND {crc} % 3 = 0 THEN {leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {leaf('text')} END AS claimed FROM documents)""",
+             "t0 AS MATERIALIZED (SELECT uid, coalesce('l' || lang, '') AS tree, leaf AS hash, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, uid) - 1 AS pos FROM d)"]
+
+    def levels(t: str) -> None:
+        """t0(tree, pos, hash): runs of every level, and what remains of every tree."""
+        for i in range(MERKLE_LEVELS):
+            parts.append(f"{t}r{i + 1} AS MATERIALIZED (SELECT tree, pos // 8 AS run, list(hash ORDER BY pos) AS hashes FROM "
+                         f"(SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {t}{i}) WHERE n > 1 GROUP BY tree, pos // 8)")
+            parts.append(f"{t}{i + 1} AS MATERIALIZED (SELECT tree, run AS pos, sha256(array_to_string(hashes, '')) AS hash FROM {t}r{i + 1} "
+                         f"UNION ALL SELECT tree, pos, hash FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {t}{i}) WHERE n = 1)")
+
+    levels("t")
+    parts.append(f"u0 AS MATERIALIZED (SELECT '' AS tree, tree AS own, hash, row_number() OVER (ORDER BY tree) - 1 AS pos FROM t{MERKLE_LEVELS})")
+    levels("u")
+    parts.append("f0 AS MATERIALIZED (SELECT t0.uid, t0.tree, t0.pos, claimed AS h, '' AS proof FROM t0 JOIN d USING (uid))")
+    n = 0
+    for t in "tu":
+        for i in range(1, MERKLE_LEVELS + 1):
+            n += 1
+            at = "f.pos % 8"
+            parts.append(f"""f{n} AS MATERIALIZED (SELECT f.uid, f.tree, f.pos // 8 AS pos,
+  CASE WHEN r.run IS NULL THEN h ELSE sha256(array_to_string(list_transform(hashes, lambda x, i: CASE WHEN i - 1 = {at} THEN h ELSE x END), '')) END AS h,
+  CASE WHEN r.run IS NULL THEN proof ELSE proof || array_to_string(list_filter(hashes, lambda x, i: i - 1 <> {at}), '') END AS proof
+  FROM f{n - 1} f LEFT JOIN {t}r{i} r ON r.tree = f.tree AND r.run = f.pos // 8)""")
+        if t == "t":
+            n += 1
+            parts.append(f"f{n} AS MATERIALIZED (SELECT f.uid, '' AS tree, u0.pos, h, proof FROM f{n - 1} f JOIN u0 ON u0.own = f.tree)")
+    return f"""WITH {", ".join(parts)}
+SELECT d.doc_id, d.leaf, s.hash AS subroot, r.hash AS root, sha256(f{n}.proof) AS proof_sha256, f{n}.h AS folded_root, f{n}.h = r.hash AS verified
+FROM d JOIN f{n} USING (uid) JOIN t{MERKLE_LEVELS} s ON s.tree = coalesce('l' || d.lang, '') CROSS JOIN u{MERKLE_LEVELS} r"""
+
+
+MERKLE = _merkle()

@@ -96,4 +96,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_duplicates": oracle.NEAR_DUPLICATES, "op7_secrets": oracle.SECRETS, "op10_topk_search": oracle.TOP_K}
+    return {"op4_near_duplicates": oracle.NEAR_DUPLICATES, "op7_secrets": oracle.SECRETS, "op10_topk_search": oracle.TOP_K,
+            "op12_merkle_manifest": oracle.MERKLE}
