@@ -228,55 +228,30 @@ class Rule:
     conditions: tuple[Condition, ...]
     levels: tuple[Level, ...] = field(default_factory=tuple)
     direction: str = "ge"  # "ge": metric >= level; "lt": metric < level
+    frame: str = ""  # the rows the ladder judges
+    filter_frame: str = ""  # the rows the conditions filter (the frame's own, or those it is made of)
+    key: tuple[str, ...] = ()
+    values: dict[str, tuple[str, ...]] = field(default_factory=dict)  # template field -> column[, format]
+    amount_field: str | None = None
 
 
-# Declared alert rules (fixed values: thresholds, message templates, actions)
-ALERT_RULES = (
-    Rule(
-        "dead_stock", True, "days_since_last_sale",
-        (Condition("days_since_last_sale", ">=", 90), Condition("quantity_on_hand", ">", 0)),
-        (
-            Level("critical", 180, "URGENT: {product_name} not sold for {days} days. {qty} units blocking ₹{value}",
-                  "Liquidate immediately at 20-30% discount"),
-            Level("high", 120, "{product_name} not sold for {days} days. {qty} units in stock.",
-                  "Run promotional offer this week"),
-            Level("medium", 90, "{product_name} moving slow. {qty} units, {days} days no sale.",
-                  "Monitor closely, prepare promotion"),
-        ),
-        "ge",
-    ),
-    Rule(
-        "low_margin", True, "margin_percentage",
-        (Condition("margin_percentage", "<", Decimal("0.10")), Condition("cost_price", "IS NOT NULL")),
-        (
-            Level("critical", Decimal("0.00"), "LOSS: {customer_name} buying {product_name} at {margin}% margin",
-                  "Review pricing immediately. Selling below cost!"),
-            Level("high", Decimal("0.05"), "Low margin: {customer_name} - {product_name} at {margin}%",
-                  "Renegotiate pricing or reduce discount"),
-            Level("medium", Decimal("0.10"), "{customer_name} - {product_name}: {margin}% margin (target: 15%)",
-                  "Review discount policy"),
-        ),
-        "lt",
-    ),
-    Rule(
-        "credit_risk", True, "days_overdue",
-        (Condition("payment_status", "!=", "Paid"), Condition("days_overdue", ">=", 15)),
-        (
-            Level("critical", 90, "CRITICAL: {customer_name} owes ₹{amount} ({invoices} bills), {days} days overdue",
-                  "Stop all credit immediately. Initiate legal recovery.", amount=100000),
-            Level("high", 60, "{customer_name} owes ₹{amount}, {days} days overdue",
-                  "Final notice. Stop further sales."),
-            Level("medium", 30, "{customer_name}: ₹{amount} overdue by {days} days",
-                  "Send payment reminder. Follow up personally."),
-            Level("low", 15, "{customer_name}: ₹{amount} payment pending", "Gentle reminder"),
-        ),
-        "ge",
-    ),
-    Rule(
-        "stock_out", False, "quantity_on_hand",
-        (Condition("quantity_on_hand", "<=", value_ref="reorder_level"),),
-    ),
-)
+def load_rules(path: str = os.path.join(os.path.dirname(os.path.abspath(__file__)), "conf", "alert_rules.json")) -> tuple[Rule, ...]:
+    """Alert rules of a rule file; decimal thresholds stay exact."""
+    with open(path, encoding="utf-8") as f:
+        declared = json.load(f, parse_float=Decimal)["rules"]
+    out = []
+    for r in declared:
+        r = dict(r)
+        r["conditions"] = tuple(Condition(**c) for c in r["conditions"])
+        r["levels"] = tuple(Level(**lv) for lv in r.get("levels", ()))
+        r["key"] = tuple(r.get("key", ()))
+        r["values"] = {k: tuple(v) for k, v in r.get("values", {}).items()}
+        r["filter_frame"] = r.get("filter_frame") or r.get("frame", "")
+        out.append(Rule(**r))
+    return tuple(out)
+
+
+ALERT_RULES = load_rules()
 
 # Industry benchmarks (fixed values)
 SEASONS = (

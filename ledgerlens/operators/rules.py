@@ -13,14 +13,16 @@ from __future__ import annotations
 
 import functools
 import string
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType, StructType
 
 from ledgerlens import config as C
 from ledgerlens.config import DEFAULT, Params
 from ledgerlens.functions.columns import (
-    MARGIN_TYPE, days_between, exact_ratio, indian_grouping, severity_rank, ws_trim,
+    MARGIN_TYPE, days_between, exact_ratio, fmt_fixed, indian_grouping, severity_rank, ws_trim,
 )
 
 # ---------------------------------------------------------------------------
@@ -161,6 +163,79 @@ def rule_messages_for(r: C.Rule, df: DataFrame, values: dict[str, Column], entit
                        msg.alias("message"), level_text(r, F.col("severity"), "action").alias("action"))
 
 
+FORMATS = {
+    "whole": lambda c: c.cast("bigint"),
+    "indian": indian_grouping,
+    "percent": lambda c: fmt_fixed((c * 100).cast("double"), 1),
+}
+
+
+def _number(kind: DataType) -> bool:
+    return isinstance(kind, NumericType)
+
+
+def faults(r: C.Rule, frames: Mapping[str, StructType]) -> list[str]:
+    """What is wrong with a declared rule, given the columns of the frames it may read."""
+    out = []
+
+    def kind(frame: str, column: str, what: str) -> DataType | None:
+        if frame not in frames:
+            return None
+        if column not in frames[frame].names:
+            out.append(f"{what}: {frame} has no column {column}")
+            return None
+        return frames[frame][column].dataType
+
+    for name in {r.frame, r.filter_frame}:
+        if name not in frames:
+            out.append(f"no frame {name!r}")
+    for c in r.conditions:
+        of = kind(r.filter_frame, c.field, "condition")
+        if c.operator not in _OPS and c.operator not in ("IS NULL", "IS NOT NULL"):
+            out.append(f"condition on {c.field}: operator not allowed: {c.operator}")
+        if c.value_ref is not None:
+            kind(r.filter_frame, c.value_ref, "condition")
+        elif c.operator in _OPS and of is not None and (c.value is None or _number(of) != (not isinstance(c.value, str))):
+            out.append(f"condition on {c.field}: {c.value!r} does not compare with {of.simpleString()}")
+    metric = kind(r.frame, r.metric, "metric") if r.levels else None
+    if metric is not None and not _number(metric):
+        out.append(f"metric {r.metric} is no number")
+    if r.direction not in ("ge", "lt"):
+        out.append(f"direction {r.direction!r}")
+    steps = [lv.threshold for lv in r.levels]
+    if steps != sorted(steps, reverse=r.direction == "ge"):
+        out.append("levels are not in order of severity")
+    for lv in r.levels:
+        if lv.name.upper() not in C.SEVERITY_ORDER:
+            out.append(f"level {lv.name!r}")
+        if lv.amount is not None and r.amount_field is None:
+            out.append(f"level {lv.name}: an amount without amount_field")
+        out += [f"level {lv.name}: no value for {{{f}}}" for _, f, _, _ in string.Formatter().parse(lv.message) if f is not None and f not in r.values]
+    for column, *form in r.values.values():
+        kind(r.frame, column, "value")
+        out += [f"value {column}: no format {f!r}" for f in form if f not in FORMATS]
+    for k in (*r.key, *([r.amount_field] if r.amount_field else [])):
+        kind(r.frame, k, "key")
+    return out
+
+
+def compiled(rules: Iterable[C.Rule], frames: Mapping[str, DataFrame]) -> DataFrame:
+    """(rule, entity, severity, message, action) of every enabled rule of a rule file:
+    conditions, ladder and templates as columns over the frames it names.  All rules
+    are checked against the frames' columns first; what is wrong is one error."""
+    rules = [r for r in rules if r.enabled]
+    schemas = {n: f.schema for n, f in frames.items()}
+    wrong = [f"{r.name}: {fault}" for r in rules for fault in faults(r, schemas)]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    out = []
+    for r in rules:
+        values = {name: FORMATS[form[0]](F.col(c)) if form else F.col(c) for name, (c, *form) in r.values.items()}
+        entity = F.col(r.key[0]) if len(r.key) == 1 else F.concat_ws("|", *r.key)
+        out.append(rule_messages_for(r, frames[r.frame], values, entity, r.amount_field, prefiltered=r.filter_frame != r.frame))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 # ---------------------------------------------------------------------------
 # D9 / D10: inventory
 # ---------------------------------------------------------------------------

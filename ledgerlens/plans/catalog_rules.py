@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config as C
 from ledgerlens.config import DEFAULT
-from ledgerlens.functions.columns import days_between, fmt_fixed, indian_grouping
+from ledgerlens.functions.columns import days_between
 from ledgerlens.operators import datatests as T
 from ledgerlens.operators import mapping as MP
 from ledgerlens.operators import marts as M
@@ -138,23 +138,17 @@ def rule_severity(s, sf):
     return _ladders(s, sf).groupBy("rule", "severity").agg(F.count(F.lit(1)).alias("entities"))
 
 
-def rule_messages(s, sf):
-    stg = _stg(s, sf)
-    pdays = _product_days(s, sf).withColumn(
+def rule_frames(s, sf):
+    """The rows that a rule file may judge, by name."""
+    products = _product_days(s, sf).withColumn(
         "value", F.round(F.col("total_quantity_ever_sold") * F.lit(C.DEAD_VALUE_FACTOR) * F.lit(C.DEAD_VALUE_UNIT_PRICE), 0))
-    dead = R.rule_messages_for(R.rule("dead_stock"), pdays, {
-        "product_name": F.col("product_name"), "days": F.col("days_since_last_sale"),
-        "qty": F.col("quantity_on_hand").cast("bigint"), "value": indian_grouping(F.col("value"))},
-        F.col("product_id"))
-    low = R.rule_messages_for(R.rule("low_margin"), stg, {
-        "customer_name": F.col("customer_name"), "product_name": F.col("product_name"),
-        "margin": fmt_fixed((F.col("margin_percentage") * 100).cast("double"), 1)},
-        F.concat_ws("|", "transaction_id", "product_id"))
-    cred = R.rule_messages_for(R.rule("credit_risk"), _customer_overdue(s, sf), {
-        "customer_name": F.col("customer_name"), "amount": indian_grouping(F.col("total_overdue_amount")),
-        "invoices": F.col("invoices"), "days": F.col("days_overdue")},
-        F.col("customer_id"), amount_col="total_overdue_amount", prefiltered=True)
-    return dead.unionByName(low).unionByName(cred)
+    return {"products": products, "lines": _stg(s, sf), "overdue_customers": _customer_overdue(s, sf),
+            "inventory": fixture.inventory_snapshot(s, sf, P)}
+
+
+def rule_messages(s, sf):
+    """Every enabled rule of the rule file, compiled over the frames it names."""
+    return R.compiled(C.ALERT_RULES, rule_frames(s, sf))
 
 
 def dead_stock_on_hand(s, sf):

@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
@@ -119,3 +120,40 @@ def test_indian_grouping_spark_and_duckdb_agree(spark):
     want = [con.sql(f"SELECT {indian_sql(f'CAST({v} AS DECIMAL(18,4))')}").fetchall()[0][0] for v in vals]
     assert got == want
     assert got[5] == "1,00,000" and got[8] == "1,23,45,67,89,012"
+
+
+def test_a_fifth_rule_by_file_only(spark, tmp_path):
+    import json
+    import os
+
+    from ledgerlens import config as C
+    shipped = os.path.join(os.path.dirname(C.__file__), "conf", "alert_rules.json")
+    declared = json.load(open(shipped, encoding="utf-8"))
+    declared["rules"].append({
+        "name": "big_bill", "enabled": True, "frame": "lines", "key": ["transaction_id"], "metric": "total_amount",
+        "conditions": [{"field": "total_amount", "operator": ">=", "value": 100.5}, {"field": "payment_status", "operator": "==", "value": "unpaid"}],
+        "values": {"who": ["customer_name"], "amount": ["total_amount", "indian"]},
+        "levels": [{"name": "critical", "threshold": 200000, "message": "{who}: ₹{amount}", "action": "Call"},
+                   {"name": "low", "threshold": 100.5, "message": "{who} {amount}", "action": "Watch"}]})
+    path = tmp_path / "rules.json"
+    path.write_text(json.dumps(declared, ensure_ascii=False), encoding="utf-8")
+    rules = [r for r in C.load_rules(str(path)) if r.name == "big_bill"]
+    lines = spark.createDataFrame([("1", "A", 250000.0, " Unpaid "), ("2", "B", 100.5, "UNPAID"), ("3", "C", 300000.0, "PAID"), ("4", "D", 99.0, "UNPAID")],
+                                  "transaction_id string, customer_name string, total_amount double, payment_status string")
+    got = sorted(map(tuple, R.compiled(rules, {"lines": lines}).collect()))
+    assert got == [("big_bill", "1", "CRITICAL", "A: ₹2,50,000", "Call"), ("big_bill", "2", "LOW", "B " + got[1][3].split(" ", 1)[1], "Watch")]
+    assert len(C.load_rules(str(path))) == len(C.ALERT_RULES) + 1
+
+
+def test_faulty_rules_are_named_before_anything_runs(spark):
+    from ledgerlens import config as C
+    lines = spark.createDataFrame([], "id string, amount double, status string")
+    bad = C.Rule("x", True, "status", (C.Condition("nowhere", ">=", 1), C.Condition("amount", "LIKE", "a"), C.Condition("amount", ">", "much")),
+                 (C.Level("low", 1, "{who}", "a"), C.Level("grave", 5, "", "a", amount=3)), "up", "lines", "lines", ("key",), {"n": ("amount", "roman")})
+    with pytest.raises(ValueError) as e:
+        R.compiled([bad], {"lines": lines})
+    for part in ("no column nowhere", "operator not allowed: LIKE", "'much' does not compare", "metric status is no number", "direction 'up'",
+                 "no value for {who}", "level 'grave'", "amount without amount_field", "no format 'roman'", "no column key"):
+        assert part in str(e.value), part
+    assert R.faults(C.Rule("y", True, "amount", (), (), "ge", "other", "other"), {"lines": lines.schema}) == ["no frame 'other'"]
+    assert all(r.frame and r.key for r in C.ALERT_RULES)
