@@ -18,6 +18,14 @@ def ws_trim(c: Column | str) -> Column:
     return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(C.UNICODE_WHITESPACE))
 
 
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+
+
+def month_name(d: Column) -> Column:
+    """As ``date_format(d, 'MMMM')``, without a formatter per row."""
+    return F.element_at(F.array(*map(F.lit, MONTHS)), F.month(d))
+
+
 def exact_ratio(num: Column, den: Column, scale: int = 9, operand_type: str = "decimal(20,4)") -> Column:
     """num / den as a decimal rounded half-up to ``scale`` digits.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.config import DEFAULT, Params
-from ledgerlens.functions.columns import MARGIN_TYPE, days_between, exact_ratio, ws_trim
+from ledgerlens.functions.columns import MARGIN_TYPE, days_between, exact_ratio, month_name, ws_trim
 
 MONEY = "decimal(18,4)"
 
@@ -22,7 +22,7 @@ def customer_name_of(customer_id) -> Column:
     """Display name from the customer id (the raw name): trimmed upper case.
     Aggregates group by the id and derive the name afterwards, instead of
     carrying a string max through the shuffle."""
-    return ws_trim(F.upper(customer_id))
+    return F.upper(ws_trim(customer_id))
 
 
 def product_name_of(product_id) -> Column:
@@ -58,14 +58,14 @@ def stage_sales(raw: DataFrame, p: Params = DEFAULT, with_loaded_at: bool = True
     price = F.col("unit_price").cast(MONEY)
     cost = F.col("cost_price").cast(MONEY)
     margin = price - F.coalesce(cost, F.lit(0).cast(MONEY))
-    status = ws_trim(F.upper(F.coalesce(F.col("payment_status").cast("string"), F.lit("UNPAID"))))
+    status = F.upper(ws_trim(F.coalesce(F.col("payment_status").cast("string"), F.lit("UNPAID"))))
     due = F.try_to_date(F.col("payment_due_date").cast("string"), "yyyy-MM-dd")
     cols = [
         F.col("invoice_number").cast("string").alias("transaction_id"),
         d.alias("transaction_date"),
         F.year(d).cast("bigint").alias("transaction_year"),
         F.month(d).cast("bigint").alias("transaction_month"),
-        F.date_format(d, "MMMM").alias("transaction_month_name"),
+        month_name(d).alias("transaction_month_name"),
         F.quarter(d).cast("bigint").alias("transaction_quarter"),
         F.col("customer_name").cast("string").alias("customer_id"),
         customer_name_of(F.col("customer_name")).alias("customer_name"),

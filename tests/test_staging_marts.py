@@ -173,3 +173,31 @@ def test_exact_ratio_ties_agree_with_duckdb_helper(spark):
             for a, b in pairs]
     assert got == want
     assert got[0] == D("0.000976563") and got[1] == D("-0.000976563")     # ties round away from zero
+
+
+def test_staging_code_is_small_enough_to_be_compiled(spark, sf):
+    """The JVM does not compile methods of more than 8,000 bytes: a staging projection beyond that runs several times slower."""
+    import contextlib
+    import io
+    import re
+
+    from ledgerlens.operators.staging import stage_sales
+    from ledgerlens.sources import fixture
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    said = io.StringIO()
+    try:
+        with contextlib.redirect_stdout(said):
+            stage_sales(fixture.raw_sales(spark, sf), with_loaded_at=False).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:([0-9]+)", said.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
+def test_month_names(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlens.functions.columns import month_name
+    d = F.make_date(F.lit(2024), F.col("id").cast("int"), F.lit(1))
+    assert spark.range(1, 13).where(month_name(d) != F.date_format(d, "MMMM")).isEmpty()
+    assert spark.range(1).select(month_name(F.lit(None).cast("date"))).first()[0] is None
