@@ -23,24 +23,20 @@ HEADLINE = ("staging", "sales_enriched", "mart_dead_stock", "mart_low_margin", "
 
 
 def daily_job(spark, sf_dir):
-    """The whole daily run as production would do it: staging persisted once
-    and shared by the three marts, marts saved as tables under the shared
-    folder, alerts and the digest read from the saved marts."""
+    """The whole daily run as production does it: staging written once as a table
+    and shared by the three marts, marts saved as tables under the shared folder,
+    alerts and the digest read from the saved marts."""
     from ledgerlens.config import DEFAULT
     from ledgerlens.operators import alerts as A
     from ledgerlens.plans import jobs
     from ledgerlens.session import shared_path
     from ledgerlens.sources import fixture, tables
-    m = jobs.build_marts(spark, fixture.raw_sales(spark, sf_dir), DEFAULT, materialize="persist")
+    m = jobs.build_marts(spark, fixture.raw_sales(spark, sf_dir), DEFAULT, materialize="table")
     loc = shared_path(spark, "bench-marts")
-    try:
-        for name, mart in (("credit_risk", m.credit_risk), ("dead_stock", m.dead_stock),
-                           ("low_margin_sales", m.low_margin)):
-            assert tables.load_table(mart, f"bench_mart_{name}", path=f"{loc}/{name}")
-        alerts = jobs.alerts_from_tables(spark, DEFAULT, prefix="bench_mart_")
-        A.daily_digest(spark, A.balanced_alerts(alerts, DEFAULT)).write.format("noop").mode("overwrite").save()
-    finally:
-        m.staging.unpersist()
+    for name, mart in (("credit_risk", m.credit_risk), ("dead_stock", m.dead_stock), ("low_margin_sales", m.low_margin)):
+        assert tables.load_table(mart, f"bench_mart_{name}", path=f"{loc}/{name}")
+    alerts = jobs.alerts_from_tables(spark, DEFAULT, prefix="bench_mart_")
+    A.daily_digest(spark, A.balanced_alerts(alerts, DEFAULT)).write.format("noop").mode("overwrite").save()
 
 
 def main() -> None:
