@@ -24,7 +24,11 @@ the norm gives an upper bound; only words whose bound reaches FLOOR get the
 exact norm, and decisions below FLOOR count as FLOOR.
 
 Training reads at most about 2 * ``per_label`` labelled documents (a documented
-bound; drawn by a hash of the id at a rate from exact counts), on the driver.
+bound; drawn by a hash of the id at a rate from exact counts), on the driver.  Of
+their words it learns from at most POSITIVES of toxic and NEGATIVES of clean
+documents, takes landmarks from the first 20 * LANDMARKS of each kind, and counts a
+word at most 20 times as evidence; these bound the model's training only, scores
+read every word of every text.
 
 Defined results: a null or empty text, or one without three letters in a word,
 has the score of FLOOR.  Without labelled documents of both kinds the score is
