@@ -47,6 +47,8 @@ WIDTH, PERCENT = 5, 80
 HASHES, TREES, DEPTH, LEAST, NEAR = 128, 32, 8, 4, 8
 CLOSE, BLOCK = 15, 500_000
 MOST_HELD = 50_000  # rows of a crowd kept waiting for its end
+MEET, SALTS = 1_000, 256  # sets of one token that meet in a task, parts a token's sets are dealt to before
+SIZE_STEPS = 4096  # a node's last 16 bits hold this times the natural logarithm of its set's size
 SLOT_BITS, SLOT_PARTS = 20, 16  # counters of shingles that tell rare from common
 NO_ID = -(1 << 63)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -128,9 +130,17 @@ def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
 
 
 def node_of(shingles: np.ndarray) -> bytes:
-    """128 bits that equal sets share."""
+    """128 bits that equal sets share: 112 of a hash, then the size's logarithm
+    (sizes from about 8.9 million shingles on share the highest)."""
     a = int(_mixed(shingles + _MIX).sum(dtype=np.uint64)), int(_mixed(shingles ^ _BASE).sum(dtype=np.uint64))
-    return b"".join(x.to_bytes(8, "big") for x in a)
+    size = min(0xFFFF, int(SIZE_STEPS * np.log(max(1, len(shingles)))))
+    return b"".join(x.to_bytes(8, "big") for x in a)[:14] + size.to_bytes(2, "big")
+
+
+def alike_in_size(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of the given size logarithms can be as similar as ``percent``:
+    the smaller set has at least that share of the larger one's size."""
+    return np.abs(a - b) <= 1 + SIZE_STEPS * np.log(100 / percent)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -207,10 +217,11 @@ def neighbours(tree: np.ndarray, keys: np.ndarray, begun: bool = False, goes_on:
     return np.concatenate(firsts), np.concatenate(seconds), np.flatnonzero(crowd)
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
+def candidates(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b): pairs of nodes to confirm, a < b, and the nodes of crowded regions, a = b.
 
-    A region cut by the end of a partition or of a held run counts as crowded."""
+    Pairs whose sizes rule out even a close miss are left out.  A region cut by the
+    end of a partition or of a held run counts as crowded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None  # from the last region on, which may go on in the next batch
         begun = True
@@ -232,6 +243,9 @@ def candidates(nodes: DataFrame) -> DataFrame:
             i, j, crowd = neighbours(tree[:end], keys[:end], begun, goes_on)
             begun = goes_on
             node = table.column("node").to_pylist()
+            size = np.frombuffer(b"".join(n[-2:] for n in node), dtype=">u2").astype(np.int64)
+            fits = alike_in_size(size[i], size[j], max(1, percent - CLOSE))
+            i, j = i[fits], j[fits]
             pairs = [(node[x], node[y]) if node[x] < node[y] else (node[y], node[x]) for x, y in zip(i.tolist(), j.tolist())]
             pairs += [(node[x], node[x]) for x in crowd.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())],
@@ -413,7 +427,9 @@ def crowd_pairs(sets: DataFrame, around: DataFrame, roots: DataFrame, percent: i
     compared) that can reach ``percent`` by an exact prefix filter.
 
     Each shingle's most common neighbourhood takes part on one side only, so a
-    shingle that just one neighbourhood has gives no work."""
+    shingle that just one neighbourhood has gives no work.  Both sides of a shingle
+    come in blocks of about MEET sets, and every pair of blocks is a group of its
+    own, so a shingle that a crowd shares is spread over tasks."""
     counts = sets.sparkSession.sparkContext.broadcast(slot_counts(sets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,13 +449,26 @@ def crowd_pairs(sets: DataFrame, around: DataFrame, roots: DataFrame, percent: i
     own = own.select("node", "root", F.coalesce("near", "root").alias("done"), "shingles")
     rows = written(own.mapInArrow(run, "token long, place int, n int, node binary, root binary, done binary"), "prefixes")
     parts = rows.groupBy("token", "done").agg(F.count("*").alias("size"))
-    tops = parts.groupBy("token").agg(F.max(F.struct("size", "done")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
-    left = rows.join(tops.select("token", F.col("top.done").alias("top")), "token").filter("done <> top").drop("top")
-    x, y = left.alias("x"), rows.alias("y")
+    tops = parts.groupBy("token").agg(F.max(F.struct("size", "done")).alias("top"), F.sum("size").alias("size"), F.count("*").alias("parts"))
+    tops = tops.filter("parts > 1").select("token", F.col("top.done").alias("top"), F.ceil(F.col("size") / MEET).cast("int").alias("blocks"),
+                                           F.ceil((F.col("size") - F.col("top.size")) / MEET).cast("int").alias("lots"))
+    # What is known of a token goes to each part of its sets, at most SALTS of them.
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    there = salted.select("token", "salt").distinct().join(tops, "token")
+    known = written(salted.join(there, ["token", "salt"]).drop("salt"), "shared-prefixes")
+    block, lot = (F.pmod(F.xxhash64("node", F.lit(1)), F.col(c)).cast("int") for c in ("blocks", "lots"))
+
+    def each(c: str):
+        return F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+
+    sides = ("token", "place", "n", "node", "root", "done")
+    x = known.filter("done <> top").select(*sides, each("blocks").alias("block"), lot.alias("lot")).alias("x")
+    y = known.select(*sides, block.alias("block"), each("lots").alias("lot")).alias("y")
     # What two sets share is at most what lies before and after a common place.
     most = F.least("x.place", "y.place") + 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) - 1
     fits = (100 + percent) * most.cast("long") >= percent * (F.col("x.n") + F.col("y.n")).cast("long")
-    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.done") != F.col("y.done")) & (F.col("x.root") != F.col("y.root")) & fits)
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("token", "block", "lot")]
+    met = x.join(y, same[0] & same[1] & same[2] & (F.col("x.done") != F.col("y.done")) & (F.col("x.root") != F.col("y.root")) & fits)
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
@@ -450,7 +479,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     ``docs`` must be read from files: the candidates' texts are read again."""
     rows = written(features(docs, id_col, text_col, width), "features")
     nodes = written(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("sig").alias("sig")), "nodes")
-    met = written(candidates(nodes), "candidates")
+    met = written(candidates(nodes, percent), "candidates")
     pairs = met.filter("a <> b")
     asked = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).distinct()
     wanted = written(nodes.select("node", "doc_id").join(asked, "node", "left_semi"), "asked")

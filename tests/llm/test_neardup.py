@@ -143,6 +143,28 @@ def test_pairs_inside_a_template_crowd_are_found(template):
     assert result(N.link(df, width=2)) == [(i, 79, i if i < 1500 else i - 1500) for i, _ in rows]
 
 
+def test_blocks_of_a_shared_shingle_lose_no_pair(template, monkeypatch):
+    """Every shingle's sets meet in many pairs of blocks."""
+    df, rows = template
+    monkeypatch.setattr(N, "MEET", 7)
+    monkeypatch.setattr(N, "SALTS", 5)
+    assert result(N.link(df, width=2)) == [(i, 79, i if i < 1500 else i - 1500) for i, _ in rows]
+
+
+def test_node_holds_the_size_of_its_set():
+    def size(n):
+        return int.from_bytes(N.node_of(np.arange(n, dtype=np.uint64))[-2:], "big")
+
+    sizes = np.array([size(n) for n in range(1, 400)])
+    assert (np.diff(sizes) >= 0).all() and size(0) == size(1) == 0 and len(N.node_of(np.arange(3, dtype=np.uint64))) == 16
+    for percent in (65, 80):
+        for n in range(1, 400):
+            m = np.arange(1, 400)
+            can = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+            fits = N.alike_in_size(sizes[n - 1], sizes[m - 1], percent)
+            assert fits[can].all() and not fits[100 * np.minimum(n, m) < (percent - 1) * np.maximum(n, m)].any()
+
+
 def test_regions_cut_by_a_border_count_as_crowds():
     tree, keys = np.zeros(6, dtype=np.int32), np.zeros((6, N.DEPTH), dtype=np.int64)
     keys[3:, 0] = 1
