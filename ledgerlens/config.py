@@ -253,26 +253,55 @@ def load_rules(path: str = os.path.join(os.path.dirname(os.path.abspath(__file__
 
 ALERT_RULES = load_rules()
 
-# Industry benchmarks (fixed values)
-SEASONS = (
-    ("high_season", (6, 7, 8), Decimal("2.5")),
-    ("low_season", (11, 12, 1, 2), Decimal("0.7")),
-    ("normal_season", (3, 4, 5, 9, 10), Decimal("1.0")),
-)
-MARGIN_BANDS = {"healthy": Decimal("0.15"), "acceptable": Decimal("0.10"), "critical": Decimal("0.05")}
-CATEGORY_MARGINS = {  # category -> (target, minimum)
-    "Monoblock Pump": (Decimal("0.12"), Decimal("0.08")),
-    "Submersible Pump": (Decimal("0.18"), Decimal("0.12")),
-    "Motor": (Decimal("0.10"), Decimal("0.06")),
-    "Accessories": (Decimal("0.25"), Decimal("0.15")),
-}
-TURNOVER_TARGET_DAYS = {"pump_distributor": 45, "general_distributor": 60}
-CATEGORY_TURNOVER_DAYS = {"Monoblock Pump": 30, "Submersible Pump": 45, "Motor": 40}
-SLOW_MOVING_DAYS = 60
-CREDIT_TERMS = {"standard_credit_period": 30, "maximum_credit_period": 45,
-                "overdue_threshold": 15, "critical_overdue": 60}
-CREDIT_SCORE_WEIGHTS = {"payment_history": Decimal("0.4"), "overdue_amount": Decimal("0.3"),
-                        "payment_frequency": Decimal("0.2"), "customer_tenure": Decimal("0.1")}
+
+@dataclass(frozen=True)
+class Benchmarks:
+    """Benchmarks of one industry."""
+    margins: dict[str, Decimal]  # healthy, acceptable, critical
+    turnover_days: int
+    slow_moving_days: int
+    credit_terms: dict[str, int]
+    seasons: tuple[tuple[str, tuple[int, ...], Decimal], ...] = ()
+    category_margins: dict[str, tuple[Decimal, Decimal]] = field(default_factory=dict)  # category -> (target, minimum)
+    category_turnover_days: dict[str, int] = field(default_factory=dict)
+    credit_score_weights: dict[str, Decimal] = field(default_factory=dict)
+
+    def __post_init__(self):
+        m = self.margins
+        if set(m) != {"healthy", "acceptable", "critical"} or not m["healthy"] >= m["acceptable"] >= m["critical"]:
+            raise ValueError(f"margins must fall from healthy over acceptable to critical: {m}")
+        months = [x for _, ms, _ in self.seasons for x in ms]
+        if len(months) != len(set(months)) or not set(months) <= set(range(1, 13)):
+            raise ValueError(f"a month stands in one season only: {months}")
+        for c, (target, least) in self.category_margins.items():
+            if least > target:
+                raise ValueError(f"minimum margin of {c} is above its target")
+        if self.credit_score_weights and sum(self.credit_score_weights.values()) != 1:
+            raise ValueError("credit score weights must add up to 1")
+
+
+def load_benchmarks(path: str = os.path.join(os.path.dirname(os.path.abspath(__file__)), "conf", "benchmarks.json")) -> dict[str, Benchmarks]:
+    """Benchmarks by industry of a benchmark file, checked; an industry without
+    category values, seasons or weights takes those of its ``categories_of``."""
+    with open(path, encoding="utf-8") as f:
+        declared = json.load(f, parse_float=Decimal)["industries"]
+    out = {}
+    for name, own in declared.items():
+        b = declared[own["categories_of"]] | own if "categories_of" in own else own
+        out[name] = Benchmarks(
+            margins=b["margins"], turnover_days=b["turnover_days"], slow_moving_days=b["slow_moving_days"], credit_terms=b["credit_terms"],
+            seasons=tuple((k, tuple(v["months"]), Decimal(v["multiplier"])) for k, v in b.get("seasons", {}).items()),
+            category_margins={k: (Decimal(v[0]), Decimal(v[1])) for k, v in b.get("category_margins", {}).items()},
+            category_turnover_days=b.get("category_turnover_days", {}), credit_score_weights=b.get("credit_score_weights", {}))
+    return out
+
+
+BENCHMARKS = load_benchmarks()
+PUMPS, GENERAL = BENCHMARKS["pump_distributor"], BENCHMARKS["general_distributor"]
+SEASONS, CATEGORY_MARGINS, MARGIN_BANDS = PUMPS.seasons, PUMPS.category_margins, PUMPS.margins
+TURNOVER_TARGET_DAYS = {k: b.turnover_days for k, b in BENCHMARKS.items()}
+CATEGORY_TURNOVER_DAYS, SLOW_MOVING_DAYS = PUMPS.category_turnover_days, PUMPS.slow_moving_days
+CREDIT_TERMS, CREDIT_SCORE_WEIGHTS = PUMPS.credit_terms, PUMPS.credit_score_weights
 THRESHOLD_VARIANTS = {
     "dead_stock": {"critical": 180, "high": 120, "medium": 90, "low": 60},
     "credit_risk": {"critical_days": 90, "critical_amount": 100000, "high_days": 60,

@@ -284,26 +284,38 @@ def credit_variant(customer_overdue: DataFrame) -> DataFrame:
     return customer_overdue.withColumn("severity", sev)
 
 
-def category_margins(spark: SparkSession) -> DataFrame:
-    rows = [(k, v[0], v[1]) for k, v in C.CATEGORY_MARGINS.items()]
+def category_margins(spark: SparkSession, bench: C.Benchmarks = C.PUMPS) -> DataFrame:
+    rows = [(k, *v) for k, v in bench.category_margins.items()]
     return spark.createDataFrame(rows, "product_category string, target_margin decimal(4,2), min_margin decimal(4,2)")
 
 
-def margin_bands(sales: DataFrame, spark: SparkSession) -> DataFrame:
+def margin_bands(sales: DataFrame, spark: SparkSession, bench: C.Benchmarks = C.PUMPS) -> DataFrame:
     """Margin band per sale line against its category's target and minimum,
-    falling back to the industry bands (healthy 0.15, acceptable 0.10).
+    falling back to the industry bands.
     The category table has a fixed handful of rows: broadcast."""
-    cats = F.broadcast(category_margins(spark))
+    cats = F.broadcast(category_margins(spark, bench))
     df = sales.join(cats, "product_category", "left")
-    target = F.coalesce(F.col("target_margin"), F.lit(C.MARGIN_BANDS["healthy"]))
-    minimum = F.coalesce(F.col("min_margin"), F.lit(C.MARGIN_BANDS["acceptable"]))
+    target = F.coalesce(F.col("target_margin"), F.lit(bench.margins["healthy"]))
+    minimum = F.coalesce(F.col("min_margin"), F.lit(bench.margins["acceptable"]))
     m = F.col("margin_percentage")
     band = (F.when(m >= target, "healthy").when(m >= minimum, "acceptable")
-             .when(m >= F.lit(C.MARGIN_BANDS["critical"]), "below_minimum").otherwise("critical"))
+             .when(m >= F.lit(bench.margins["critical"]), "below_minimum").otherwise("critical"))
     return df.withColumn("margin_band", band)
 
 
-def turnover(sales: DataFrame, p: Params = DEFAULT, industry: str = "general_distributor") -> DataFrame:
+def industry_bands(sales: DataFrame, spark: SparkSession, industries: Mapping[str, C.Benchmarks] = C.BENCHMARKS) -> DataFrame:
+    """(industry, product_category, margin_band, sale_lines): every sale line judged
+    by the margins of every industry, in one pass over the lines; a line without a
+    margin is in the band ``critical``, as in ``margin_bands``."""
+    df = sales.select("product_category", "margin_percentage")
+    for i, bench in enumerate(industries.values()):
+        df = margin_bands(df, spark, bench).drop("target_margin", "min_margin").withColumnRenamed("margin_band", f"_band{i}")
+    each = [F.struct(F.lit(name).alias("industry"), F.col(f"_band{i}").alias("margin_band")) for i, name in enumerate(industries)]
+    rows = df.select("product_category", F.inline(F.array(*each)))
+    return rows.groupBy("industry", "product_category", "margin_band").agg(F.count(F.lit(1)).alias("sale_lines"))
+
+
+def turnover(sales: DataFrame, p: Params = DEFAULT, bench: C.Benchmarks = C.GENERAL) -> DataFrame:
     """Average days between consecutive sale lines of a product against the
     turnover target (category target, else the industry's).  The mean of the
     consecutive gaps telescopes to (last - first) / (lines - 1), so this is a
@@ -315,19 +327,19 @@ def turnover(sales: DataFrame, p: Params = DEFAULT, industry: str = "general_dis
         F.max("transaction_date").alias("last_sale"))
     span = days_between(F.col("last_sale"), F.col("first_sale"))
     avg_gap = F.when(F.col("sale_lines") > 1, span / (F.col("sale_lines") - 1))
-    target = F.lit(C.TURNOVER_TARGET_DAYS[industry])
-    for cat, days in C.CATEGORY_TURNOVER_DAYS.items():
+    target = F.lit(bench.turnover_days)
+    for cat, days in bench.category_turnover_days.items():
         target = F.when(F.col("product_category") == cat, F.lit(days)).otherwise(target)
     return per.select("product_id", "product_category", "sale_lines", avg_gap.alias("avg_days_between_sales"),
                       target.alias("target_days"), (avg_gap > target).alias("slower_than_target"))
 
 
-def season_table(spark: SparkSession) -> DataFrame:
-    rows = [(m, name, mult) for name, months, mult in C.SEASONS for m in months]
+def season_table(spark: SparkSession, bench: C.Benchmarks = C.PUMPS) -> DataFrame:
+    rows = [(m, name, mult) for name, months, mult in bench.seasons for m in months]
     return spark.createDataFrame(rows, "transaction_month bigint, season string, multiplier decimal(3,1)")
 
 
-def seasonal_expectation(sales: DataFrame, spark: SparkSession) -> DataFrame:
+def seasonal_expectation(sales: DataFrame, spark: SparkSession, bench: C.Benchmarks = C.PUMPS) -> DataFrame:
     """Monthly quantity against expectation = mean monthly quantity x the
     season's multiplier (ours: the configuration names only the multipliers)."""
     monthly = sales.groupBy("transaction_year", "transaction_month").agg(
@@ -336,17 +348,17 @@ def seasonal_expectation(sales: DataFrame, spark: SparkSession) -> DataFrame:
     everything = Window.partitionBy()
     mean_q = (F.sum("actual_quantity").over(everything).cast("decimal(28,4)")
               / F.count(F.lit(1)).over(everything)).cast("decimal(38,4)")
-    df = monthly.join(F.broadcast(season_table(spark)), "transaction_month", "left").withColumn("mean_q", mean_q)
+    df = monthly.join(F.broadcast(season_table(spark, bench)), "transaction_month", "left").withColumn("mean_q", mean_q)
     return df.select("transaction_year", "transaction_month", "season", "multiplier",
                      F.col("actual_quantity").cast("decimal(38,4)").alias("actual_quantity"),
                      (F.col("mean_q") * F.col("multiplier")).cast("decimal(38,5)").alias("expected_quantity"))
 
 
-def credit_terms(sales: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def credit_terms(sales: DataFrame, p: Params = DEFAULT, bench: C.Benchmarks = C.PUMPS) -> DataFrame:
     """Due date falling back to sale date + the standard credit period; days
     past due against the overdue threshold and the critical level; lines
     older than the maximum period while unpaid."""
-    t = C.CREDIT_TERMS
+    t = bench.credit_terms
     due = F.coalesce(F.col("payment_due_date"), F.date_add(F.col("transaction_date"), t["standard_credit_period"]))
     unpaid = F.col("payment_status") != "PAID"
     past = days_between(F.lit(p.as_of), due)
@@ -361,14 +373,14 @@ def credit_terms(sales: DataFrame, p: Params = DEFAULT) -> DataFrame:
     )
 
 
-def credit_score(sales: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def credit_score(sales: DataFrame, p: Params = DEFAULT, bench: C.Benchmarks = C.PUMPS) -> DataFrame:
     """Weighted score 0-100 per customer from four features in [0, 1] (the
     features are ours; the weights are the configuration's):
       payment_history   = paid lines / lines
       overdue_amount    = 1 - min(1, overdue amount / lifetime value)
       payment_frequency = min(1, distinct purchase days / max(1, tenure days / 30))
       customer_tenure   = min(1, tenure days / 365), tenure from first purchase to as_of."""
-    w = C.CREDIT_SCORE_WEIGHTS
+    w = bench.credit_score_weights
     overdue = (F.col("payment_status") != "PAID") & (F.col("days_overdue") > 0)
     per = sales.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("lines"),

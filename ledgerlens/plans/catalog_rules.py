@@ -184,6 +184,10 @@ def margin_by_category(s, sf):
     return b.groupBy("product_category", "margin_band").agg(F.count(F.lit(1)).alias("sale_lines"))
 
 
+def industry_bands(s, sf):
+    return R.industry_bands(_sales_with_category(s, sf), s)
+
+
 def turnover_vs_target(s, sf):
     return R.turnover(_sales_with_category(s, sf), P)
 
@@ -276,6 +280,7 @@ QUERIES = {
     "stock_out": stock_out,
     "threshold_variants": threshold_variants,
     "margin_by_category": margin_by_category,
+    "industry_bands": industry_bands,
     "turnover_vs_target": turnover_vs_target,
     "seasonal_expectation": seasonal_expectation,
     "credit_terms": credit_terms,
@@ -476,6 +481,11 @@ FROM (SELECT customer_id, max(days_overdue) AS m, CAST(sum(total_amount) AS DECI
                                   f"""SELECT product_category, margin_band, count(*) AS sale_lines FROM (
   SELECT p.product_category, {_BAND} AS margin_band FROM stg s LEFT JOIN prod p ON s.product_id = p.product_id
   LEFT JOIN cats c ON p.product_category = c.product_category) t GROUP BY product_category, margin_band"""),
+    "industry_bands": O.with_(B + [("cats", f"SELECT * FROM (VALUES {_CATS}) t(product_category, target_margin, min_margin)")],
+                              f"""SELECT industry, product_category, margin_band, count(*) AS sale_lines FROM (
+  SELECT p.product_category, {_BAND} AS margin_band FROM stg s LEFT JOIN prod p ON s.product_id = p.product_id
+  LEFT JOIN cats c ON p.product_category = c.product_category) t
+  CROSS JOIN (VALUES ('pump_distributor'), ('general_distributor')) i(industry) GROUP BY ALL"""),
     "turnover_vs_target": O.with_(B, f"""SELECT product_id, product_category, sale_lines,
   CASE WHEN sale_lines > 1 THEN span / (sale_lines - 1) END AS avg_days_between_sales,
   {_TURN_CASE} AS target_days,

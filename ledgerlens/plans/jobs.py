@@ -65,12 +65,22 @@ def share(spark: SparkSession, df: DataFrame, materialize: str | None,
 
 
 _STAGED: dict[tuple, DataFrame] = {}
+STAGED_TABLES = ("lineitem", "orders", "customer", "part")
+
+
+def file_state(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = STAGED_TABLES) -> tuple[int, int | None]:
+    """(files, one number that changes with any file's path, size or time) of the
+    tables; the listing is read, not the files, and one row reaches the driver."""
+    files = spark.read.format("binaryFile").load([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in names])
+    one = F.xxhash64("path", "modificationTime", "length")
+    return tuple(files.select(one.alias("h")).agg(F.count("h"), F.bit_xor("h")).first())
 
 
 def shared_staging(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    """Staging of the test tables, written once per application, table folder and
-    parameters, partitioned by month; every query after the first reads it."""
-    key = session_key(spark, sf_dir.rstrip("/"), p)
+    """Staging of the test tables, written once per application, state of the table
+    files and parameters, partitioned by month; every query after the first reads
+    it until a file is added, removed or changed."""
+    key = session_key(spark, sf_dir.rstrip("/"), file_state(spark, sf_dir), p)
     if key not in _STAGED:
         _STAGED[key] = share(spark, staging_from_fixture(spark, sf_dir, p), "table", STAGING_PARTITIONS)
     return _STAGED[key]

@@ -1,4 +1,7 @@
+import dataclasses
 import datetime as dt
+import json
+import os
 from decimal import Decimal as D
 
 import pytest
@@ -157,3 +160,42 @@ def test_faulty_rules_are_named_before_anything_runs(spark):
         assert part in str(e.value), part
     assert R.faults(C.Rule("y", True, "amount", (), (), "ge", "other", "other"), {"lines": lines.schema}) == ["no frame 'other'"]
     assert all(r.frame and r.key for r in C.ALERT_RULES)
+
+
+def test_an_industry_added_by_file_only(spark, tmp_path):
+    with open(os.path.join(os.path.dirname(C.__file__), "conf", "benchmarks.json"), encoding="utf-8") as f:
+        declared = json.load(f)
+    declared["industries"]["paint"] = {
+        "seasons": {"festive": {"months": [10, 11], "multiplier": 3}}, "margins": {"healthy": 0.3, "acceptable": 0.2, "critical": 0.1},
+        "category_margins": {"Primer": [0.5, 0.4]}, "turnover_days": 20, "category_turnover_days": {"Primer": 10}, "slow_moving_days": 30,
+        "credit_terms": {"standard_credit_period": 7, "maximum_credit_period": 9, "overdue_threshold": 1, "critical_overdue": 5}}
+    path = tmp_path / "benchmarks.json"
+    path.write_text(json.dumps(declared))
+    found = C.load_benchmarks(str(path))
+    assert {k: v for k, v in found.items() if k != "paint"} == C.BENCHMARKS
+    paint = found["paint"]
+    rows = [("t1", "Primer", "a", D("0.45")), ("t2", "Primer", "a", D("0.55")), ("t3", "Other", "b", D("0.25")),
+            ("t4", "Motor", "c", D("0.05")), ("t5", None, "d", D("0.31")), ("t6", "Primer", "a", None)]
+    df = spark.createDataFrame(rows, "transaction_id string, product_category string, product_id string, margin_percentage decimal(28,9)")
+    got = {r.transaction_id: r.margin_band for r in R.margin_bands(df, spark, paint).collect()}
+    assert got == {"t1": "acceptable", "t2": "healthy", "t3": "acceptable", "t4": "critical", "t5": "healthy", "t6": "critical"}
+    bands = {tuple(r) for r in R.industry_bands(df, spark, {"paint": paint, "general": found["general_distributor"]}).collect()}
+    assert {b for b in bands if b[0] == "paint"} == {
+        ("paint", "Primer", "acceptable", 1), ("paint", "Primer", "healthy", 1), ("paint", "Primer", "critical", 1),
+        ("paint", "Other", "acceptable", 1), ("paint", "Motor", "critical", 1), ("paint", None, "healthy", 1)}
+    assert ("general", "Motor", "below_minimum", 1) in bands and sum(b[3] for b in bands) == 12
+    sold = spark.createDataFrame([("a", "Primer", dt.date(2024, 1, 1)), ("b", "X", dt.date(2024, 1, 1))],
+                                 "product_id string, product_category string, transaction_date date")
+    assert {r.product_id: r.target_days for r in R.turnover(sold, P, paint).collect()} == {"a": 10, "b": 20}
+    assert {r.transaction_month: r.season for r in R.season_table(spark, paint).collect()} == {10: "festive", 11: "festive"}
+
+
+@pytest.mark.parametrize("change", [{"margins": {"healthy": D("0.1"), "acceptable": D("0.2"), "critical": D("0.05")}},
+                                    {"margins": {"healthy": D("0.1")}},
+                                    {"seasons": (("a", (1, 2), D(1)), ("b", (2,), D(1)))},
+                                    {"seasons": (("a", (13,), D(1)),)},
+                                    {"category_margins": {"x": (D("0.1"), D("0.2"))}},
+                                    {"credit_score_weights": {"payment_history": D("0.5")}}])
+def test_wrong_benchmarks_are_refused(change):
+    with pytest.raises(ValueError):
+        dataclasses.replace(C.PUMPS, **change)

@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from ledgerlens.config import Params
 from ledgerlens.operators import marts as M
 from ledgerlens.operators import metrics as X
 from ledgerlens.operators.staging import stage_sales
+from ledgerlens.plans import jobs
 
 AS_OF = dt.date(2024, 6, 30)
 P = Params(as_of=AS_OF)
@@ -201,3 +203,19 @@ def test_month_names(spark):
     d = F.make_date(F.lit(2024), F.col("id").cast("int"), F.lit(1))
     assert spark.range(1, 13).where(month_name(d) != F.date_format(d, "MMMM")).isEmpty()
     assert spark.range(1).select(month_name(F.lit(None).cast("date"))).first()[0] is None
+
+
+def test_shared_staging_follows_changed_tables(spark, sf, tmp_path):
+    for t in jobs.STAGED_TABLES:
+        shutil.copyfile(f"{sf}/{t}.parquet", tmp_path / f"{t}.parquet")
+    first = jobs.shared_staging(spark, str(tmp_path))
+    assert jobs.shared_staging(spark, f"{tmp_path}/") is first
+    half = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey % 2 = 0")
+    half.coalesce(1).write.parquet(str(tmp_path / "half"))
+    (file,) = (tmp_path / "half").glob("*.parquet")
+    shutil.copyfile(file, tmp_path / "lineitem.parquet")
+    spark.catalog.refreshByPath(str(tmp_path))
+    changed = jobs.shared_staging(spark, str(tmp_path))
+    expected = jobs.staging_from_fixture(spark, str(tmp_path)).count()
+    assert changed is not first and 0 < changed.count() == expected < first.count()
+    assert jobs.shared_staging(spark, str(tmp_path)) is changed
