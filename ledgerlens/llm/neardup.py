@@ -299,16 +299,20 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(node, shingles) of the wanted (node, doc_id): their texts are read again."""
+    """(node, shingles) of the wanted (node, doc_id): their texts are read again.
+
+    Rows without an id are one key; they are dealt to SALTS parts by their text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chars.sliced(batches):
             found = [s for s in shingle_sets(batch.column(1).to_pylist(), width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([node_of(s) for s in found], pa.binary()),
                                               pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "own", "shingles"])
 
-    ids = wanted.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id")).distinct()
+    parts = F.when(F.col("id") == NO_ID, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    ids = wanted.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id")).distinct().select("id", F.explode(parts).alias("part"))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    made = rows.join(ids, "id", "left_semi").mapInArrow(run, "id long, own binary, shingles binary")
+    rows = rows.withColumn("part", F.when(F.col("id") == NO_ID, F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int")).otherwise(0))
+    made = rows.join(ids, ["id", "part"], "left_semi").select("id", "text").mapInArrow(run, "id long, own binary, shingles binary")
     keys = wanted.select("node", F.coalesce("doc_id", F.lit(NO_ID)).alias("want"))
     # An id repeated on equal texts gives its set twice.
     return made.join(keys, (F.col("id") == F.col("want")) & (F.col("own") == F.col("node")), "left_semi").select(

@@ -165,6 +165,19 @@ def test_node_holds_the_size_of_its_set():
             assert fits[can].all() and not fits[100 * np.minimum(n, m) < (percent - 1) * np.maximum(n, m)].any()
 
 
+def test_rows_without_an_id_keep_their_links(spark, tmp_path):
+    r = random.Random(4)
+    rows = []
+    for i in range(40):
+        own = [f"w{r.randint(0, 10 ** 6)}" for _ in range(50)]
+        edit = [*own[:-1], f"x{i}"]
+        rows += [(None, " ".join(own)), (i if i % 2 else None, " ".join(edit)), (None, " ".join(own))]
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(path)
+    got = result(N.link(spark.read.parquet(path)))
+    assert got == sorted(groups(rows, 5), key=key) and sum(c is not None for _, _, c in got) == 60
+
+
 def test_regions_cut_by_a_border_count_as_crowds():
     tree, keys = np.zeros(6, dtype=np.int32), np.zeros((6, N.DEPTH), dtype=np.int64)
     keys[3:, 0] = 1
