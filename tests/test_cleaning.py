@@ -311,3 +311,44 @@ def test_a_fourth_system_by_file_only(spark, tmp_path):
         assert [(r["system"], r["transaction_id"], r["total_amount"]) for r in rows.collect()] == [("kassa", "1", 6.0)]
     finally:
         C.use_mappings(C.MAPPINGS_FILE)
+
+
+def test_exports_are_dealt_by_order_without_a_second_shuffle(spark, sf):
+    """Lines are brought to their order and left in line order; no sort of all text rows."""
+    from ledgerlens.sources import exports
+    plan = exports.sales_export(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    with exports.kept_lines(spark, sf) as lines:
+        kept = exports.sales_export(spark, sf, "tally", lines=lines)
+        assert kept.exceptAll(exports.sales_export(spark, sf, "tally")).isEmpty() and kept.count() == lines.count()
+    assert not lines.is_cached
+    path = exports.export_path(spark, sf)
+    assert all(f.endswith(".csv.gz") for f in os.listdir(path) if f.startswith("part-"))
+    placed = files.read_csv(spark, path).groupBy("_file_path").agg(F.collect_list(F.col("BillNo").cast("long")).alias("ids")).collect()
+    seen = [i for r in placed for i in sorted(set(r.ids))]
+    assert all(r.ids == sorted(r.ids) for r in placed) and len(seen) == len(set(seen))  # an order is in one file
+
+
+def test_file_facts_do_not_sort_the_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\n1,x\n2,y\n")
+    facts = files.file_facts(files.text_lines(spark.read, str(tmp_path)))
+    assert "SortAggregate" not in facts._jdf.queryExecution().executedPlan().toString()
+    assert [(r.encoding, r.header) for r in facts.collect()] == [("UTF-8", "k,v")]
+
+
+def test_folder_rows_are_written_once(spark, tmp_path, monkeypatch):
+    """Rows of a landing folder hold their place in the file: duplicates are judged without a second copy of them."""
+    from ledgerlens.plans import jobs
+    from ledgerlens.sources import tables
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "b.csv").write_text("BillNo,BillDate,CustomerID,CustomerName,ItemCode,ItemName,Qty,Rate,Amount\n" + "1,2024-01-02,C1,late,P1,Pipe,3,10,30\n")
+    (tmp_path / "in" / "a.csv").write_text("BillNo,BillDate,CustomerID,CustomerName,ItemCode,ItemName,Qty,Rate,Amount\n"
+                                           + "1,2024-01-02,C1,first,P1,Pipe,3,10,30\n1,2024-01-02,C1,second,P1,Pipe,3,10,30\n")
+    names = []
+
+    def written(df, name):
+        names.append(name)
+        return tables.written(df, name)
+    monkeypatch.setattr(CL, "written", written)
+    rows = jobs.clean_folder(spark, str(tmp_path / "in"), P, collapse=False)[1].collect()
+    assert [r.customer_name for r in rows] == ["first"] and "typed" not in names
