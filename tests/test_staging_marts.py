@@ -219,3 +219,26 @@ def test_shared_staging_follows_changed_tables(spark, sf, tmp_path):
     expected = jobs.staging_from_fixture(spark, str(tmp_path)).count()
     assert changed is not first and 0 < changed.count() == expected < first.count()
     assert jobs.shared_staging(spark, str(tmp_path)) is changed
+
+
+def test_narrow_rows_are_shuffled_by_month(spark, sf):
+    """Derived columns are made after the rows of a month are brought together."""
+    stg = jobs.staging_from_fixture(spark, sf, by_month=True)
+    plan = stg._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RebalancePartitions"):]
+    assert "margin_percentage" not in below and "days_overdue" not in below and "margin_percentage" in plan
+    assert stg.exceptAll(jobs.staging_from_fixture(spark, sf)).isEmpty() and stg.count() == jobs.staging_from_fixture(spark, sf).count()
+
+
+def test_appended_rows_are_not_cleaned_again(spark, sf, monkeypatch):
+    from ledgerlens.plans import catalog_ingest as I
+    sources = []
+    load = I.tables.load_table
+
+    def loaded(df, name, how="replace", **kw):
+        sources.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return load(df, name, how, **kw)
+    monkeypatch.setattr(I.tables, "load_table", loaded)
+    out = I.load_replace_append(spark, sf, "ll_sales_once")
+    assert out.count() == 2 * I.clean_sales(spark, sf).count() and out.where("NOT load_ok").isEmpty()
+    assert "csv" in sources[0] and "csv" not in sources[1]
