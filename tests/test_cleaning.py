@@ -352,3 +352,16 @@ def test_folder_rows_are_written_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(CL, "written", written)
     rows = jobs.clean_folder(spark, str(tmp_path / "in"), P, collapse=False)[1].collect()
     assert [r.customer_name for r in rows] == ["first"] and "typed" not in names
+
+
+def test_one_file_is_read_for_its_encoding_by_bytes(spark):
+    """A byte windows-1252 leaves undefined tells ISO-8859-1, whatever hex digits stand side by side."""
+    assert files.probe_encoding(spark, write_text("A,B\nM\x81ller,1\n", "latin-1")) == "ISO-8859-1"
+    assert files.probe_encoding(spark, write_text("A,B\n\xe9\xd8\x19,1\n", "latin-1")) == "windows-1252"
+
+
+def test_ascii_text_is_not_translated_and_other_text_is(spark):
+    df = spark.createDataFrame([("plain",), ("caf\xe9 \x80 \x93x\x94",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(files.from_latin1(F.col("t"))).collect()] == ["plain", "café € “x”", "", None]
+    plan = df.select(files.from_latin1(F.col("t")).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in plan or "OctetLength" in plan
