@@ -38,28 +38,31 @@ def typed(c: Column, have: DataType, want: DataType, day_first: bool = True) ->
 
 
 def checked(df: DataFrame, schema: StructType, day_first: bool = True) -> DataFrame:
-    """``row`` (struct of the typed fields), ``errors`` and the original columns as the struct ``source``."""
-    fields, errors = [], []
+    """``row`` (struct of the typed fields), ``errors`` and the original columns as the struct ``source``.
+
+    ``place`` is a fence: what reads it is not merged into the projection that
+    converts, so errors and filters look at converted values instead of converting again."""
+    fields = [typed(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f.dataType, day_first) if f.name in df.columns
+              else F.lit(None).cast(f.dataType) for f in schema.fields]
+    source = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("source")
+    read = df.select(F.struct(*(v.alias(f.name) for v, f in zip(fields, schema.fields))).alias("row"), source,
+                     F.monotonically_increasing_id().alias("place"))
+    errors = []
     for f in schema.fields:
+        given = F.col("source").getField(f.name) if f.name in df.columns else F.lit(None)
         if f.name in df.columns:
-            given = F.col(f"`{f.name}`")
-            value = typed(given, df.schema[f.name].dataType, f.dataType, day_first)
-            unread = given.isNotNull() & value.isNull()
+            unread = given.isNotNull() & F.col("row").getField(f.name).isNull()
             errors.append(F.when(unread, F.lit(f"{f.name}: not a {_NAMES.get(type(f.dataType), 'text')}")))
-        else:
-            given = value = F.lit(None).cast(f.dataType)
         if not f.nullable:
             errors.append(F.when(given.isNull(), F.lit(f"{f.name}: missing")))
-        fields.append(value.alias(f.name))
-    source = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("source")
-    return df.select(F.struct(*fields).alias("row"), F.array_compact(F.array(*errors)).alias("errors"), source)
+    return read.select("row", F.array_compact(F.array(*errors)).alias("errors"), "source", "place")
 
 
 def conformed(found: DataFrame) -> DataFrame:
     """The rows that fit, typed."""
-    return found.where(F.size("errors") == 0).select("row.*")
+    return found.where((F.size("errors") == 0) & (F.col("place") >= 0)).select("row.*")
 
 
 def quarantine(found: DataFrame) -> DataFrame:
     """The rows that do not, as they came, with their ``errors``."""
-    return found.where(F.size("errors") > 0).select("source.*", "errors")
+    return found.where((F.size("errors") > 0) & (F.col("place") >= 0)).select("source.*", "errors")

@@ -365,3 +365,27 @@ def test_ascii_text_is_not_translated_and_other_text_is(spark):
     assert [r[0] for r in df.select(files.from_latin1(F.col("t"))).collect()] == ["plain", "café € “x”", "", None]
     plan = df.select(files.from_latin1(F.col("t")).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
     assert "octet_length" in plan or "OctetLength" in plan
+
+
+def _operators(df, spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_conform_converts_each_value_once(spark):
+    """The filter on the errors reads converted values: it does not convert again below the projection."""
+    from pyspark.sql.types import DateType, DecimalType, StringType, StructField, StructType
+
+    from ledgerlens.operators import conform as CF
+    schema = StructType([StructField("id", StringType(), False), StructField("d", DateType()), StructField("x", DecimalType(18, 4)),
+                         StructField("y", StringType())])
+    df = spark.createDataFrame([("1", "2024-01-05", "1,5"), ("2", "no", "2"), (None, "05/01/2024", "x"), ("3", None, None)], "id string, d string, x string")
+    found = CF.checked(df, schema)
+    good, bad = CF.conformed(found), CF.quarantine(found)
+    assert [(r.id, str(r.d), r.x, r.y) for r in good.collect()] == [("1", "2024-01-05", 15, None), ("3", "None", None, None)]
+    assert [(r.id, r.d, r.x, r.errors) for r in bad.collect()] == [
+        ("2", "no", "2", ["d: not a date"]), (None, "05/01/2024", "x", ["id: missing", "x: not a number"])]
+    assert not any("Filter" in x and "gettimestamp" in x for x in _operators(good, spark))
