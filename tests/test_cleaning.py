@@ -375,6 +375,29 @@ def _operators(df, spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_date_parsers_stay_out_of_the_generated_method(spark):
+    """Fourteen parsers in the whole-stage code made a method the JVM does not compile."""
+    df = spark.createDataFrame([("2024-01-05",)], "d string")
+    lines = [x for x in _operators(df.select(CL.parse_date(F.col("d")).alias("d")), spark) if "gettimestamp" in x]
+    assert lines and not any("*(" in x for x in lines)
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("2024-02-30", None), ("2024-1-5", "2024-01-05"), (" 2024-01-05\n", "2024-01-05"), ("2024-01-05T10:00:00Z", "2024-01-05"),
+    ("January 5, 2024", "2024-01-05"), ("5-Jan-2024 9:30 PM", "2024-01-05"), ("01/13/2024", "2024-01-13"), ("13.01.2024", "2024-01-13"),
+    ("2024-01", None), ("2024", None), ("", None), ("not a date", None), (None, None), ("0000-01-01", "0000-01-01")])
+def test_dates_of_odd_texts(spark, text, want):
+    got = spark.createDataFrame([(text,)], "d string").select(CL.parse_date(F.col("d")).cast("string")).first()[0]
+    assert got == want
+
+
+@pytest.mark.parametrize("text", ["a", " a", "a ", "\ta ", "　é b ", "é", " ", "", None, "a b"])
+def test_trim_of_white_space_at_either_end(spark, text):
+    from ledgerlens.functions.columns import ws_trim
+    got = spark.createDataFrame([(text,)], "t string").select(ws_trim("t")).first()[0]
+    assert got == (None if text is None else text.strip())
+
+
 def test_conform_converts_each_value_once(spark):
     """The filter on the errors reads converted values: it does not convert again below the projection."""
     from pyspark.sql.types import DateType, DecimalType, StringType, StructField, StructType
