@@ -34,6 +34,8 @@ from ledgerlens.streaming import entities
 ALERT_COLUMNS = ("transaction_id", "transaction_date", "customer_id", "customer_name", "product_id",
                  "quantity", "unit_price", "cost_price", "margin_percentage", "alert_severity",
                  "recommended_action")
+# what a batch's alerts, and its customers and products (``entities``), are made of
+STAGED_COLUMNS = (*ALERT_COLUMNS[:-2], "total_amount", "payment_status", "payment_due_date")
 # what makes two lines the same line: the source numbers lines by hand, so a
 # number alone may stand on several lines of one order
 LINE_KEY = LINE_COLUMNS = (*fixture.LINE_COLUMNS, "l_linenumber")
@@ -59,7 +61,12 @@ def staged_lines(lines: DataFrame, spark: SparkSession, sf_dir: str, p: Params =
 
 def critical_alerts(lines: DataFrame, spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     """Lines of a batch -> critical low-margin alert rows."""
-    crit = staged_lines(lines, spark, sf_dir, p).where((F.col("margin_percentage") < 0) & F.col("cost_price").isNotNull())
+    return critical_of(staged_lines(lines, spark, sf_dir, p))
+
+
+def critical_of(staged: DataFrame) -> DataFrame:
+    """Staged lines -> critical low-margin alert rows."""
+    crit = staged.where((F.col("margin_percentage") < 0) & F.col("cost_price").isNotNull())
     return crit.select(
         *[c for c in ALERT_COLUMNS if c not in ("alert_severity", "recommended_action")],
         F.lit("CRITICAL").alias("alert_severity"),
@@ -67,13 +74,14 @@ def critical_alerts(lines: DataFrame, spark: SparkSession, sf_dir: str, p: Param
 
 
 def waiting_lines(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines whose order, customer or part is missing from the tables."""
+    """Lines whose order, customer or part is missing from the tables: one join per key
+    with its distinct known values, the lines go through each once."""
     o, c, p = fixture.dimensions(spark, sf_dir)
-    known = o.join(c.select("c_custkey"), o.o_custkey == c.c_custkey).select("o_orderkey")
-    here = lines.join(known, lines.l_orderkey == known.o_orderkey, "left_semi") \
-                .join(p.select("p_partkey"), lines.l_partkey == F.col("p_partkey"), "left_semi")
-    return lines.join(here.select(*[F.col(k).alias(f"_{k}") for k in LINE_KEY]),
-                      [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in LINE_KEY], "left_anti")
+    known = o.join(c.select("c_custkey"), o.o_custkey == c.c_custkey, "left_semi")
+    orders = known.select(F.col("o_orderkey").alias("_order")).distinct()
+    parts = p.select(F.col("p_partkey").alias("_part")).distinct()
+    found = lines.join(orders, lines.l_orderkey == F.col("_order"), "left").join(parts, lines.l_partkey == F.col("_part"), "left")
+    return found.where(F.col("_order").isNull() | F.col("_part").isNull()).select(*lines.columns)
 
 
 def _claim(spark: SparkSession, out_path: str, checkpoint: str) -> None:
@@ -96,18 +104,20 @@ def _writer(spark: SparkSession, sf_dir: str, out_path: str, checkpoint: str, p:
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         left = read_if_there(spark, f"{pending}/batch_id={batch_id - 1}") if batch_id else None
+        batch = batch.persist()  # the stream's own plan runs once, whatever waits beside it
         lines = batch if left is None else batch.unionByName(left)
-        lines = lines.persist()
+        staged = staged_lines(lines, spark, sf_dir, p).select(*STAGED_COLUMNS)
+        if entities_path:
+            staged = staged.persist()
         try:
             batch.where(no_key).write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
             waiting_lines(lines.where(~no_key), spark, sf_dir).write.mode("overwrite").parquet(f"{pending}/batch_id={batch_id}")
-            critical_alerts(lines, spark, sf_dir, p).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            critical_of(staged).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             if entities_path:
-                staged = staged_lines(lines, spark, sf_dir, p).persist()
                 entities.update(spark, staged, batch_id, f"{checkpoint.rstrip('/')}-state", entities_path, p, today)
-                staged.unpersist()
         finally:
-            lines.unpersist()
+            staged.unpersist()
+            batch.unpersist()
 
     return (line_stream(spark, sf_dir, max_files_per_trigger, lines_dir, horizon)
             .writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint))

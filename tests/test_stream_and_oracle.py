@@ -250,3 +250,29 @@ def test_a_folder_of_another_checkpoint_is_refused(spark, sf, tmp_path):
     out = critical.run_available_now(spark, sf, out_path=str(tmp_path / "out"), checkpoint=str(tmp_path / "a"))
     with pytest.raises(ValueError, match="checkpoint"):
         critical.run_available_now(spark, sf, out_path=out, checkpoint=str(tmp_path / "b"))
+
+
+def test_waiting_lines_are_read_once(spark, tmp_path):
+    """Lines whose order, customer or part is missing, with keys that repeat or are null; the lines go through one chain of joins."""
+    from ledgerlens.streaming import critical
+    spark.createDataFrame([(1, 1, "O", "1995-01-01"), (1, 1, "F", "1995-01-01"), (2, 9, "O", "1995-01-01"), (None, 1, "O", "1995-01-01")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "c_custkey long, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(5, "p", 1, 1.0), (5, "q", 1, 1.0), (None, "r", 1, 1.0)],
+                          "p_partkey long, p_name string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    rows = [(1, 5, 1), (1, 5, 1), (1, 6, 2), (2, 5, 3), (3, 5, 4), (None, 5, 5), (1, None, 6), (3, 5, 4)]
+    lines = spark.createDataFrame([(o, p, 1.0, 1.0, n) for o, p, n in rows],
+                                  "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_linenumber int")
+    got = critical.waiting_lines(lines, spark, str(tmp_path))
+    assert got.columns == lines.columns
+    assert sorted(r.l_linenumber for r in got.collect()) == [2, 3, 4, 4, 5, 6]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_a_batch_joins_its_lines_to_the_tables_once_for_all_alerts(spark, sf, tmp_path, monkeypatch):
+    from ledgerlens.streaming import critical
+    calls = []
+    staged = critical.staged_lines
+    monkeypatch.setattr(critical, "staged_lines", lambda *a: calls.append(1) or staged(*a))
+    critical.run_available_now(spark, sf, out_path=f"{tmp_path}/out", checkpoint=f"{tmp_path}/ckpt", entities_path=f"{tmp_path}/entities")
+    assert len(calls) == len(list((tmp_path / "out").glob("batch_id=*"))) > 0
