@@ -22,3 +22,11 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return SF
+
+
+@pytest.fixture(autouse=True)
+def nothing_kept(request):
+    """What a test persists is not in the plans of the next one."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").catalog.clearCache()
