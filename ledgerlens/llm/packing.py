@@ -24,6 +24,7 @@ from __future__ import annotations
 import itertools
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -140,10 +141,22 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
 
 
 def plan(counts: dict[int, int], width: int = WIDTH) -> list[tuple[tuple[int, ...], int]]:
-    """counts of pieces by length (1 to width) -> [(lengths of a sequence, how often)]."""
-    left = np.zeros(width + 1, dtype=np.int64)
+    """counts of pieces by length (1 to width) -> [(lengths of a sequence, how often)].
+
+    The available lengths are the bits of a number, and mirrored those of a second
+    one: the pairs that sum to a gap are the bits that one shift and one "and" leave."""
+    left = [0] * (width + 1)
+    there = mirror = 0  # bit n, and bit width - n, for an available length n
+
+    def add(length: int, n: int) -> None:
+        nonlocal there, mirror
+        before, left[length] = left[length], left[length] + n
+        if (before > 0) != (left[length] > 0):
+            there ^= 1 << length
+            mirror ^= 1 << (width - length)
+
     for length, n in counts.items():
-        left[length] = n
+        add(length, n)
     out: list[tuple[tuple[int, ...], int]] = []
 
     def single(gap: int) -> tuple[int, ...] | None:
@@ -152,42 +165,45 @@ def plan(counts: dict[int, int], width: int = WIDTH) -> list[tuple[tuple[int, ..
     def pair(gap: int) -> tuple[int, ...] | None:
         """The most unequal two available lengths that sum to the gap."""
         half = gap // 2
-        low = left[1: half + 1] > 0
-        high = left[gap - half: gap][::-1] > 0
-        hits = np.flatnonzero(low & high)
-        for i in hits[:2]:
-            a, b = int(i) + 1, gap - int(i) - 1
-            if a != b or left[a] >= 2:
-                return (b, a)
-        return None
+        hits = there & mirror >> (width - gap) & (2 << half) - 2
+        if not hits:
+            return None
+        a = (hits & -hits).bit_length() - 1
+        return (gap - a, a) if 2 * a != gap or left[a] >= 2 else None  # two halves are the last hit
 
     def triple(gap: int) -> tuple[int, ...] | None:
-        for a in np.flatnonzero(left[: gap - 1])[::-1].tolist():
-            left[a] -= 1
+        lengths = there & (1 << (gap - 1)) - 1
+        while lengths:
+            a = lengths.bit_length() - 1
+            lengths ^= 1 << a
+            add(a, -1)
             rest = pair(gap - a)
-            left[a] += 1
+            add(a, 1)
             if rest:
                 return (a, *rest)
         return None
 
     for first in range(width, 0, -1):
         while left[first]:
-            left[first] -= 1
+            add(first, -1)
             used, gap = [first], width - first
             while gap:
-                exact = single(gap) or (pair(gap) if gap > 1 else None) or (triple(gap) if gap > 2 else None)
-                fit = exact or tuple(np.flatnonzero(left[: gap + 1])[-1:].tolist())
+                fit = single(gap) or (pair(gap) if gap > 1 else None) or (triple(gap) if gap > 2 else None)
                 if not fit:
-                    break
+                    longest = (there & (2 << gap) - 1).bit_length() - 1
+                    if longest < 0:
+                        break
+                    fit = (longest,)
                 for length in fit:
-                    left[length] -= 1
+                    add(length, -1)
                 used += fit
                 gap -= sum(fit)
             for length in used:
-                left[length] += 1
-            need = np.unique(used, return_counts=True)
-            times = int((left[need[0]] // need[1]).min())
-            left[need[0]] -= need[1] * times
+                add(length, 1)
+            need = Counter(used)
+            times = min(left[length] // n for length, n in need.items())
+            for length, n in need.items():
+                add(length, -n * times)
             out.append((tuple(used), times))
     return out
 
