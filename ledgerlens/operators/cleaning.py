@@ -29,6 +29,7 @@ ISO_DATES = ("yyyy-M-d", "yyyy/M/d")
 DAY_FIRST = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy")
 MONTH_FIRST = ("M/d/yyyy", "M-d-yyyy", "M.d.yyyy")
 NAMED_MONTHS = ("d-MMM-yyyy", "d MMM yyyy", "MMM d yyyy", "d-MMMM-yyyy", "d MMMM yyyy", "MMMM d yyyy")
+DIGITS = r"\A[0-9]+(\.[0-9]+)?\z"
 ISO_TEXT = r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
 TIME_OF_DAY = r"(?i)[T ]\s*\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[AP]M|[+-]\d{2}:?\d{2})?$"
 
@@ -40,7 +41,8 @@ def parse_date(c: Column, day_first: bool = True) -> Column:
     A plain ISO date is cast.  Other texts are tried layout by layout inside ``transform``:
     fourteen parsers in the generated code of the projection make a method that the JVM
     does not compile, and a layout that does not fit costs an exception, so only those
-    are tried whose signs the text has."""
+    are tried whose signs the text has: a year has four digits at least, and layouts
+    of numbers have no letters."""
     def bare(c: Column) -> Column:
         t = ws_trim(c)
         return F.when(t.contains(":"), F.regexp_replace(t, TIME_OF_DAY, "")).otherwise(t)
@@ -49,7 +51,9 @@ def parse_date(c: Column, day_first: bool = True) -> Column:
         named = t.rlike("[A-Za-z]") & t.rlike("[0-9]")
 
         def tried(layout: str) -> Column:
-            signs = [t.contains(s) for s in "-/. " if s in layout] + [named] * ("MMM" in layout)
+            signs = [t.contains(s) for s in "-/. " if s in layout] + [named if "MMM" in layout else ~t.rlike("[A-Za-z]")]
+            if layout.startswith("yyyy"):
+                signs.append(F.instr(t, layout[4]) > 4)
             return F.when(reduce(Column.__and__, signs), F.try_to_date(t, layout))
 
         numbers = (*DAY_FIRST, *MONTH_FIRST) if day_first else (*MONTH_FIRST, *DAY_FIRST)
@@ -75,10 +79,13 @@ def to_number(c: Column) -> Column:
     that is not a plain or exponent number becomes null,
     NaN included.  Instead of a regex per value: the text may hold only
     digits, sign, point and exponent letters, and ``try_cast`` rejects any
-    arrangement of those that is not a number (so '12d' or 'NaN' never pass)."""
-    t = ws_trim(F.translate(c.cast("string"), "₹,", ""))
+    arrangement of those that is not a number (so '12d' or 'NaN' never pass).
+    Digits with at most a point between them, as most values are, are cast as they
+    are: ``translate`` looks every character up."""
+    c = c.cast("string")
+    t = ws_trim(F.translate(c, "₹,", ""))
     plain = F.length(F.translate(t, "0123456789.+-eE", "")) == 0
-    return F.when(plain & (F.length(t) > 0), t.try_cast("double"))
+    return F.when(c.rlike(DIGITS), c.try_cast("double")).when(plain & (F.length(t) > 0), t.try_cast("double"))
 
 
 def clean_numeric(df: DataFrame, cols=C.NUMERIC_COLUMNS) -> DataFrame:
