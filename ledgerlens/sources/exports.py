@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ledgerlens import config as C
-from ledgerlens.session import session_key, shared_path
+from ledgerlens.session import session_key, shared_path, shuffles_dropped
 from ledgerlens.sources import files, fixture
 from ledgerlens.sources.fixture import product_key, table
 
@@ -133,7 +133,8 @@ def written_once(spark: SparkSession, key: tuple, write) -> str:
     full = session_key(spark, *key)
     if full not in _CACHE:
         path = shared_path(spark, "-".join(str(k) for k in ("export",) + key[:1]))
-        write(path)
+        with shuffles_dropped(spark):
+            write(path)
         _CACHE[full] = path
     return _CACHE[full]
 

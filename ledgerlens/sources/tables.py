@@ -6,8 +6,9 @@ import logging
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.session import shared_path
+from ledgerlens.session import shared_path, shuffles_dropped
 
 LOG = logging.getLogger(__name__)
 
@@ -53,12 +54,13 @@ def load_table(df: DataFrame, name: str, if_exists: str = "replace",
     try:
         if partition_by:
             df = df.hint("rebalance", *partition_by)   # few files per partition value
-        w = df.write.mode("overwrite" if if_exists == "replace" else "append")
+        w = df.write.mode("overwrite" if if_exists == "replace" else "append").option("compression", "zstd")
         if path:
             w = w.option("path", path)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.saveAsTable(name)
+        with shuffles_dropped(df.sparkSession):
+            w.saveAsTable(name)
         return True
     except Exception:  # noqa: BLE001 - a failed load is reported as False
         LOG.exception("table %s could not be loaded", name)
@@ -75,3 +77,10 @@ def preview(spark: SparkSession, name: str, limit: int = 5) -> DataFrame:
         LOG.warning("table %s could not be read", name, exc_info=True)
         return spark.createDataFrame([], "value string")
 
+
+def rows_like(df: DataFrame, few: DataFrame) -> DataFrame:
+    """The rows of ``df`` that equal one of a ``few`` rows (nulls equal each other),
+    found in one pass: the few go to every task, the rows are not shuffled."""
+    few = few.distinct().toDF(*(f"_few{i}" for i in range(len(few.columns))))
+    same = [df[f"`{c}`"].eqNullSafe(F.col(n)) for c, n in zip(df.columns, few.columns)]
+    return df.join(F.broadcast(few), same, "left_semi")
