@@ -80,3 +80,29 @@ def test_preview_of_rows_the_table_does_not_hold(spark, sf, monkeypatch):
     shown = tables.preview
     monkeypatch.setattr(tables, "preview", lambda s, name, n: shown(s, name, n).withColumn("invoice_number", F.lit("none such")))
     assert I.table_preview(spark, sf).collect() == [(5, False)] and compared == [1, 1]
+
+
+def test_enriched_in_parts_equals_enriched_at_once(spark, sf):
+    """Every line once, its facts from all lines, whatever file it is in; no shuffle is left when the rows are there."""
+    from ledgerlens.operators import metrics as X
+    from ledgerlens.plans import jobs
+    stg = jobs.shared_staging(spark, sf)
+    made = []
+    assert not left_after(spark, lambda: made.append(jobs.enriched(spark, stg)))
+    whole = X.enrich_sales(stg)
+    assert made[0].dtypes == whole.dtypes and made[0].count() == whole.count() > 0
+    assert made[0].exceptAll(whole).isEmpty()
+    assert "Join" not in made[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_enriched_in_parts_keeps_null_ids_and_lines_that_come_twice(spark):
+    from ledgerlens.operators import metrics as X
+    from ledgerlens.operators.staging import stage_sales
+    from ledgerlens.plans import jobs
+    raw = spark.createDataFrame([("1", "2001-01-05", None, "p", 2, 10, 4, 20, "Paid", None), ("1", "2001-01-05", None, "p", 2, 10, 4, 20, "Paid", None),
+                                 ("2", "2001-02-28", " a ", None, 1, 0, None, 5, None, "no date"), ("3", "2001-03-01", " a ", "p", 1, 3, 5, 3, "Unpaid", "2001-01-01")],
+                                "invoice_number string, transaction_date string, customer_name string, product_name string, quantity int, unit_price int, "
+                                "cost_price int, total_amount int, payment_status string, payment_due_date string")
+    stg = jobs.share(spark, stage_sales(raw, with_loaded_at=False).repartition(4), "table", jobs.STAGING_PARTITIONS)
+    for parts in (1, 3):
+        assert sorted(map(str, jobs.enriched(spark, stg, parts=parts).collect())) == sorted(map(str, X.enrich_sales(stg).collect()))
